@@ -44,7 +44,7 @@ def attribute_comments(
 ) -> DataFrame:
     """Each comment with the author of its post; comments without a post drop out."""
     authors = posts.select("post_id", "user_id")
-    return skew_join(comments, authors, "post_id", "inner", hot=hot)
+    return skew_join(comments, authors, "post_id", "inner", spread=["comment_id"], hot=hot)
 
 
 def left_metrics(

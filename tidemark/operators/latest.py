@@ -36,19 +36,24 @@ def latest_per_key(
     key: str | Sequence[str],
     version: str,
     tiebreak: Sequence[Column] | None = None,
+    drop: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key: the newest ``version``, ties settled by ``tiebreak``."""
+    """One row per key: the newest ``version``, ties settled by ``tiebreak``.
+
+    Columns in ``drop`` may be used for the ordering and are left out of the result.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     if tiebreak is None:
         tiebreak = default_tiebreak(df, keys[0], version)
     order = Window.partitionBy(*keys).orderBy(F.col(version).desc_nulls_last(), *tiebreak)
     rank = "__version_rank"
-    return df.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank)
+    ranked = df.withColumn(rank, F.row_number().over(order))
+    return ranked.filter(F.col(rank) == 1).drop(rank, *drop)
 
 
 def final(df: DataFrame, key: str, version: str) -> DataFrame:
     """De-duplicated read of a landing table, without its batch number."""
-    return latest_per_key(df, key, version).drop(BATCH_SEQ)
+    return latest_per_key(df, key, version, drop=[BATCH_SEQ])
 
 
 def final_count(df: DataFrame, key: str, alias: str = "rows") -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 1_000_000
@@ -48,17 +48,9 @@ def heaviest_keys(
     )
 
 
-def with_salt_count(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Add ``__salts``: how many ways the rows of this key are split (1 = not split)."""
-    matched = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
-    return matched.withColumn(SALTS, F.coalesce(SALTS, F.lit(1))).drop(HOT_KEY)
-
-
-def salt_of(spread: Sequence[str]) -> Column:
-    """Salt of one row of the large side, from a hash of ``spread``."""
-    return F.when(F.col(SALTS) == 1, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*spread), F.col(SALTS)).cast("int")
-    )
+def _with_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``df`` with ``__salts`` for the rows of hot keys, a null key included."""
+    return df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
 
 
 def skew_join(
@@ -80,9 +72,11 @@ def skew_join(
         raise ValueError(f"unsupported join type: {how}")
     if hot is None:
         hot = heaviest_keys(large, on)
-    left = with_salt_count(large, on, hot).withColumn(SALT, salt_of(spread or large.columns))
-    right = with_salt_count(small, on, hot).withColumn(
-        SALT, F.explode(F.sequence(F.lit(0), F.col(SALTS) - 1))
-    )
-    joined = left.drop(SALTS).join(right.drop(SALTS), [on, SALT], how)
-    return joined.drop(SALT)
+    salts = F.coalesce(F.col(SALTS), F.lit(1))
+    own_salt = F.when(
+        F.col(SALTS).isNotNull(), F.pmod(F.xxhash64(*(spread or large.columns)), salts).cast("int")
+    ).otherwise(F.lit(0))
+    every_salt = F.explode(F.sequence(F.lit(0), salts - 1))
+    left = _with_hot(large, on, hot).select(*large.columns, own_salt.alias(SALT))
+    right = _with_hot(small, on, hot).select(*small.columns, every_salt.alias(SALT))
+    return left.join(right, [on, SALT], how).drop(SALT)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import timestamp_literal
 from tidemark.operators.tables import SnapshotTable, typed
-from tidemark.operators.upsert import insert_ignore
+from tidemark.operators.upsert import insert_ignore, upsert
 from tidemark.schemas import WATERMARK
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -61,13 +61,13 @@ def set_watermark(
         timestamp_literal(value).alias("last_ingested_at"),
         stamp.alias("updated_at"),
     )
-    state.upsert(row, on_duplicate="error")
+    state.publish(upsert(state.read(), row, "table_name"))
 
 
 def open_state(spark: SparkSession, path: str, tables: list[str]) -> SnapshotTable:
     """The state table at ``path``, seeded with the tables it does not know yet."""
     state = SnapshotTable(spark, path, WATERMARK, key="table_name")
-    known = state.read().select("table_name")
-    missing = watermark_rows(spark, tables).join(known, "table_name", "left_anti")
-    state.upsert(missing, on_duplicate="error")
+    seeded = seed_watermarks(state.read(), tables)
+    if not state.exists() or seeded.count() > state.read().count():
+        state.publish(seeded)
     return state

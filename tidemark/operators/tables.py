@@ -143,20 +143,29 @@ class SnapshotTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _write(self, df: DataFrame, sort_key: str | None, files: int | None) -> dict[int, str]:
+    def _write(self, df: DataFrame, sort_key: str | None, files: int | None) -> str:
+        """Write the rows under a fresh directory and return it."""
         data = f"{self.path}/data/{uuid.uuid4().hex}"
         rows = df.select(*self.schema.fieldNames())
         if self.buckets == 1:
             if sort_key:
                 rows = sorted_layout(rows, sort_key, files)
             rows.write.parquet(data)
+        else:
+            # Rebalancing groups the rows by bucket and lets AQE split an oversized one.
+            grouped = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
+            inner = [BUCKET, sort_key or self.key]
+            grouped.sortWithinPartitions(*inner).write.partitionBy(BUCKET).parquet(data)
+        return data
+
+    def _paths(self, data: str, buckets: Sequence[int]) -> dict[int, str]:
+        if self.buckets == 1:
             return {0: data}
-        # Rebalancing groups the rows by bucket and lets AQE split an oversized one.
-        grouped = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
-        grouped.sortWithinPartitions(BUCKET, self.key).write.partitionBy(BUCKET).parquet(data)
-        return {b: f"{data}/{BUCKET}={b}" for b in self._buckets_in(data)}
+        return {b: f"{data}/{BUCKET}={b}" for b in buckets}
 
     def _buckets_in(self, data: str) -> list[int]:
+        if self.buckets == 1:
+            return [0]
         schema = T.StructType(self.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
         found = self.spark.read.schema(schema).parquet(data).select(BUCKET).distinct()
         return [r[BUCKET] for r in found.collect()]
@@ -180,7 +189,8 @@ class SnapshotTable:
     ) -> int:
         """Replace the whole table."""
         version = self._live()[0] + 1
-        paths = self._write(df, sort_key, files)
+        data = self._write(df, sort_key, files)
+        paths = self._paths(data, self._buckets_in(data))
         self._commit(version, {b: paths.get(b, "") for b in range(self.buckets)})
         return version
 
@@ -192,21 +202,18 @@ class SnapshotTable:
         in between, and its true file size is what lets Spark broadcast a small one.
         """
         staged_path = f"{self.path}/incoming/{uuid.uuid4().hex}"
-        fields = [c for c in self.schema.fieldNames() if c in batch.columns]
-        batch.select(*fields).write.parquet(staged_path)
+        batch.select(*self.schema.fieldNames()).write.parquet(staged_path)
         staged = self.spark.read.schema(self.schema).parquet(staged_path)
-        moved = staged.count()
-        if moved == 0:
-            return 0
-        version, _ = self._live()
-        touched = (
-            None
-            if self.buckets == 1
-            else [r[0] for r in staged.select(self._bucket()).distinct().collect()]
-        )
-        merged = upsert(self.read(touched), staged, self.key, **options)
-        self._commit(version + 1, self._write(merged, None, None))
-        return moved
+        bucket = self._bucket() if self.buckets > 1 else F.lit(0)
+        touched = {
+            r["bucket"]: r["count"]
+            for r in staged.groupBy(bucket.alias("bucket")).count().collect()
+        }
+        if touched:
+            version = self._live()[0] + 1
+            merged = upsert(self.read(list(touched)), staged, self.key, **options)
+            self._commit(version, self._paths(self._write(merged, None, None), list(touched)))
+        return sum(touched.values())
 
 
 def compact_landing(

@@ -14,53 +14,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import built_at as with_built_at
 from tidemark.functions import or_default, round2
-from tidemark.operators.aggregates import comment_metrics
+from tidemark.operators.aggregates import comment_metrics, comments_received, post_metrics
 from tidemark.operators.joins import left_metrics, lookup
-from tidemark.operators.skew import SALT, SALTS, heaviest_keys, salt_of, with_salt_count
-
-# Slot of the row that stands for the post itself; slots from 0 up receive its comments.
-POST_SLOT = -1
-
-
-def user_activity(
-    posts: DataFrame, comments: DataFrame, hot_posts: DataFrame | None = None
-) -> DataFrame:
-    """Post metrics and comments received per author, from one use of each input.
-
-    Metrics of posts must count every post once, metrics of comments every comment
-    once, and commenters are distinct over all posts of an author. Instead of
-    de-duplicating and shuffling the posts twice, each post gets a row for itself and
-    one row per salt to meet its comments (one salt, unless the post is hot). The left
-    join then fans out only the latter, and a single aggregation separates the two.
-    """
-    hot = heaviest_keys(comments, "post_id") if hot_posts is None else hot_posts
-    needed = comments.select("comment_id", "post_id", "commenter_email")
-    received = (
-        with_salt_count(needed, "post_id", hot)
-        .withColumn(SALT, salt_of(["comment_id"]))
-        .select("post_id", SALT, "commenter_email", F.lit(1).alias("is_comment"))
-    )
-    slots = F.sequence(F.lit(POST_SLOT), F.col(SALTS) - 1)
-    slotted = (
-        with_salt_count(
-            posts.select("post_id", "user_id", "title_length", "body_length"), "post_id", hot
-        )
-        .withColumn(SALT, F.explode(slots))
-        .drop(SALTS)
-    )
-    is_post = F.col(SALT) == POST_SLOT
-    return (
-        slotted.join(received, ["post_id", SALT], "left")
-        .groupBy("user_id")
-        .agg(
-            F.count_if(is_post).alias("total_posts"),
-            F.avg(F.when(is_post, F.col("title_length"))).alias("avg_post_title_length"),
-            F.avg(F.when(is_post, F.col("body_length"))).alias("avg_post_body_length"),
-            F.sum(F.when(is_post, F.col("body_length"))).alias("total_post_body_length"),
-            F.count("is_comment").alias("total_comments_received"),
-            F.count_distinct("commenter_email").alias("unique_commenters"),
-        )
-    )
+from tidemark.operators.skew import heaviest_keys
 
 
 def mart_user_post_summary(
@@ -70,8 +26,15 @@ def mart_user_post_summary(
     built_at: datetime | None = None,
     hot_posts: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per user; posts of unknown authors do not appear."""
-    joined = left_metrics(users, user_activity(posts, comments, hot_posts), "user_id")
+    """One row per user; posts of unknown authors do not appear.
+
+    Posts and comments are each aggregated to one row per author before they meet the
+    users, so no measure is counted twice. Posts are used twice, but only the metrics
+    branch reads their text; the join with the comments needs two narrow columns.
+    """
+    received = comments_received(comments, posts, hot_posts)
+    joined = left_metrics(users, post_metrics(posts), "user_id")
+    joined = left_metrics(joined, received, "user_id")
     mart = joined.select(
         "user_id",
         "username",

@@ -7,7 +7,9 @@ scanned and column pruning drops it before the sort and the exchange.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import byte_length, lower_trim, trim
@@ -17,16 +19,15 @@ from tidemark.schemas import BATCH_SEQ
 
 
 def require_uint32(df: DataFrame, *columns: str) -> DataFrame:
-    """Fail when a key column leaves the unsigned 32-bit range.
+    """Fail when one of the key columns leaves the unsigned 32-bit range.
 
     Written as a filter, not as a changed column, so that a lookup by key still
     reaches the Parquet reader.
     """
-    for name in columns:
-        message = F.concat(F.lit(f"{name} outside unsigned 32-bit range: "), F.col(name))
-        ok = F.when(in_uint32(F.col(name)), F.lit(True))
-        df = df.filter(ok.otherwise(F.raise_error(message).cast("boolean")))
-    return df
+    in_range = reduce(Column.__and__, [in_uint32(F.col(name)) for name in columns])
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
+    failure = F.raise_error(F.concat(F.lit("outside unsigned 32-bit range: "), shown))
+    return df.filter(F.when(in_range, F.lit(True)).otherwise(failure.cast("boolean")))
 
 
 def _batch_seq(raw: DataFrame) -> list[str]:
@@ -49,7 +50,7 @@ def stg_users(raw: DataFrame) -> DataFrame:
         "ingested_at",
         *_batch_seq(raw),
     )
-    return latest_per_key(rows, "user_id", "ingested_at").drop(BATCH_SEQ)
+    return latest_per_key(rows, "user_id", "ingested_at", drop=[BATCH_SEQ])
 
 
 def stg_posts(raw: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def stg_posts(raw: DataFrame) -> DataFrame:
         "ingested_at",
         *_batch_seq(raw),
     )
-    return latest_per_key(rows, "post_id", "ingested_at").drop(BATCH_SEQ)
+    return latest_per_key(rows, "post_id", "ingested_at", drop=[BATCH_SEQ])
 
 
 def stg_comments(raw: DataFrame) -> DataFrame:
@@ -79,4 +80,4 @@ def stg_comments(raw: DataFrame) -> DataFrame:
         "ingested_at",
         *_batch_seq(raw),
     )
-    return latest_per_key(rows, "comment_id", "ingested_at").drop(BATCH_SEQ)
+    return latest_per_key(rows, "comment_id", "ingested_at", drop=[BATCH_SEQ])

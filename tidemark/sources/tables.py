@@ -17,11 +17,14 @@ class Sources:
     def __init__(self, spark: SparkSession, paths: dict[str, str]):
         self.spark = spark
         self.paths = dict(paths)
+        self._frames: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self.paths:
             raise KeyError(f"unknown source {name!r}; known: {sorted(self.paths)}")
-        return self.spark.read.parquet(self.paths[name])
+        if name not in self._frames:  # reading the schema costs a small job, once
+            self._frames[name] = self.spark.read.parquet(self.paths[name])
+        return self._frames[name]
 
     def __iter__(self):
         return iter(self.paths)
