@@ -65,8 +65,9 @@ def skew_join(
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. ``spread`` names
     columns of ``large`` that tell its rows apart (default: all). ``hot`` may be counted
-    on any cheaper frame with the same keys, such as the table before de-duplication;
-    it steers the split and never the result.
+    on any cheaper frame with the same keys, such as the table before de-duplication:
+    a wrong list costs time, not rows. Both sides must see the same list, so it has to
+    be deterministic; Spark evaluates it once and reuses the broadcast.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
