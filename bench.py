@@ -27,7 +27,7 @@ HEADLINE = (
     "stg_users",
     "stg_posts",
     "stg_comments",
-    "latest_per_user",
+    "latest_per_key",
     "agg_by_post",
     "agg_by_user",
     "join_inner_agg",

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tidemark.__main__ import main
 from tidemark.operators.changes import (
     affected_keys,
     apply_changes,
@@ -21,6 +22,7 @@ from tidemark.plans.elt import run_elt
 from tidemark.plans.ingest import ingest, ingest_entity, oltp_table
 from tidemark.plans.replicate import replicate
 from tidemark.plans.transforms import ENTITIES, select_entities
+from tidemark.plans.validate import register_views, validation
 from tidemark.schemas import OLTP
 from tidemark.sources.json_entities import PayloadError, read_json_entities
 from tidemark.sources.tables import Sources, newer_than, read_incremental
@@ -274,6 +276,31 @@ def test_run_elt_twice(spark, tmp_path):
     assert tuple(totals.first()) == (100, 500)
 
 
+def test_validation_views_and_command_line(spark, tmp_path):
+    payloads(tmp_path, 2, 4, 8)
+    root = str(tmp_path / "root")
+    common = ["--root", root, "--payloads", str(tmp_path)]
+    for entity in ENTITIES:
+        main(["ingest", *common, "--entity", entity])
+    for step in ("replicate", "build", "test", "validate"):
+        main([step, *common])
+    report = validation(spark, root)
+    counts = {(r["layer"], r["table_name"]): r["rows"] for r in report["counts"].collect()}
+    assert len(counts) == 11
+    assert counts["oltp", "comments"] == counts["landing", "comments"] == counts["staging", "stg_comments"] == 8
+    assert counts["marts", "mart_user_post_summary"] == 2
+    assert [r["table_name"] for r in report["watermarks"].collect()] == ["comments", "posts", "users"]
+    assert report["top_posts"].count() == 4
+    register_views(spark, root)
+    total = spark.sql(
+        "SELECT count(*) FROM raw_comments c JOIN stg_posts p ON c.post_id = p.post_id "
+        "JOIN mart_user_post_summary m ON p.user_id = m.user_id"
+    )
+    assert total.first()[0] == 8
+    with pytest.raises(SystemExit):
+        main(["ingest", "--root", root])
+
+
 def test_run_elt_skips_unchanged_rows(spark, tmp_path):
     paths, root = payloads(tmp_path, 2, 4, 8), str(tmp_path / "root")
     run_elt(spark, paths, root, T0)

@@ -31,10 +31,11 @@ def skewed(spark):
 
 def test_heaviest_keys_are_bounded_and_sized(skewed):
     rows, large, _ = skewed
-    hot = {r[HOT_KEY]: r[SALTS] for r in heaviest_keys(large, "k", min_rows=100).collect()}
+    hot = {r[HOT_KEY]: r[SALTS] for r in heaviest_keys(large, "k", min_rows=100).frame.collect()}
     counts = {k: sum(r[1] == k for r in rows) for k in (1, None)}
     assert hot == {k: -(-n // 100) for k, n in counts.items()}
-    assert heaviest_keys(large, "k", min_rows=1, limit=3).count() == 3
+    assert heaviest_keys(large, "k", min_rows=1, limit=3).frame.count() == 3
+    assert heaviest_keys(large, "k").empty
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import label
 from tidemark.operators.joins import attribute_comments
+from tidemark.operators.skew import HotKeys
 
 
 def row_count(df: DataFrame, alias: str = "rows") -> DataFrame:
@@ -64,7 +65,7 @@ def comment_metrics(comments: DataFrame) -> DataFrame:
 
 
 def comments_received(
-    comments: DataFrame, posts: DataFrame, hot: DataFrame | None = None
+    comments: DataFrame, posts: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Comments and distinct commenters over all posts of each author."""
     needed = comments.select("comment_id", "post_id", "commenter_email")

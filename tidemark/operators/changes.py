@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_per_key
+from tidemark.operators.skew import HotKeys, skew_join
 
 DELETE = "D"
 
@@ -42,9 +43,14 @@ def replaced_by(old: DataFrame, delta: DataFrame, id_column: str) -> DataFrame:
     return old.join(delta.select(id_column).distinct(), id_column, "left_semi")
 
 
-def only_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is affected. Distinct keys on the right: no fan-out."""
-    return df.join(keys, key, "left_semi")
+def only_keys(
+    df: DataFrame, keys: DataFrame, key: str, hot: HotKeys | None = None
+) -> DataFrame:
+    """Rows whose key is affected.
+
+    ``hot`` names keys of ``df`` to split; leave it out where ``key`` is unique in ``df``.
+    """
+    return skew_join(df, keys, key, "left_semi", hot=hot or HotKeys(None))
 
 
 def refresh_mart(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.skew import skew_join
+from tidemark.operators.skew import HotKeys, skew_join
 
 UNMATCHED = ("type_default", "null")
 _MATCHED = "__matched"
@@ -40,7 +40,7 @@ def _fill(joined: DataFrame, added: DataFrame, key: str) -> DataFrame:
 
 
 def attribute_comments(
-    comments: DataFrame, posts: DataFrame, hot: DataFrame | None = None
+    comments: DataFrame, posts: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Each comment with the author of its post; comments without a post drop out."""
     authors = posts.select("post_id", "user_id")
@@ -65,7 +65,7 @@ def lookup(
     key: str,
     unmatched: str = "type_default",
     spread: list[str] | None = None,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Many-to-one left join against a dimension.
 

@@ -6,20 +6,23 @@ not, so a post with a third of all comments would land in one task. These helper
 the split in the plan itself, and only for the keys that need it:
 
 * :func:`heaviest_keys` counts the join key of the large side (one column, map-side
-  combined) and keeps keys above ``min_rows``, at most ``HOT_KEYS_MAX`` of them. That
-  limit is the proof that the broadcast of the list stays small. A key that misses the
-  list holds at most 1/``HOT_KEYS_MAX`` of the rows.
+  combined, spread over all tasks) and keeps keys above ``min_rows``, at most
+  ``HOT_KEYS_MAX`` of them. That limit is the proof that the list stays small enough to
+  broadcast. A key that misses it holds at most 1/``HOT_KEYS_MAX`` of the rows.
 * :func:`skew_join` gives each row of a listed key one of ``ceil(rows / min_rows)``
   salts and repeats the other side's row once per salt. Every row still meets exactly
-  the partners it would meet in a plain join, whatever the list says.
+  the partners it would meet in a plain join, whatever the list says. Without hot keys
+  it *is* the plain join, which keeps a partitioning the inputs already have.
 
 Salts come from a hash of row columns, never from a random number: a recomputed task
-must send each row to the same place.
+must send each row to the same place. For the same reason the list is counted once, up
+front, and both sides use that one copy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,25 +35,41 @@ SALTS = "__salts"
 SALT = "__salt"
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys to split: ``(__hot_key, __salts)``, or nothing to split at all."""
+
+    frame: DataFrame | None
+
+    @property
+    def empty(self) -> bool:
+        return self.frame is None
+
+
 def heaviest_keys(
     df: DataFrame,
     key: str,
     min_rows: int = ROWS_PER_SALT,
     limit: int = HOT_KEYS_MAX,
-) -> DataFrame:
-    """``(__hot_key, __salts)`` for the keys with more than ``min_rows`` rows."""
+) -> HotKeys:
+    """The keys with more than ``min_rows`` rows, the ``limit`` heaviest at most.
+
+    Runs one job and brings at most ``limit`` keys to the driver.
+    """
     counts = df.groupBy(F.col(key).alias(HOT_KEY)).agg(F.count(F.lit(1)).alias("rows"))
-    return (
+    hot = (
         counts.filter(F.col("rows") > min_rows)
         .orderBy(F.desc("rows"), HOT_KEY)
         .limit(limit)
         .select(HOT_KEY, F.ceil(F.col("rows") / min_rows).cast("int").alias(SALTS))
     )
+    rows = hot.collect()
+    return HotKeys(df.sparkSession.createDataFrame(rows, hot.schema) if rows else None)
 
 
-def _with_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def _with_hot(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     """``df`` with ``__salts`` for the rows of hot keys, a null key included."""
-    return df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
+    return df.join(F.broadcast(hot.frame), F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
 
 
 def skew_join(
@@ -59,20 +78,21 @@ def skew_join(
     on: str,
     how: str = "inner",
     spread: Sequence[str] | None = None,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Equi-join of ``large`` with ``small`` on ``on``, safe against hot keys of ``large``.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. ``spread`` names
     columns of ``large`` that tell its rows apart (default: all). ``hot`` may be counted
     on any cheaper frame with the same keys, such as the table before de-duplication:
-    a wrong list costs time, not rows. Both sides must see the same list, so it has to
-    be deterministic; Spark evaluates it once and reuses the broadcast.
+    a list that is off costs time, never rows.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     if hot is None:
         hot = heaviest_keys(large, on)
+    if hot.empty:
+        return large.join(small, on, how)
     salts = F.coalesce(F.col(SALTS), F.lit(1))
     own_salt = F.when(
         F.col(SALTS).isNotNull(), F.pmod(F.xxhash64(*(spread or large.columns)), salts).cast("int")

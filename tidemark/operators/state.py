@@ -67,7 +67,8 @@ def set_watermark(
 def open_state(spark: SparkSession, path: str, tables: list[str]) -> SnapshotTable:
     """The state table at ``path``, seeded with the tables it does not know yet."""
     state = SnapshotTable(spark, path, WATERMARK, key="table_name")
-    seeded = seed_watermarks(state.read(), tables)
-    if not state.exists() or seeded.count() > state.read().count():
-        state.publish(seeded)
+    current = state.read()
+    new = watermark_rows(spark, tables).join(current, "table_name", "left_anti")
+    if not new.isEmpty():
+        state.publish(seed_watermarks(current, tables))
     return state

@@ -176,14 +176,16 @@ class SnapshotTable:
     def version(self) -> int:
         return self._live()[0]
 
-    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The current rows; of the given buckets only, when named."""
-        live = self._live()[1]
-        paths = [p for b, p in sorted(live.items()) if buckets is None or b in buckets]
+    def _read_paths(self, paths: Sequence[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def read(self) -> DataFrame:
+        """The current rows."""
+        live = self._live()[1]
+        return self._read_paths([live[b] for b in sorted(live)])
+
     def publish(
         self, df: DataFrame, sort_key: str | None = None, files: int | None = None
     ) -> int:
@@ -210,9 +212,11 @@ class SnapshotTable:
             for r in staged.groupBy(bucket.alias("bucket")).count().collect()
         }
         if touched:
-            version = self._live()[0] + 1
-            merged = upsert(self.read(list(touched)), staged, self.key, **options)
-            self._commit(version, self._paths(self._write(merged, None, None), list(touched)))
+            version, live = self._live()
+            stored = self._read_paths([live[b] for b in sorted(touched) if b in live])
+            merged = upsert(stored, staged, self.key, **options)
+            data = self._write(merged, None, None)
+            self._commit(version + 1, self._paths(data, list(touched)))
         return sum(touched.values())
 
 

@@ -67,6 +67,20 @@ def replicate_all(
     return {r.table: r.rows for r in done}, checks
 
 
+def raw_versions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The landing tables with all their versions."""
+    return {
+        name: read_landing(spark, landing_path(root, name), spec.landing)
+        for name, spec in ENTITIES.items()
+    }
+
+
+def _model_table(spark: SparkSession, root: str, name: str) -> SnapshotTable:
+    if name in STAGING:
+        return SnapshotTable(spark, f"{root}/staging/{name}", STAGING[name])
+    return SnapshotTable(spark, f"{root}/marts/{name}", MARTS[name])
+
+
 def build_models(
     spark: SparkSession, root: str, built_at: datetime, materialise_staging: bool = True
 ) -> dict[str, DataFrame]:
@@ -76,18 +90,14 @@ def build_models(
     de-duplicated once and stored sorted by key; as plain views every consumer repeats
     the de-duplication.
     """
-    raw = {
-        name: read_landing(spark, landing_path(root, name), spec.landing)
-        for name, spec in ENTITIES.items()
-    }
+    raw = raw_versions(spark, root)
     models = {}
     for name, (entity, build, key) in STAGING_MODELS.items():
-        view = build(raw[entity])
+        models[name] = build(raw[entity])
         if materialise_staging:
-            table = SnapshotTable(spark, f"{root}/staging/{name}", STAGING[name])
-            table.publish(view, sort_key=key)
-            view = table.read()
-        models[name] = view
+            table = _model_table(spark, root, name)
+            table.publish(models[name], sort_key=key)
+            models[name] = table.read()
 
     users, posts, comments = (models[name] for name in STAGING_MODELS)
     marts = {
@@ -99,12 +109,24 @@ def build_models(
         ),
     }
     for name, mart in marts.items():
-        table = SnapshotTable(spark, f"{root}/marts/{name}", MARTS[name])
+        table = _model_table(spark, root, name)
         table.publish(mart, sort_key=MART_KEYS[name])
         models[name] = table.read()
     return models
 
 
+def read_models(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Staging and marts as last built; staging that was not written is a view."""
+    raw = raw_versions(spark, root)
+    models = {}
+    for name, (entity, build, _) in STAGING_MODELS.items():
+        table = _model_table(spark, root, name)
+        models[name] = table.read() if table.exists() else build(raw[entity])
+    for name in MART_KEYS:
+        models[name] = _model_table(spark, root, name).read()
+    return models
+
+
 def run_elt(
     spark: SparkSession,
     paths: dict[str, str],

@@ -16,7 +16,7 @@ from tidemark.functions import built_at as with_built_at
 from tidemark.functions import or_default, round2
 from tidemark.operators.aggregates import comment_metrics, comments_received, post_metrics
 from tidemark.operators.joins import left_metrics, lookup
-from tidemark.operators.skew import heaviest_keys
+from tidemark.operators.skew import HotKeys, heaviest_keys
 
 
 def mart_user_post_summary(
@@ -24,7 +24,7 @@ def mart_user_post_summary(
     posts: DataFrame,
     comments: DataFrame,
     built_at: datetime | None = None,
-    hot_posts: DataFrame | None = None,
+    hot_posts: HotKeys | None = None,
 ) -> DataFrame:
     """One row per user; posts of unknown authors do not appear.
 
@@ -58,7 +58,7 @@ def mart_comment_statistics(
     users: DataFrame,
     built_at: datetime | None = None,
     unmatched: str = "type_default",
-    hot_users: DataFrame | None = None,
+    hot_users: HotKeys | None = None,
 ) -> DataFrame:
     """One row per post; a post of an unknown author stays, by default with an empty name.
 

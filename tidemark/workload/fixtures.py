@@ -6,7 +6,7 @@ older one marked STALE, in two batches.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,18 +19,31 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
-START = datetime(2024, 1, 2, tzinfo=timezone.utc)
 
+class Tables(Sources):
+    """The test tables, and the views built on them, each built once."""
 
-def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(spark, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES})
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        folder = sf_dir.rstrip("/")
+        super().__init__(spark, {t: f"{folder}/{t}.parquet" for t in TABLES})
+        self.views: dict[str, DataFrame] = {}
+
+
+def view(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    def once(src: Tables) -> DataFrame:
+        if build.__name__ not in src.views:
+            src.views[build.__name__] = build(src)
+        return src.views[build.__name__]
+
+    return once
 
 
 def _seconds_after_start(seconds: str):
     return F.expr(f"timestamp'2024-01-02 00:00:00' + make_dt_interval(0, 0, 0, {seconds})")
 
 
-def users(src: Sources) -> DataFrame:
+@view
+def users(src: Tables) -> DataFrame:
     nation = src("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return (
         src("customer")
@@ -52,7 +65,8 @@ def users(src: Sources) -> DataFrame:
     )
 
 
-def posts(src: Sources) -> DataFrame:
+@view
+def posts(src: Tables) -> DataFrame:
     return src("documents").select(
         F.col("doc_id").alias("id"),
         F.expr("doc_id % 150").alias("user_id"),
@@ -62,7 +76,8 @@ def posts(src: Sources) -> DataFrame:
     )
 
 
-def comments(src: Sources) -> DataFrame:
+@view
+def comments(src: Tables) -> DataFrame:
     return src("conversations").select(
         F.expr("conv_id * 1000 + turn").alias("id"),
         F.col("conv_id").alias("post_id"),
@@ -84,19 +99,23 @@ def _two_batches(current: DataFrame, stale_column: str) -> DataFrame:
     return current.withColumn(BATCH_SEQ, F.lit(2).cast("bigint")).unionByName(stale)
 
 
-def raw_users(src: Sources) -> DataFrame:
+@view
+def raw_users(src: Tables) -> DataFrame:
     return _two_batches(users(src), "name")
 
 
-def raw_posts(src: Sources) -> DataFrame:
+@view
+def raw_posts(src: Tables) -> DataFrame:
     return _two_batches(posts(src), "title")
 
 
-def raw_comments(src: Sources) -> DataFrame:
+@view
+def raw_comments(src: Tables) -> DataFrame:
     return _two_batches(comments(src), "name")
 
 
-def changes(src: Sources) -> DataFrame:
+@view
+def changes(src: Tables) -> DataFrame:
     """Events as a changelog of user rows; an error event deletes the user."""
     return src("events").select(
         "user_id",
@@ -111,7 +130,8 @@ def changes(src: Sources) -> DataFrame:
 # The large shape: customers, orders and line items as staged users, posts, comments.
 
 
-def rel_users(src: Sources) -> DataFrame:
+@view
+def rel_users(src: Tables) -> DataFrame:
     nation = src("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return (
         src("customer")
@@ -127,7 +147,8 @@ def rel_users(src: Sources) -> DataFrame:
     )
 
 
-def rel_posts(src: Sources) -> DataFrame:
+@view
+def rel_posts(src: Tables) -> DataFrame:
     return src("orders").select(
         F.col("o_orderkey").alias("post_id"),
         F.col("o_custkey").alias("user_id"),
@@ -137,7 +158,8 @@ def rel_posts(src: Sources) -> DataFrame:
     )
 
 
-def rel_comments(src: Sources) -> DataFrame:
+@view
+def rel_comments(src: Tables) -> DataFrame:
     return src("lineitem").select(
         F.expr("xxhash64(l_partkey, l_suppkey, l_linenumber, l_extendedprice)").alias(
             "comment_id"

@@ -310,7 +310,7 @@ ORACLE: dict[str, str] = {
     ),
     "watermark_state": sql("SELECT * FROM watermarks ORDER BY table_name", "watermarks"),
     # latest per key
-    "latest_per_user": sql(
+    "latest_per_key": sql(
         """SELECT * FROM changes QUALIFY row_number() OVER
            (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
         "changes",
@@ -326,7 +326,7 @@ ORACLE: dict[str, str] = {
            QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC) = 1""",
         "raw_comments",
     ),
-    "final_counts": sql(
+    "final_count": sql(
         """SELECT 'users' AS table_name, count(DISTINCT id) AS rows FROM raw_users UNION ALL
            SELECT 'posts', count(DISTINCT id) FROM raw_posts UNION ALL
            SELECT 'comments', count(DISTINCT id) FROM raw_comments""",
@@ -392,6 +392,17 @@ ORACLE: dict[str, str] = {
             FROM ({POST_MART}) ORDER BY total_comments DESC, post_id LIMIT 5""",
         *STAGED,
     ),
+    "validation_report": sql(
+        f"""SELECT 'raw' AS layer, 'users' AS table_name, count(*) AS rows FROM users UNION ALL
+            SELECT 'raw', 'posts', count(*) FROM posts UNION ALL
+            SELECT 'raw', 'comments', count(*) FROM comments UNION ALL
+            SELECT 'staging', 'stg_users', count(*) FROM stg_users UNION ALL
+            SELECT 'staging', 'stg_posts', count(*) FROM stg_posts UNION ALL
+            SELECT 'staging', 'stg_comments', count(*) FROM stg_comments UNION ALL
+            SELECT 'marts', 'mart_user_post_summary', count(*) FROM ({USER_MART}) UNION ALL
+            SELECT 'marts', 'mart_comment_statistics', count(*) FROM ({POST_MART})""",
+        *STAGED,
+    ),
     "publish_mart": sql(POST_MART, *STAGED),
     "sorted_layout": """
         SELECT count(*) AS rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,

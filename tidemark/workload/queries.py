@@ -15,18 +15,18 @@ from pyspark.sql import functions as F
 from tidemark import functions as fn
 from tidemark.operators import aggregates as agg
 from tidemark.operators import changes as chg
-from tidemark.operators import joins, quality, state, tables
-from tidemark.operators.latest import final, final_count, latest_per_key, latest_values
+from tidemark.operators import joins, latest, quality, state, tables
 from tidemark.operators.skew import heaviest_keys
 from tidemark.operators.upsert import upsert
 from tidemark.plans import marts, staging
 from tidemark.plans.ingest import ingest_entity, oltp_table
 from tidemark.plans.replicate import replicate
 from tidemark.plans.transforms import ENTITIES
+from tidemark.plans.validate import layer_counts, top_posts, top_users
 from tidemark.schemas import MARTS, PAYLOAD, WATERMARK
 from tidemark.session import materialise, new_run_dir
 from tidemark.sources.json_entities import is_json_array, parse_json
-from tidemark.sources.tables import Sources, newer_than, read_incremental
+from tidemark.sources.tables import newer_than, read_incremental
 from tidemark.streaming import (
     dedup_stream,
     file_stream,
@@ -43,11 +43,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(build: Callable[[Sources], DataFrame]) -> Query:
-    """Register ``build(sources)`` under its own name."""
+def query(build: Callable[[fx.Tables], DataFrame]) -> Query:
+    """Register ``build(tables)`` under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(fx.sources(spark, sf_dir))
+        return build(fx.Tables(spark, sf_dir))
 
     run.__name__ = build.__name__
     QUERIES[build.__name__] = run
@@ -57,7 +57,7 @@ def query(build: Callable[[Sources], DataFrame]) -> Query:
 # ---- sources ----------------------------------------------------------------------
 
 
-def _payload(src: Sources, entity: str) -> DataFrame:
+def _payload(src: fx.Tables, entity: str) -> DataFrame:
     """The fixture view of an entity as nested payload records."""
     if entity == "users":
         return fx.users(src).select(
@@ -85,7 +85,7 @@ def _payload(src: Sources, entity: str) -> DataFrame:
     )
 
 
-def _records(src: Sources, entity: str) -> DataFrame:
+def _records(src: fx.Tables, entity: str) -> DataFrame:
     """Payload records after a trip through JSON text."""
     text = _payload(src, entity).select(F.to_json(F.struct("*")).alias("payload"))
     return text.select(parse_json(F.col("payload"), PAYLOAD[entity]).alias("r")).select("r.*")
@@ -239,7 +239,7 @@ def defaults_fill(src):
 # ---- watermark state --------------------------------------------------------------
 
 
-def _state(src: Sources) -> DataFrame:
+def _state(src: fx.Tables) -> DataFrame:
     """One watermark row per event type."""
     return (
         src("events")
@@ -287,28 +287,28 @@ def watermark_state(src):
 
 
 @query
-def latest_per_user(src):
-    return latest_per_key(fx.changes(src), "user_id", "ts", [F.col("event_id").desc()])
+def latest_per_key(src):
+    return latest.latest_per_key(fx.changes(src), "user_id", "ts", [F.col("event_id").desc()])
 
 
 @query
 def latest_max_by(src):
-    return latest_values(fx.changes(src), "user_id", "ts", ["event_id", "event_type", "value"])
+    return latest.latest_values(fx.changes(src), "user_id", "ts", ["event_id", "event_type", "value"])
 
 
 @query
 def final_read(src):
-    return final(fx.raw_comments(src), "id", "ingested_at").drop("body")
+    return latest.final(fx.raw_comments(src), "id", "ingested_at").drop("body")
 
 
 @query
-def final_counts(src):
+def final_count(src):
     raw = {
         "users": fx.raw_users(src),
         "posts": fx.raw_posts(src),
         "comments": fx.raw_comments(src),
     }
-    counts = [fn.label(final_count(df, "id"), name) for name, df in raw.items()]
+    counts = [fn.label(latest.final_count(df, "id"), name) for name, df in raw.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
@@ -390,7 +390,7 @@ def stg_comments(src):
     return staging.stg_comments(fx.raw_comments(src))
 
 
-def _user_mart(src: Sources) -> DataFrame:
+def _user_mart(src: fx.Tables) -> DataFrame:
     return marts.mart_user_post_summary(
         staging.stg_users(fx.raw_users(src)),
         staging.stg_posts(fx.raw_posts(src)),
@@ -400,7 +400,7 @@ def _user_mart(src: Sources) -> DataFrame:
     )
 
 
-def _post_mart(src: Sources) -> DataFrame:
+def _post_mart(src: fx.Tables) -> DataFrame:
     return marts.mart_comment_statistics(
         staging.stg_posts(fx.raw_posts(src)),
         staging.stg_comments(fx.raw_comments(src)),
@@ -436,16 +436,31 @@ def mart_comment_statistics_rel(src):
 
 @query
 def topk_users(src):
-    return agg.top_k(_user_mart(src), "total_comments_received", "user_id").select(
-        "user_id", "username", "total_posts", "total_comments_received", "unique_commenters"
-    )
+    return top_users(_user_mart(src))
 
 
 @query
 def topk_posts(src):
-    return agg.top_k(_post_mart(src), "total_comments", "post_id").select(
-        "post_id", "author_username", "total_comments", "avg_comment_length"
-    )
+    return top_posts(_post_mart(src))
+
+
+@query
+def validation_report(src):
+    """Row counts of every layer, as the stage-by-stage check reports them."""
+    staged = {
+        "stg_users": staging.stg_users(fx.raw_users(src)),
+        "stg_posts": staging.stg_posts(fx.raw_posts(src)),
+        "stg_comments": staging.stg_comments(fx.raw_comments(src)),
+    }
+    layers = {
+        "raw": {"users": fx.users(src), "posts": fx.posts(src), "comments": fx.comments(src)},
+        "staging": staged,
+        "marts": {
+            "mart_user_post_summary": _user_mart(src),
+            "mart_comment_statistics": _post_mart(src),
+        },
+    }
+    return layer_counts(layers)
 
 
 @query
@@ -539,7 +554,7 @@ def dq_suite(src):
     return quality.run_suite(staged | built)
 
 
-def _reconciled(src: Sources) -> DataFrame:
+def _reconciled(src: fx.Tables) -> DataFrame:
     pairs = {
         "users": (fx.users(src), fx.raw_users(src)),
         "posts": (fx.posts(src), fx.raw_posts(src)),
@@ -567,7 +582,7 @@ def failing_checks(src):
 def expected_counts(src):
     keys = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
     counts = agg.table_counts({name: src(name) for name in keys})
-    distinct = [fn.label(final_count(src(name), key), name) for name, key in keys.items()]
+    distinct = [fn.label(latest.final_count(src(name), key), name) for name, key in keys.items()]
     expected = distinct[0].unionByName(distinct[1]).unionByName(distinct[2])
     return quality.assert_counts(counts, expected)
 
@@ -641,6 +656,7 @@ def mart_incremental(src):
     posts = staging.stg_posts(fx.raw_posts(src))
     users = staging.stg_users(fx.raw_users(src))
     hot_users = heaviest_keys(fx.raw_posts(src), "user_id")
+    hot_posts = heaviest_keys(raw, "post_id")
 
     arrived = staging.stg_comments(delta)
     old_mart = marts.mart_comment_statistics(posts, before, users, BUILT_AT, hot_users=hot_users)
@@ -650,7 +666,7 @@ def mart_incremental(src):
     def rebuild(affected: DataFrame) -> DataFrame:
         return marts.mart_comment_statistics(
             chg.only_keys(posts, affected, "post_id"),
-            chg.only_keys(staging.stg_comments(raw), affected, "post_id"),
+            chg.only_keys(staging.stg_comments(raw), affected, "post_id", hot_posts),
             users,
             BUILT_AT,
             hot_users=hot_users,
@@ -662,7 +678,7 @@ def mart_incremental(src):
 # ---- dated lake and distribution --------------------------------------------------
 
 
-def _dated_events(src: Sources) -> DataFrame:
+def _dated_events(src: fx.Tables) -> DataFrame:
     events = src("events")
     path = new_run_dir(src.spark, "dated")
     tables.write_by_date(events, "ts", path)
@@ -703,7 +719,7 @@ def distributed_join(src):
 # ---- streams ----------------------------------------------------------------------
 
 
-def _event_stream(src: Sources) -> DataFrame:
+def _event_stream(src: fx.Tables) -> DataFrame:
     """The events table as a stream of files, with a zoned event time."""
     folder, name = src.paths["events"].rsplit("/", 1)
     stream = file_stream(src.spark, folder, src("events").schema, glob=name)
