@@ -163,6 +163,16 @@ def test_a_write_that_never_committed_is_invisible(spark, tmp_path):
     assert rows_of(table.read()) == [(1, "a", T0)]
 
 
+def test_obsolete_paths(spark, tmp_path):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    table = SnapshotTable(spark, str(tmp_path / "t"), schema)
+    for i in range(3):
+        table.publish(spark.createDataFrame([(i, "a", T0)], SCHEMA))
+    old = table.obsolete_paths(keep=2).collect()
+    assert [r["version"] for r in old] == [1]
+    assert old[0]["path"] not in table._live()[1].values()
+
+
 def test_publish_may_read_the_table_itself(spark, tmp_path):
     schema = spark.createDataFrame([], SCHEMA).schema
     table = SnapshotTable(spark, str(tmp_path / "t"), schema)

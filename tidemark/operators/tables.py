@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -220,6 +220,21 @@ class SnapshotTable:
         return sum(touched.values())
 
 
+    def obsolete_paths(self, keep: int = 2) -> DataFrame:
+        """Data directories no longer part of the last ``keep`` versions of their bucket.
+
+        Deleting them is left to the storage (a lifecycle rule or a file tool), once no
+        reader of an old version is left.
+        """
+        newest = Window.partitionBy("bucket").orderBy(F.desc("version"))
+        return (
+            self._commits()
+            .withColumn("age", F.row_number().over(newest))
+            .filter((F.col("age") > keep) & (F.col("path") != ""))
+            .select("bucket", "version", "path")
+        )
+
+
 def compact_landing(
     df: DataFrame, key: str, version: str, table: SnapshotTable, files: int | None = None
 ) -> DataFrame:

@@ -11,12 +11,34 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import built_at as with_built_at
 from tidemark.functions import or_default, round2
 from tidemark.operators.aggregates import comment_metrics, comments_received, post_metrics
 from tidemark.operators.joins import left_metrics, lookup
-from tidemark.operators.skew import HotKeys, heaviest_keys
+from tidemark.operators.skew import HotKeys
+from tidemark.schemas import MARTS
+
+
+def _finish(
+    joined: DataFrame, name: str, dimensions: list[str], built_at: datetime | None
+) -> DataFrame:
+    """The declared columns in order, stamped.
+
+    Everything but the dimensions is a measure: zero where there was nothing to
+    measure, averages to two decimals.
+    """
+
+    def column(f: T.StructField):
+        c = F.col(f.name)
+        if f.name in dimensions:
+            return c
+        value = round2(c) if isinstance(f.dataType, T.DoubleType) else or_default(c)
+        return value.alias(f.name)
+
+    declared = [f for f in MARTS[name].fields if f.name != "built_at"]
+    return with_built_at(joined.select(*[column(f) for f in declared]), built_at)
 
 
 def mart_user_post_summary(
@@ -32,24 +54,11 @@ def mart_user_post_summary(
     users, so no measure is counted twice. Posts are used twice, but only the metrics
     branch reads their text; the join with the comments needs two narrow columns.
     """
-    received = comments_received(comments, posts, hot_posts)
-    joined = left_metrics(users, post_metrics(posts), "user_id")
-    joined = left_metrics(joined, received, "user_id")
-    mart = joined.select(
-        "user_id",
-        "username",
-        "full_name",
-        "email",
-        "company_name",
-        "city",
-        or_default(F.col("total_posts")).alias("total_posts"),
-        or_default(F.col("total_comments_received")).alias("total_comments_received"),
-        or_default(F.col("unique_commenters")).alias("unique_commenters"),
-        round2(F.col("avg_post_title_length")).alias("avg_post_title_length"),
-        round2(F.col("avg_post_body_length")).alias("avg_post_body_length"),
-        or_default(F.col("total_post_body_length")).alias("total_post_body_length"),
-    )
-    return with_built_at(mart, built_at)
+    profile = ["user_id", "username", "full_name", "email", "company_name", "city"]
+    summary = users.select(*profile)
+    for metrics in (post_metrics(posts), comments_received(comments, posts, hot_posts)):
+        summary = left_metrics(summary, metrics, "user_id")
+    return _finish(summary, "mart_user_post_summary", profile, built_at)
 
 
 def mart_comment_statistics(
@@ -65,20 +74,9 @@ def mart_comment_statistics(
     The metrics join needs no shuffle of its own: the posts are still partitioned by
     ``post_id`` from their de-duplication, and so are the aggregated comments.
     """
-    needed = posts.select("post_id", "user_id", "title")
-    measured = left_metrics(needed, comment_metrics(comments), "post_id")
+    subject = posts.select("post_id", "user_id", F.col("title").alias("post_title"))
+    measured = left_metrics(subject, comment_metrics(comments), "post_id")
     authors = users.select("user_id", F.col("username").alias("author_username"))
-    hot = heaviest_keys(posts, "user_id") if hot_users is None else hot_users
-    joined = lookup(measured, authors, "user_id", unmatched, spread=["post_id"], hot=hot)
-    mart = joined.select(
-        "post_id",
-        "user_id",
-        "author_username",
-        F.col("title").alias("post_title"),
-        or_default(F.col("total_comments")).alias("total_comments"),
-        or_default(F.col("unique_commenter_emails")).alias("unique_commenter_emails"),
-        round2(F.col("avg_comment_length")).alias("avg_comment_length"),
-        or_default(F.col("min_comment_length")).alias("min_comment_length"),
-        or_default(F.col("max_comment_length")).alias("max_comment_length"),
-    )
-    return with_built_at(mart, built_at)
+    named = lookup(measured, authors, "user_id", unmatched, spread=["post_id"], hot=hot_users)
+    dimensions = ["post_id", "user_id", "author_username", "post_title"]
+    return _finish(named, "mart_comment_statistics", dimensions, built_at)

@@ -132,33 +132,36 @@ def comment_metrics(comments: str) -> str:
         FROM {comments} GROUP BY post_id"""
 
 
+def zero(*columns: str) -> str:
+    return ", ".join(f"ifnull({c}, 0) AS {c}" for c in columns)
+
+
+def average(*columns: str) -> str:
+    return ", ".join(f"round_even(ifnull({c}, 0), 2) AS {c}" for c in columns)
+
+
 def user_mart(users: str, posts: str, comments: str) -> str:
     return f"""
-        SELECT u.user_id, u.username, u.full_name, u.email, u.company_name, u.city,
-               coalesce(pm.total_posts, 0) AS total_posts,
-               coalesce(cr.total_comments_received, 0) AS total_comments_received,
-               coalesce(cr.unique_commenters, 0) AS unique_commenters,
-               round_even(coalesce(pm.avg_post_title_length, 0), 2) AS avg_post_title_length,
-               round_even(coalesce(pm.avg_post_body_length, 0), 2) AS avg_post_body_length,
-               coalesce(pm.total_post_body_length, 0) AS total_post_body_length
-        FROM {users} u
-        LEFT JOIN ({post_metrics(posts)}) pm ON u.user_id = pm.user_id
-        LEFT JOIN ({comments_received(comments, posts)}) cr ON u.user_id = cr.user_id"""
+        SELECT user_id, username, full_name, email, company_name, city,
+               {zero("total_posts", "total_comments_received", "unique_commenters")},
+               {average("avg_post_title_length", "avg_post_body_length")},
+               {zero("total_post_body_length")}
+        FROM {users}
+        LEFT JOIN ({post_metrics(posts)}) AS written USING (user_id)
+        LEFT JOIN ({comments_received(comments, posts)}) AS received USING (user_id)"""
 
 
 def post_mart(posts: str, comments: str, users: str) -> str:
+    author = f"SELECT user_id AS author_id, username FROM {users}"
     return f"""
-        SELECT p.post_id, p.user_id,
-               CASE WHEN u.user_id IS NULL THEN '' ELSE u.username END AS author_username,
-               p.title AS post_title,
-               coalesce(cm.total_comments, 0) AS total_comments,
-               coalesce(cm.unique_commenter_emails, 0) AS unique_commenter_emails,
-               round_even(coalesce(cm.avg_comment_length, 0), 2) AS avg_comment_length,
-               coalesce(cm.min_comment_length, 0) AS min_comment_length,
-               coalesce(cm.max_comment_length, 0) AS max_comment_length
-        FROM {posts} p
-        LEFT JOIN ({comment_metrics(comments)}) cm ON p.post_id = cm.post_id
-        LEFT JOIN {users} u ON p.user_id = u.user_id"""
+        SELECT post_id, user_id,
+               CASE WHEN author_id IS NULL THEN '' ELSE username END AS author_username,
+               title AS post_title, {zero("total_comments", "unique_commenter_emails")},
+               {average("avg_comment_length")},
+               {zero("min_comment_length", "max_comment_length")}
+        FROM {posts}
+        LEFT JOIN ({comment_metrics(comments)}) AS measured USING (post_id)
+        LEFT JOIN ({author}) AS author ON author_id = user_id"""
 
 
 STAGED = ("stg_users", "stg_posts", "stg_comments")
