@@ -20,6 +20,13 @@ from tidemark.operators.state import EPOCH, get_watermark, open_state, set_water
 from tidemark.operators.tables import SnapshotTable, read_landing
 from tidemark.plans.elt import run_elt
 from tidemark.plans.ingest import ingest, ingest_entity, oltp_table
+from tidemark.plans.marts import mart_comment_statistics, mart_user_post_summary
+from tidemark.plans.refresh import (
+    authors_touched_by,
+    posts_touched_by,
+    refresh_comment_statistics,
+    refresh_user_post_summary,
+)
 from tidemark.plans.replicate import replicate
 from tidemark.plans.transforms import ENTITIES, select_entities
 from tidemark.plans.validate import register_views, validation
@@ -240,6 +247,43 @@ def test_refresh_mart_when_a_comment_moves(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, mart(new).collect()))
 
 
+def test_refresh_both_marts_when_comments_and_posts_move(spark):
+    users = spark.createDataFrame(
+        [(u, f"u{u}", "", "", "", "") for u in range(5)],
+        "user_id long, username string, full_name string, email string, company_name string, city string",
+    )
+    post_schema = "post_id long, user_id long, title string, title_length long, body_length long"
+    old_posts = spark.createDataFrame([(p, p % 4, "t", 1, p) for p in range(8)], post_schema)
+    delta_posts = spark.createDataFrame([(1, 4, "t", 1, 100), (9, 0, "t", 1, 1)], post_schema)
+    posts = spark.createDataFrame(
+        [(p, p % 4, "t", 1, p) for p in range(8) if p != 1] + [(1, 4, "t", 1, 100), (9, 0, "t", 1, 1)], post_schema
+    )
+    schema = "comment_id long, post_id long, commenter_email string, body_length long"
+    old = [(c, c % 8, f"e{c % 3}", c) for c in range(30)]
+    moved = [(3, 9, "new", 7), (50, 6, "e0", 1)]
+    old_comments = spark.createDataFrame(old, schema)
+    delta = spark.createDataFrame(moved, schema)
+    comments = spark.createDataFrame([r for r in old if r[0] != 3] + moved, schema)
+    now = datetime(2024, 1, 1)
+
+    touched = posts_touched_by(delta, old_comments, delta_posts)
+    assert sorted(r[0] for r in touched.collect()) == [1, 3, 6, 9]
+    authors = authors_touched_by(touched, posts, old_posts)
+    assert sorted(r[0] for r in authors.collect()) == [0, 1, 2, 3, 4]
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    got = refresh_comment_statistics(
+        mart_comment_statistics(old_posts, old_comments, users, now), touched, posts, comments, users, now
+    )
+    assert rows(got) == rows(mart_comment_statistics(posts, comments, users, now))
+    got = refresh_user_post_summary(
+        mart_user_post_summary(users, old_posts, old_comments, now), authors, users, posts, comments, now
+    )
+    assert rows(got) == rows(mart_user_post_summary(users, posts, comments, now))
+
+
 # ---- the whole run ----------------------------------------------------------------
 
 

@@ -61,7 +61,7 @@ def set_watermark(
         timestamp_literal(value).alias("last_ingested_at"),
         stamp.alias("updated_at"),
     )
-    state.publish(upsert(state.read(), row, "table_name"))
+    state.update(lambda current: upsert(current, row, "table_name"))
 
 
 def open_state(spark: SparkSession, path: str, tables: list[str]) -> SnapshotTable:

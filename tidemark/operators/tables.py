@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -190,11 +190,20 @@ class SnapshotTable:
         self, df: DataFrame, sort_key: str | None = None, files: int | None = None
     ) -> int:
         """Replace the whole table."""
-        version = self._live()[0] + 1
+        return self._replace(self._live()[0], df, sort_key, files)
+
+    def update(self, change: Callable[[DataFrame], DataFrame]) -> int:
+        """Replace the whole table by ``change(current rows)``."""
+        version, live = self._live()
+        return self._replace(version, change(self._read_paths([live[b] for b in sorted(live)])))
+
+    def _replace(
+        self, version: int, df: DataFrame, sort_key: str | None = None, files: int | None = None
+    ) -> int:
         data = self._write(df, sort_key, files)
         paths = self._paths(data, self._buckets_in(data))
-        self._commit(version, {b: paths.get(b, "") for b in range(self.buckets)})
-        return version
+        self._commit(version + 1, {b: paths.get(b, "") for b in range(self.buckets)})
+        return version + 1
 
     def upsert(self, batch: DataFrame, **options) -> int:
         """Insert or replace by key; returns the number of rows of the batch.

@@ -470,6 +470,7 @@ ORACLE: dict[str, str] = {
                 (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     ),
     "mart_incremental": sql(POST_MART, *STAGED),
+    "mart_user_incremental": sql(USER_MART, *STAGED),
     # dated lake and distribution
     "partition_prune": """
         SELECT * FROM events

@@ -18,7 +18,7 @@ from tidemark.operators import changes as chg
 from tidemark.operators import joins, latest, quality, state, tables
 from tidemark.operators.skew import heaviest_keys
 from tidemark.operators.upsert import upsert
-from tidemark.plans import marts, staging
+from tidemark.plans import marts, refresh, staging
 from tidemark.plans.ingest import ingest_entity, oltp_table
 from tidemark.plans.replicate import replicate
 from tidemark.plans.transforms import ENTITIES
@@ -646,33 +646,45 @@ def cdc_apply(src):
     )
 
 
+def _assistant_delta(src: fx.Tables):
+    """Staged comments before and after the assistant turns arrive, and those turns."""
+    raw = fx.raw_comments(src)
+    is_delta = (F.col("batch_seq") == 2) & (F.col("name") == "assistant")
+    before, arrived = raw.filter(~is_delta), raw.filter(is_delta)
+    return tuple(staging.stg_comments(df) for df in (before, raw, arrived))
+
+
 @query
 def mart_incremental(src):
     """Post mart after the assistant turns arrive, recomputing the posts they touch."""
-    raw = fx.raw_comments(src)
-    is_delta = (F.col("batch_seq") == 2) & (F.col("name") == "assistant")
-    delta = raw.filter(is_delta)
-    before = staging.stg_comments(raw.filter(~is_delta))
+    before, after, arrived = _assistant_delta(src)
     posts = staging.stg_posts(fx.raw_posts(src))
     users = staging.stg_users(fx.raw_users(src))
     hot_users = heaviest_keys(fx.raw_posts(src), "user_id")
-    hot_posts = heaviest_keys(raw, "post_id")
+    hot_posts = heaviest_keys(fx.raw_comments(src), "post_id")
 
-    arrived = staging.stg_comments(delta)
     old_mart = marts.mart_comment_statistics(posts, before, users, BUILT_AT, hot_users=hot_users)
-    keys = chg.affected_keys("post_id", arrived, chg.replaced_by(before, arrived, "comment_id"))
-    keys = materialise(keys, "affected-posts")
-
-    def rebuild(affected: DataFrame) -> DataFrame:
-        return marts.mart_comment_statistics(
-            chg.only_keys(posts, affected, "post_id"),
-            chg.only_keys(staging.stg_comments(raw), affected, "post_id", hot_posts),
-            users,
-            BUILT_AT,
-            hot_users=hot_users,
-        )
+    touched = materialise(refresh.posts_touched_by(arrived, before), "touched-posts")
+    return refresh.refresh_comment_statistics(
+        old_mart, touched, posts, after, users, BUILT_AT, hot_posts, hot_users
+    ).drop("built_at")
 
-    return chg.refresh_mart(old_mart, keys, "post_id", rebuild).drop("built_at")
+
+@query
+def mart_user_incremental(src):
+    """User mart after the assistant turns arrive, recomputing the authors behind them."""
+    before, after, arrived = _assistant_delta(src)
+    posts = staging.stg_posts(fx.raw_posts(src))
+    users = staging.stg_users(fx.raw_users(src))
+    hot_users = heaviest_keys(fx.raw_posts(src), "user_id")
+    hot_posts = heaviest_keys(fx.raw_comments(src), "post_id")
+
+    old_mart = marts.mart_user_post_summary(users, posts, before, BUILT_AT, hot_posts)
+    touched_posts = refresh.posts_touched_by(arrived, before)
+    touched = materialise(refresh.authors_touched_by(touched_posts, posts), "touched-users")
+    return refresh.refresh_user_post_summary(
+        old_mart, touched, users, posts, after, BUILT_AT, hot_posts, hot_users
+    ).drop("built_at")
 
 
 # ---- dated lake and distribution --------------------------------------------------
