@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -19,6 +20,9 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false",
+            # Tiny inputs: generating and compiling code would take most of the time.
+            "spark.sql.codegen.wholeStage": os.environ.get("TEST_CODEGEN", "false"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

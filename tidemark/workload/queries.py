@@ -38,6 +38,7 @@ from tidemark.workload import fixtures as fx
 
 BATCH_TS = datetime(2024, 2, 1)
 BUILT_AT = datetime(2024, 2, 2)
+FILES_PER_BATCH = 10_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +55,11 @@ def query(build: Callable[[fx.Tables], DataFrame]) -> Query:
     return run
 
 
+def _parallelism(spark: SparkSession) -> int:
+    """Buckets and hash partitions follow the session, as shuffles do."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 # ---- sources ----------------------------------------------------------------------
 
 
@@ -131,7 +137,7 @@ def ingest_users(src):
     spark, spec = src.spark, ENTITIES["users"]
     payloads = new_run_dir(spark, "payload-users")
     _payload(src, "users").write.json(payloads)
-    table = oltp_table(spark, new_run_dir(spark, "oltp"), spec, buckets=4)
+    table = oltp_table(spark, new_run_dir(spark, "oltp"), spec, _parallelism(spark))
     # Twice: the second run replaces every row with itself.
     for _ in range(2):
         ingest_entity(spark, spec, payloads, table, BATCH_TS, lines=True)
@@ -480,7 +486,7 @@ def sorted_layout(src):
     spark = src.spark
     path = new_run_dir(spark, "sorted")
     orders = src("orders").select("o_orderkey", "o_custkey")
-    tables.sorted_layout(orders, "o_orderkey", files=8).write.parquet(path)
+    tables.sorted_layout(orders, "o_orderkey").write.parquet(path)
     files = (
         spark.read.schema(orders.schema)
         .parquet(path)
@@ -491,7 +497,7 @@ def sorted_layout(src):
             F.count(F.lit(1)).alias("n"),
         )
     )
-    # One row per written file, eight in all, so an unpartitioned window is harmless.
+    # One row per written file from here on, so an unpartitioned window is harmless.
     following = F.lead("lo").over(Window.orderBy("lo", "hi"))
     overlaps = F.coalesce(following <= F.col("hi"), F.lit(False))
     return files.withColumn("overlaps", overlaps).agg(
@@ -613,7 +619,8 @@ def upsert_buckets(src):
     suppliers = src("supplier").select(
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")
     )
-    table = tables.SnapshotTable(spark, new_run_dir(spark, "buckets"), target.schema, "id", 8)
+    path, n = new_run_dir(spark, "buckets"), _parallelism(spark)
+    table = tables.SnapshotTable(spark, path, target.schema, "id", n)
     table.publish(target)
     table.upsert(suppliers.unionByName(suppliers.withColumn("id", -F.col("id") - 1)))
     return table.read()
@@ -714,7 +721,7 @@ def ttl_filter(src):
 @query
 def distributed_join(src):
     """Both sides hash-distributed once; the join and the aggregation add no shuffle."""
-    n = int(src.spark.conf.get("spark.sql.shuffle.partitions"))
+    n = _parallelism(src.spark)
     orders = tables.distribute(src("orders").select("o_orderkey", "o_custkey"), "o_orderkey", n)
     lines = tables.distribute(
         src("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"),
@@ -734,7 +741,7 @@ def distributed_join(src):
 def _event_stream(src: fx.Tables) -> DataFrame:
     """The events table as a stream of files, with a zoned event time."""
     folder, name = src.paths["events"].rsplit("/", 1)
-    stream = file_stream(src.spark, folder, src("events").schema, glob=name)
+    stream = file_stream(src.spark, folder, src("events").schema, FILES_PER_BATCH, name)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -771,6 +778,7 @@ def stream_upsert(src):
     spark = src.spark
     root = new_run_dir(spark, "stream-upsert")
     log = _event_stream(src).select("user_id", "event_id", "event_type", "value", "ts")
-    table = tables.SnapshotTable(spark, f"{root}/table", log.schema, "user_id", buckets=4)
+    n = _parallelism(spark)
+    table = tables.SnapshotTable(spark, f"{root}/table", log.schema, "user_id", n)
     _finish(upsert_stream(log, table, f"{root}/checkpoint", "ts", ["event_id"]))
     return table.read()
