@@ -9,6 +9,7 @@ from tidemark.operators import quality, tables
 from tidemark.operators.aggregates import table_counts
 from tidemark.operators.latest import latest_per_key
 from tidemark.streaming import (
+    ORIGIN,
     dedup_stream,
     file_stream,
     replicate_stream,
@@ -227,6 +228,18 @@ def test_dedup_stream_keeps_the_first_copy_across_micro_batches(spark, tmp_path)
         add_file(spark, src, (3, 2, "c"), (4, 3, "d"))
 
 
+def test_dedup_stream_with_one_event_in_many_copies(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
+    for part in range(3):
+        add_file(spark, src, *[(7, 0, "hot")] * 50, *[(100 * part + i, 1, "x") for i in range(20)])
+    stream = file_stream(spark, src, SCHEMA, files_per_batch=2, with_origin=True)
+    once = dedup_stream(stream, "id", "ts", "1 hour", spread=ORIGIN, salts=4)
+    assert once.columns == SCHEMA.names
+    write_stream(once, out, ckpt).awaitTermination()
+    got = sorted(r["id"] for r in spark.read.parquet(out).collect())
+    assert got == sorted({7} | {100 * part + i for part in range(3) for i in range(20)})
+
+
 def test_upsert_stream_never_goes_back(spark, tmp_path):
     src, ckpt = str(tmp_path / "src"), str(tmp_path / "ckpt")
     table = tables.SnapshotTable(spark, str(tmp_path / "t"), SCHEMA, "id", buckets=2)

@@ -25,7 +25,7 @@ def require_uint32(df: DataFrame, *columns: str) -> DataFrame:
     reaches the Parquet reader.
     """
     in_range = reduce(Column.__and__, [in_uint32(F.col(name)) for name in columns])
-    shown = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
+    shown = F.concat_ws(", ", *[F.col(name).cast("string") for name in columns])
     failure = F.raise_error(F.concat(F.lit("outside unsigned 32-bit range: "), shown))
     return df.filter(F.when(in_range, F.lit(True)).otherwise(failure.cast("boolean")))
 

@@ -1,6 +1,7 @@
 """Structured Streaming forms of replication, de-duplication and upsert."""
 
 from tidemark.streaming.jobs import (
+    ORIGIN,
     dedup_stream,
     file_stream,
     replicate_stream,
@@ -9,6 +10,7 @@ from tidemark.streaming.jobs import (
 )
 
 __all__ = [
+    "ORIGIN",
     "dedup_stream",
     "file_stream",
     "replicate_stream",

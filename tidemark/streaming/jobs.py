@@ -18,23 +18,33 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.tables import SnapshotTable, append_landing
 
 
+ORIGIN = "__origin"
+_SALT = "__salt"
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     files_per_batch: int | None = None,
     glob: str | None = None,
+    with_origin: bool = False,
 ) -> DataFrame:
     """New Parquet files of a folder as a stream.
 
     ``files_per_batch`` bounds a micro-batch, and with it the memory a backlog needs.
+    ``with_origin`` adds ``__origin``, a hash of the file split a row came from.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(path)
+    stream = reader.parquet(path)
+    if with_origin:
+        split = F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
+        stream = stream.withColumn(ORIGIN, split)
+    return stream
 
 
 def replicate_stream(
@@ -62,17 +72,28 @@ def replicate_stream(
     )
 
 
-def dedup_stream(sdf: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
+def dedup_stream(
+    sdf: DataFrame, key: str, ts: str, delay: str, spread: str | None = None, salts: int = 256
+) -> DataFrame:
     """Drop re-sent copies of an event while the stream runs.
 
     Keeps the first copy, so it fits exact re-sends; for changed rows use
     ``latest_per_key`` on read. The state holds keys seen within ``delay`` only: copies
     further apart both pass, and events later than ``delay`` are dropped by the
     watermark, so choose it above the lateness the source can show.
+
+    All copies of a key meet in one task. When one event may be re-sent very often, name
+    a ``spread`` column that differs between its copies but not between two runs of a
+    task, such as ``__origin`` of a file stream or the partition number of a log. Copies
+    are then reduced to one per salt first. The column is dropped.
     """
     if isinstance(sdf.schema[ts].dataType, T.TimestampNTZType):
         sdf = sdf.withColumn(ts, F.col(ts).cast("timestamp"))
-    return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    seen = sdf.withWatermark(ts, delay)
+    if spread:
+        salted = seen.withColumn(_SALT, F.pmod(F.xxhash64(spread), F.lit(salts)))
+        seen = salted.dropDuplicatesWithinWatermark([key, _SALT]).drop(_SALT, spread)
+    return seen.dropDuplicatesWithinWatermark([key])
 
 
 def write_stream(sdf: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

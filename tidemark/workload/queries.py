@@ -28,6 +28,7 @@ from tidemark.session import materialise, new_run_dir
 from tidemark.sources.json_entities import is_json_array, parse_json
 from tidemark.sources.tables import newer_than, read_incremental
 from tidemark.streaming import (
+    ORIGIN,
     dedup_stream,
     file_stream,
     replicate_stream,
@@ -80,7 +81,9 @@ def _payload(src: fx.Tables, entity: str) -> DataFrame:
                 F.struct(
                     F.col("lat").cast("string").alias("lat"),
                     # Negative coordinates arrive as empty text.
-                    F.when(F.col("lng") < 0, "").otherwise(F.col("lng").cast("string")).alias("lng"),
+                    F.when(F.col("lng") < 0, "")
+                    .otherwise(F.col("lng").cast("string"))
+                    .alias("lng"),
                 ).alias("geo"),
             ).alias("address"),
         )
@@ -107,9 +110,8 @@ def src_json_props(src):
 
 @query
 def payload_shape(src):
-    wrapped = F.when(
-        F.col("event_type").isin("click", "view"), F.concat(F.lit(" ["), "props", F.lit("]"))
-    ).otherwise(F.col("props"))
+    array = F.concat(F.lit(" ["), "props", F.lit("]"))
+    wrapped = F.when(F.col("event_type").isin("click", "view"), array).otherwise(F.col("props"))
     return (
         src("events")
         .select(is_json_array(wrapped).alias("is_array"))
@@ -596,33 +598,32 @@ def expected_counts(src):
 # ---- writes -----------------------------------------------------------------------
 
 
+def _balances(df: DataFrame, prefix: str, key: str) -> DataFrame:
+    names = {key: "id", f"{prefix}_name": "name", f"{prefix}_acctbal": "balance"}
+    return fn.rename_select(df, names)
+
+
+def _upsert_batch(src: fx.Tables) -> DataFrame:
+    """Low keys replace customers; the same suppliers under negative keys are new."""
+    suppliers = _balances(src("supplier"), "s", "s_suppkey")
+    return suppliers.unionByName(suppliers.withColumn("id", -F.col("id") - 1))
+
+
 @query
 def upsert_replace(src):
-    target = src("customer").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")
-    )
-    suppliers = src("supplier").select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")
-    )
-    # Low keys replace customers; the same suppliers under negative keys are new.
-    new = suppliers.withColumn("id", -F.col("id") - 1)
-    return upsert(target, suppliers.unionByName(new), "id")
+    target = _balances(src("customer"), "c", "c_custkey")
+    return upsert(target, _upsert_batch(src), "id")
 
 
 @query
 def upsert_buckets(src):
     """The same upsert into a written, bucketed table: only touched buckets are rewritten."""
     spark = src.spark
-    target = src("customer").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")
-    )
-    suppliers = src("supplier").select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")
-    )
+    target = _balances(src("customer"), "c", "c_custkey")
     path, n = new_run_dir(spark, "buckets"), _parallelism(spark)
     table = tables.SnapshotTable(spark, path, target.schema, "id", n)
     table.publish(target)
-    table.upsert(suppliers.unionByName(suppliers.withColumn("id", -F.col("id") - 1)))
+    table.upsert(_upsert_batch(src))
     return table.read()
 
 
@@ -738,10 +739,11 @@ def distributed_join(src):
 # ---- streams ----------------------------------------------------------------------
 
 
-def _event_stream(src: fx.Tables) -> DataFrame:
+def _event_stream(src: fx.Tables, with_origin: bool = False) -> DataFrame:
     """The events table as a stream of files, with a zoned event time."""
     folder, name = src.paths["events"].rsplit("/", 1)
-    stream = file_stream(src.spark, folder, src("events").schema, FILES_PER_BATCH, name)
+    schema = src("events").schema
+    stream = file_stream(src.spark, folder, schema, FILES_PER_BATCH, name, with_origin)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -767,8 +769,9 @@ def stream_replicate(src):
 def stream_dedup(src):
     spark = src.spark
     root = new_run_dir(spark, "stream-dedup")
-    resent = _event_stream(src).union(_event_stream(src))
-    once = dedup_stream(resent, "event_id", "ts", "40 days")
+    sent = _event_stream(src, with_origin=True)
+    resent = sent.union(_event_stream(src, with_origin=True))
+    once = dedup_stream(resent, "event_id", "ts", "40 days", spread=ORIGIN)
     _finish(write_stream(once, f"{root}/out", f"{root}/checkpoint"))
     return spark.read.schema(once.schema).parquet(f"{root}/out")
 
