@@ -16,8 +16,8 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from tidemark.operators.quality import fail_if_any, run_suite
-from tidemark.plans.elt import build_models, read_models, replicate_all, run_elt
+from tidemark.operators.quality import fail_if_any
+from tidemark.plans.elt import build_models, check_models, replicate_all, run_elt
 from tidemark.plans.ingest import ingest
 from tidemark.plans.transforms import ENTITIES
 from tidemark.plans.validate import validation
@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "build":
         build_models(spark, args.root, now)
     elif args.step == "test":
-        fail_if_any(run_suite(read_models(spark, args.root)), "data tests")
+        fail_if_any(check_models(spark, args.root), "data tests")
     elif args.step == "run":
         report = run_elt(spark, paths, args.root, now, args.lines, args.buckets)
         report.suite.show(50, truncate=False)

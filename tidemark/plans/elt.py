@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.operators.quality import fail_if_any, run_suite
 from tidemark.operators.skew import heaviest_keys
@@ -19,11 +20,17 @@ from tidemark.plans.staging import stg_comments, stg_posts, stg_users
 from tidemark.plans.transforms import ENTITIES, select_entities
 from tidemark.schemas import MARTS, STAGING
 
-# Fixed: model, builder and sort key.
+# Fixed: model, entity and builder.
 STAGING_MODELS = {
-    "stg_users": ("users", stg_users, "user_id"),
-    "stg_posts": ("posts", stg_posts, "post_id"),
-    "stg_comments": ("comments", stg_comments, "comment_id"),
+    "stg_users": ("users", stg_users),
+    "stg_posts": ("posts", stg_posts),
+    "stg_comments": ("comments", stg_comments),
+}
+# Staging columns that the marts and the data tests use.
+MART_INPUTS = {
+    "stg_users": ("user_id", "username", "full_name", "email", "company_name", "city"),
+    "stg_posts": ("post_id", "user_id", "title", "title_length", "body_length"),
+    "stg_comments": ("comment_id", "post_id", "commenter_email", "body_length"),
 }
 MART_KEYS = {"mart_user_post_summary": "user_id", "mart_comment_statistics": "post_id"}
 
@@ -75,31 +82,52 @@ def raw_versions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def _model_table(spark: SparkSession, root: str, name: str) -> SnapshotTable:
-    if name in STAGING:
-        return SnapshotTable(spark, f"{root}/staging/{name}", STAGING[name])
+def staging_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The staging models, recomputed on read, texts included."""
+    raw = raw_versions(spark, root)
+    return {name: build(raw[entity]) for name, (entity, build) in STAGING_MODELS.items()}
+
+
+def _inputs_table(spark: SparkSession, root: str, name: str) -> SnapshotTable:
+    schema = T.StructType([STAGING[name][c] for c in MART_INPUTS[name]])
+    return SnapshotTable(spark, f"{root}/staging/{name}", schema)
+
+
+def mart_inputs(spark: SparkSession, root: str, written: bool = True) -> dict[str, DataFrame]:
+    """The staging columns that marts and tests use: as last written, or as views."""
+    inputs = {}
+    for name, view in staging_views(spark, root).items():
+        table = _inputs_table(spark, root, name)
+        inputs[name] = table.read() if written and table.exists() else view
+    return inputs
+
+
+def _mart_table(spark: SparkSession, root: str, name: str) -> SnapshotTable:
     return SnapshotTable(spark, f"{root}/marts/{name}", MARTS[name])
 
 
+def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {name: _mart_table(spark, root, name).read() for name in MART_KEYS}
+
+
 def build_models(
     spark: SparkSession, root: str, built_at: datetime, materialise_staging: bool = True
 ) -> dict[str, DataFrame]:
-    """Build staging and publish both marts.
+    """Publish both marts, sorted by their keys.
 
-    Staging feeds both marts and most tests. Written once (the default) it is
-    de-duplicated once and stored sorted by key; as plain views every consumer repeats
-    the de-duplication.
+    Staging feeds both marts and most tests. By default the columns those need are
+    written once, so that the landing tables are scanned and de-duplicated once per run;
+    bodies are measured on the way and neither shuffled nor copied. Without it every
+    consumer repeats the de-duplication.
     """
     raw = raw_versions(spark, root)
-    models = {}
-    for name, (entity, build, key) in STAGING_MODELS.items():
-        models[name] = build(raw[entity])
-        if materialise_staging:
-            table = _model_table(spark, root, name)
-            table.publish(models[name], sort_key=key)
-            models[name] = table.read()
-
-    users, posts, comments = (models[name] for name in STAGING_MODELS)
+    inputs = staging_views(spark, root)
+    if materialise_staging:
+        for name in inputs:
+            _inputs_table(spark, root, name).publish(inputs[name])
+        inputs = mart_inputs(spark, root)
+
+    users, posts, comments = (inputs[name] for name in STAGING_MODELS)
     marts = {
         "mart_user_post_summary": mart_user_post_summary(
             users, posts, comments, built_at, heaviest_keys(raw["comments"], "post_id")
@@ -109,22 +137,18 @@ def build_models(
         ),
     }
     for name, mart in marts.items():
-        table = _model_table(spark, root, name)
-        table.publish(mart, sort_key=MART_KEYS[name])
-        models[name] = table.read()
-    return models
+        _mart_table(spark, root, name).publish(mart, sort_key=MART_KEYS[name])
+    return read_models(spark, root)
 
 
 def read_models(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Staging and marts as last built; staging that was not written is a view."""
-    raw = raw_versions(spark, root)
-    models = {}
-    for name, (entity, build, _) in STAGING_MODELS.items():
-        table = _model_table(spark, root, name)
-        models[name] = table.read() if table.exists() else build(raw[entity])
-    for name in MART_KEYS:
-        models[name] = _model_table(spark, root, name).read()
-    return models
+    """Staging views and the marts as last built."""
+    return staging_views(spark, root) | read_marts(spark, root)
+
+
+def check_models(spark: SparkSession, root: str, written: bool = True) -> DataFrame:
+    """Results of the data tests on the models as last built."""
+    return run_suite(mart_inputs(spark, root, written) | read_marts(spark, root))
 
 
 def run_elt(
@@ -148,6 +172,6 @@ def run_elt(
     )
     replicated, reconciliation = replicate_all(spark, root, now, buckets=buckets)
     models = build_models(spark, root, now, materialise_staging)
-    suite = run_suite(models)
+    suite = check_models(spark, root, materialise_staging)
     fail_if_any(suite, "data tests")
     return RunReport(ingested, replicated, reconciliation, models, suite)

@@ -10,7 +10,7 @@ from tidemark.functions import label
 from tidemark.operators.aggregates import table_counts, top_k
 from tidemark.operators.latest import final
 from tidemark.operators.state import open_state
-from tidemark.plans.elt import raw_versions, read_models
+from tidemark.plans.elt import mart_inputs, raw_versions, read_marts, read_models
 from tidemark.plans.ingest import oltp_table
 from tidemark.plans.transforms import ENTITIES
 
@@ -40,19 +40,19 @@ def validation(spark: SparkSession, root: str, buckets: int = 1) -> dict[str, Da
     oltp = {n: oltp_table(spark, root, s, buckets).read() for n, s in ENTITIES.items()}
     raw = raw_versions(spark, root)
     landing = {n: final(raw[n], s.key, s.version) for n, s in ENTITIES.items()}
-    models = read_models(spark, root)
+    marts = read_marts(spark, root)
     layers = {
         "oltp": oltp,
         "landing": landing,
-        "staging": {n: df for n, df in models.items() if n.startswith("stg_")},
-        "marts": {n: df for n, df in models.items() if n.startswith("mart_")},
+        "staging": mart_inputs(spark, root),
+        "marts": marts,
     }
     state = open_state(spark, f"{root}/raw/sync_watermark", list(ENTITIES))
     return {
         "counts": layer_counts(layers),
         "watermarks": state.read().orderBy("table_name"),
-        "top_users": top_users(models["mart_user_post_summary"]),
-        "top_posts": top_posts(models["mart_comment_statistics"]),
+        "top_users": top_users(marts["mart_user_post_summary"]),
+        "top_posts": top_posts(marts["mart_comment_statistics"]),
     }
 
 
