@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.latest import final_count, latest_per_key, latest_values
 from tidemark.operators.tables import SnapshotTable
-from tidemark.operators.upsert import insert_ignore, upsert
+from tidemark.operators.upsert import insert_ignore, merge_partitioned, upsert
 
 T0 = datetime(2024, 1, 1)
 
@@ -147,6 +147,29 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     assert table.read().filter("id = 5").first()["body"] == "new"
 
 
+def test_merge_partitioned_equals_upsert(spark):
+    rng = random.Random(9)
+    rows = [(k, rng.choice(["a", "b", None]), T0 + timedelta(minutes=rng.randrange(3))) for k in range(40)]
+    target = spark.createDataFrame(rows, SCHEMA)
+    batch = spark.createDataFrame(
+        [(rng.randrange(20, 60), rng.choice(["a", "b", None]), T0 + timedelta(minutes=rng.randrange(3))) for _ in range(60)],
+        SCHEMA,
+    )
+    bucket = F.pmod(F.xxhash64("id"), F.lit(5)).cast("int")
+    for options in (
+        {"version": "ingested_at"},
+        {"version": "ingested_at", "touch_unchanged": False},
+        {"version": "ingested_at", "newest_wins": True},
+    ):
+        merged = merge_partitioned(
+            target.withColumn("p", bucket), batch.withColumn("p", bucket), "id", "p", 5, **options
+        )
+        assert rows_of(merged.drop("p")) == rows_of(upsert(target, batch, "id", **options)), options
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("shufflepartitionidpassthrough") == 1
+        assert plan.count("Exchange") == 2  # the other one reduces the batch to one row per key
+
+
 def test_publish_replaces_every_bucket(spark, tmp_path):
     schema = spark.createDataFrame([], SCHEMA).schema
     table = SnapshotTable(spark, str(tmp_path / "t"), schema, "id", 8)

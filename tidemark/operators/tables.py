@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import timestamp_literal
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.upsert import upsert
+from tidemark.operators.upsert import merge_partitioned, upsert
 from tidemark.schemas import BATCH_SEQ, with_batch_seq
 
 BUCKET = "__bucket"
@@ -152,12 +152,15 @@ class SnapshotTable:
                 rows = sorted_layout(rows, sort_key, files)
             rows.write.parquet(data)
         else:
-            # Rebalancing groups the rows by bucket and lets AQE split an oversized one.
-            grouped = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
-            inner = [BUCKET, sort_key or self.key]
-            grouped.sortWithinPartitions(*inner).write.partitionBy(BUCKET).parquet(data)
+            placed = rows.withColumn(BUCKET, self._bucket()).repartitionById(
+                self.buckets, F.col(BUCKET)
+            )
+            self._write_buckets(placed.sortWithinPartitions(BUCKET, sort_key or self.key), data)
         return data
 
+    def _write_buckets(self, placed: DataFrame, data: str) -> None:
+        placed.write.partitionBy(BUCKET).parquet(data)
+
     def _paths(self, data: str, buckets: Sequence[int]) -> dict[int, str]:
         if self.buckets == 1:
             return {0: data}
@@ -223,8 +226,13 @@ class SnapshotTable:
         if touched:
             version, live = self._live()
             stored = self._read_paths([live[b] for b in sorted(touched) if b in live])
-            merged = upsert(stored, staged, self.key, **options)
-            data = self._write(merged, None, None)
+            if self.buckets == 1:
+                data = self._write(upsert(stored, staged, self.key, **options), None, None)
+            else:
+                data = f"{self.path}/data/{uuid.uuid4().hex}"
+                numbered = (df.withColumn(BUCKET, self._bucket()) for df in (stored, staged))
+                merged = merge_partitioned(*numbered, self.key, BUCKET, self.buckets, **options)
+                self._write_buckets(merged, data)
             self._commit(version + 1, self._paths(data, list(touched)))
         return sum(touched.values())
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import default_tiebreak, latest_per_key
 
 _SEEN = "__rows_of_key"
+_INCOMING = "__incoming"
 
 
-def _one_row_per_key(
+def one_row_per_key(
     batch: DataFrame,
     key: str,
     version: str | None,
@@ -79,7 +80,7 @@ def upsert(
     Applying the same batch twice gives the same table as applying it once.
     """
     columns = target.columns
-    rows = _one_row_per_key(batch, key, version, tiebreak, on_duplicate).select(*columns)
+    rows = one_row_per_key(batch, key, version, tiebreak, on_duplicate).select(*columns)
     if newest_wins:
         if version is None:
             raise ValueError("newest_wins needs a version column")
@@ -90,6 +91,53 @@ def upsert(
     return kept.unionByName(rows)
 
 
+def merge_partitioned(
+    target: DataFrame,
+    batch: DataFrame,
+    key: str,
+    partition: str,
+    partitions: int,
+    version: str | None = None,
+    tiebreak: Sequence[Column] | None = None,
+    on_duplicate: str = "latest",
+    touch_unchanged: bool = True,
+    stamp: str = "ingested_at",
+    newest_wins: bool = False,
+) -> DataFrame:
+    """:func:`upsert` for tables stored by partition number, in one shuffle.
+
+    Both frames carry ``partition``, a number below ``partitions`` derived from the key.
+    Stored and incoming rows are sent straight to the task of that number and compared
+    there, two rows per key at most; the result is left partitioned and sorted for
+    writing. An anti join would shuffle the stored rows by key first and by partition
+    afterwards.
+    """
+    columns = [c for c in target.columns if c != partition]
+    if tiebreak is None:
+        tiebreak = default_tiebreak(batch.drop(partition), key, version or key)
+    rows = one_row_per_key(batch, key, version, tiebreak, on_duplicate).select(target.columns)
+    both = rows.withColumn(_INCOMING, F.lit(True)).unionByName(
+        target.withColumn(_INCOMING, F.lit(False))
+    )
+    keys = Window.partitionBy(partition, key)
+    order = keys.orderBy(F.col(_INCOMING).desc())
+    if newest_wins:
+        if version is None:
+            raise ValueError("newest_wins needs a version column")
+        order = keys.orderBy(F.col(version).desc_nulls_last(), *tiebreak)
+    placed = both.repartitionById(partitions, F.col(partition))
+    if not touch_unchanged:
+        content = F.struct(*[c for c in columns if c not in (key, stamp)])
+        stored = F.lead(content).over(order)
+        same = F.col(_INCOMING) & stored.isNotNull() & content.eqNullSafe(stored)
+        kept = F.when(same, F.lead(stamp).over(order)).otherwise(F.col(stamp))
+        placed = placed.withColumn("__kept_stamp", kept)
+    ranked = placed.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1")
+    if not touch_unchanged:
+        ranked = ranked.withColumn(stamp, F.col("__kept_stamp"))
+    return ranked.select(*columns, partition)
+
+
 def insert_ignore(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """``target`` plus the rows whose key it does not hold yet."""
     columns = target.columns
