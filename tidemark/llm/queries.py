@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     byte_bpe,
+    embedding_dedup,
     html_text,
     packing,
+    repeats,
     simhash,
     token_files,
     toxicity,
@@ -41,12 +43,20 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     docs = read_table(spark, sf_dir, "documents")
     return packing.pack(docs, vocabulary, PACK_END_ID, PACK_TOKENS)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents")
@@ -67,13 +77,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
     "op3_toxicity": op3_toxicity,
+    "op4_repeats": op4_repeats,
     "op5_packing": op5_packing,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_text": op9_html_text,
     "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_embedding_dedup": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, x -> x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+        ), reached AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        ), least AS (
+            SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a
+        ), degree AS (
+            SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM least LEFT JOIN degree USING (vec_id)
+    """,
     "op10_warc": """
         WITH payloads AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes
