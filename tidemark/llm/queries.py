@@ -12,6 +12,7 @@ from tidemark.llm import (
     byte_bpe,
     embedding_dedup,
     html_text,
+    nn_descent,
     packing,
     repeats,
     simhash,
@@ -53,6 +54,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary, PACK_END_ID, PACK_TOKENS)
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_repeats": op4_repeats,
     "op5_packing": op5_packing,
+    "op6_nn_descent": op6_nn_descent,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_text": op9_html_text,
