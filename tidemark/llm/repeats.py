@@ -41,8 +41,8 @@ GRAM = 48
 DEPTH = 4
 #: Bytes of text scanned at once, of a task's working set, and of a shard.
 SCAN = 1 << 20
-WORKING_SET = 3 << 20
-SHARD = 1 << 20
+WORKING_SET = 1 << 20
+SHARD = 1 << 18
 #: A group of more different pieces than this is cut into single windows.
 GROUP_PIECES = 20_000
 
@@ -130,7 +130,7 @@ class Shard:
     """
 
     def __init__(self, before: np.ndarray, symbol_before: np.ndarray, depth: int):
-        order = np.arange(len(before))
+        order = np.arange(len(before), dtype=np.int32)
         for _ in range(depth):
             order = before[order[_stable_order(symbol_before[order])]]
         self.order = order
@@ -143,9 +143,9 @@ def merge_shards(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarra
     The common prefix counts symbols, ``depth`` at most.
     """
     owner = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(s.order) for s in shards])
-    block = np.zeros(len(owner), np.int64)
+    block = np.zeros(len(owner), np.int32)
     prefix = np.full(len(owner), depth, np.int8)
-    symbols = np.empty(len(owner), np.int64)
+    symbols = np.empty(len(owner), np.int32)
     for done in range(depth):
         for k, shard in enumerate(shards):
             symbols[owner == k] = shard.transform
@@ -154,7 +154,7 @@ def merge_shards(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarra
         starts = np.ones(len(owner), bool)
         starts[1:] = (dealt[1:] != dealt[:-1]) | (inside[1:] != inside[:-1])
         prefix[starts & (prefix == depth)] = done
-        block = np.cumsum(starts) - 1
+        block = np.cumsum(starts, dtype=np.int32) - 1
     return owner, block, prefix
 
 
@@ -165,24 +165,24 @@ def repeated_starts(
     while length % depth:
         depth -= 1
     size = length // depth
-    sizes = np.array([len(p) for p in pieces], np.int64)
+    # Offsets fit 32 bits: a working set is bounded, and so is a group of pieces.
+    sizes = np.array([len(p) for p in pieces], np.int32)
     text = np.frombuffer(b"".join(pieces), np.uint8)
-    base = np.cumsum(sizes + 1) - sizes - 1  # a suffix at each byte and at each end
+    base = (np.cumsum(sizes + 1) - sizes - 1).astype(np.int32)  # a suffix at each byte and end
     n = int((sizes + 1).sum())
-    piece = np.repeat(np.arange(len(pieces)), sizes + 1)
-    place = np.arange(n) - base[piece]
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes + 1)
+    start = base[piece]
+    place = np.arange(n, dtype=np.int32) - start
     last = sizes[piece]
-    hashes = np.zeros(n, np.uint64)
-    has_symbol = place <= last - size
-    all_hashes = block_hashes(text, size)
-    hashes[has_symbol] = all_hashes[(base[piece] - piece + place)[has_symbol]]
-    _, rank = np.unique(hashes[has_symbol], return_inverse=True)
-    symbol = np.zeros(n, np.int64)
-    symbol[has_symbol] = rank + 1
+    with_symbol = np.flatnonzero(place <= last - size)
+    hashes = block_hashes(text, size)[with_symbol - piece[with_symbol]]
+    symbol = np.zeros(n, np.int32)
+    symbol[with_symbol] = np.unique(hashes, return_inverse=True)[1] + 1
     first = place < size
-    ends = place + size * ((last - place) // size)
-    before = np.where(first, ends, place - size) + base[piece]
-    symbol_before = np.where(first, 0, symbol[np.where(first, 0, before)])
+    before = np.arange(n, dtype=np.int32) - size
+    before[first] = (start + place + size * ((last - place) // size))[first]
+    symbol_before = symbol[before]
+    symbol_before[first] = 0
 
     cuts = [0]
     for i, total in enumerate(np.cumsum(sizes + 1).tolist()):
@@ -197,14 +197,15 @@ def repeated_starts(
         shards.append(Shard(before[lo:hi] - lo, symbol_before[lo:hi], depth))
         offsets.append(lo)
     owner, block, _ = merge_shards(shards, depth)
-    suffix = np.empty(n, np.int64)
+    suffix = np.empty(n, np.int32)
     for k, shard in enumerate(shards):
         suffix[owner == k] = shard.order + offsets[k]
     is_start = place <= last - length
-    weight = np.where(is_start[suffix], np.asarray(weights, np.int64)[piece[suffix]], 0)
-    heavy = np.bincount(block, weight, int(block[-1]) + 1 if n else 0) > 1
+    window = is_start[suffix]
+    weight = np.where(window, np.asarray(weights, np.float64)[piece[suffix]], 0)
+    heavy = np.bincount(block, weight) > 1
     repeated = np.zeros(n, bool)
-    repeated[suffix] = heavy[block] & is_start[suffix]
+    repeated[suffix] = heavy[block] & window
     return [
         repeated[b : b + m - length + 1] for b, m in zip(base.tolist(), sizes.tolist(), strict=True)
     ]
@@ -460,7 +461,9 @@ def cut_ranges(text: bytes, spans: list[dict] | None, length: int) -> tuple[byte
     return b"".join(kept), removed, runs
 
 
-def _with_ranges(docs: DataFrame, columns: list[str], length: int, gram: int):
+def _with_ranges(
+    docs: DataFrame, columns: list[str], length: int, gram: int, group_pieces: int = GROUP_PIECES
+):
     """``docs`` with their packed text and the ranges of repeated starts, text left out."""
     short_batches(docs.sparkSession)
     keyed = _keyed(docs)
@@ -484,11 +487,13 @@ def _with_ranges(docs: DataFrame, columns: list[str], length: int, gram: int):
         *[F.col(f"c{i}").alias(f.name) for i, f in enumerate(fields)], "packed"
     )
     narrow = packed.select(*KEY, "packed")
-    ranges = repeated_ranges(keyed, narrow, length, gram)
+    ranges = repeated_ranges(keyed, narrow, length, gram, group_pieces)
     return packed.join(ranges, list(KEY), "left")
 
 
-def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def removal_report(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_pieces: int = GROUP_PIECES
+) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A null text is empty; a text shorter than ``length`` keeps all. Rows that repeat count
@@ -511,7 +516,7 @@ def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 rows.append((doc_id, len(text), removed, runs, hashlib.sha256(kept).hexdigest()))
             yield from record_batches(rows, schema)
 
-    joined = _with_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id", "text"], length, gram)
+    joined = _with_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id", "text"], length, gram, group_pieces)
     return joined.select("doc_id", "packed", "spans").mapInArrow(
         report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
@@ -524,9 +529,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     UTF-8. A null text stays null.
     """
     columns = docs.columns
-    marked = docs.withColumn("__null", F.col("text").isNull())
-    joined = _with_ranges(marked, [*columns, "__null"], length, gram)
-    fields = joined.select("packed", "spans", *[c for c in columns if c != "text"], "__null")
+    # Columns of the table may have any name, also one that is used here.
+    own = {c: c if c in ("doc_id", "text") else f"own{i}" for i, c in enumerate(columns)}
+    marked = docs.select(*[F.col(c).alias(n) for c, n in own.items()]).withColumn(
+        "__null", F.col("text").isNull()
+    )
+    joined = _with_ranges(marked, marked.columns, length, gram)
+    fields = joined.select("packed", "spans", *[n for n in own.values() if n != "text"], "__null")
     names = fields.columns
     numbered = fields.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
 
@@ -547,6 +556,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     done = numbered.mapInArrow(cut, out).select(
         *[F.col(f"c{i}").alias(names[i]) for i in range(2, len(names) - 1)], "text"
     )
+    values = {c: F.col(n) for c, n in own.items()}
     if "n_chars" in columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*columns)
+        values["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return done.select(*[v.alias(c) for c, v in values.items()])
