@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold; the model learns on ``docs``."""
     labels = read_table(spark, sf_dir, "labels")
     model = toxicity.train(toxicity.training_rows(docs, labels))
-    scored = toxicity.score(docs, model, extra=docs.columns)
-    return scored.filter(F.col("predicted") == 0).select(*docs.columns)
+    scored = toxicity.score(docs, model, extra=docs.columns, names=("__score", "__toxic"))
+    return scored.filter(F.col("__toxic") == 0).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,8 +95,8 @@ ORACLE: dict[str, str] = {
     "op7_embedding_dedup": """
         WITH RECURSIVE vectors AS (
             SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-            WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(embedding, x -> x <> 0)) > 0
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
         ), links AS (
             SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
             WHERE list_cosine_similarity(a.v, b.v) >= 0.9
