@@ -16,15 +16,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, materialise, record_batches, short_batches
+from tidemark.llm.common import column, materialise, record_batches, short_batches, to_batch
 
 ORDERS = (3, 5, 7)
 BITS = 20
-MAX_FEATURES = 1 << 14
-SAMPLE_ROWS = 16_000
+MAX_FEATURES = 1 << 13
+SAMPLE_ROWS = 12_000
+#: Parts of the feature space that are counted apart.
+SLICES = 64
+#: Labels that may be broadcast instead of shuffling the texts to them.
+BROADCAST_LABELS = 2_000_000
 THRESHOLD = 0.7
 #: Bytes that are hashed at once.
 CHUNK = 1 << 20
@@ -121,27 +126,46 @@ class ToxicityModel:
 
 
 def _document_counts(rows: DataFrame) -> DataFrame:
-    """Per feature: texts of each class that hold it, from all rows."""
+    """Per feature: texts of each class that hold it, from all rows.
+
+    A task hands on its counts in ``SLICES`` compressed parts, each added up in one place.
+    Feature -1 stands for all texts.
+    """
+    width = (1 << BITS) // SLICES
 
     def count(batches):
-        seen = np.zeros((2, 1 << BITS), dtype=np.int64)
-        rows = np.zeros(2, dtype=np.int64)
+        seen = np.zeros((2, 1 << BITS), dtype=np.int32)
+        texts = np.zeros(2, dtype=np.int64)
         for batch in batches:
             for text, toxic in zip(column(batch, "text"), column(batch, "toxic"), strict=True):
                 seen[toxic, feature_counts(text)[0]] += 1
-                rows[toxic] += 1
-        held = np.flatnonzero(seen.any(axis=0))
-        held = np.concatenate([[-1], held])
-        schema = pa.schema([("feature", pa.int64()), ("clean", pa.int64()), ("toxic", pa.int64())])
-        clean = np.concatenate([[rows[0]], seen[0, held[1:]]])
-        toxic = np.concatenate([[rows[1]], seen[1, held[1:]]])
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(clean), pa.array(toxic)], schema=schema)
+                texts[toxic] += 1
+        if texts.any():
+            pack = zstandard.ZstdCompressor(level=1).compress
+            rows = [
+                (k, pack(seen[:, k * width : (k + 1) * width].astype("<i4").tobytes()))
+                for k in range(SLICES)
+            ]
+            yield to_batch([*rows, (-1, pack(texts.astype("<i4").tobytes()))], part_schema)
 
-    return (
-        rows.mapInArrow(count, "feature long, clean long, toxic long")
-        .groupBy("feature")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    )
+    def add(batches):
+        totals: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for k, part in zip(column(batch, "slice"), column(batch, "part"), strict=True):
+                counts = np.frombuffer(unpack.decompress(part), "<i4").reshape(2, -1)
+                totals[k] = totals.get(k, 0) + counts.astype(np.int64)
+        for k, counts in totals.items():
+            held = np.flatnonzero(counts.any(axis=0))
+            feature = held + k * width if k >= 0 else held - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(feature), pa.array(counts[0, held]), pa.array(counts[1, held])],
+                names=["feature", "clean", "toxic"],
+            )
+
+    part_schema = pa.schema([("slice", pa.int32()), ("part", pa.binary())])
+    parts = rows.mapInArrow(count, "slice int, part binary")
+    return parts.repartition("slice").mapInArrow(add, "feature long, clean long, toxic long")
 
 
 def _select_features(counts: DataFrame, n_clean: int, n_toxic: int, limit: int):
@@ -172,11 +196,8 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: in
     """
     spark = labelled.sparkSession
     short_batches(spark)
-    rows = materialise(
-        labelled.filter("toxic is not null").select(
-            "doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic")
-        ),
-        "labelled",
+    rows = labelled.filter("toxic is not null").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic")
     )
     counts = materialise(_document_counts(rows), "ngram-counts")
     totals = counts.filter("feature = -1").first()
@@ -218,15 +239,25 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: in
     return ToxicityModel(weights, bias)
 
 
-def _fit(owner, place, value, labels, n_features, bias, steps: int = 400, ridge: float = 2e-5):
-    """Logistic regression by full-batch Adam steps."""
+def _fit(owner, place, value, labels, n_features, bias, steps: int = 300, ridge: float = 2e-5):
+    """Logistic regression by full-batch Adam steps; values come in the order of their rows."""
+    value = value.astype(np.float32)
+    by_feature = np.argsort(place, kind="stable")
+    owner_f, value_f = owner[by_feature], value[by_feature]
+    rows, row_starts = np.unique(owner, return_index=True)
+    held, feature_starts = np.unique(place[by_feature], return_index=True)
+    z, part = np.zeros(len(labels)), np.zeros(n_features)
     w = np.zeros(n_features)
     moment, square = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
-        z = np.bincount(owner, value * w[place], minlength=len(labels)) + bias
+        z[:] = bias
+        if len(rows):
+            z[rows] += np.add.reduceat(value * w.astype(np.float32)[place], row_starts)
         error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) / len(labels)
+        if len(held):
+            part[held] = np.add.reduceat(value_f * error.astype(np.float32)[owner_f], feature_starts)
         slope = np.empty(n_features + 1)
-        slope[:-1] = np.bincount(place, value * error[owner], minlength=n_features) + ridge * w
+        slope[:-1] = part + ridge * w
         slope[-1] = error.sum()
         moment = 0.9 * moment + 0.1 * slope
         square = 0.999 * square + 0.001 * slope**2
@@ -238,8 +269,13 @@ def _fit(owner, place, value, labels, n_features, bias, steps: int = 400, ridge:
     return w, float(bias)
 
 
-def score(docs: DataFrame, model: ToxicityModel, extra: list[str] | None = None) -> DataFrame:
-    """``extra`` columns of every row (default: doc_id) with ``score`` and ``predicted``."""
+def score(
+    docs: DataFrame,
+    model: ToxicityModel,
+    extra: list[str] | None = None,
+    names: tuple[str, str] = ("score", "predicted"),
+) -> DataFrame:
+    """``extra`` columns of every row (default: doc_id) with its score and its prediction."""
     spark = docs.sparkSession
     short_batches(spark)
     kept = ["doc_id"] if extra is None else extra
@@ -260,7 +296,9 @@ def score(docs: DataFrame, model: ToxicityModel, extra: list[str] | None = None)
     out = numbered.drop("__text").schema.add("score", "double").add("predicted", "integer")
     scored = numbered.mapInArrow(run, out)
     return scored.select(
-        *[F.col(f"c{i}").alias(f.name) for i, f in enumerate(fields)], "score", "predicted"
+        *[F.col(f"c{i}").alias(f.name) for i, f in enumerate(fields)],
+        F.col("score").alias(names[0]),
+        F.col("predicted").alias(names[1]),
     )
 
 
@@ -278,4 +316,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+    # Labels are small next to texts: up to a fixed number they go to the texts.
+    if toxic.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
+        toxic = F.broadcast(toxic)
     return docs.select("doc_id", "text").filter(~held_out("doc_id")).join(toxic, "doc_id")
