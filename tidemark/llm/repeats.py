@@ -403,7 +403,9 @@ def repeated_ranges(
         F.min("d1").alias("lo1"), F.max("d1").alias("hi1"),
         F.min("d2").alias("lo2"), F.max("d2").alias("hi2"),
     ).filter("times > 1")
-    groups = groups.select("h", ((F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2"))).alias("one"))
+    one = (F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2"))
+    # Written down, so that the join reads it from a shuffle and a hot anchor can be split.
+    groups = materialise(groups.select("h", one.alias("one")), "anchor-groups")
     active = materialise(runs.join(groups, "h"), "active-pieces")
 
     several = active.filter("not one").groupBy(*piece).agg(
