@@ -29,12 +29,12 @@ def skewed(spark):
     return rows, large, small
 
 
-def test_heaviest_keys_are_bounded_and_sized(skewed):
+def test_heaviest_keys_are_all_listed_and_sized(skewed):
     rows, large, _ = skewed
     hot = {r[HOT_KEY]: r[SALTS] for r in heaviest_keys(large, "k", min_rows=100).frame.collect()}
     counts = {k: sum(r[1] == k for r in rows) for k in (1, None)}
     assert hot == {k: -(-n // 100) for k, n in counts.items()}
-    assert heaviest_keys(large, "k", min_rows=1, limit=3).frame.count() == 3
+    assert heaviest_keys(large, "k", min_rows=1).frame.count() == len({r[1] for r in rows})
     assert heaviest_keys(large, "k").empty
 
 
@@ -268,3 +268,14 @@ def test_no_python_udf_and_no_cartesian_product(spark):
         text = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
             assert bad not in text, itertools.chain([name, bad])
+
+
+def test_more_hot_keys_than_fit_a_small_list(spark):
+    """Every key above the bound is split, however many there are."""
+    large = spark.range(36_000).select((F.col("id") % 12_000).alias("k"), F.col("id").alias("n"))
+    hot = heaviest_keys(large, "k", min_rows=2)
+    assert hot.frame.count() == 12_000
+    small = spark.range(12_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = skew_join(large, small, "k", spread=["n"], hot=hot)
+    assert got.count() == 36_000
+    assert got.filter("v <> 2 * k").isEmpty()

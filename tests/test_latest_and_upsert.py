@@ -191,9 +191,48 @@ def test_obsolete_paths(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"), schema)
     for i in range(3):
         table.publish(spark.createDataFrame([(i, "a", T0)], SCHEMA))
-    old = table.obsolete_paths(keep=2).collect()
-    assert [r["version"] for r in old] == [1]
-    assert old[0]["path"] not in table._live()[1].values()
+    first = table._commits().filter("version = 1").first()["path"]
+    assert [r["path"] for r in table.obsolete_paths(keep=2).collect()] == [first]
+    # So is the data of a write that died.
+    lost = f"{tmp_path}/t/data/lost"
+    table.read().write.parquet(lost)
+    found = {r["path"].removeprefix("file:") for r in table.obsolete_paths(keep=2).collect()}
+    assert found == {first.removeprefix("file:"), lost}
+
+
+@pytest.mark.parametrize(("written", "named"), [(4, 16), (16, 8), (16, 1), (1, 16), (4, None)])
+def test_updates_keep_the_stored_number_of_buckets(spark, tmp_path, written, named):
+    rows = [(i, "a", T0) for i in range(200)]
+    batch = [(3, "b", T0), (7, "b", T0), (500, "b", T0)]
+    schema = spark.createDataFrame([], SCHEMA).schema
+    path = str(tmp_path / "t")
+    SnapshotTable(spark, path, schema, "id", written).publish(spark.createDataFrame(rows, SCHEMA))
+    SnapshotTable(spark, path, schema, "id", named).upsert(spark.createDataFrame(batch, SCHEMA))
+    want = sorted({r[0]: r for r in rows + batch}.values())
+    assert rows_of(SnapshotTable(spark, path, schema, "id").read()) == want
+    again = SnapshotTable(spark, path, schema, "id", named)
+    again.update(lambda df: df.withColumn("id", F.col("id") + 1))
+    assert again.buckets == (named or written)
+    assert rows_of(SnapshotTable(spark, path, schema, "id").read()) == [(i + 1, b, t) for i, b, t in want]
+
+
+def test_insert_ignore_of_repeats_and_null_keys(spark):
+    target = spark.createDataFrame([(1, "a", T0), (None, "n", T0)], SCHEMA)
+    rows = spark.createDataFrame(
+        [(1, "x", T0), (2, "x", T0), (2, "y", T0), (None, "z", T0)], SCHEMA
+    )
+    for parts in (1, 3):
+        got = insert_ignore(target, rows.repartition(parts), "id").collect()
+        assert sorted(str(r["id"]) for r in got) == ["1", "2", "None"]
+
+
+def test_upsert_with_a_null_key_is_repeatable(spark):
+    target = spark.createDataFrame([(1, "a", T0)], SCHEMA)
+    batch = spark.createDataFrame([(None, "n", T0), (1, "b", T0)], SCHEMA)
+    once = upsert(target, batch, "id")
+    twice = upsert(once, batch, "id")
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+    assert once.count() == 2
 
 
 def test_publish_may_read_the_table_itself(spark, tmp_path):

@@ -32,7 +32,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--lines", action="store_true", help="payloads hold one record per line")
     p.add_argument("--entity", default="all", choices=[*ENTITIES, "all"])
     p.add_argument("--table", default="all", choices=[*ENTITIES, "all"])
-    p.add_argument("--buckets", type=int, default=1, help="hash buckets of the keyed tables")
+    p.add_argument("--buckets", type=int, help="hash buckets of new keyed tables (default 1)")
     return p
 
 

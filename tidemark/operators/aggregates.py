@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import label
 from tidemark.operators.joins import attribute_comments
-from tidemark.operators.skew import HotKeys
+from tidemark.operators.skew import ROWS_PER_SALT, HotKeys
 
 
 def row_count(df: DataFrame, alias: str = "rows") -> DataFrame:
@@ -65,12 +65,15 @@ def comment_metrics(comments: DataFrame) -> DataFrame:
 
 
 def comments_received(
-    comments: DataFrame, posts: DataFrame, hot: HotKeys | None = None
+    comments: DataFrame,
+    posts: DataFrame,
+    hot: HotKeys | None = None,
+    min_rows: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Comments and distinct commenters over all posts of each author."""
     needed = comments.select("comment_id", "post_id", "commenter_email")
     return (
-        attribute_comments(needed, posts, hot)
+        attribute_comments(needed, posts, hot, min_rows)
         .groupBy("user_id")
         .agg(
             F.count(F.lit(1)).alias("total_comments_received"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.skew import HotKeys, skew_join
+from tidemark.operators.skew import ROWS_PER_SALT, HotKeys, skew_join
 
 UNMATCHED = ("type_default", "null")
 _MATCHED = "__matched"
@@ -40,11 +40,15 @@ def _fill(joined: DataFrame, added: DataFrame, key: str) -> DataFrame:
 
 
 def attribute_comments(
-    comments: DataFrame, posts: DataFrame, hot: HotKeys | None = None
+    comments: DataFrame,
+    posts: DataFrame,
+    hot: HotKeys | None = None,
+    min_rows: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Each comment with the author of its post; comments without a post drop out."""
     authors = posts.select("post_id", "user_id")
-    return skew_join(comments, authors, "post_id", "inner", spread=["comment_id"], hot=hot)
+    spread = ["comment_id"]
+    return skew_join(comments, authors, "post_id", "inner", spread, hot, min_rows)
 
 
 def left_metrics(
@@ -66,13 +70,14 @@ def lookup(
     unmatched: str = "type_default",
     spread: list[str] | None = None,
     hot: HotKeys | None = None,
+    min_rows: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Many-to-one left join against a dimension.
 
     No broadcast is forced: Spark broadcasts the dimension when its measured size
     allows, and otherwise shuffles with hot keys of ``base`` split.
     """
-    joined = skew_join(base, _marked(dim, unmatched), key, "left", spread=spread, hot=hot)
+    joined = skew_join(base, _marked(dim, unmatched), key, "left", spread, hot, min_rows)
     return _fill(joined, dim, key)
 
 

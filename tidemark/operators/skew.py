@@ -6,9 +6,9 @@ not, so a post with a third of all comments would land in one task. These helper
 the split in the plan itself, and only for the keys that need it:
 
 * :func:`heaviest_keys` counts the join key of the large side (one column, map-side
-  combined, spread over all tasks) and keeps keys above ``min_rows``, at most
-  ``HOT_KEYS_MAX`` of them. That limit is the proof that the list stays small enough to
-  broadcast. A key that misses it holds at most 1/``HOT_KEYS_MAX`` of the rows.
+  combined, spread over all tasks) and writes down every key above ``min_rows``. The list
+  is a table like any other: nothing is collected, cut off or forced into a broadcast.
+  Spark broadcasts it when its measured size allows, and otherwise joins it by shuffle.
 * :func:`skew_join` gives each row of a listed key one of ``ceil(rows / min_rows)``
   salts and repeats the other side's row once per salt. Every row still meets exactly
   the partners it would meet in a plain join, whatever the list says. Without hot keys
@@ -27,8 +27,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 ROWS_PER_SALT = 1_000_000
-HOT_KEYS_MAX = 10_000
 
 HOT_KEY = "__hot_key"
 SALTS = "__salts"
@@ -46,30 +47,19 @@ class HotKeys:
         return self.frame is None
 
 
-def heaviest_keys(
-    df: DataFrame,
-    key: str,
-    min_rows: int = ROWS_PER_SALT,
-    limit: int = HOT_KEYS_MAX,
-) -> HotKeys:
-    """The keys with more than ``min_rows`` rows, the ``limit`` heaviest at most.
-
-    Runs one job and brings at most ``limit`` keys to the driver.
-    """
+def heaviest_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_SALT) -> HotKeys:
+    """All keys with more than ``min_rows`` rows, counted once and written down."""
     counts = df.groupBy(F.col(key).alias(HOT_KEY)).agg(F.count(F.lit(1)).alias("rows"))
-    hot = (
-        counts.filter(F.col("rows") > min_rows)
-        .orderBy(F.desc("rows"), HOT_KEY)
-        .limit(limit)
-        .select(HOT_KEY, F.ceil(F.col("rows") / min_rows).cast("int").alias(SALTS))
+    hot = counts.filter(F.col("rows") > min_rows).select(
+        HOT_KEY, F.ceil(F.col("rows") / min_rows).cast("int").alias(SALTS)
     )
-    rows = hot.collect()
-    return HotKeys(df.sparkSession.createDataFrame(rows, hot.schema) if rows else None)
+    written = materialise(hot, "hot-keys")
+    return HotKeys(None if written.isEmpty() else written)
 
 
 def _with_hot(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     """``df`` with ``__salts`` for the rows of hot keys, a null key included."""
-    return df.join(F.broadcast(hot.frame), F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
+    return df.join(hot.frame, F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
 
 
 def skew_join(
@@ -79,6 +69,7 @@ def skew_join(
     how: str = "inner",
     spread: Sequence[str] | None = None,
     hot: HotKeys | None = None,
+    min_rows: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Equi-join of ``large`` with ``small`` on ``on``, safe against hot keys of ``large``.
 
@@ -90,7 +81,7 @@ def skew_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     if hot is None:
-        hot = heaviest_keys(large, on)
+        hot = heaviest_keys(large, on, min_rows)
     if hot.empty:
         return large.join(small, on, how)
     salts = F.coalesce(F.col(SALTS), F.lit(1))

@@ -85,7 +85,9 @@ class SnapshotTable:
 
     With ``buckets`` > 1 the rows are hashed by ``key``, and :meth:`upsert` reads and
     rewrites only the buckets the batch touches. Pick the number so that one bucket is
-    around a gigabyte.
+    around a gigabyte. The number is stored with every commit: a table that exists is
+    updated with the number it was written with, whatever the caller says. Writing the
+    table as a whole deals it out anew with the caller's number, if one is given.
     """
 
     COMMITS = T.StructType(
@@ -93,6 +95,7 @@ class SnapshotTable:
             T.StructField("version", T.LongType()),
             T.StructField("bucket", T.IntegerType()),
             T.StructField("path", T.StringType()),
+            T.StructField("buckets", T.IntegerType()),
         ]
     )
 
@@ -102,15 +105,16 @@ class SnapshotTable:
         path: str,
         schema: T.StructType,
         key: str | None = None,
-        buckets: int = 1,
+        buckets: int | None = None,
     ):
-        if buckets > 1 and key is None:
+        if (buckets or 1) > 1 and key is None:
             raise ValueError("a bucketed table needs a key")
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.key = key
-        self.buckets = buckets
+        self.wanted_buckets = buckets
+        self.buckets = buckets or 1
 
     # -- commit table: a few rows per version, one path per bucket when read
 
@@ -123,20 +127,29 @@ class SnapshotTable:
             raise
 
     def _live(self) -> tuple[int, dict[int, str]]:
-        """Latest version and the current path of each bucket (at most ``buckets``)."""
+        """Latest version and the current path of each bucket (at most ``buckets``).
+
+        Takes over the stored number of buckets. Paths of an older number are not current.
+        """
         commits = self._commits()
         if commits is None:
             return 0, {}
         rows = (
-            commits.groupBy("bucket")
+            commits.groupBy("buckets", "bucket")
             .agg(F.max_by("path", "version").alias("path"), F.max("version").alias("version"))
             .collect()
         )
-        version = max((r["version"] for r in rows), default=0)
-        return version, {r["bucket"]: r["path"] for r in rows if r["path"]}
+        newest = max(rows, key=lambda r: r["version"], default=None)
+        if newest is None:
+            return 0, {}
+        self.buckets = newest["buckets"]
+        current = {
+            r["bucket"]: r["path"] for r in rows if r["buckets"] == self.buckets and r["path"]
+        }
+        return newest["version"], current
 
     def _commit(self, version: int, paths: dict[int, str]) -> None:
-        rows = [(version, bucket, path) for bucket, path in sorted(paths.items())]
+        rows = [(version, bucket, path, self.buckets) for bucket, path in sorted(paths.items())]
         commit = self.spark.createDataFrame(rows, self.COMMITS).coalesce(1)
         commit.write.mode("append").parquet(f"{self.path}/commits")
 
@@ -203,6 +216,8 @@ class SnapshotTable:
     def _replace(
         self, version: int, df: DataFrame, sort_key: str | None = None, files: int | None = None
     ) -> int:
+        if self.wanted_buckets:
+            self.buckets = self.wanted_buckets
         data = self._write(df, sort_key, files)
         paths = self._paths(data, self._buckets_in(data))
         self._commit(version + 1, {b: paths.get(b, "") for b in range(self.buckets)})
@@ -218,13 +233,13 @@ class SnapshotTable:
         staged_path = f"{self.path}/incoming/{uuid.uuid4().hex}"
         batch.select(*self.schema.fieldNames()).write.parquet(staged_path)
         staged = self.spark.read.schema(self.schema).parquet(staged_path)
+        version, live = self._live()
         bucket = self._bucket() if self.buckets > 1 else F.lit(0)
         touched = {
             r["bucket"]: r["count"]
             for r in staged.groupBy(bucket.alias("bucket")).count().collect()
         }
         if touched:
-            version, live = self._live()
             stored = self._read_paths([live[b] for b in sorted(touched) if b in live])
             if self.buckets == 1:
                 data = self._write(upsert(stored, staged, self.key, **options), None, None)
@@ -236,20 +251,37 @@ class SnapshotTable:
             self._commit(version + 1, self._paths(data, list(touched)))
         return sum(touched.values())
 
-
     def obsolete_paths(self, keep: int = 2) -> DataFrame:
-        """Data directories no longer part of the last ``keep`` versions of their bucket.
+        """Folders that no current reader needs: ``(path)``.
 
-        Deleting them is left to the storage (a lifecycle rule or a file tool), once no
-        reader of an old version is left.
+        Data of versions older than the last ``keep`` of their bucket, data that no commit
+        names (a write that died) and staged batches. Deleting them is left to the storage
+        (a lifecycle rule or a file tool), once no reader of an old version and no writer
+        is left.
         """
-        newest = Window.partitionBy("bucket").orderBy(F.desc("version"))
-        return (
+        version, _ = self._live()
+        newest = Window.partitionBy("buckets", "bucket").orderBy(F.desc("version"))
+        named = (
             self._commits()
             .withColumn("age", F.row_number().over(newest))
-            .filter((F.col("age") > keep) & (F.col("path") != ""))
-            .select("bucket", "version", "path")
+            .filter("path <> ''")
+            .withColumn("tail", F.regexp_extract("path", "(data/[^/]+)(/|$)", 1))
+        )
+        old = F.when(F.col("buckets") == self.buckets, F.col("age") > keep).otherwise(
+            F.col("version") <= version - keep
+        )
+        stored = (
+            self.spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(self.path)
+            .select(F.regexp_extract("path", "(.*/(?:data|incoming)/[^/]+)/", 1).alias("path"))
+            .filter("path <> ''")
+            .distinct()
+            .withColumn("tail", F.regexp_extract("path", "((?:data|incoming)/[^/]+)$", 1))
         )
+        unnamed = stored.join(named.select("tail").distinct(), "tail", "left_anti")
+        return named.filter(old).select("path").unionByName(unnamed.select("path")).distinct()
 
 
 def compact_landing(
@@ -272,9 +304,12 @@ def _date_of(c: Column, unit: str) -> Column:
 
 
 def write_by_date(
-    df: DataFrame, ts: str, path: str, unit: str = "day", mode: str = "overwrite"
+    df: DataFrame, ts: str, path: str, unit: str = "day", mode: str = "append"
 ) -> None:
-    """Write one directory per date of ``ts``, replacing only the dates present in ``df``.
+    """Write one directory per date of ``ts``; rows of an earlier load of a date stay.
+
+    ``mode="overwrite"`` reloads dates in full: those present in ``df`` are replaced, others
+    stay. Several loads of a key are for ``latest_per_key`` to settle, as in landing tables.
 
     Rebalancing keeps the file count near one per date; AQE splits a date that is far
     larger than the rest into several files.
@@ -325,6 +360,25 @@ def retain(
     return df.filter(keep)
 
 
+def remove_expired(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    schema: T.StructType,
+    ts: str,
+    interval: timedelta,
+    now: datetime,
+    unit: str = "day",
+) -> None:
+    """Write what :func:`retain` keeps of a dated table as a dated table at ``target``.
+
+    Expired dates are not read, only the oldest kept date loses rows. Nothing is overwritten
+    in place; readers move to ``target`` and the storage drops the old folder.
+    """
+    kept = retain(read_dated(spark, path, schema), ts, interval, now, unit)
+    write_by_date(kept.drop(DATE_PARTITION), ts, target, unit)
+
+
 # ---- hash distribution ------------------------------------------------------------
 
 

@@ -87,8 +87,10 @@ def upsert(
         return latest_per_key(target.unionByName(rows), key, version, tiebreak)
     if not touch_unchanged:
         rows = _keep_stamp_of_unchanged(target, rows, key, stamp)
-    kept = target.join(rows.select(key), key, "left_anti").select(*columns)
-    return kept.unionByName(rows)
+    # Null-safe: a row without a key is replaced like any other, so repeats are harmless.
+    replaced = rows.select(F.col(key).alias(_SEEN))
+    kept = target.join(replaced, F.col(key).eqNullSafe(F.col(_SEEN)), "left_anti")
+    return kept.select(*columns).unionByName(rows)
 
 
 def merge_partitioned(
@@ -139,7 +141,12 @@ def merge_partitioned(
 
 
 def insert_ignore(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """``target`` plus the rows whose key it does not hold yet."""
+    """``target`` plus the rows whose key it does not hold yet, one per key.
+
+    A key repeated in ``rows`` is settled by a hash of the row. Null keys are one key.
+    """
     columns = target.columns
-    new = rows.join(target.select(key), key, "left_anti").select(*columns)
-    return target.unionByName(new)
+    once = one_row_per_key(rows.select(*columns), key, None, None, "latest")
+    held = target.select(F.col(key).alias(_SEEN)).distinct()
+    new = once.join(held, F.col(key).eqNullSafe(F.col(_SEEN)), "left_anti")
+    return target.unionByName(new.select(*columns))

@@ -53,7 +53,7 @@ def replicate_all(
     root: str,
     now: datetime,
     which: str = "all",
-    buckets: int = 1,
+    buckets: int | None = None,
     strict: bool = True,
 ) -> tuple[dict[str, int], DataFrame]:
     """Replicate every table, then fail if any count check failed."""
@@ -157,7 +157,7 @@ def run_elt(
     root: str,
     batch_ts: datetime | None = None,
     lines: bool = False,
-    buckets: int = 1,
+    buckets: int | None = None,
     touch_unchanged: bool = True,
     materialise_staging: bool = True,
 ) -> RunReport:

@@ -13,7 +13,7 @@ from tidemark.sources.json_entities import read_json_entities
 
 
 def oltp_table(
-    spark: SparkSession, root: str, spec: EntitySpec, buckets: int = 1
+    spark: SparkSession, root: str, spec: EntitySpec, buckets: int | None = None
 ) -> SnapshotTable:
     return SnapshotTable(spark, f"{root}/raw/{spec.name}", spec.oltp, spec.key, buckets)
 
@@ -39,7 +39,7 @@ def ingest(
     root: str,
     batch_ts: datetime,
     which: str = "all",
-    buckets: int = 1,
+    buckets: int | None = None,
     **options,
 ) -> dict[str, int]:
     """Ingest one or all entities; independent entities run at the same time.

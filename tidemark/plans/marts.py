@@ -2,7 +2,8 @@
 
 ``hot_posts`` and ``hot_users`` are optional lists from
 :func:`tidemark.operators.skew.heaviest_keys`. Left out, they are counted on the frames
-given; a caller that holds the landing tables counts them there for less.
+given; a caller that holds the landing tables counts them there for less. ``min_rows`` is
+the number of rows from which a key counted here is split.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from tidemark.functions import built_at as with_built_at
 from tidemark.functions import or_default, round2
 from tidemark.operators.aggregates import comment_metrics, comments_received, post_metrics
 from tidemark.operators.joins import left_metrics, lookup
-from tidemark.operators.skew import HotKeys
+from tidemark.operators.skew import ROWS_PER_SALT, HotKeys
 from tidemark.schemas import MARTS
 
 
@@ -47,6 +48,7 @@ def mart_user_post_summary(
     comments: DataFrame,
     built_at: datetime | None = None,
     hot_posts: HotKeys | None = None,
+    min_rows: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """One row per user; posts of unknown authors do not appear.
 
@@ -56,7 +58,8 @@ def mart_user_post_summary(
     """
     profile = ["user_id", "username", "full_name", "email", "company_name", "city"]
     summary = users.select(*profile)
-    for metrics in (post_metrics(posts), comments_received(comments, posts, hot_posts)):
+    received = comments_received(comments, posts, hot_posts, min_rows)
+    for metrics in (post_metrics(posts), received):
         summary = left_metrics(summary, metrics, "user_id")
     return _finish(summary, "mart_user_post_summary", profile, built_at)
 
@@ -68,6 +71,7 @@ def mart_comment_statistics(
     built_at: datetime | None = None,
     unmatched: str = "type_default",
     hot_users: HotKeys | None = None,
+    min_rows: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """One row per post; a post of an unknown author stays, by default with an empty name.
 
@@ -77,6 +81,6 @@ def mart_comment_statistics(
     subject = posts.select("post_id", "user_id", F.col("title").alias("post_title"))
     measured = left_metrics(subject, comment_metrics(comments), "post_id")
     authors = users.select("user_id", F.col("username").alias("author_username"))
-    named = lookup(measured, authors, "user_id", unmatched, spread=["post_id"], hot=hot_users)
+    named = lookup(measured, authors, "user_id", unmatched, ["post_id"], hot_users, min_rows)
     dimensions = ["post_id", "user_id", "author_username", "post_title"]
     return _finish(named, "mart_comment_statistics", dimensions, built_at)

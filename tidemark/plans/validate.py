@@ -35,7 +35,7 @@ def top_posts(mart: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def validation(spark: SparkSession, root: str, buckets: int = 1) -> dict[str, DataFrame]:
+def validation(spark: SparkSession, root: str, buckets: int | None = None) -> dict[str, DataFrame]:
     """Counts per layer, the watermarks, and the two top lists of a finished run."""
     oltp = {n: oltp_table(spark, root, s, buckets).read() for n, s in ENTITIES.items()}
     raw = raw_versions(spark, root)

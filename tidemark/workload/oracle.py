@@ -69,6 +69,15 @@ VIEWS = {
         SELECT l_orderkey AS post_id, 'supp' || l_suppkey || '@example.com' AS commenter_email,
                CAST(l_quantity AS BIGINT) AS body_length
         FROM lineitem""",
+    "hot_posts": """
+        SELECT * REPLACE (CASE WHEN post_id % 3 = 0 THEN 1 ELSE user_id END AS user_id)
+        FROM rel_posts""",
+    "hot_comments": """
+        SELECT CASE WHEN l_suppkey % 3 = 0 THEN (SELECT min(o_orderkey) FROM orders)
+                    ELSE l_orderkey END AS post_id,
+               'supp' || l_suppkey || '@example.com' AS commenter_email,
+               CAST(l_quantity AS BIGINT) AS body_length
+        FROM lineitem""",
     "changes": """
         SELECT user_id, ts, event_id, event_type, value,
                CASE WHEN event_type = 'error' THEN 'D' ELSE 'U' END AS op
@@ -80,6 +89,7 @@ VIEWS = {
 
 # Views each view is built on.
 NEEDS = {
+    "hot_posts": ["rel_posts"],
     "raw_users": ["users"],
     "raw_posts": ["posts"],
     "raw_comments": ["comments"],
@@ -108,60 +118,92 @@ def sql(body: str, *views: str, **own: str) -> str:
 # ---- shared pieces ----------------------------------------------------------------
 
 
-def post_metrics(posts: str) -> str:
-    return f"""
-        SELECT user_id, count(*) AS total_posts, avg(title_length) AS avg_post_title_length,
-               avg(body_length) AS avg_post_body_length,
-               CAST(sum(body_length) AS BIGINT) AS total_post_body_length
-        FROM {posts} GROUP BY user_id"""
+# Each measure is a scalar query by its own meaning, asked once per row of the mart. Nothing is
+# grouped or joined beforehand, unlike in the engine under test.
 
 
-def comments_received(comments: str, posts: str) -> str:
-    return f"""
-        SELECT p.user_id, count(*) AS total_comments_received,
-               count(DISTINCT c.commenter_email) AS unique_commenters
-        FROM {comments} c JOIN {posts} p ON c.post_id = p.post_id GROUP BY p.user_id"""
+def of_user(expression: str, posts: str) -> str:
+    return f"(SELECT {expression} FROM {posts} AS post WHERE post.user_id = who.user_id)"
 
 
-def comment_metrics(comments: str) -> str:
-    return f"""
-        SELECT post_id, count(*) AS total_comments,
-               count(DISTINCT commenter_email) AS unique_commenter_emails,
-               avg(body_length) AS avg_comment_length,
-               min(body_length) AS min_comment_length, max(body_length) AS max_comment_length
-        FROM {comments} GROUP BY post_id"""
+def received_by_user(expression: str, comments: str, posts: str) -> str:
+    return (
+        f"(SELECT {expression} FROM {comments} AS remark, {posts} AS post "
+        "WHERE remark.post_id = post.post_id AND post.user_id = who.user_id)"
+    )
+
+
+def of_post(expression: str, comments: str) -> str:
+    return f"(SELECT {expression} FROM {comments} AS remark WHERE remark.post_id = it.post_id)"
 
 
-def zero(*columns: str) -> str:
-    return ", ".join(f"ifnull({c}, 0) AS {c}" for c in columns)
+def post_measures(posts: str) -> dict[str, str]:
+    return {
+        "total_posts": of_user("count(*)", posts),
+        "avg_post_title_length": of_user("avg(title_length)", posts),
+        "avg_post_body_length": of_user("avg(body_length)", posts),
+        "total_post_body_length": of_user("CAST(sum(body_length) AS BIGINT)", posts),
+    }
 
 
-def average(*columns: str) -> str:
-    return ", ".join(f"round_even(ifnull({c}, 0), 2) AS {c}" for c in columns)
+def received_measures(comments: str, posts: str) -> dict[str, str]:
+    return {
+        "total_comments_received": received_by_user("count(*)", comments, posts),
+        "unique_commenters": received_by_user(
+            "count(DISTINCT remark.commenter_email)", comments, posts
+        ),
+    }
+
+
+def comment_measures(comments: str) -> dict[str, str]:
+    return {
+        "total_comments": of_post("count(*)", comments),
+        "unique_commenter_emails": of_post("count(DISTINCT commenter_email)", comments),
+        "avg_comment_length": of_post("avg(body_length)", comments),
+        "min_comment_length": of_post("min(body_length)", comments),
+        "max_comment_length": of_post("max(body_length)", comments),
+    }
+
+
+def listed(measures: dict[str, str], filled: bool = False) -> str:
+    """The measures as columns; filled: zero for nothing, averages to two decimals."""
+
+    def value(name: str, query: str) -> str:
+        if not filled:
+            return query
+        whole = f"coalesce({query}, 0)"
+        return f"round_even({whole}, 2)" if name.startswith("avg") else whole
+
+    return ", ".join(f"{value(name, query)} AS {name}" for name, query in measures.items())
+
+
+def post_metrics(posts: str) -> str:
+    return f"""SELECT user_id, {listed(post_measures(posts))}
+        FROM (SELECT DISTINCT user_id FROM {posts}) AS who"""
+
+
+def comments_received(comments: str, posts: str) -> str:
+    return f"""SELECT * FROM (SELECT user_id, {listed(received_measures(comments, posts))}
+        FROM (SELECT DISTINCT user_id FROM {posts}) AS who) WHERE total_comments_received > 0"""
+
+
+def comment_metrics(comments: str) -> str:
+    return f"""SELECT post_id, {listed(comment_measures(comments))}
+        FROM (SELECT DISTINCT post_id FROM {comments}) AS it"""
 
 
 def user_mart(users: str, posts: str, comments: str) -> str:
-    return f"""
-        SELECT user_id, username, full_name, email, company_name, city,
-               {zero("total_posts", "total_comments_received", "unique_commenters")},
-               {average("avg_post_title_length", "avg_post_body_length")},
-               {zero("total_post_body_length")}
-        FROM {users}
-        LEFT JOIN ({post_metrics(posts)}) AS written USING (user_id)
-        LEFT JOIN ({comments_received(comments, posts)}) AS received USING (user_id)"""
+    measures = post_measures(posts) | received_measures(comments, posts)
+    return f"""SELECT user_id, username, full_name, email, company_name, city,
+        {listed(measures, filled=True)} FROM {users} AS who"""
 
 
 def post_mart(posts: str, comments: str, users: str) -> str:
-    author = f"SELECT user_id AS author_id, username FROM {users}"
-    return f"""
-        SELECT post_id, user_id,
-               CASE WHEN author_id IS NULL THEN '' ELSE username END AS author_username,
-               title AS post_title, {zero("total_comments", "unique_commenter_emails")},
-               {average("avg_comment_length")},
-               {zero("min_comment_length", "max_comment_length")}
-        FROM {posts}
-        LEFT JOIN ({comment_metrics(comments)}) AS measured USING (post_id)
-        LEFT JOIN ({author}) AS author ON author_id = user_id"""
+    known = f"(SELECT count(*) FROM {users} AS author WHERE author.user_id = it.user_id)"
+    name = f"(SELECT max(username) FROM {users} AS author WHERE author.user_id = it.user_id)"
+    return f"""SELECT post_id, user_id, title AS post_title,
+        CASE {known} WHEN 0 THEN '' ELSE {name} END AS author_username,
+        {listed(comment_measures(comments), filled=True)} FROM {posts} AS it"""
 
 
 STAGED = ("stg_users", "stg_posts", "stg_comments")
@@ -235,13 +277,25 @@ ORACLE: dict[str, str] = {
         SELECT event_type IN ('click', 'view') AS is_array, count(*) AS payloads
         FROM events GROUP BY 1""",
     "registry_counts": sql(
-        """SELECT 'users' AS table_name, count(*) AS rows FROM users UNION ALL
-           SELECT 'posts', count(*) FROM posts UNION ALL
-           SELECT 'comments', count(*) FROM comments""",
+        """SELECT 'users' AS table_name, count(*) AS rows, count(email) AS filled,
+                  CAST(sum(strlen(name)) AS BIGINT) AS name_bytes FROM users UNION ALL
+           SELECT 'posts', count(*), count(body), CAST(sum(strlen(title)) AS BIGINT) FROM posts
+           UNION ALL
+           SELECT 'comments', count(*), count(email), CAST(sum(strlen(body)) AS BIGINT)
+           FROM comments""",
         "users",
         "posts",
         "comments",
     ),
+    "json_flatten_posts": sql(
+        """SELECT id, user_id, title, body, TIMESTAMP '2024-02-01' AS ingested_at FROM posts""",
+        "posts",
+    ),
+    "json_flatten_comments": sql(
+        """SELECT id, post_id, name, nullif(lower(trim(email)), '') AS email, body,
+                  TIMESTAMP '2024-02-01' AS ingested_at FROM comments""",
+        "comments",
+    ),
     "json_flatten": sql(FLAT_USERS, "users"),
     "ingest_users": sql(FLAT_USERS, "users"),
     "incremental_read": f"SELECT {COLUMNS} FROM events WHERE ts > TIMESTAMP '2024-01-05'",
@@ -348,20 +402,19 @@ ORACLE: dict[str, str] = {
         comments_received("rel_comments", "rel_posts"), "rel_comments", "rel_posts"
     ),
     "join_left_fill": sql(
-        f"""SELECT p.post_id, p.user_id, coalesce(total_comments, 0) AS total_comments,
-                   coalesce(unique_commenter_emails, 0) AS unique_commenter_emails,
-                   coalesce(avg_comment_length, 0) AS avg_comment_length,
-                   coalesce(min_comment_length, 0) AS min_comment_length,
-                   coalesce(max_comment_length, 0) AS max_comment_length
-            FROM rel_posts p LEFT JOIN ({comment_metrics("rel_comments")}) m
-            ON p.post_id = m.post_id""",
+        "SELECT post_id, user_id, "
+        + ", ".join(
+            f"coalesce({query}, 0) AS {name}"
+            for name, query in comment_measures("rel_comments").items()
+        )
+        + " FROM rel_posts AS it",
         "rel_comments",
         "rel_posts",
     ),
     "join_lookup": sql(
         """SELECT p.post_id, p.user_id, p.title, coalesce(c.c_name, '') AS author
-           FROM rel_posts p LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c
-           ON p.user_id = c.c_custkey""",
+           FROM rel_posts p LEFT JOIN customer c
+           ON p.user_id = c.c_custkey AND c.c_acctbal >= 0""",
         "rel_posts",
     ),
     "join_orphans": """
@@ -385,6 +438,18 @@ ORACLE: dict[str, str] = {
         "rel_posts",
         "rel_comments",
     ),
+    "mart_user_post_summary_hot": sql(
+        user_mart("rel_users", "hot_posts", "hot_comments"),
+        "rel_users",
+        "hot_posts",
+        "hot_comments",
+    ),
+    "mart_comment_statistics_hot": sql(
+        post_mart("hot_posts", "hot_comments", "rel_users"),
+        "rel_users",
+        "hot_posts",
+        "hot_comments",
+    ),
     "topk_users": sql(
         f"""SELECT user_id, username, total_posts, total_comments_received, unique_commenters
             FROM ({USER_MART}) ORDER BY total_comments_received DESC, user_id LIMIT 5""",
@@ -457,6 +522,13 @@ ORACLE: dict[str, str] = {
             UNION ALL
             SELECT 'lineitem', count(*), count(DISTINCT l_orderkey) FROM lineitem)""",
     # writes
+    "insert_ignore_repeats": sql(
+        """SELECT c_custkey AS id FROM customer UNION
+           SELECT s_suppkey FROM supplier UNION SELECT -s_suppkey - 1 FROM supplier"""
+    ),
+    "upsert_rebucketed": sql(UPSERTED, batch=UPSERT_BATCH),
+    "dated_two_loads": "SELECT event_id, event_type, ts FROM events",
+    "ttl_rewrite": "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-24'",
     "upsert_replace": sql(UPSERTED, batch=UPSERT_BATCH),
     "upsert_buckets": sql(UPSERTED, batch=UPSERT_BATCH),
     "replicate_batch": sql("SELECT * FROM raw_posts", "raw_posts"),

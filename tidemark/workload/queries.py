@@ -17,7 +17,7 @@ from tidemark.operators import aggregates as agg
 from tidemark.operators import changes as chg
 from tidemark.operators import joins, latest, quality, state, tables
 from tidemark.operators.skew import heaviest_keys
-from tidemark.operators.upsert import upsert
+from tidemark.operators.upsert import insert_ignore, upsert
 from tidemark.plans import marts, refresh, staging
 from tidemark.plans.ingest import ingest_entity, oltp_table
 from tidemark.plans.replicate import replicate
@@ -122,10 +122,29 @@ def payload_shape(src):
 
 @query
 def registry_counts(src):
-    frames = {
-        name: spec.transform(_records(src, name), BATCH_TS) for name, spec in ENTITIES.items()
-    }
-    return agg.table_counts(frames)
+    """Every entity through its registered transform; the counts need the parsed values."""
+    measured = {"users": ("email", "name"), "posts": ("body", "title"), "comments": ("email", "body")}
+    counts = []
+    for name, spec in ENTITIES.items():
+        flat = spec.transform(_records(src, name), BATCH_TS)
+        filled, sized = measured[name]
+        counted = flat.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count(filled).alias("filled"),
+            F.sum(fn.byte_length(F.col(sized))).cast("long").alias("name_bytes"),
+        )
+        counts.append(fn.label(counted, name))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query
+def json_flatten_posts(src):
+    return ENTITIES["posts"].transform(_records(src, "posts"), BATCH_TS)
+
+
+@query
+def json_flatten_comments(src):
+    return ENTITIES["comments"].transform(_records(src, "comments"), BATCH_TS)
 
 
 @query
@@ -361,12 +380,16 @@ def join_left_fill(src):
     return joins.left_metrics(posts, metrics, "post_id", unmatched="type_default")
 
 
+def _moved_debtors(src: fx.Tables) -> DataFrame:
+    """All customers; those with a debt under a key that nothing refers to."""
+    key = F.when(F.col("c_acctbal") < 0, -F.col("c_custkey") - 1).otherwise(F.col("c_custkey"))
+    return src("customer").withColumn("c_custkey", key)
+
+
 @query
 def join_lookup(src):
-    authors = (
-        src("customer")
-        .filter(F.col("c_acctbal") >= 0)
-        .select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("author"))
+    authors = _moved_debtors(src).select(
+        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("author")
     )
     posts = fx.rel_posts(src).select("post_id", "user_id", "title")
     return joins.lookup(posts, authors, "user_id", spread=["post_id"])
@@ -374,7 +397,7 @@ def join_lookup(src):
 
 @query
 def join_orphans(src):
-    known = src("customer").filter(F.col("c_acctbal") >= 0)
+    known = _moved_debtors(src)
     return joins.orphans(src("orders"), "o_custkey", known, "c_custkey").select(
         "o_orderkey", "o_custkey"
     )
@@ -442,6 +465,40 @@ def mart_comment_statistics_rel(src):
     ).drop("built_at")
 
 
+HOT_ROWS = 100
+
+
+def _hot_posts(src: fx.Tables) -> DataFrame:
+    """A third of all posts by one author."""
+    author = F.when(F.col("post_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id"))
+    return fx.rel_posts(src).withColumn("user_id", author.cast("long"))
+
+
+def _hot_comments(src: fx.Tables) -> DataFrame:
+    """A third of all comments on one post."""
+    first = src("orders").agg(F.min("o_orderkey")).first()[0]
+    hot = F.regexp_extract("commenter_email", "supp([0-9]+)@", 1).cast("long") % 3 == 0
+    return fx.rel_comments(src).withColumn(
+        "post_id", F.when(hot, F.lit(first)).otherwise(F.col("post_id"))
+    )
+
+
+@query
+def mart_user_post_summary_hot(src):
+    """The user mart with hot posts that are split over salts."""
+    return marts.mart_user_post_summary(
+        fx.rel_users(src), _hot_posts(src), _hot_comments(src), BUILT_AT, min_rows=HOT_ROWS
+    ).drop("built_at")
+
+
+@query
+def mart_comment_statistics_hot(src):
+    """The post mart with hot authors that are split over salts."""
+    return marts.mart_comment_statistics(
+        _hot_posts(src), _hot_comments(src), fx.rel_users(src), BUILT_AT, min_rows=HOT_ROWS
+    ).drop("built_at")
+
+
 @query
 def topk_users(src):
     return top_users(_user_mart(src))
@@ -529,7 +586,7 @@ def dq_unique(src):
 
 @query
 def dq_relationships(src):
-    known = src("customer").filter(F.col("c_acctbal") >= 0)
+    known = _moved_debtors(src)
     return quality.relationships(src("orders"), "o_custkey", known, "c_custkey")
 
 
@@ -615,6 +672,26 @@ def upsert_replace(src):
     return upsert(target, _upsert_batch(src), "id")
 
 
+@query
+def insert_ignore_repeats(src):
+    """Every supplier twice, in two versions: one row per new key arrives."""
+    target = _balances(src("customer"), "c", "c_custkey")
+    batch = _upsert_batch(src)
+    again = batch.withColumn("balance", F.col("balance") + 1)
+    return insert_ignore(target, batch.unionByName(again), "id").select("id")
+
+
+@query
+def upsert_rebucketed(src):
+    """Written with one number of buckets, updated by a caller that names another."""
+    spark = src.spark
+    target = _balances(src("customer"), "c", "c_custkey")
+    path = new_run_dir(spark, "rebucketed")
+    tables.SnapshotTable(spark, path, target.schema, "id", 4).publish(target)
+    tables.SnapshotTable(spark, path, target.schema, "id", 7).upsert(_upsert_batch(src))
+    return tables.SnapshotTable(spark, path, target.schema, "id").read()
+
+
 @query
 def upsert_buckets(src):
     """The same upsert into a written, bucketed table: only touched buckets are rewritten."""
@@ -705,6 +782,27 @@ def _dated_events(src: fx.Tables) -> DataFrame:
     return tables.read_dated(src.spark, path, events.schema)
 
 
+@query
+def dated_two_loads(src):
+    """Two loads that share every date: both are there afterwards."""
+    events = src("events").select("event_id", "event_type", "ts")
+    path = new_run_dir(src.spark, "dated-twice")
+    for part in (F.col("event_type") == "click", F.col("event_type") != "click"):
+        tables.write_by_date(events.filter(part), "ts", path)
+    return tables.read_dated(src.spark, path, events.schema).drop(tables.DATE_PARTITION)
+
+
+@query
+def ttl_rewrite(src):
+    events = src("events")
+    old, new = (new_run_dir(src.spark, name) for name in ("dated", "dated-kept"))
+    tables.write_by_date(events, "ts", old)
+    tables.remove_expired(
+        src.spark, old, new, events.schema, "ts", timedelta(days=7), datetime(2024, 1, 31)
+    )
+    return tables.read_dated(src.spark, new, events.schema).drop(tables.DATE_PARTITION)
+
+
 @query
 def partition_prune(src):
     wanted = tables.between_dates(
@@ -743,6 +841,10 @@ def _event_stream(src: fx.Tables, with_origin: bool = False) -> DataFrame:
     """The events table as a stream of files, with a zoned event time."""
     folder, name = src.paths["events"].rsplit("/", 1)
     schema = src("events").schema
+    some = src("events").select("_metadata.file_name").first()
+    if some is None or some[0] != name:
+        # The table is a folder of part files, not one file.
+        folder, name = src.paths["events"], None
     stream = file_stream(src.spark, folder, schema, FILES_PER_BATCH, name, with_origin)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
