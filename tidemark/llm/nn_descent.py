@@ -12,9 +12,8 @@ expanded: their neighbours are looked up and scored where they are stored, in pa
 of the node table, and only those that enter the beam travel back. It ends when every
 beam is expanded; the beam is then scored on the original vectors in double precision.
 
-Equal vectors are one node. Lists have a fixed length, as in any such graph; a node that
-stands in very many lists is split over several lists' owners, none of its edges is left
-out. Working sets are bounded: a task merges some nodes at a time and joins ``CENTER``
+Equal vectors are one node. Lists have a fixed length, as in any such graph; the members of
+a node that stands in very many lists are dealt to several tasks, none is left out. Working sets are bounded: a task merges some nodes at a time and joins ``CENTER``
 members at a time.
 """
 
@@ -32,13 +31,12 @@ NEIGHBOURS = 24
 ROUNDS = 5
 PASSES = 3
 BLOCK = 256
-#: Members that are joined at once, and list memberships of a node beyond which it is split.
+#: Members that are joined at once.
 CENTER = 128
-HUB = 512
 #: Links of a node that a search follows: its list and the lists it stands in.
 SEARCH_LINKS = 64
 BEAM = 400
-EXPANDED = 32
+EXPANDED = 100
 TOP = 20
 SHARD_NODES = 16_384
 #: Candidate pairs held by a task before they are merged.
@@ -236,49 +234,46 @@ def _edges(graph: DataFrame) -> DataFrame:
 
 def _round(graph: DataFrame, k: int) -> DataFrame:
     """One round: members of each list, and of the lists' owners, meet each other."""
-    edges = _edges(graph)
-    hubs = edges.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HUB)
-    part = F.pmod(F.xxhash64("m"), F.coalesce(F.ceil(F.col("n") / HUB), F.lit(1)))
-    dealt = edges.join(hubs, "c", "left").select("c", "m", part.cast("int").alias("part"))
-    members = dealt.join(graph.select(F.col("u").alias("m"), "q", "scale", "worst"), "m")
-    placed = members.select("c", "part", "m", "q", "scale", "worst").repartition("c", "part")
+    members = _edges(graph).join(graph.select(F.col("u").alias("m"), "q", "scale", "worst"), "m")
+    # Spark splits the members of a node that stands in very many lists over several tasks.
+    placed = members.select("c", "m", "q", "scale", "worst").hint("rebalance", "c")
 
     def meet(batches):
         held: list[tuple] = []
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size, last = 0, None
         for batch in batches:
-            names = ("c", "part", "m", "q", "scale", "worst")
+            names = ("c", "m", "q", "scale", "worst")
             for row in zip(*(column(batch, x) for x in names), strict=True):
-                if held and (row[:2] != last or len(held) == CENTER):
+                if held and (row[0] != last or len(held) == CENTER):
                     found.append(_met(held))
                     size += len(found[-1][0])
                     held = []
                     if size >= HELD:
                         yield from record_batches(_lists(*map(np.concatenate, zip(*found, strict=True)), k), _LIST_SCHEMA)
                         found, size = [], 0
-                last = row[:2]
+                last = row[0]
                 held.append(row)
         if held:
             found.append(_met(held))
         if found:
             yield from record_batches(_lists(*map(np.concatenate, zip(*found, strict=True)), k), _LIST_SCHEMA)
 
-    better = placed.sortWithinPartitions("c", "part").mapInArrow(meet, LISTS)
+    better = placed.sortWithinPartitions("c").mapInArrow(meet, LISTS)
     return _merged(graph.unionByName(better), k)
 
 
 def _met(held: list[tuple]):
     """Pairs of members that improve the list of the first of them."""
-    unique = {r[2]: r for r in held}
-    sizes = {len(r[3]) for r in unique.values()}
+    unique = {r[1]: r for r in held}
+    sizes = {len(r[2]) for r in unique.values()}
     us, vs, scores = [], [], []
     for size in sizes:
-        rows = [r for r in unique.values() if len(r[3]) == size]
-        m = np.array([r[2] for r in rows], np.int64)
-        score = _dots([r[3] for r in rows], [r[4] for r in rows])
+        rows = [r for r in unique.values() if len(r[2]) == size]
+        m = np.array([r[1] for r in rows], np.int64)
+        score = _dots([r[2] for r in rows], [r[3] for r in rows])
         np.fill_diagonal(score, -np.inf)
-        i, j = np.nonzero(score > np.array([r[5] for r in rows], np.float32)[:, None])
+        i, j = np.nonzero(score > np.array([r[4] for r in rows], np.float32)[:, None])
         us.append(m[i])
         vs.append(m[j])
         scores.append(score[i, j])
