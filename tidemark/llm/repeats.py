@@ -40,11 +40,12 @@ LENGTH = 400
 GRAM = 48
 DEPTH = 4
 #: Bytes of text scanned at once, of a task's working set, and of a shard.
-SCAN = 1 << 20
-WORKING_SET = 1 << 20
-SHARD = 1 << 18
-#: A group of more different pieces than this is cut into single windows.
-GROUP_PIECES = 20_000
+SCAN = 1 << 19
+WORKING_SET = 1 << 19
+SHARD = 1 << 17
+#: A group of more different pieces than this is cut into single windows. A piece has fewer
+#: than ``2 * length`` bytes, so a group that one task gathers has 1.6 MB at most.
+GROUP_PIECES = 2_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
