@@ -12,13 +12,16 @@ from tidemark.llm import (
     byte_bpe,
     embedding_dedup,
     html_text,
+    merkle,
     nn_descent,
     packing,
+    quality_rules,
     repeats,
     simhash,
     token_files,
     toxicity,
     warc,
+    whitening,
 )
 from tidemark.llm.common import read_table
 
@@ -78,6 +81,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_tampered(read_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -89,8 +113,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_text": op9_html_text,
     "op10_warc": op10_warc,
+    "op11_merkle": op11_merkle,
+    "op12_whitening": op12_whitening,
+    "op13_quality_rules": op13_quality_rules,
 }
 
+_SPACE = r"[\x20\x09-\x0D]"
+_STOP_WORDS = ", ".join(
+    f"'{form}'" for word in quality_rules.STOP_WORDS for form in {word, word.capitalize()}
+)
+
 ORACLE: dict[str, str] = {
     "op7_embedding_dedup": """
         WITH RECURSIVE vectors AS (
@@ -125,4 +157,49 @@ ORACLE: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
         FROM newest
     """,
+    "op13_quality_rules": rf"""
+        WITH docs AS (
+            SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS body,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ), starts AS (
+            SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM docs WHERE len(words) > 5
+        ), windows AS (
+            SELECT r, i, array_to_string(words[i : i + 4], ' ') AS w FROM starts
+        ), repeated AS (
+            SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1
+        ), covered AS (
+            SELECT r, count(DISTINCT i + k) AS n
+            FROM repeated, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY r
+        ), measures AS (
+            SELECT doc_id, len(words) AS n_words,
+                   coalesce(list_sum(list_transform(words, lambda w: len(w))), 0) AS word_chars,
+                   len(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(n, 0) AS n_repeat_words,
+                   len(list_filter(words, lambda w: rtrim(w, '.,;:!?') IN ({_STOP_WORDS})))
+                       AS n_stop_words,
+                   len(list_filter(lines, lambda l: regexp_matches(l, '^{_SPACE}*[-*•]')))
+                       AS n_bullet_lines,
+                   len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…){_SPACE}*$')))
+                       AS n_cut_lines
+            FROM docs LEFT JOIN covered USING (r)
+        ), base AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+            FROM measures
+        )
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+               CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+               CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+               NOT base_failed
+               AND word_chars >= 3.0 * n_words AND word_chars <= 10.0 * n_words
+               AND n_symbols <= 0.1::DOUBLE * n_words
+               AND (n_words < 20 OR n_stop_words >= 0.05::DOUBLE * n_words)
+               AND (n_lines < 10 OR n_dup_lines <= 0.3::DOUBLE * n_lines)
+               AND (n_lines < 5 OR n_bullet_lines <= 0.9::DOUBLE * n_lines)
+               AND (n_lines < 5 OR n_cut_lines <= 0.3::DOUBLE * n_lines) AS kept
+        FROM base
+    """,
 }
