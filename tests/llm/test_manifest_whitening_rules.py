@@ -321,9 +321,9 @@ def test_each_rule_and_its_least_size(spark):
         ("symbols",): plain + "wind### town$$",
         ("stop_words",): " ".join(f"wort{i}" for i in range(30)),
         ("word_length",): " ".join(f"the {'x' * 40}{i}" for i in range(12)),
-        ("bullet_lines",): "\n".join(f"- the town of number {i}" for i in range(12)),
+        ("bullet_lines",): "\n".join(f"- the village of number {i}" for i in range(12)),
         ("cut_lines",): "\n".join(f"the town of number {i}…" for i in range(12)),
-        ("repeated_lines",): "\n".join(f"the town of {i % 5 if i < 12 else i}" for i in range(16)),
+        ("repeated_lines",): "\n".join(f"the village of {i % 5 if i < 12 else i}" for i in range(16)),
     }
     docs = spark.createDataFrame(list(enumerate(cases.values())), "doc_id long, text string")
     got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}

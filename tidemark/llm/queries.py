@@ -157,6 +157,78 @@ ORACLE: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
         FROM newest
     """,
+    "op11_merkle": """
+        WITH RECURSIVE docs AS (
+            SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                       AS lowered,
+                   list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                              lambda c: CAST(ord(c) AS BIGINT)),
+                       lambda crc, byte: list_reduce(range(8), lambda x, step:
+                           xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)),
+                       4294967295) AS remainder
+            FROM documents
+        ), framed AS (
+            SELECT doc_id, source, (4294967295 - remainder) % 5 = 0 AS tampered, lowered, text,
+                   list_aggregate(list_transform(
+                       [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)],
+                       lambda v: coalesce(strlen(v) || ':' || v, '-')), 'string_agg', '') AS head
+            FROM docs
+        ), leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN tampered
+                        THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-'))
+                        ELSE leaf END AS claimed
+            FROM framed
+        ), placed AS (
+            SELECT *, row_number() OVER () AS r,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+                   count(*) OVER (PARTITION BY source) AS size,
+                   dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree
+            FROM leaves
+        ), nodes AS (
+            SELECT tree, 0 AS level, idx, size, leaf AS digest FROM placed
+            UNION ALL
+            SELECT tree, level + 1, idx // 16, (size + 15) // 16,
+                   sha256(string_agg(digest, '' ORDER BY idx))
+            FROM nodes WHERE size > 1 GROUP BY tree, level, idx // 16, size
+        ), crown AS (
+            SELECT 0 AS level, tree AS idx, count(*) OVER () AS size, digest
+            FROM nodes WHERE size = 1
+            UNION ALL
+            SELECT level + 1, idx // 16, (size + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx))
+            FROM crown WHERE size > 1 GROUP BY level, idx // 16, size
+        ), siblings AS (
+            SELECT r, level AS step, nodes.idx < placed.idx // (1::BIGINT << (4 * level)) AS before,
+                   nodes.idx, digest, nodes.idx = placed.idx // (1::BIGINT << (4 * level)) AS own
+            FROM placed JOIN nodes ON placed.tree = nodes.tree AND nodes.size > 1
+                AND nodes.idx // 16 = placed.idx // (1::BIGINT << (4 * level + 4))
+            UNION ALL
+            SELECT r, 100 + level, crown.idx < tree // (1::BIGINT << (4 * level)), crown.idx, digest,
+                   crown.idx = tree // (1::BIGINT << (4 * level))
+            FROM placed JOIN crown ON crown.size > 1
+                AND crown.idx // 16 = tree // (1::BIGINT << (4 * level + 4))
+        ), steps AS (
+            SELECT r, row_number() OVER (PARTITION BY r ORDER BY step) AS place,
+                   coalesce(string_agg(digest, '' ORDER BY idx) FILTER (before), '') AS lefts,
+                   coalesce(string_agg(digest, '' ORDER BY idx) FILTER (NOT before AND NOT own), '')
+                       AS rights
+            FROM siblings GROUP BY r, step
+        ), folded AS (
+            SELECT r, 1 AS place, claimed AS digest FROM placed
+            UNION ALL
+            SELECT r, place + 1, sha256(lefts || digest || rights) FROM folded JOIN steps USING (r, place)
+        ), proofs AS (
+            SELECT r, sha256(string_agg(lefts || rights, '' ORDER BY place)) AS proof_sha256
+            FROM steps GROUP BY r
+        )
+        SELECT doc_id, leaf, nodes.digest AS subroot, crown.digest AS root,
+               coalesce(proof_sha256, sha256('')) AS proof_sha256, last.folded_root,
+               last.folded_root = crown.digest AS verified
+        FROM placed JOIN nodes ON placed.tree = nodes.tree AND nodes.size = 1
+        JOIN crown ON crown.size = 1
+        JOIN (SELECT r, arg_max(digest, place) AS folded_root FROM folded GROUP BY r) AS last USING (r)
+        LEFT JOIN proofs USING (r)
+    """,
     "op13_quality_rules": rf"""
         WITH docs AS (
             SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS body,
