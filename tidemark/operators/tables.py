@@ -13,10 +13,21 @@ from pyspark.sql import types as T
 
 from tidemark.functions import timestamp_literal
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.upsert import merge_partitioned, upsert
+from tidemark.operators.upsert import BEFORE, CHANGED, SIGN, by_partition, merge_partitioned, upsert
 from tidemark.schemas import BATCH_SEQ, with_batch_seq
 
 BUCKET = "__bucket"
+VERSION = "__version"
+
+# Inside a landing table; Spark does not list folders with such names as data.
+LIVE_LIST, COMPACTED = "_live", "_compacted"
+_LIVE = T.StructType(
+    [
+        T.StructField("switch", T.LongType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("upto", T.LongType()),
+    ]
+)
 
 
 # ---- typed rows -------------------------------------------------------------------
@@ -57,9 +68,67 @@ def append_landing(df: DataFrame, path: str, columns: Sequence[str], batch_seq:
     return target
 
 
+def _live_batches(spark: SparkSession, path: str) -> tuple[int, str, int]:
+    """Number of compactions, folder of the last one, and the last batch it holds."""
+    try:
+        switches = spark.read.schema(_LIVE).parquet(f"{path}/{LIVE_LIST}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0, "", 0
+        raise
+    newest = switches.orderBy(F.desc("switch")).first()
+    return (0, "", 0) if newest is None else tuple(newest)
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All versions of all batches, with their batch number."""
-    return spark.read.schema(with_batch_seq(schema)).parquet(path)
+    """All live versions, with their batch number.
+
+    Those are the rows of the last compaction, if any, and all batches after it.
+    """
+    numbered = with_batch_seq(schema)
+    _, compacted, upto = _live_batches(spark, path)
+    if not compacted:
+        return spark.read.schema(numbered).parquet(path)
+    folded = spark.read.schema(numbered).parquet(f"{path}/{COMPACTED}/{compacted}")
+    try:
+        later = spark.read.schema(numbered).parquet(path).filter(F.col(BATCH_SEQ) > upto)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":  # the storage has dropped the old batches
+            return folded
+        raise
+    return folded.unionByName(later)
+
+
+def compact_landing_in_place(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    key: str,
+    version: str,
+    files: int | None = None,
+) -> int:
+    """Fold all live batches of a landing table into one version per key, sorted by key.
+
+    The table stays a landing table: rows keep the number of their batch, later batches are
+    appended as before, and it can be folded again. The folded rows go to a fresh folder,
+    and one row appended to the list of live batches makes readers switch; until then, and
+    after a run that died, they read the batches. Batches up to the returned number, and
+    earlier folded folders, are for the storage to drop once no reader is left.
+
+    The newest batch number counts as seen: a batch with a smaller one that arrives later
+    is not read, so numbers must grow, as those of replication do.
+    """
+    live = read_landing(spark, path, schema)
+    upto = live.agg(F.max(BATCH_SEQ)).first()[0]
+    switch, _, folded_upto = _live_batches(spark, path)
+    if upto is None or (switch and upto <= folded_upto):
+        return folded_upto
+    folder = uuid.uuid4().hex
+    kept = latest_per_key(live, key, version).select(*schema.fieldNames(), BATCH_SEQ)
+    sorted_layout(kept, key, files).write.parquet(f"{path}/{COMPACTED}/{folder}")
+    row = spark.createDataFrame([(switch + 1, folder, upto)], _LIVE).coalesce(1)
+    row.write.mode("append").parquet(f"{path}/{LIVE_LIST}")
+    return upto
 
 
 def sorted_layout(df: DataFrame, key: str, files: int | None = None) -> DataFrame:
@@ -78,16 +147,21 @@ def sorted_layout(df: DataFrame, key: str, files: int | None = None) -> DataFram
 class SnapshotTable:
     """A Parquet table that is replaced as a whole or bucket by bucket.
 
-    Data files are written under a fresh directory and become visible by appending one
-    row per bucket to a small commit table; nothing a reader may be scanning is ever
-    overwritten, and a job that dies before the commit leaves the table as it was. One
-    writer at a time is assumed.
+    Data files are written under a fresh directory and become visible by appending the
+    paths of all buckets, one row each, to a small commit table; nothing a reader may be
+    scanning is ever overwritten, and a job that dies before the commit leaves the table as
+    it was. One writer at a time is assumed. Any version that the storage still holds can
+    be read; ``pinned`` (see :class:`Release`) makes one version the base of reads and
+    writes, whatever was written after it.
 
     With ``buckets`` > 1 the rows are hashed by ``key``, and :meth:`upsert` reads and
     rewrites only the buckets the batch touches. Pick the number so that one bucket is
     around a gigabyte. The number is stored with every commit: a table that exists is
     updated with the number it was written with, whatever the caller says. Writing the
     table as a whole deals it out anew with the caller's number, if one is given.
+
+    With ``feed=True`` an upsert also writes the rows it changed, before and after, under
+    its version: :meth:`changes` reads them without touching the table.
     """
 
     COMMITS = T.StructType(
@@ -96,6 +170,7 @@ class SnapshotTable:
             T.StructField("bucket", T.IntegerType()),
             T.StructField("path", T.StringType()),
             T.StructField("buckets", T.IntegerType()),
+            T.StructField("fed", T.BooleanType()),
         ]
     )
 
@@ -115,8 +190,9 @@ class SnapshotTable:
         self.key = key
         self.wanted_buckets = buckets
         self.buckets = buckets or 1
+        self.pinned: int | None = None
 
-    # -- commit table: a few rows per version, one path per bucket when read
+    # -- commit table: per version one path for each bucket
 
     def _commits(self) -> DataFrame | None:
         try:
@@ -126,34 +202,37 @@ class SnapshotTable:
                 return None
             raise
 
-    def _live(self) -> tuple[int, dict[int, str]]:
-        """Latest version and the current path of each bucket (at most ``buckets``).
+    def _newest(self) -> int:
+        commits = self._commits()
+        return 0 if commits is None else commits.agg(F.max("version")).first()[0] or 0
+
+    def _live(self, version: int | None = None) -> tuple[int, dict[int, str]]:
+        """A version, the pinned or else the newest one, and the path of each bucket.
 
-        Takes over the stored number of buckets. Paths of an older number are not current.
+        Takes over the number of buckets of that version.
         """
-        commits = self._commits()
-        if commits is None:
+        if version is None:
+            version = self._newest() if self.pinned is None else self.pinned
+        if not version:
             return 0, {}
-        rows = (
-            commits.groupBy("buckets", "bucket")
-            .agg(F.max_by("path", "version").alias("path"), F.max("version").alias("version"))
-            .collect()
-        )
-        newest = max(rows, key=lambda r: r["version"], default=None)
-        if newest is None:
-            return 0, {}
-        self.buckets = newest["buckets"]
-        current = {
-            r["bucket"]: r["path"] for r in rows if r["buckets"] == self.buckets and r["path"]
-        }
-        return newest["version"], current
-
-    def _commit(self, version: int, paths: dict[int, str]) -> None:
-        rows = [(version, bucket, path, self.buckets) for bucket, path in sorted(paths.items())]
+        rows = self._commits().filter(F.col("version") == version).collect()
+        if not rows:
+            raise ValueError(f"{self.path} has no version {version}")
+        self.buckets = rows[0]["buckets"]
+        return version, {r["bucket"]: r["path"] for r in rows if r["path"]}
+
+    def _commit(self, paths: dict[int, str], fed: bool = False) -> int:
+        version = self._newest() + 1
+        rows = [(version, b, paths.get(b, ""), self.buckets, fed) for b in range(self.buckets)]
         commit = self.spark.createDataFrame(rows, self.COMMITS).coalesce(1)
         commit.write.mode("append").parquet(f"{self.path}/commits")
+        if self.pinned is not None:
+            self.pinned = version
+        return version
 
     def _bucket(self) -> Column:
+        if self.buckets == 1:
+            return F.lit(0)
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
     def _write(self, df: DataFrame, sort_key: str | None, files: int | None) -> str:
@@ -172,19 +251,18 @@ class SnapshotTable:
         return data
 
     def _write_buckets(self, placed: DataFrame, data: str) -> None:
-        placed.write.partitionBy(BUCKET).parquet(data)
-
-    def _paths(self, data: str, buckets: Sequence[int]) -> dict[int, str]:
         if self.buckets == 1:
-            return {0: data}
-        return {b: f"{data}/{BUCKET}={b}" for b in buckets}
+            placed.drop(BUCKET).write.parquet(data)
+        else:
+            placed.write.partitionBy(BUCKET).parquet(data)
 
-    def _buckets_in(self, data: str) -> list[int]:
+    def _paths(self, data: str) -> dict[int, str]:
+        """Paths of the buckets that have rows in a written directory."""
         if self.buckets == 1:
-            return [0]
-        schema = T.StructType(self.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+            return {0: data}
+        schema = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         found = self.spark.read.schema(schema).parquet(data).select(BUCKET).distinct()
-        return [r[BUCKET] for r in found.collect()]
+        return {r[BUCKET]: f"{data}/{BUCKET}={r[BUCKET]}" for r in found.collect()}
 
     def exists(self) -> bool:
         return self._commits() is not None
@@ -192,84 +270,202 @@ class SnapshotTable:
     def version(self) -> int:
         return self._live()[0]
 
-    def _read_paths(self, paths: Sequence[str]) -> DataFrame:
+    def _read_paths(self, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+        schema = schema or self.schema
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
-    def read(self) -> DataFrame:
-        """The current rows."""
-        live = self._live()[1]
+    def read(self, version: int | None = None) -> DataFrame:
+        """The rows of a version, by default the current one."""
+        live = self._live(version)[1]
         return self._read_paths([live[b] for b in sorted(live)])
 
+    def read_keys(self, keys: DataFrame) -> DataFrame:
+        """The current rows whose key is in ``keys``, reading only the buckets of those."""
+        _, live = self._live()
+        touched = self._touched(keys)
+        stored = self._read_paths([live[b] for b in sorted(touched) if b in live])
+        return stored.join(keys.select(self.key).distinct(), self.key, "left_semi")
+
     def publish(
         self, df: DataFrame, sort_key: str | None = None, files: int | None = None
     ) -> int:
-        """Replace the whole table."""
-        return self._replace(self._live()[0], df, sort_key, files)
+        """Replace the whole table; returns the new version."""
+        return self._replace(df, sort_key, files)
 
     def update(self, change: Callable[[DataFrame], DataFrame]) -> int:
         """Replace the whole table by ``change(current rows)``."""
-        version, live = self._live()
-        return self._replace(version, change(self._read_paths([live[b] for b in sorted(live)])))
+        return self._replace(change(self.read()))
 
     def _replace(
-        self, version: int, df: DataFrame, sort_key: str | None = None, files: int | None = None
+        self, df: DataFrame, sort_key: str | None = None, files: int | None = None
     ) -> int:
         if self.wanted_buckets:
             self.buckets = self.wanted_buckets
-        data = self._write(df, sort_key, files)
-        paths = self._paths(data, self._buckets_in(data))
-        self._commit(version + 1, {b: paths.get(b, "") for b in range(self.buckets)})
-        return version + 1
+        return self._commit(self._paths(self._write(df, sort_key, files)))
 
-    def upsert(self, batch: DataFrame, **options) -> int:
-        """Insert or replace by key; returns the number of rows of the batch.
+    # -- changes of some buckets
+
+    def _staged(self, rows: DataFrame) -> DataFrame:
+        """Rows written down: they are read several times, their stamps must not change in
+        between, and their true file size is what lets Spark broadcast a small batch."""
+        path = f"{self.path}/incoming/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _touched(self, rows: DataFrame) -> dict[int, int]:
+        """Number of rows by bucket, at most ``buckets`` entries."""
+        counted = rows.groupBy(self._bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+        return {r["bucket"]: r["n"] for r in counted.collect()}
+
+    def _rewrite(
+        self,
+        staged: DataFrame,
+        merge: Callable[[DataFrame, DataFrame], DataFrame],
+        feed: bool = False,
+    ) -> int:
+        """Replace the buckets of ``staged`` by ``merge(stored, staged)``; rows of ``staged``.
 
-        ``options`` are those of :func:`tidemark.operators.upsert.upsert`. The batch is
-        written down first: it is read several times below, its stamps must not change
-        in between, and its true file size is what lets Spark broadcast a small one.
+        Both frames carry their bucket, and the merged rows are left dealt out by it.
         """
-        staged_path = f"{self.path}/incoming/{uuid.uuid4().hex}"
-        batch.select(*self.schema.fieldNames()).write.parquet(staged_path)
-        staged = self.spark.read.schema(self.schema).parquet(staged_path)
-        version, live = self._live()
-        bucket = self._bucket() if self.buckets > 1 else F.lit(0)
-        touched = {
-            r["bucket"]: r["count"]
-            for r in staged.groupBy(bucket.alias("bucket")).count().collect()
-        }
-        if touched:
-            stored = self._read_paths([live[b] for b in sorted(touched) if b in live])
-            if self.buckets == 1:
-                data = self._write(upsert(stored, staged, self.key, **options), None, None)
-            else:
-                data = f"{self.path}/data/{uuid.uuid4().hex}"
-                numbered = (df.withColumn(BUCKET, self._bucket()) for df in (stored, staged))
-                merged = merge_partitioned(*numbered, self.key, BUCKET, self.buckets, **options)
-                self._write_buckets(merged, data)
-            self._commit(version + 1, self._paths(data, list(touched)))
+        _, live = self._live()
+        touched = self._touched(staged)
+        if not touched:
+            return 0
+        stored = self._read_paths([live[b] for b in sorted(touched) if b in live])
+        data = f"{self.path}/data/{uuid.uuid4().hex}"
+        numbered = (df.withColumn(BUCKET, self._bucket()) for df in (stored, staged))
+        self._write_buckets(merge(*numbered), data)
+        if feed:
+            self._write_feed(data)
+        untouched = {b: path for b, path in live.items() if b not in touched}
+        self._commit(untouched | self._paths(data), feed)
         return sum(touched.values())
 
+    def upsert(self, batch: DataFrame, feed: bool = False, **options) -> int:
+        """Insert or replace by key; returns the number of rows of the batch.
+
+        ``options`` are those of :func:`tidemark.operators.upsert.upsert`.
+        """
+        self._live()
+        staged = self._staged(batch.select(*self.schema.fieldNames()))
+
+        def merge(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+            if self.buckets == 1 and not feed:
+                return upsert(stored.drop(BUCKET), incoming.drop(BUCKET), self.key, **options)
+            return merge_partitioned(
+                stored, incoming, self.key, BUCKET, self.buckets, feed=feed, **options
+            )
+
+        return self._rewrite(staged, merge, feed)
+
+    def replace_keys(self, keys: DataFrame, rows: DataFrame, quiet: bool = False) -> int:
+        """Replace all rows of ``keys`` by ``rows``; a key without a row leaves the table.
+
+        Returns the number of keys. Only the buckets of the keys are rewritten. ``quiet``
+        tells readers of the feed that nothing changed, as when only tombstones go.
+        """
+        self._live()
+        present, incoming = "__present", "__incoming"
+        found = rows.select(*self.schema.fieldNames()).withColumn(present, F.lit(True))
+        staged = self._staged(keys.select(self.key).distinct().join(found, self.key, "left"))
+
+        def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
+            both = new.withColumn(incoming, F.lit(True)).unionByName(
+                stored.withColumns({present: F.lit(True), incoming: F.lit(False)})
+            )
+            order = Window.partitionBy(BUCKET, self.key).orderBy(F.col(incoming).desc())
+            ranked = by_partition(both, BUCKET, self.buckets).withColumn(
+                "__rank", F.row_number().over(order)
+            )
+            kept = ranked.filter((F.col("__rank") == 1) & F.col(present))
+            return kept.select(*self.schema.fieldNames(), BUCKET)
+
+        return self._rewrite(staged, merge, quiet)
+
+    def add(self, delta: DataFrame, by: Sequence[str], count: str) -> int:
+        """Add signed partial sums to the stored ones, group by group.
+
+        All columns but ``by`` are sums. A group whose ``count`` falls to zero leaves the
+        table; a negative count means that something unknown was taken away, and fails.
+        Returns the number of groups of the delta.
+        """
+        self._live()
+        sums = [f.name for f in self.schema.fields if f.name not in by]
+        total = [F.sum(c).alias(c) for c in sums]
+        grouped = delta.groupBy(*by).agg(*total).select(*self.schema.fieldNames())
+        changed = F.lit(False)
+        for c in sums:
+            changed = changed | (F.col(c) != 0)
+        staged = self._staged(grouped.filter(changed))
+        failure = F.raise_error(F.concat(F.lit("negative count for "), F.to_json(F.struct(*by))))
+
+        def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
+            both = by_partition(stored.unionByName(new), BUCKET, self.buckets)
+            merged = both.groupBy(BUCKET, *by).agg(*total)
+            checked = F.when(F.col(count) < 0, failure.cast("boolean")).otherwise(F.col(count) > 0)
+            kept = merged.filter(checked).select(*self.schema.fieldNames(), BUCKET)
+            return kept.sortWithinPartitions(BUCKET, self.key)
+
+        return self._rewrite(staged, merge)
+
+    # -- change feed
+
+    def _write_feed(self, data: str) -> None:
+        """The changed rows of freshly written data, as images before (-1) and after (1)."""
+        image = T.StructType(self.schema.fields)
+        fields = [T.StructField(CHANGED, T.BooleanType()), T.StructField(BEFORE, image)]
+        wide = T.StructType([*self.schema.fields, *fields])
+        # Data written without images, quietly, has no such column: nothing changed.
+        changed = self.spark.read.schema(wide).parquet(data).filter(F.col(CHANGED))
+        names = self.schema.fieldNames()
+        images = F.array(
+            F.struct(F.lit(1).alias(SIGN), F.struct(*names).alias("row")),
+            F.when(F.col(BEFORE).isNotNull(), F.struct(F.lit(-1).alias(SIGN), F.col(BEFORE).alias("row"))),
+        )
+        rows = changed.select(F.explode(F.array_compact(images)).alias("i")).select("i.row.*", f"i.{SIGN}")
+        # A dead attempt at this version left at most this folder, which no commit names.
+        rows.write.mode("overwrite").parquet(f"{self.path}/feed/{VERSION}={self._newest() + 1}")
+
+    def changes(self, after: int = 0, upto: int | None = None) -> DataFrame:
+        """Images of the versions after ``after``: rows with ``__sign`` and ``__version``.
+
+        Summed over versions the signs of equal rows cancel out: what remains is the change
+        from the one version to the other.
+        """
+        upto = self.version() if upto is None else upto
+        schema = T.StructType(
+            [*self.schema.fields, T.StructField(SIGN, T.IntegerType()), T.StructField(VERSION, T.LongType())]
+        )
+        if upto <= after:
+            return self.spark.createDataFrame([], schema)
+        fed = self._commits().filter((F.col("version") > after) & (F.col("version") <= upto))
+        missing = fed.filter(~F.coalesce("fed", F.lit(False))).agg(F.min("version")).first()[0]
+        if missing is not None:
+            raise ValueError(f"{self.path}: version {missing} was written without a feed")
+        paths = [f"{self.path}/feed/{VERSION}={v}" for v in range(after + 1, upto + 1)]
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/feed")
+        return reader.parquet(*paths)
+
     def obsolete_paths(self, keep: int = 2) -> DataFrame:
         """Folders that no current reader needs: ``(path)``.
 
-        Data of versions older than the last ``keep`` of their bucket, data that no commit
-        names (a write that died) and staged batches. Deleting them is left to the storage
-        (a lifecycle rule or a file tool), once no reader of an old version and no writer
-        is left.
+        Data that only versions before the last ``keep`` (and before a pinned one) name, data
+        that no commit names (a write that died) and staged batches. Deleting them is left to
+        the storage (a lifecycle rule or a file tool), once no reader of an old version and no
+        writer is left. Feeds are not listed: their consumers decide.
         """
-        version, _ = self._live()
-        newest = Window.partitionBy("buckets", "bucket").orderBy(F.desc("version"))
+        oldest = self._newest() - keep + 1
+        if self.pinned is not None:
+            oldest = min(oldest, self.pinned)
         named = (
             self._commits()
-            .withColumn("age", F.row_number().over(newest))
             .filter("path <> ''")
+            .groupBy("path")
+            .agg(F.max("version").alias("version"))
             .withColumn("tail", F.regexp_extract("path", "(data/[^/]+)(/|$)", 1))
         )
-        old = F.when(F.col("buckets") == self.buckets, F.col("age") > keep).otherwise(
-            F.col("version") <= version - keep
-        )
         stored = (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
@@ -281,13 +477,74 @@ class SnapshotTable:
             .withColumn("tail", F.regexp_extract("path", "((?:data|incoming)/[^/]+)$", 1))
         )
         unnamed = stored.join(named.select("tail").distinct(), "tail", "left_anti")
-        return named.filter(old).select("path").unionByName(unnamed.select("path")).distinct()
+        old = named.filter(F.col("version") < oldest)
+        return old.select("path").unionByName(unnamed.select("path")).distinct()
+
+
+class Release:
+    """Several tables that become visible together.
+
+    A release is one small file that names a version of each table. Tables are pinned to the
+    current release, written (which moves only their own pin), checked, and made visible by
+    :meth:`commit`. Versions written by a run that died or whose checks failed stay out of
+    every release; the next run starts from the released ones again.
+    """
+
+    ROWS = T.StructType(
+        [
+            T.StructField("release", T.LongType()),
+            T.StructField("name", T.StringType()),
+            T.StructField("version", T.LongType()),
+        ]
+    )
+
+    def __init__(self, spark: SparkSession, path: str, tables: dict[str, SnapshotTable]):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.tables = tables
+
+    def _rows(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(self.ROWS).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def current(self) -> tuple[int, dict[str, int]]:
+        """Number of the newest release and its version of each table."""
+        rows = self._rows()
+        newest = None if rows is None else rows.agg(F.max("release")).first()[0]
+        if newest is None:
+            return 0, {}
+        named = rows.filter(F.col("release") == newest).collect()  # one row per table
+        return newest, {r["name"]: r["version"] for r in named}
+
+    def pin(self) -> int:
+        """Pin all tables to the current release; returns its number, 0 if there is none."""
+        number, versions = self.current()
+        for name, table in self.tables.items():
+            table.pinned = versions.get(name, 0)
+        return number
+
+    def pin_written(self) -> None:
+        """Pin all tables to what was written last, released or not."""
+        for table in self.tables.values():
+            table.pinned = table._newest()
+
+    def commit(self) -> int:
+        """Make the pinned versions visible; returns the number of the release."""
+        number = self.current()[0] + 1
+        rows = [(number, name, table.version()) for name, table in sorted(self.tables.items())]
+        one_file = self.spark.createDataFrame(rows, self.ROWS).coalesce(1)
+        one_file.write.mode("append").parquet(self.path)
+        return number
 
 
 def compact_landing(
     df: DataFrame, key: str, version: str, table: SnapshotTable, files: int | None = None
 ) -> DataFrame:
-    """Rewrite a landing table with one version per key, sorted by key."""
+    """One version per key of a landing table as a published table, sorted by key."""
     table.publish(latest_per_key(df, key, version), sort_key=key, files=files)
     return table.read()
 

@@ -12,6 +12,9 @@ from tidemark.operators.latest import default_tiebreak, latest_per_key
 _SEEN = "__rows_of_key"
 _INCOMING = "__incoming"
 
+# Marks of a change feed: a changed row, its image before, and the sign of an image.
+CHANGED, BEFORE, SIGN = "__changed", "__before", "__sign"
+
 
 def one_row_per_key(
     batch: DataFrame,
@@ -93,6 +96,11 @@ def upsert(
     return kept.select(*columns).unionByName(rows)
 
 
+def by_partition(df: DataFrame, partition: str, partitions: int) -> DataFrame:
+    """Rows sent to the task of their number; with a single number nothing is moved."""
+    return df.repartitionById(partitions, F.col(partition)) if partitions > 1 else df
+
+
 def merge_partitioned(
     target: DataFrame,
     batch: DataFrame,
@@ -105,6 +113,7 @@ def merge_partitioned(
     touch_unchanged: bool = True,
     stamp: str = "ingested_at",
     newest_wins: bool = False,
+    feed: bool = False,
 ) -> DataFrame:
     """:func:`upsert` for tables stored by partition number, in one shuffle.
 
@@ -113,6 +122,8 @@ def merge_partitioned(
     there, two rows per key at most; the result is left partitioned and sorted for
     writing. An anti join would shuffle the stored rows by key first and by partition
     afterwards.
+
+    ``feed`` adds two columns: whether the row differs from the stored one, and that row.
     """
     columns = [c for c in target.columns if c != partition]
     if tiebreak is None:
@@ -127,17 +138,24 @@ def merge_partitioned(
         if version is None:
             raise ValueError("newest_wins needs a version column")
         order = keys.orderBy(F.col(version).desc_nulls_last(), *tiebreak)
-    placed = both.repartitionById(partitions, F.col(partition))
+    placed = by_partition(both, partition, partitions)
     if not touch_unchanged:
         content = F.struct(*[c for c in columns if c not in (key, stamp)])
         stored = F.lead(content).over(order)
         same = F.col(_INCOMING) & stored.isNotNull() & content.eqNullSafe(stored)
         kept = F.when(same, F.lead(stamp).over(order)).otherwise(F.col(stamp))
         placed = placed.withColumn("__kept_stamp", kept)
+    if feed:
+        placed = placed.withColumn(BEFORE, F.lead(F.struct(*columns)).over(order))
     ranked = placed.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1")
     if not touch_unchanged:
         ranked = ranked.withColumn(stamp, F.col("__kept_stamp"))
-    return ranked.select(*columns, partition)
+    if not feed:
+        return ranked.select(*columns, partition)
+    differs = F.col(_INCOMING) & ~F.struct(*columns).eqNullSafe(F.col(BEFORE))
+    return ranked.select(*columns, partition, differs.alias(CHANGED), BEFORE).withColumn(
+        BEFORE, F.when(F.col(CHANGED), F.col(BEFORE))
+    )
 
 
 def insert_ignore(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:

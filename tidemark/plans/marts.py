@@ -56,10 +56,17 @@ def mart_user_post_summary(
     users, so no measure is counted twice. Posts are used twice, but only the metrics
     branch reads their text; the join with the comments needs two narrow columns.
     """
+    received = comments_received(comments, posts, hot_posts, min_rows)
+    return user_summary_of(users, post_metrics(posts), received, built_at)
+
+
+def user_summary_of(
+    users: DataFrame, posted: DataFrame, received: DataFrame, built_at: datetime | None = None
+) -> DataFrame:
+    """The user mart from measures of one row per user."""
     profile = ["user_id", "username", "full_name", "email", "company_name", "city"]
     summary = users.select(*profile)
-    received = comments_received(comments, posts, hot_posts, min_rows)
-    for metrics in (post_metrics(posts), received):
+    for metrics in (posted, received):
         summary = left_metrics(summary, metrics, "user_id")
     return _finish(summary, "mart_user_post_summary", profile, built_at)
 
@@ -78,8 +85,22 @@ def mart_comment_statistics(
     The metrics join needs no shuffle of its own: the posts are still partitioned by
     ``post_id`` from their de-duplication, and so are the aggregated comments.
     """
+    metrics = comment_metrics(comments)
+    return comment_statistics_of(posts, metrics, users, built_at, unmatched, hot_users, min_rows)
+
+
+def comment_statistics_of(
+    posts: DataFrame,
+    metrics: DataFrame,
+    users: DataFrame,
+    built_at: datetime | None = None,
+    unmatched: str = "type_default",
+    hot_users: HotKeys | None = None,
+    min_rows: int = ROWS_PER_SALT,
+) -> DataFrame:
+    """The post mart from measures of one row per post."""
     subject = posts.select("post_id", "user_id", F.col("title").alias("post_title"))
-    measured = left_metrics(subject, comment_metrics(comments), "post_id")
+    measured = left_metrics(subject, metrics, "post_id")
     authors = users.select("user_id", F.col("username").alias("author_username"))
     named = lookup(measured, authors, "user_id", unmatched, ["post_id"], hot_users, min_rows)
     dimensions = ["post_id", "user_id", "author_username", "post_title"]
