@@ -7,7 +7,8 @@
     python -m tidemark run --root DIR --payloads DIR
     python -m tidemark validate --root DIR
 
-``--payloads`` holds one folder per entity. Any failure ends with a non-zero exit code;
+``--payloads`` holds one folder per entity. ``build`` writes the marts, ``test`` tests them and
+makes both visible, or leaves the earlier ones in place. Any failure ends with a non-zero exit code;
 every step may be repeated.
 """
 
@@ -16,8 +17,7 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from tidemark.operators.quality import fail_if_any
-from tidemark.plans.elt import build_models, check_models, replicate_all, run_elt
+from tidemark.plans.elt import build_models, publish_models, replicate_all, run_elt
 from tidemark.plans.ingest import ingest
 from tidemark.plans.transforms import ENTITIES
 from tidemark.plans.validate import validation
@@ -33,6 +33,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--entity", default="all", choices=[*ENTITIES, "all"])
     p.add_argument("--table", default="all", choices=[*ENTITIES, "all"])
     p.add_argument("--buckets", type=int, help="hash buckets of new keyed tables (default 1)")
+    p.add_argument("--incremental", action="store_true", help="marts from the change feeds")
+    p.add_argument(
+        "--on-duplicate", default="latest", choices=["latest", "error"], help="keys repeated in a payload"
+    )
     return p
 
 
@@ -45,18 +49,36 @@ def main(argv: list[str] | None = None) -> None:
     paths = {name: f"{args.payloads}/{name}" for name in ENTITIES}
     if args.step == "ingest":
         done = ingest(
-            spark, paths, args.root, now, args.entity, args.buckets, lines=args.lines
+            spark,
+            paths,
+            args.root,
+            now,
+            args.entity,
+            args.buckets,
+            lines=args.lines,
+            on_duplicate=args.on_duplicate,
         )
         print(done)
     elif args.step == "replicate":
         moved, _ = replicate_all(spark, args.root, now, args.table, args.buckets)
         print(moved)
     elif args.step == "build":
-        build_models(spark, args.root, now)
+        build_models(
+            spark, args.root, now, incremental=args.incremental, buckets=args.buckets, publish=False
+        )
     elif args.step == "test":
-        fail_if_any(check_models(spark, args.root), "data tests")
+        publish_models(spark, args.root, written=not args.incremental)
     elif args.step == "run":
-        report = run_elt(spark, paths, args.root, now, args.lines, args.buckets)
+        report = run_elt(
+            spark,
+            paths,
+            args.root,
+            now,
+            args.lines,
+            args.buckets,
+            on_duplicate=args.on_duplicate,
+            incremental=args.incremental,
+        )
         report.suite.show(50, truncate=False)
     else:
         for name, df in validation(spark, args.root, args.buckets).items():

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import timestamp_literal
 from tidemark.operators.tables import SnapshotTable, typed
 from tidemark.operators.upsert import insert_ignore, upsert
-from tidemark.schemas import WATERMARK
+from tidemark.schemas import FEED_MARK, WATERMARK
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -64,6 +64,28 @@ def set_watermark(
     state.update(lambda current: upsert(current, row, "table_name"))
 
 
+def set_watermark_at_least(
+    state: SnapshotTable, table: str, value: datetime, now: datetime | None = None
+) -> None:
+    """Advance the watermark of one table; it never goes back."""
+    set_watermark(state, table, max(value, get_watermark(state.read(), table)), now)
+
+
+def open_marks(spark: SparkSession, path: str) -> SnapshotTable:
+    """The table of feed versions that were replicated: one row per table."""
+    return SnapshotTable(spark, path, FEED_MARK, key="table_name")
+
+
+def get_mark(marks: SnapshotTable, table: str) -> int:
+    """Newest feed version that was replicated, 0 for none."""
+    return state_row(marks.read(), table).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+
+def set_mark(marks: SnapshotTable, table: str, version: int) -> None:
+    row = marks.spark.createDataFrame([(table, version)], FEED_MARK)
+    marks.update(lambda current: upsert(current, row, "table_name"))
+
+
 def open_state(spark: SparkSession, path: str, tables: list[str]) -> SnapshotTable:
     """The state table at ``path``, seeded with the tables it does not know yet."""
     state = SnapshotTable(spark, path, WATERMARK, key="table_name")

@@ -1,4 +1,8 @@
-"""The whole run: ingest, replicate, build, test; the first failure stops it."""
+"""The whole run: ingest, replicate, build, test, publish; the first failure stops it.
+
+Replication and incremental marts read the change feeds of the ingested tables. The marts are
+written, tested, and only then shown, both at once: a failed test leaves the old ones in place.
+"""
 
 from __future__ import annotations
 
@@ -11,14 +15,24 @@ from pyspark.sql import types as T
 
 from tidemark.operators.quality import fail_if_any, run_suite
 from tidemark.operators.skew import heaviest_keys
-from tidemark.operators.state import open_state
-from tidemark.operators.tables import SnapshotTable, read_landing
+from tidemark.operators.state import get_mark, open_marks, open_state, set_mark
+from tidemark.operators.tables import SnapshotTable, compact_landing_in_place, read_landing
+from tidemark.operators.upsert import SIGN
 from tidemark.plans.ingest import ingest, oltp_table
+from tidemark.plans.mart_state import MartState
 from tidemark.plans.marts import mart_comment_statistics, mart_user_post_summary
-from tidemark.plans.replicate import replicate
-from tidemark.plans.staging import stg_comments, stg_posts, stg_users
-from tidemark.plans.transforms import ENTITIES, select_entities
-from tidemark.schemas import MARTS, STAGING
+from tidemark.plans.replicate import replicate_feed
+from tidemark.plans.staging import (
+    clean_comments,
+    clean_posts,
+    clean_users,
+    stg_comments,
+    stg_posts,
+    stg_users,
+)
+from tidemark.plans.transforms import ENTITIES, select_entities, to_landing
+from tidemark.schemas import STAGING
+from tidemark.session import materialise
 
 # Fixed: model, entity and builder.
 STAGING_MODELS = {
@@ -26,6 +40,7 @@ STAGING_MODELS = {
     "stg_posts": ("posts", stg_posts),
     "stg_comments": ("comments", stg_comments),
 }
+CLEANERS = {"users": clean_users, "posts": clean_posts, "comments": clean_comments}
 # Staging columns that the marts and the data tests use.
 MART_INPUTS = {
     "stg_users": ("user_id", "username", "full_name", "email", "company_name", "city"),
@@ -34,6 +49,9 @@ MART_INPUTS = {
 }
 MART_KEYS = {"mart_user_post_summary": "user_id", "mart_comment_statistics": "post_id"}
 
+#: Batches of a landing table after which a run folds them into one version per key.
+COMPACT_AFTER = 24
+
 
 @dataclass
 class RunReport:
@@ -55,19 +73,24 @@ def replicate_all(
     which: str = "all",
     buckets: int | None = None,
     strict: bool = True,
+    compact_after: int = COMPACT_AFTER,
 ) -> tuple[dict[str, int], DataFrame]:
-    """Replicate every table, then fail if any count check failed."""
+    """Replicate every table, then fail if any count check failed.
+
+    A landing table with ``compact_after`` batches since it was last folded is folded.
+    """
     state = open_state(spark, f"{root}/raw/sync_watermark", list(ENTITIES))
-    done = [
-        replicate(
-            oltp_table(spark, root, spec, buckets).read(),
-            landing_path(root, spec.name),
-            state,
-            spec,
-            now=now,
-        )
-        for spec in select_entities(which)
-    ]
+    marks = open_marks(spark, f"{root}/raw/feed_marks")
+    folded = open_marks(spark, f"{root}/raw/folded_batches")
+    done = []
+    for spec in select_entities(which):
+        path = landing_path(root, spec.name)
+        table = oltp_table(spark, root, spec, buckets)
+        done.append(replicate_feed(table, path, state, marks, spec, now))
+        # Batches are numbered by feed version: the difference bounds their number.
+        if get_mark(marks, spec.name) - get_mark(folded, spec.name) >= compact_after:
+            upto = compact_landing_in_place(spark, path, spec.landing, spec.key, spec.version)
+            set_mark(folded, spec.name, upto)
     checks = reduce(DataFrame.unionByName, [r.check for r in done])
     if strict:
         fail_if_any(checks, "reconciliation")
@@ -102,31 +125,57 @@ def mart_inputs(spark: SparkSession, root: str, written: bool = True) -> dict[st
     return inputs
 
 
-def _mart_table(spark: SparkSession, root: str, name: str) -> SnapshotTable:
-    return SnapshotTable(spark, f"{root}/marts/{name}", MARTS[name])
+def open_marts(spark: SparkSession, root: str, buckets: int | None = None) -> MartState:
+    return MartState(spark, f"{root}/marts", buckets)
 
 
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: _mart_table(spark, root, name).read() for name in MART_KEYS}
+    """The marts as last published, both of the same build."""
+    return _marts_of(open_marts(spark, root))
+
+
+def _marts_of(state: MartState) -> dict[str, DataFrame]:
+    return {name: state.read(name) for name in MART_KEYS}
 
 
 def build_models(
-    spark: SparkSession, root: str, built_at: datetime, materialise_staging: bool = True
-) -> dict[str, DataFrame]:
-    """Publish both marts, sorted by their keys.
+    spark: SparkSession,
+    root: str,
+    built_at: datetime,
+    materialise_staging: bool = True,
+    incremental: bool = False,
+    buckets: int | None = None,
+    publish: bool = True,
+) -> DataFrame | None:
+    """Build both marts, test them, and show them if no test failed; the test results.
 
     Staging feeds both marts and most tests. By default the columns those need are
     written once, so that the landing tables are scanned and de-duplicated once per run;
     bodies are measured on the way and neither shuffled nor copied. Without it every
     consumer repeats the de-duplication.
+
+    ``incremental`` brings the marts up to date from the change feeds instead, once a build
+    with partial results is there to go on from. With ``publish=False`` nothing is tested or
+    shown until :func:`publish_models`.
     """
+    state = open_marts(spark, root, buckets)
+    results: list[DataFrame] = []
+
+    def check(built: MartState) -> None:
+        suite = run_suite(mart_inputs(spark, root, materialise_staging and not incremental) | _marts_of(built))
+        results.append(materialise(suite, "suite"))
+        fail_if_any(results[0], "data tests")
+
+    test = check if publish else None
+    if incremental:
+        _bring_up_to_date(spark, root, state, built_at, buckets, test, publish)
+        return results[0] if results else None
     raw = raw_versions(spark, root)
     inputs = staging_views(spark, root)
     if materialise_staging:
         for name in inputs:
             _inputs_table(spark, root, name).publish(inputs[name])
         inputs = mart_inputs(spark, root)
-
     users, posts, comments = (inputs[name] for name in STAGING_MODELS)
     marts = {
         "mart_user_post_summary": mart_user_post_summary(
@@ -136,19 +185,56 @@ def build_models(
             posts, comments, users, built_at, hot_users=heaviest_keys(raw["posts"], "user_id")
         ),
     }
-    for name, mart in marts.items():
-        _mart_table(spark, root, name).publish(mart, sort_key=MART_KEYS[name])
-    return read_models(spark, root)
+    state.publish(marts, test, publish)
+    return results[0] if results else None
+
+
+def _bring_up_to_date(
+    spark: SparkSession,
+    root: str,
+    state: MartState,
+    built_at: datetime,
+    buckets: int | None,
+    check,
+    publish: bool,
+) -> None:
+    """Marts and partial results from the feeds, or as a whole where there are none yet."""
+    tables = {name: oltp_table(spark, root, spec, buckets) for name, spec in ENTITIES.items()}
+    # Up to what was replicated: the tests read the landing tables.
+    marks = open_marks(spark, f"{root}/raw/feed_marks")
+    feeds = {name: get_mark(marks, name) for name in tables}
+    taken = state.feeds()
+    if set(taken) != set(tables):
+        views = staging_views(spark, root)
+        state.load(*(views[m] for m in STAGING_MODELS), built_at, check, feeds, publish)
+        return
+    changes = {}
+    for name, table in tables.items():
+        images = table.changes(taken[name], feeds[name])
+        signed = T.StructField(SIGN, T.IntegerType())
+        landed = to_landing(images, T.StructType([*ENTITIES[name].landing.fields, signed]))
+        changes[name] = CLEANERS[name](landed)
+    state.refresh(**changes, built_at=built_at, check=check, feeds=feeds, visible=publish)
 
 
 def read_models(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Staging views and the marts as last built."""
+    """Staging views and the marts as last published."""
     return staging_views(spark, root) | read_marts(spark, root)
 
 
 def check_models(spark: SparkSession, root: str, written: bool = True) -> DataFrame:
-    """Results of the data tests on the models as last built."""
-    return run_suite(mart_inputs(spark, root, written) | read_marts(spark, root))
+    """Results of the data tests on the models as last built, published or not."""
+    state = open_marts(spark, root)
+    state.pin_candidate()
+    return run_suite(mart_inputs(spark, root, written) | _marts_of(state))
+
+
+def publish_models(spark: SparkSession, root: str, written: bool = True) -> DataFrame:
+    """Test the models as last built and show them; a failure leaves the old ones in place."""
+    suite = materialise(check_models(spark, root, written), "suite")
+    fail_if_any(suite, "data tests")
+    open_marts(spark, root).publish_candidate()
+    return suite
 
 
 def run_elt(
@@ -160,18 +246,28 @@ def run_elt(
     buckets: int | None = None,
     touch_unchanged: bool = True,
     materialise_staging: bool = True,
+    on_duplicate: str = "latest",
+    incremental: bool = False,
+    compact_after: int = COMPACT_AFTER,
 ) -> RunReport:
-    """Ingest -> replicate -> models -> tests. Safe to repeat with the same input.
+    """Ingest -> replicate -> models -> tests -> publish. Safe to repeat with the same input.
 
     ``paths`` maps entity to payload folder; ``root`` is a folder all executors share.
     As a plain function it can be called by any scheduler, which also does the retries.
     """
     now = batch_ts or datetime.now(tz=timezone.utc)
     ingested = ingest(
-        spark, paths, root, now, buckets=buckets, lines=lines, touch_unchanged=touch_unchanged
+        spark,
+        paths,
+        root,
+        now,
+        buckets=buckets,
+        lines=lines,
+        touch_unchanged=touch_unchanged,
+        on_duplicate=on_duplicate,
     )
-    replicated, reconciliation = replicate_all(spark, root, now, buckets=buckets)
-    models = build_models(spark, root, now, materialise_staging)
-    suite = check_models(spark, root, materialise_staging)
-    fail_if_any(suite, "data tests")
-    return RunReport(ingested, replicated, reconciliation, models, suite)
+    replicated, reconciliation = replicate_all(
+        spark, root, now, buckets=buckets, compact_after=compact_after
+    )
+    suite = build_models(spark, root, now, materialise_staging, incremental, buckets)
+    return RunReport(ingested, replicated, reconciliation, read_models(spark, root), suite)

@@ -27,10 +27,16 @@ def ingest_entity(
     lines: bool = False,
     touch_unchanged: bool = True,
     on_duplicate: str = "latest",
+    feed: bool = True,
 ) -> int:
-    """Read, check, flatten and upsert one entity; returns the rows upserted."""
+    """Read, check, flatten and upsert one entity; returns the rows read.
+
+    ``feed`` writes the change feed that replication and incremental marts read.
+    """
     rows = spec.transform(read_json_entities(spark, path, spec.payload, lines), batch_ts)
-    return table.upsert(rows, touch_unchanged=touch_unchanged, on_duplicate=on_duplicate)
+    return table.upsert(
+        rows, feed=feed, touch_unchanged=touch_unchanged, on_duplicate=on_duplicate
+    )
 
 
 def ingest(

@@ -34,7 +34,7 @@ from tidemark.operators.changes import affected_keys
 from tidemark.operators.tables import Release, SnapshotTable
 from tidemark.operators.upsert import SIGN
 from tidemark.plans.marts import comment_statistics_of, user_summary_of
-from tidemark.schemas import MARTS, STAGING
+from tidemark.schemas import FEED_MARK, MARTS, STAGING
 from tidemark.session import materialise
 
 USERS = ("user_id", "username", "full_name", "email", "company_name", "city")
@@ -55,7 +55,8 @@ def _narrow(model: str, columns: tuple[str, ...]) -> T.StructType:
     return T.StructType([STAGING[model][c] for c in columns])
 
 
-#: Key and columns of each table; the counts have more than one row per key.
+#: Key and columns of each table; the counts have more than one row per key. ``feeds`` says up
+#: to which version of each source table the state has taken in its change feed.
 TABLES = {
     "users": ("user_id", _narrow("stg_users", USERS)),
     "posts": ("post_id", _narrow("stg_posts", POSTS)),
@@ -63,6 +64,7 @@ TABLES = {
     "post_lengths": ("post_id", _schema("post_id body_length n")),
     "user_emails": ("user_id", _schema("user_id n", "commenter_email")),
     "user_posts": ("user_id", _schema(" ".join(["user_id", *POST_SUMS]))),
+    "feeds": ("table_name", FEED_MARK),
     "mart_user_post_summary": ("user_id", MARTS["mart_user_post_summary"]),
     "mart_comment_statistics": ("post_id", MARTS["mart_comment_statistics"]),
 }
@@ -143,26 +145,47 @@ class MartState:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.tables = {
-            name: SnapshotTable(spark, f"{root}/{name}", schema, key, buckets)
+            name: SnapshotTable(spark, f"{root}/{name}", schema, key, None if name == "feeds" else buckets)
             for name, (key, schema) in TABLES.items()
         }
         self.release = Release(spark, f"{root}/releases", self.tables)
+        self.candidates = Release(spark, f"{root}/candidates", self.tables)
         self.release.pin()
 
     def read(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
+    def feeds(self) -> dict[str, int]:
+        """Version of each source table up to which changes were taken in."""
+        return {r["table_name"]: r["version"] for r in self.read("feeds").collect()}
+
+    def publish(
+        self, marts: dict[str, DataFrame], check: Check | None = None, visible: bool = True
+    ) -> int:
+        """Both marts as built elsewhere, without partial results to go on from."""
+        self.release.pin()
+        for name, mart in marts.items():
+            self.tables[name].publish(mart, sort_key=TABLES[name][0])
+        self.tables["feeds"].publish(self.spark.createDataFrame([], FEED_MARK))
+        return self._commit(check, visible)
+
     def load(
         self,
         users: DataFrame,
         posts: DataFrame,
         comments: DataFrame,
         built_at: datetime | None = None,
-        check: Callable[[MartState], None] | None = None,
+        check: Check | None = None,
+        feeds: dict[str, int] | None = None,
+        visible: bool = True,
     ) -> int:
-        """Build everything from staged rows; returns the number of the release."""
+        """Build everything from staged rows; returns the number of the release.
+
+        ``feeds`` are the versions of the source tables that the rows show.
+        """
         self.release.pin()
         t = self.tables
+        self._note(feeds)
         t["users"].publish(users.select(*USERS))
         t["posts"].publish(posts.select(*POSTS))
         now = signed(comments.select(*COMMENTS))
@@ -176,7 +199,7 @@ class MartState:
         t["user_posts"].publish(_post_sums(signed(t["posts"].read())))
         t["mart_user_post_summary"].publish(self._users(self.read, built_at))
         t["mart_comment_statistics"].publish(self._posts(self.read, built_at))
-        return self._commit(check)
+        return self._commit(check, visible)
 
     def refresh(
         self,
@@ -184,15 +207,19 @@ class MartState:
         posts: DataFrame | None = None,
         comments: DataFrame | None = None,
         built_at: datetime | None = None,
-        check: Callable[[MartState], None] | None = None,
+        check: Check | None = None,
+        feeds: dict[str, int] | None = None,
+        visible: bool = True,
     ) -> int:
         """Apply signed changes of staged rows; returns the number of the release.
 
         Changes of the same key may span several versions: their images in between cancel.
         ``check`` is called before anything becomes visible and stops the refresh by raising.
+        With ``visible=False`` the result waits for :meth:`publish_candidate`.
         """
         self.release.pin()
         t = self.tables
+        self._note(feeds)
         du = self._change("users", USERS, users)
         dp = self._change("posts", POSTS, posts)
         dc = self._change("comments", COMMENTS, comments)
@@ -251,7 +278,7 @@ class MartState:
         t["mart_comment_statistics"].replace_keys(
             touched_posts, self._posts(of_posts, built_at, authors)
         )
-        return self._commit(check)
+        return self._commit(check, visible)
 
     def _change(self, name: str, columns: tuple[str, ...], rows: DataFrame | None) -> DataFrame:
         """A delta in its narrow form, written down; images that cancel are gone."""
@@ -280,7 +307,28 @@ class MartState:
         users = read("users") if users is None else users
         return comment_statistics_of(read("posts"), metrics, users, built_at)
 
-    def _commit(self, check: Callable[[MartState], None] | None) -> int:
+    def _note(self, feeds: dict[str, int] | None) -> None:
+        if feeds is not None:
+            self.tables["feeds"].publish(self.spark.createDataFrame(list(feeds.items()), FEED_MARK))
+
+    def _commit(self, check: Check | None, visible: bool) -> int:
+        """Name what was written as a whole, then check it, then show it."""
+        self.candidates.commit()
+        if check:
+            check(self)
+        return self.release.commit() if visible else 0
+
+    def pin_candidate(self) -> None:
+        """Read and show what the last complete build wrote, visible or not."""
+        self.candidates.pin()
+
+    def publish_candidate(self, check: Check | None = None) -> int:
+        """Check and show the last complete build; one that died halfway is none."""
+        self.pin_candidate()
         if check:
             check(self)
         return self.release.commit()
+
+
+#: Looks at a state before it becomes visible, and raises to stop that.
+Check = Callable[[MartState], None]

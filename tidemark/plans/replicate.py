@@ -5,12 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import reconcile_counts
-from tidemark.operators.state import EPOCH, get_watermark, set_watermark
+from tidemark.operators.state import (
+    EPOCH,
+    get_mark,
+    get_watermark,
+    set_mark,
+    set_watermark,
+    set_watermark_at_least,
+)
 from tidemark.operators.tables import SnapshotTable, append_landing, read_landing
+from tidemark.operators.upsert import SIGN
 from tidemark.plans.transforms import EntitySpec, to_landing
 from tidemark.sources.tables import read_incremental
 
@@ -53,21 +61,58 @@ def replicate(
     watermark = get_watermark(state.read(), spec.name)
     batch = read_incremental(source, spec.columns, watermark, spec.version, overlap)
     seq = default_batch_seq(now) if batch_seq is None else batch_seq
-    written = append_landing(to_landing(batch, spec.landing), landing, spec.columns, seq)
-
-    # Two numbers, from one column of the batch.
-    rows, newest = (
-        spark.read.schema(spec.landing)
-        .parquet(written)
-        .agg(F.count(F.lit(1)), F.unix_micros(F.max(spec.version)))
-        .first()
-    )
+    rows, newest = 0, None
+    if not batch.isEmpty():
+        written = append_landing(to_landing(batch, spec.landing), landing, spec.columns, seq)
+        rows, newest = _measured(spark, written, spec)
     if newest is not None:
         newest_at = EPOCH + timedelta(microseconds=newest)
         # An overlapping read may bring nothing newer; the watermark never goes back.
         watermark = max(watermark, newest_at)
         set_watermark(state, spec.name, watermark, now)
+    return Replicated(spec.name, rows, watermark, _check(spark, source, landing, spec))
+
+
+def replicate_feed(
+    table: SnapshotTable,
+    landing: str,
+    state: SnapshotTable,
+    marks: SnapshotTable,
+    spec: EntitySpec,
+    now: datetime | None = None,
+) -> Replicated:
+    """Append what the table's change feed holds after the stored mark, and advance it.
+
+    Only the feed files of the versions after the mark are read, whatever the size of the
+    table, and a change with an old stamp is not missed. The batch carries the number of the
+    newest version it holds: a run that died before the mark moved writes the same folder
+    again. Nothing is written when nothing is new. The watermark follows as well, so that
+    :func:`replicate` can go on from there.
+    """
+    spark = table.spark
+    mark, newest_version = get_mark(marks, spec.name), table.version()
+    rows = 0
+    if newest_version > mark:
+        batch = table.changes(mark, newest_version).filter(F.col(SIGN) > 0)
+        if not batch.isEmpty():
+            moved = to_landing(batch, spec.landing)
+            written = append_landing(moved, landing, spec.columns, newest_version)
+            rows, newest = _measured(spark, written, spec)
+            if newest is not None:
+                set_watermark_at_least(
+                    state, spec.name, EPOCH + timedelta(microseconds=newest), now
+                )
+        set_mark(marks, spec.name, newest_version)
+    watermark = get_watermark(state.read(), spec.name)
+    return Replicated(spec.name, rows, watermark, _check(spark, table.read(), landing, spec))
+
+
+def _measured(spark: SparkSession, written: str, spec: EntitySpec) -> tuple[int, int | None]:
+    """Rows and newest version of a written batch: two numbers, from one column."""
+    batch = spark.read.schema(spec.landing).parquet(written)
+    return tuple(batch.agg(F.count(F.lit(1)), F.unix_micros(F.max(spec.version))).first())
+
+
+def _check(spark: SparkSession, source: DataFrame, landing: str, spec: EntitySpec) -> DataFrame:
     target = read_landing(spark, landing, spec.landing)
-    return Replicated(
-        spec.name, rows, watermark, reconcile_counts(source, target, spec.name, spec.key)
-    )
+    return reconcile_counts(source, target, spec.name, spec.key)

@@ -2,7 +2,8 @@
 
 Cleaning comes before the de-duplication on purpose. A consumer that needs only
 ``body_length`` then shuffles eight bytes per row: the text is measured while it is
-scanned and column pruning drops it before the sort and the exchange.
+scanned and column pruning drops it before the sort and the exchange. The cleaning alone
+also serves the images of a change feed.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import byte_length, lower_trim, trim
 from tidemark.functions.numbers import in_uint32
 from tidemark.operators.latest import latest_per_key
+from tidemark.operators.upsert import SIGN
 from tidemark.schemas import BATCH_SEQ
 
 
@@ -30,12 +32,13 @@ def require_uint32(df: DataFrame, *columns: str) -> DataFrame:
     return df.filter(F.when(in_range, F.lit(True)).otherwise(failure.cast("boolean")))
 
 
-def _batch_seq(raw: DataFrame) -> list[str]:
-    return [BATCH_SEQ] if BATCH_SEQ in raw.columns else []
+def _carried(raw: DataFrame) -> list[str]:
+    """The batch number of a version, the sign of an image."""
+    return [c for c in (BATCH_SEQ, SIGN) if c in raw.columns]
 
 
-def stg_users(raw: DataFrame) -> DataFrame:
-    rows = require_uint32(raw, "id").select(
+def clean_users(raw: DataFrame) -> DataFrame:
+    return require_uint32(raw, "id").select(
         F.col("id").alias("user_id"),
         F.col("name").alias("full_name"),
         "username",
@@ -48,14 +51,17 @@ def stg_users(raw: DataFrame) -> DataFrame:
         "lat",
         "lng",
         "ingested_at",
-        *_batch_seq(raw),
+        *_carried(raw),
     )
-    return latest_per_key(rows, "user_id", "ingested_at", drop=[BATCH_SEQ])
 
 
-def stg_posts(raw: DataFrame) -> DataFrame:
+def stg_users(raw: DataFrame) -> DataFrame:
+    return latest_per_key(clean_users(raw), "user_id", "ingested_at", drop=[BATCH_SEQ])
+
+
+def clean_posts(raw: DataFrame) -> DataFrame:
     title, body = trim(F.col("title")), trim(F.col("body"))
-    rows = require_uint32(raw, "id", "user_id").select(
+    return require_uint32(raw, "id", "user_id").select(
         F.col("id").alias("post_id"),
         "user_id",
         title.alias("title"),
@@ -63,14 +69,17 @@ def stg_posts(raw: DataFrame) -> DataFrame:
         byte_length(title).alias("title_length"),
         byte_length(body).alias("body_length"),
         "ingested_at",
-        *_batch_seq(raw),
+        *_carried(raw),
     )
-    return latest_per_key(rows, "post_id", "ingested_at", drop=[BATCH_SEQ])
 
 
-def stg_comments(raw: DataFrame) -> DataFrame:
+def stg_posts(raw: DataFrame) -> DataFrame:
+    return latest_per_key(clean_posts(raw), "post_id", "ingested_at", drop=[BATCH_SEQ])
+
+
+def clean_comments(raw: DataFrame) -> DataFrame:
     body = trim(F.col("body"))
-    rows = require_uint32(raw, "id", "post_id").select(
+    return require_uint32(raw, "id", "post_id").select(
         F.col("id").alias("comment_id"),
         "post_id",
         F.col("name").alias("commenter_name"),
@@ -78,6 +87,9 @@ def stg_comments(raw: DataFrame) -> DataFrame:
         body.alias("body"),
         byte_length(body).alias("body_length"),
         "ingested_at",
-        *_batch_seq(raw),
+        *_carried(raw),
     )
-    return latest_per_key(rows, "comment_id", "ingested_at", drop=[BATCH_SEQ])
+
+
+def stg_comments(raw: DataFrame) -> DataFrame:
+    return latest_per_key(clean_comments(raw), "comment_id", "ingested_at", drop=[BATCH_SEQ])

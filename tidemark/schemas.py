@@ -67,6 +67,7 @@ LANDING = {"users": _users(DOUBLE), "posts": _POSTS, "comments": _COMMENTS}
 BATCH_SEQ = "batch_seq"
 
 WATERMARK = _struct(table_name=STRING, last_ingested_at=TIMESTAMP, updated_at=TIMESTAMP)
+FEED_MARK = _struct(table_name=STRING, version=LONG)
 
 STAGING = {
     "stg_users": _struct(

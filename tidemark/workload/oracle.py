@@ -260,9 +260,20 @@ RECONCILED = """
         SELECT 'posts', (SELECT count(*) FROM posts),
                (SELECT count(DISTINCT id) FROM raw_posts)
         UNION ALL
-        SELECT 'comments', (SELECT count(*) FROM comments WHERE name <> 'assistant'),
+        SELECT 'comments',
+               (SELECT CAST(sum(CASE WHEN name = 'assistant' THEN 2 ELSE 1 END) AS BIGINT) FROM comments),
                (SELECT count(DISTINCT id) FROM raw_comments))"""
 
+CHANGED_CUSTOMERS = sql(
+    """SELECT user_id, event_type, value FROM last WHERE op <> 'D'
+       UNION ALL
+       SELECT c_custkey, 'seed', c_acctbal FROM customer
+       WHERE c_custkey NOT IN (SELECT user_id FROM last)""",
+    "changes",
+    last="""SELECT * FROM changes QUALIFY row_number() OVER
+            (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+)
+
 BASE_TABLES = (
     "benchmark conversations customer documents embeddings events labels lineitem nation "
     "orders pages part region supplier"
@@ -391,7 +402,8 @@ ORACLE: dict[str, str] = {
         "raw_posts",
         "raw_comments",
     ),
-    "landing_compact": sql("SELECT * FROM posts", "posts"),
+    "landing_compact": sql("SELECT *, CAST(2 AS BIGINT) AS batch_seq FROM posts", "posts"),
+    "landing_published": sql("SELECT * FROM posts", "posts"),
     # aggregates and joins
     "agg_by_user": sql(post_metrics("rel_posts"), "rel_posts"),
     "agg_by_post": sql(comment_metrics("rel_comments"), "rel_comments"),
@@ -494,8 +506,9 @@ ORACLE: dict[str, str] = {
         "stg_posts",
         "raw_comments",
         known="""
-            SELECT * REPLACE (CASE WHEN company_name <> 'BUILDING' THEN email END AS email)
-            FROM raw_users WHERE lat >= 0""",
+            SELECT * REPLACE (CASE WHEN company_name <> 'BUILDING' THEN email END AS email,
+                              CASE WHEN lat < 0 THEN id + 2000000000 ELSE id END AS id)
+            FROM raw_users""",
         stg_users=VIEWS["stg_users"].replace("raw_users", "known"),
         once=VIEWS["stg_comments"],
         stg_comments="""
@@ -532,17 +545,29 @@ ORACLE: dict[str, str] = {
     "upsert_replace": sql(UPSERTED, batch=UPSERT_BATCH),
     "upsert_buckets": sql(UPSERTED, batch=UPSERT_BATCH),
     "replicate_batch": sql("SELECT * FROM raw_posts", "raw_posts"),
-    "cdc_apply": sql(
-        """SELECT user_id, event_type, value FROM last WHERE op <> 'D'
-           UNION ALL
-           SELECT c_custkey, 'seed', c_acctbal FROM customer
-           WHERE c_custkey NOT IN (SELECT user_id FROM last)""",
-        "changes",
-        last="""SELECT * FROM changes QUALIFY row_number() OVER
-                (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
-    ),
+    "replicate_by_stamp": sql("SELECT * FROM raw_posts", "raw_posts"),
+    "cdc_apply": CHANGED_CUSTOMERS,
+    "cdc_out_of_order": CHANGED_CUSTOMERS,
     "mart_incremental": sql(POST_MART, *STAGED),
     "mart_user_incremental": sql(USER_MART, *STAGED),
+    "mart_state_refresh": sql(POST_MART, *STAGED),
+    "mart_incremental_moves": sql(
+        user_mart("rel_users", "rel_posts", "rel_comments"), "rel_users", "rel_posts", "rel_comments"
+    ),
+    "mart_incremental_rename": sql(
+        post_mart("rel_posts", "rel_comments", "rel_users"), "rel_users", "rel_posts", "rel_comments"
+    ),
+    "run_elt": sql(
+        f"""SELECT 'users' AS mart, user_id AS id, full_name AS name, total_posts AS rows,
+                   total_comments_received AS comments, unique_commenters AS people,
+                   avg_post_body_length AS average
+            FROM ({USER_MART})
+            UNION ALL
+            SELECT 'posts', post_id, post_title, max_comment_length, total_comments,
+                   unique_commenter_emails, avg_comment_length
+            FROM ({POST_MART})""",
+        *STAGED,
+    ),
     # dated lake and distribution
     "partition_prune": """
         SELECT * FROM events

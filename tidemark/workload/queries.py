@@ -18,9 +18,10 @@ from tidemark.operators import changes as chg
 from tidemark.operators import joins, latest, quality, state, tables
 from tidemark.operators.skew import heaviest_keys
 from tidemark.operators.upsert import insert_ignore, upsert
-from tidemark.plans import marts, refresh, staging
+from tidemark.plans import elt, marts, refresh, staging
 from tidemark.plans.ingest import ingest_entity, oltp_table
-from tidemark.plans.replicate import replicate
+from tidemark.plans.mart_state import MartState, signed
+from tidemark.plans.replicate import replicate, replicate_feed
 from tidemark.plans.transforms import ENTITIES
 from tidemark.plans.validate import layer_counts, top_posts, top_users
 from tidemark.schemas import MARTS, PAYLOAD, WATERMARK
@@ -341,6 +342,18 @@ def final_count(src):
 
 @query
 def landing_compact(src):
+    """A landing table that is folded, takes a further batch, and is folded again."""
+    spark, spec = src.spark, ENTITIES["posts"]
+    landing = new_run_dir(spark, "compact")
+    for seq in (1, 2):
+        batch = fx.raw_posts(src).filter(F.col("batch_seq") == seq)
+        tables.append_landing(batch, landing, spec.columns, seq)
+        tables.compact_landing_in_place(spark, landing, spec.landing, spec.key, spec.version)
+    return tables.read_landing(spark, landing, spec.landing)
+
+
+@query
+def landing_published(src):
     spark, spec = src.spark, ENTITIES["posts"]
     table = tables.SnapshotTable(spark, new_run_dir(spark, "compact"), spec.landing)
     return tables.compact_landing(fx.raw_posts(src), spec.key, spec.version, table)
@@ -592,11 +605,11 @@ def dq_relationships(src):
 
 @query
 def dq_suite(src):
-    """All tests, on data with planted violations: users with a debt are missing, users of
+    """All tests, on data with planted violations: users with a debt have another key, users of
     one segment have no e-mail, and comments of one role appear twice."""
-    known = fx.raw_users(src).filter(F.col("lat") >= 0)
+    moved = F.when(F.col("lat") < 0, F.col("id") + 2_000_000_000).otherwise(F.col("id"))
     users = staging.stg_users(
-        known.withColumn(
+        fx.raw_users(src).withColumn("id", moved).withColumn(
             "email", F.when(F.col("company_name") != "BUILDING", F.col("email"))
         )
     )
@@ -623,9 +636,12 @@ def _reconciled(src: fx.Tables) -> DataFrame:
     pairs = {
         "users": (fx.users(src), fx.raw_users(src)),
         "posts": (fx.posts(src), fx.raw_posts(src)),
-        # The source has lost its assistant turns; the landing table has not.
+        # The source holds its assistant turns twice; the landing table does not.
         "comments": (
-            fx.comments(src).filter(F.col("name") != "assistant"),
+            fx.comments(src).select(
+                "*",
+                F.explode(F.sequence(F.lit(1), F.when(F.col("name") == "assistant", 2).otherwise(1))),
+            ),
             fx.raw_comments(src),
         ),
     }
@@ -706,7 +722,25 @@ def upsert_buckets(src):
 
 @query
 def replicate_batch(src):
-    """Two runs: the first copies an older state of all posts, the second the new one."""
+    """Two runs from the change feed: the first copies an older state of all posts, the second
+    the new one, from the feed files of its version alone."""
+    spark, spec = src.spark, ENTITIES["posts"]
+    root = new_run_dir(spark, "replicate")
+    stored = state.open_state(spark, f"{root}/state", list(ENTITIES))
+    marks = state.open_marks(spark, f"{root}/marks")
+    table = oltp_table(spark, root, spec, _parallelism(spark))
+    raw = fx.raw_posts(src)
+    for seq in (1, 2):
+        table.upsert(raw.filter(F.col("batch_seq") == seq), feed=True)
+        replicate_feed(table, f"{root}/landing", stored, marks, spec)
+    # Nothing is new now, and nothing is written.
+    replicate_feed(table, f"{root}/landing", stored, marks, spec)
+    return tables.read_landing(spark, f"{root}/landing", spec.landing)
+
+
+@query
+def replicate_by_stamp(src):
+    """The same from any table, by the watermark on its stamps."""
     spark, spec = src.spark, ENTITIES["posts"]
     root = new_run_dir(spark, "replicate")
     stored = state.open_state(spark, f"{root}/state", list(ENTITIES))
@@ -731,6 +765,31 @@ def cdc_apply(src):
     )
 
 
+@query
+def cdc_out_of_order(src):
+    """The later half of the log first, then the earlier one, then the later one again."""
+    spark, log = src.spark, fx.changes(src)
+    target = src("customer").select(
+        F.col("c_custkey").alias("user_id"),
+        F.lit("seed").alias("event_type"),
+        F.col("c_acctbal").alias("value"),
+    )
+    table = chg.ChangeTable(
+        spark,
+        new_run_dir(spark, "cdc"),
+        target.schema,
+        "user_id",
+        log.schema["ts"],
+        [log.schema["event_id"]],
+        buckets=_parallelism(spark),
+    )
+    table.seed(target)
+    later = F.col("ts") >= F.lit("2024-01-16").cast(log.schema["ts"].dataType)
+    for piece in (later, ~later, later):
+        table.apply(log.filter(piece))
+    return table.read()
+
+
 def _assistant_delta(src: fx.Tables):
     """Staged comments before and after the assistant turns arrive, and those turns."""
     raw = fx.raw_comments(src)
@@ -772,6 +831,131 @@ def mart_user_incremental(src):
     ).drop("built_at")
 
 
+def _mart_state(src: fx.Tables) -> MartState:
+    return MartState(src.spark, new_run_dir(src.spark, "mart-state"), _parallelism(src.spark))
+
+
+@query
+def mart_state_refresh(src):
+    """Post mart after the assistant turns arrive, from the delta and the partial results."""
+    before, _, arrived = _assistant_delta(src)
+    kept = _mart_state(src)
+    kept.load(staging.stg_users(fx.raw_users(src)), staging.stg_posts(fx.raw_posts(src)), before, BUILT_AT)
+    replaced = signed(chg.replaced_by(before, arrived, "comment_id"), -1)
+    kept.refresh(comments=replaced.unionByName(signed(arrived)), built_at=BUILT_AT)
+    return kept.read("mart_comment_statistics").drop("built_at")
+
+
+def _differing(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Signed change from one frame to another; equal rows cancel on the way."""
+    return signed(before, -1).unionByName(signed(after))
+
+
+@query
+def mart_incremental_moves(src):
+    """User mart after comments move to other posts, posts to other authors, and comments go.
+
+    At first a seventh of all comments lie on one post, a fifth of all posts belong to one
+    author, and every large comment has a copy under another address, which is deleted.
+    """
+    users, posts, comments = fx.rel_users(src), fx.rel_posts(src), fx.rel_comments(src)
+    first = posts.agg(F.min("post_id").alias("first_post"), F.min("user_id").alias("first_user"))
+    start = materialise(first, "first-keys").first()
+    on_first = F.col("comment_id") % 7 == 0
+    elsewhere = comments.withColumn(
+        "post_id", F.when(on_first, F.lit(start["first_post"])).otherwise(F.col("post_id"))
+    )
+    copies = F.sequence(F.lit(0), F.when(F.col("body_length") > 45, 1).otherwise(0))
+    doubled = elsewhere.select("*", F.explode(copies).alias("copy"))
+    address = F.when(F.col("copy") == 1, F.lit("gone@example.com")).otherwise(F.col("commenter_email"))
+    old_comments = doubled.withColumn("commenter_email", address).drop("copy")
+    of_first = F.when(F.col("post_id") % 5 == 0, F.lit(start["first_user"])).otherwise(F.col("user_id"))
+    old_posts = posts.withColumn("user_id", of_first)
+
+    kept = _mart_state(src)
+    kept.load(users, old_posts, old_comments, BUILT_AT)
+    kept.refresh(
+        posts=_differing(old_posts, posts),
+        comments=_differing(old_comments, comments),
+        built_at=BUILT_AT,
+    )
+    return kept.read("mart_user_post_summary").drop("built_at")
+
+
+@query
+def mart_incremental_rename(src):
+    """Post mart after a third of all users get other names: only their posts are touched."""
+    users, posts, comments = fx.rel_users(src), fx.rel_posts(src), fx.rel_comments(src)
+    old = F.when(F.col("user_id") % 3 == 0, F.lit("old name")).otherwise(F.col("username"))
+    old_users = users.withColumn("username", old)
+    kept = _mart_state(src)
+    kept.load(old_users, posts, comments, BUILT_AT)
+    kept.refresh(users=_differing(old_users, users), built_at=BUILT_AT)
+    return kept.read("mart_comment_statistics").drop("built_at")
+
+
+# ---- the whole run ----------------------------------------------------------------
+
+RECORDS_PER_FILE = 500
+
+
+def _write_arrays(records: DataFrame, key: str, path: str) -> None:
+    """Response files that each hold one JSON array."""
+    page = F.expr(f"{key} div {RECORDS_PER_FILE}").cast("string").alias("page")
+    arrays = records.groupBy(page).agg(
+        F.concat(
+            F.lit("["), F.concat_ws(", ", F.collect_list(F.to_json(F.struct(*records.columns)))), F.lit("]")
+        ).alias("value")
+    )
+    arrays.write.partitionBy("page").text(path)
+
+
+@query
+def run_elt(src):
+    """Two whole runs over array files of all entities: all rows with stale names, then the
+    current ones. The second one brings the marts up to date from the change feeds and folds
+    the landing tables."""
+    spark, root = src.spark, new_run_dir(src.spark, "elt")
+    renamed = {"users": "name", "posts": "title", "comments": "name"}
+    for hour in (0, 1):
+        paths = {}
+        for name, column in renamed.items():
+            records = _payload(src, name)
+            if hour == 0:
+                records = records.withColumn(column, F.lit("STALE"))
+            paths[name] = f"{root}/payload-{hour}/{name}"
+            _write_arrays(records, "cast(id as bigint)", paths[name])
+        report = elt.run_elt(
+            spark,
+            paths,
+            f"{root}/warehouse",
+            BATCH_TS + timedelta(hours=hour),
+            buckets=_parallelism(spark),
+            incremental=True,
+            compact_after=2,
+        )
+    user_mart, post_mart = (report.models[m] for m in ("mart_user_post_summary", "mart_comment_statistics"))
+    return user_mart.select(
+        F.lit("users").alias("mart"),
+        F.col("user_id").alias("id"),
+        F.col("full_name").alias("name"),
+        F.col("total_posts").alias("rows"),
+        F.col("total_comments_received").alias("comments"),
+        F.col("unique_commenters").alias("people"),
+        F.col("avg_post_body_length").alias("average"),
+    ).unionByName(
+        post_mart.select(
+            F.lit("posts").alias("mart"),
+            F.col("post_id").alias("id"),
+            F.col("post_title").alias("name"),
+            F.col("max_comment_length").alias("rows"),
+            F.col("total_comments").alias("comments"),
+            F.col("unique_commenter_emails").alias("people"),
+            F.col("avg_comment_length").alias("average"),
+        )
+    )
+
+
 # ---- dated lake and distribution --------------------------------------------------
 
 
