@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from tidemark.functions import timestamp_literal
 from tidemark.operators.tables import SnapshotTable, typed
 from tidemark.operators.upsert import insert_ignore, upsert
 from tidemark.schemas import FEED_MARK, WATERMARK
+from tidemark.session import few_rows
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -66,24 +68,36 @@ def set_watermark(
 
 def set_watermark_at_least(
     state: SnapshotTable, table: str, value: datetime, now: datetime | None = None
-) -> None:
-    """Advance the watermark of one table; it never goes back."""
-    set_watermark(state, table, max(value, get_watermark(state.read(), table)), now)
-
-
-def open_marks(spark: SparkSession, path: str) -> SnapshotTable:
-    """The table of feed versions that were replicated: one row per table."""
-    return SnapshotTable(spark, path, FEED_MARK, key="table_name")
-
-
-def get_mark(marks: SnapshotTable, table: str) -> int:
-    """Newest feed version that was replicated, 0 for none."""
-    return state_row(marks.read(), table).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-
-
-def set_mark(marks: SnapshotTable, table: str, version: int) -> None:
-    row = marks.spark.createDataFrame([(table, version)], FEED_MARK)
-    marks.update(lambda current: upsert(current, row, "table_name"))
+) -> datetime:
+    """Advance the watermark of one table, which never goes back; the one now stored."""
+    stored = get_watermark(state.read(), table)
+    if value > stored:
+        set_watermark(state, table, value, now)
+    return max(value, stored)
+
+
+class Marks:
+    """How far each table was taken in: a log of growing numbers, one small row per step.
+
+    A number is the newest feed version or batch that was processed. Appending a row is one
+    commit; the highest number of a table counts, so a repeated step is harmless.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def get(self, table: str) -> int:
+        """The mark of a table, 0 for none."""
+        try:
+            marks = self.spark.read.schema(FEED_MARK).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return 0
+            raise
+        return state_row(marks, table).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+    def set(self, table: str, version: int) -> None:
+        few_rows(self.spark, [(table, version)], FEED_MARK).write.mode("append").parquet(self.path)
 
 
 def open_state(spark: SparkSession, path: str, tables: list[str]) -> SnapshotTable:

@@ -15,6 +15,7 @@ from tidemark.functions import timestamp_literal
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.upsert import BEFORE, CHANGED, SIGN, by_partition, merge_partitioned, upsert
 from tidemark.schemas import BATCH_SEQ, with_batch_seq
+from tidemark.session import few_rows
 
 BUCKET = "__bucket"
 VERSION = "__version"
@@ -126,7 +127,7 @@ def compact_landing_in_place(
     folder = uuid.uuid4().hex
     kept = latest_per_key(live, key, version).select(*schema.fieldNames(), BATCH_SEQ)
     sorted_layout(kept, key, files).write.parquet(f"{path}/{COMPACTED}/{folder}")
-    row = spark.createDataFrame([(switch + 1, folder, upto)], _LIVE).coalesce(1)
+    row = few_rows(spark, [(switch + 1, folder, upto)], _LIVE)
     row.write.mode("append").parquet(f"{path}/{LIVE_LIST}")
     return upto
 
@@ -191,6 +192,8 @@ class SnapshotTable:
         self.wanted_buckets = buckets
         self.buckets = buckets or 1
         self.pinned: int | None = None
+        # Buckets and paths by version: what is committed never changes.
+        self._known: dict[int, tuple[int, dict[int, str]]] = {0: (self.buckets, {})}
 
     # -- commit table: per version one path for each bucket
 
@@ -213,19 +216,28 @@ class SnapshotTable:
         """
         if version is None:
             version = self._newest() if self.pinned is None else self.pinned
-        if not version:
-            return 0, {}
-        rows = self._commits().filter(F.col("version") == version).collect()
-        if not rows:
-            raise ValueError(f"{self.path} has no version {version}")
-        self.buckets = rows[0]["buckets"]
-        return version, {r["bucket"]: r["path"] for r in rows if r["path"]}
-
-    def _commit(self, paths: dict[int, str], fed: bool = False) -> int:
-        version = self._newest() + 1
+        if version not in self._known:
+            rows = self._commits().filter(F.col("version") == version).collect()
+            if not rows:
+                raise ValueError(f"{self.path} has no version {version}")
+            self._known[version] = (
+                rows[0]["buckets"],
+                {r["bucket"]: r["path"] for r in rows if r["path"]},
+            )
+        buckets, live = self._known[version]
+        if version:
+            self.buckets = buckets
+        return version, live
+
+    def _last_written(self, base: int) -> int:
+        """The newest version, released or not; ``base`` is the one that was read."""
+        return base if self.pinned is None else self._newest()
+
+    def _commit(self, last: int, paths: dict[int, str], fed: bool = False) -> int:
+        version = last + 1
         rows = [(version, b, paths.get(b, ""), self.buckets, fed) for b in range(self.buckets)]
-        commit = self.spark.createDataFrame(rows, self.COMMITS).coalesce(1)
-        commit.write.mode("append").parquet(f"{self.path}/commits")
+        few_rows(self.spark, rows, self.COMMITS).write.mode("append").parquet(f"{self.path}/commits")
+        self._known[version] = (self.buckets, {b: path for b, path in paths.items() if path})
         if self.pinned is not None:
             self.pinned = version
         return version
@@ -268,7 +280,7 @@ class SnapshotTable:
         return self._commits() is not None
 
     def version(self) -> int:
-        return self._live()[0]
+        return self._newest() if self.pinned is None else self.pinned
 
     def _read_paths(self, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
         schema = schema or self.schema
@@ -296,14 +308,21 @@ class SnapshotTable:
 
     def update(self, change: Callable[[DataFrame], DataFrame]) -> int:
         """Replace the whole table by ``change(current rows)``."""
-        return self._replace(change(self.read()))
+        version, live = self._live()
+        rows = change(self._read_paths([live[b] for b in sorted(live)]))
+        return self._replace(rows, last=self._last_written(version))
 
     def _replace(
-        self, df: DataFrame, sort_key: str | None = None, files: int | None = None
+        self,
+        df: DataFrame,
+        sort_key: str | None = None,
+        files: int | None = None,
+        last: int | None = None,
     ) -> int:
+        last = self._newest() if last is None else last
         if self.wanted_buckets:
             self.buckets = self.wanted_buckets
-        return self._commit(self._paths(self._write(df, sort_key, files)))
+        return self._commit(last, self._paths(self._write(df, sort_key, files)))
 
     # -- changes of some buckets
 
@@ -321,6 +340,7 @@ class SnapshotTable:
 
     def _rewrite(
         self,
+        base: tuple[int, dict[int, str]],
         staged: DataFrame,
         merge: Callable[[DataFrame, DataFrame], DataFrame],
         feed: bool = False,
@@ -329,7 +349,7 @@ class SnapshotTable:
 
         Both frames carry their bucket, and the merged rows are left dealt out by it.
         """
-        _, live = self._live()
+        version, live = base
         touched = self._touched(staged)
         if not touched:
             return 0
@@ -337,10 +357,11 @@ class SnapshotTable:
         data = f"{self.path}/data/{uuid.uuid4().hex}"
         numbered = (df.withColumn(BUCKET, self._bucket()) for df in (stored, staged))
         self._write_buckets(merge(*numbered), data)
+        last = self._last_written(version)
         if feed:
-            self._write_feed(data)
+            self._write_feed(data, last + 1)
         untouched = {b: path for b, path in live.items() if b not in touched}
-        self._commit(untouched | self._paths(data), feed)
+        self._commit(last, untouched | self._paths(data), feed)
         return sum(touched.values())
 
     def upsert(self, batch: DataFrame, feed: bool = False, **options) -> int:
@@ -348,7 +369,7 @@ class SnapshotTable:
 
         ``options`` are those of :func:`tidemark.operators.upsert.upsert`.
         """
-        self._live()
+        base = self._live()
         staged = self._staged(batch.select(*self.schema.fieldNames()))
 
         def merge(stored: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -358,7 +379,7 @@ class SnapshotTable:
                 stored, incoming, self.key, BUCKET, self.buckets, feed=feed, **options
             )
 
-        return self._rewrite(staged, merge, feed)
+        return self._rewrite(base, staged, merge, feed)
 
     def replace_keys(self, keys: DataFrame, rows: DataFrame, quiet: bool = False) -> int:
         """Replace all rows of ``keys`` by ``rows``; a key without a row leaves the table.
@@ -366,7 +387,7 @@ class SnapshotTable:
         Returns the number of keys. Only the buckets of the keys are rewritten. ``quiet``
         tells readers of the feed that nothing changed, as when only tombstones go.
         """
-        self._live()
+        base = self._live()
         present, incoming = "__present", "__incoming"
         found = rows.select(*self.schema.fieldNames()).withColumn(present, F.lit(True))
         staged = self._staged(keys.select(self.key).distinct().join(found, self.key, "left"))
@@ -382,7 +403,7 @@ class SnapshotTable:
             kept = ranked.filter((F.col("__rank") == 1) & F.col(present))
             return kept.select(*self.schema.fieldNames(), BUCKET)
 
-        return self._rewrite(staged, merge, quiet)
+        return self._rewrite(base, staged, merge, quiet)
 
     def add(self, delta: DataFrame, by: Sequence[str], count: str) -> int:
         """Add signed partial sums to the stored ones, group by group.
@@ -391,7 +412,7 @@ class SnapshotTable:
         table; a negative count means that something unknown was taken away, and fails.
         Returns the number of groups of the delta.
         """
-        self._live()
+        base = self._live()
         sums = [f.name for f in self.schema.fields if f.name not in by]
         total = [F.sum(c).alias(c) for c in sums]
         grouped = delta.groupBy(*by).agg(*total).select(*self.schema.fieldNames())
@@ -408,11 +429,11 @@ class SnapshotTable:
             kept = merged.filter(checked).select(*self.schema.fieldNames(), BUCKET)
             return kept.sortWithinPartitions(BUCKET, self.key)
 
-        return self._rewrite(staged, merge)
+        return self._rewrite(base, staged, merge)
 
     # -- change feed
 
-    def _write_feed(self, data: str) -> None:
+    def _write_feed(self, data: str, version: int) -> None:
         """The changed rows of freshly written data, as images before (-1) and after (1)."""
         image = T.StructType(self.schema.fields)
         fields = [T.StructField(CHANGED, T.BooleanType()), T.StructField(BEFORE, image)]
@@ -426,7 +447,7 @@ class SnapshotTable:
         )
         rows = changed.select(F.explode(F.array_compact(images)).alias("i")).select("i.row.*", f"i.{SIGN}")
         # A dead attempt at this version left at most this folder, which no commit names.
-        rows.write.mode("overwrite").parquet(f"{self.path}/feed/{VERSION}={self._newest() + 1}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/feed/{VERSION}={version}")
 
     def changes(self, after: int = 0, upto: int | None = None) -> DataFrame:
         """Images of the versions after ``after``: rows with ``__sign`` and ``__version``.
@@ -536,8 +557,7 @@ class Release:
         """Make the pinned versions visible; returns the number of the release."""
         number = self.current()[0] + 1
         rows = [(number, name, table.version()) for name, table in sorted(self.tables.items())]
-        one_file = self.spark.createDataFrame(rows, self.ROWS).coalesce(1)
-        one_file.write.mode("append").parquet(self.path)
+        few_rows(self.spark, rows, self.ROWS).write.mode("append").parquet(self.path)
         return number
 
 

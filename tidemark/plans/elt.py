@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.quality import fail_if_any, run_suite
 from tidemark.operators.skew import heaviest_keys
-from tidemark.operators.state import get_mark, open_marks, open_state, set_mark
+from tidemark.operators.state import Marks, open_state
 from tidemark.operators.tables import SnapshotTable, compact_landing_in_place, read_landing
 from tidemark.operators.upsert import SIGN
 from tidemark.plans.ingest import ingest, oltp_table
@@ -80,17 +80,17 @@ def replicate_all(
     A landing table with ``compact_after`` batches since it was last folded is folded.
     """
     state = open_state(spark, f"{root}/raw/sync_watermark", list(ENTITIES))
-    marks = open_marks(spark, f"{root}/raw/feed_marks")
-    folded = open_marks(spark, f"{root}/raw/folded_batches")
+    marks = Marks(spark, f"{root}/raw/feed_marks")
+    folded = Marks(spark, f"{root}/raw/folded_batches")
     done = []
     for spec in select_entities(which):
         path = landing_path(root, spec.name)
         table = oltp_table(spark, root, spec, buckets)
         done.append(replicate_feed(table, path, state, marks, spec, now))
         # Batches are numbered by feed version: the difference bounds their number.
-        if get_mark(marks, spec.name) - get_mark(folded, spec.name) >= compact_after:
+        if marks.get(spec.name) - folded.get(spec.name) >= compact_after:
             upto = compact_landing_in_place(spark, path, spec.landing, spec.key, spec.version)
-            set_mark(folded, spec.name, upto)
+            folded.set(spec.name, upto)
     checks = reduce(DataFrame.unionByName, [r.check for r in done])
     if strict:
         fail_if_any(checks, "reconciliation")
@@ -201,8 +201,8 @@ def _bring_up_to_date(
     """Marts and partial results from the feeds, or as a whole where there are none yet."""
     tables = {name: oltp_table(spark, root, spec, buckets) for name, spec in ENTITIES.items()}
     # Up to what was replicated: the tests read the landing tables.
-    marks = open_marks(spark, f"{root}/raw/feed_marks")
-    feeds = {name: get_mark(marks, name) for name in tables}
+    marks = Marks(spark, f"{root}/raw/feed_marks")
+    feeds = {name: marks.get(name) for name in tables}
     taken = state.feeds()
     if set(taken) != set(tables):
         views = staging_views(spark, root)

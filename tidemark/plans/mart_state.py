@@ -35,7 +35,7 @@ from tidemark.operators.tables import Release, SnapshotTable
 from tidemark.operators.upsert import SIGN
 from tidemark.plans.marts import comment_statistics_of, user_summary_of
 from tidemark.schemas import FEED_MARK, MARTS, STAGING
-from tidemark.session import materialise
+from tidemark.session import few_rows, materialise
 
 USERS = ("user_id", "username", "full_name", "email", "company_name", "city")
 POSTS = ("post_id", "user_id", "title", "title_length", "body_length")
@@ -309,7 +309,7 @@ class MartState:
 
     def _note(self, feeds: dict[str, int] | None) -> None:
         if feeds is not None:
-            self.tables["feeds"].publish(self.spark.createDataFrame(list(feeds.items()), FEED_MARK))
+            self.tables["feeds"].publish(few_rows(self.spark, list(feeds.items()), FEED_MARK))
 
     def _commit(self, check: Check | None, visible: bool) -> int:
         """Name what was written as a whole, then check it, then show it."""

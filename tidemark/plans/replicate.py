@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import reconcile_counts
 from tidemark.operators.state import (
     EPOCH,
-    get_mark,
+    Marks,
     get_watermark,
-    set_mark,
     set_watermark,
     set_watermark_at_least,
 )
@@ -77,7 +76,7 @@ def replicate_feed(
     table: SnapshotTable,
     landing: str,
     state: SnapshotTable,
-    marks: SnapshotTable,
+    marks: Marks,
     spec: EntitySpec,
     now: datetime | None = None,
 ) -> Replicated:
@@ -90,8 +89,9 @@ def replicate_feed(
     :func:`replicate` can go on from there.
     """
     spark = table.spark
-    mark, newest_version = get_mark(marks, spec.name), table.version()
+    mark, newest_version = marks.get(spec.name), table.version()
     rows = 0
+    watermark = None
     if newest_version > mark:
         batch = table.changes(mark, newest_version).filter(F.col(SIGN) > 0)
         if not batch.isEmpty():
@@ -99,11 +99,12 @@ def replicate_feed(
             written = append_landing(moved, landing, spec.columns, newest_version)
             rows, newest = _measured(spark, written, spec)
             if newest is not None:
-                set_watermark_at_least(
+                watermark = set_watermark_at_least(
                     state, spec.name, EPOCH + timedelta(microseconds=newest), now
                 )
-        set_mark(marks, spec.name, newest_version)
-    watermark = get_watermark(state.read(), spec.name)
+        marks.set(spec.name, newest_version)
+    if watermark is None:
+        watermark = get_watermark(state.read(), spec.name)
     return Replicated(spec.name, rows, watermark, _check(spark, table.read(), landing, spec))
 
 

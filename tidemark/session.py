@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -72,6 +75,13 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def few_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A handful of rows as one partition of literals, without a Python worker."""
+    text = json.dumps([dict(zip(schema.names, row, strict=True)) for row in rows])
+    listed = F.from_json(F.lit(text), T.ArrayType(schema), {"mode": "FAILFAST"})
+    return spark.range(0, 1, 1, 1).select(F.inline(listed))
+
+
 def materialise(df, label: str):
     """Write ``df`` once under the shared folder and return the written table.
 

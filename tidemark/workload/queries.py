@@ -727,7 +727,7 @@ def replicate_batch(src):
     spark, spec = src.spark, ENTITIES["posts"]
     root = new_run_dir(spark, "replicate")
     stored = state.open_state(spark, f"{root}/state", list(ENTITIES))
-    marks = state.open_marks(spark, f"{root}/marks")
+    marks = state.Marks(spark, f"{root}/marks")
     table = oltp_table(spark, root, spec, _parallelism(spark))
     raw = fx.raw_posts(src)
     for seq in (1, 2):
