@@ -6,6 +6,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,66 @@ def test_toxicity_learns_words_and_never_sees_held_out_labels(spark):
     assert again.bias == model.bias
 
 
+def test_a_short_toxic_passage_in_a_long_text_is_found(spark):
+    rnd = random.Random(4)
+    words = [f"{a}{b}{c}" for a in "abcdfg" for b in "eiou" for c in "lmnr"]
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = int(i % 8 == 0)
+        text = rnd.choices(words, k=rnd.choice([30, 300, 3000]))
+        for _ in range(3 * toxic):
+            text[rnd.randrange(len(text))] = rnd.choice(["vilefool", "scumbag", "wretch"])
+        rows.append((i, " ".join(text)))
+        labels.append((i, 0, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train(toxicity.training_rows(docs, table))
+    scored = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    held = [(i, t) for i, _, t in labels if duckdb_crc(i) % 3 == 1]
+    caught = [scored[i] for i, t in held if t]
+    assert sum(caught) >= 0.95 * len(caught)
+    assert sum(scored[i] for i, t in held if not t) <= 0.01 * len(held)
+
+
+def test_calibration_gives_the_share_of_toxic_rows():
+    """One feature that nine of ten rows with it are toxic for: the score says so, balanced."""
+    owner, place = np.repeat(np.arange(400), 1), np.arange(400) % 2
+    labels = (np.arange(400) % 2 * (np.arange(400) % 20 != 1)).astype(int)
+    slope, offset = toxicity._calibration(owner, place, np.ones(400), labels, 2)
+    w, bias = toxicity._fit(owner, place, np.ones(400), labels, 2)
+    p = 1 / (1 + np.exp(-(slope * (w[1] + bias) + offset)))
+    # Balanced: nine tenths of the rows with feature 1 are toxic, and no row without it.
+    weight = toxicity._class_weights(labels)
+    true = weight[(place == 1) & (labels == 1)].sum() / weight[place == 1].sum()
+    assert abs(p - true) < 0.03
+
+
+def test_stages_with_clashing_columns_nulls_and_nothing(spark):
+    rows = [
+        (1, None, 1, "a", 0.5, 0), (2, "", 2, "b", 0.5, 1), (3, "one two three", 3, "c", 0.1, 0),
+        (3, "one two three", 4, "d", 0.1, 0), (3, "one two three", 4, "d", 0.1, 0),
+        (None, "no id here at all", 5, "e", 0.9, 1), (4, "word " * 30_000, 6, "f", 0.9, 1),
+    ]
+    schema = "doc_id long, text string, __id long, __hash string, score double, toxic int"
+    extra = ["__copy", "__score", "__toxic", "row", "copy", "hash", "kept_id"]
+    docs = spark.createDataFrame(rows, schema).withColumns({c: F.lit(7) for c in extra})
+    results = []
+    for order in (docs, docs.orderBy(F.desc("__id"))):
+        out = order
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = materialise(stage(spark, out, SF), "stage")
+            assert out.columns == docs.columns
+        results.append(sorted(map(tuple, out.collect()), key=repr))
+    assert results[0] == results[1]
+    ids = [r[0] for r in results[0]]
+    assert ids.count(3) == 1 and 4 in ids
+    assert all(r[6:] == (7,) * len(extra) for r in results[0])
+    nothing = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        nothing = materialise(stage(spark, nothing, SF), "stage")
+        assert nothing.collect() == []
+
+
 def duckdb_crc(i):
     import zlib
 
@@ -154,7 +215,7 @@ def test_stages_against_plain_versions(spark, staged):
     parts = plain_components(sorted(kept.items()))
     one = {r["doc_id"]: r["text"] for r in single.collect()}
     assert sorted(one) == sorted({c for _, c in parts.values()})
-    report = plain_removal(sorted(one.items()), repeats.LENGTH)
+    report = plain_removal(sorted(one.items()), corpus_pipeline.PASSAGE_BYTES)
     removed = {r[0]: r[2] for r in report}
     for r in cut.collect():
         full = one[r["doc_id"]].encode()

@@ -42,6 +42,34 @@ def test_units_give_the_ids_of_whole_texts(path, spaced):
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == ids
 
 
+def fuzzed(rnd, n):
+    """Words of letters of many scripts, letters that come apart, marks, and odd spaces."""
+    ranges = [(0x41, 0x7A), (0xC0, 0x24F), (0x300, 0x36F), (0x370, 0x3FF), (0x400, 0x4FF), (0x590, 0x6FF),
+              (0x900, 0x97F), (0xE00, 0xE7F), (0x1100, 0x11FF), (0x1E00, 0x1FFF), (0x2000, 0x22FF),
+              (0x3040, 0x30FF), (0x4E00, 0x4E80), (0xAC00, 0xAC80), (0xFB00, 0xFB4F), (0x1F600, 0x1F640)]
+    odd = "İıſßΣςΩKÅ\u0958\u0959\ufb1d\ufb2a\u1e9e\u0345\u0130\u0307ǅǈ½²"
+    for _ in range(n):
+        words = []
+        for _ in range(rnd.randint(1, 8)):
+            pick = lambda: rnd.choice(odd) if rnd.random() < 0.3 else chr(rnd.randint(*rnd.choice(ranges)))
+            words.append("".join(pick() for _ in range(rnd.randint(0, 6))) + rnd.choice(["", ".", ",", "!?", "%%", "...", "'s", ";:"]))
+        yield rnd.choice([" ", "  ", "\n", "\t", " \n"]).join(words)
+
+
+@pytest.mark.parametrize(("path", "spaced"), [(BYTE_LEVEL, True), (WORDS, False)])
+def test_units_give_the_ids_of_random_texts(path, spaced):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    texts = ["GELDİ.", "İ,", "\u0958.", "\ufb1d!", "x\u0301.", *fuzzed(random.Random(8), 10_000)]
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = library_encoder(path, spaced).encode(pa.array(texts, pa.string()))
+    for text, ids, mine in zip(texts, want, got, strict=True):
+        assert np.frombuffer(mine, "<u4").tolist() == ids, repr(text)
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 59, 4095, 4096, 4097, 20_000):

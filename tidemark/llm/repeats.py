@@ -444,8 +444,16 @@ def repeated_ranges(
 
 def cut_ranges(text: bytes, spans: list[dict] | None, length: int) -> tuple[bytes, int, int]:
     """What is left of the text, bytes removed, and maximal removed runs."""
+    kept, removed, runs = kept_parts(text, spans, length)
+    return b"".join(kept), removed, runs
+
+
+def kept_parts(
+    text: bytes, spans: list[dict] | None, length: int
+) -> tuple[list[bytes], int, int]:
+    """The parts that are left, bytes removed, and maximal removed runs."""
     if not spans:
-        return text, 0, 0
+        return [text], 0, 0
     kept, removed, runs, at = [], 0, 0, 0
     starts = np.array([(s["a"], s["b"]) for s in spans], np.int64)
     starts = starts[np.argsort(starts[:, 0], kind="stable")]
@@ -461,7 +469,7 @@ def cut_ranges(text: bytes, spans: list[dict] | None, length: int) -> tuple[byte
             end = max(end, b)
     removed += end - begin
     kept.append(text[end:])
-    return b"".join(kept), removed, runs
+    return kept, removed, runs
 
 
 def _with_ranges(
@@ -549,8 +557,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             for packed, spans, null in zip(
                 *(column(batch, f"c{i}") for i in (0, 1, len(names) - 1)), strict=True
             ):
-                kept = cut_ranges(unpack.decompress(packed), spans, length)[0]
-                texts.append(None if null else kept.decode("utf-8", "ignore"))
+                # Part by part: the halves of two cut characters must not make a third.
+                parts = kept_parts(unpack.decompress(packed), spans, length)[0]
+                kept = "".join(part.decode("utf-8", "ignore") for part in parts)
+                texts.append(None if null else kept)
             arrays = [batch.column(i) for i in range(2, len(names) - 1)]
             labels = [f"c{i}" for i in range(2, len(names) - 1)]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.string())], names=[*labels, "text"])

@@ -215,11 +215,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def keep_one_per_component(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component, the one with the smallest ``doc_id``, all columns kept.
 
-    Among rows of that id the one with the smallest text hash stays; a row repeated as a
-    whole stays once.
+    Among rows of that id the one with the smallest hash of its text stays, and among those
+    the one with the smallest hash of all columns; rows equal in all columns are one. The rows
+    without an id are one row of those of their fingerprint, unless their component has an id.
+    An empty table gives an empty result. Columns may have any name.
     """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
-    keyed = docs.withColumn("__hash", text_hash)
+    keyed = docs.select(
+        row.alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        text_hash.alias("hash"),
+    )
     short_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("fp", pa.int64())])
 
@@ -227,25 +235,26 @@ def keep_one_per_component(docs: DataFrame, shingle: int = SHINGLE, max_bits: in
         for batch in batches:
             rows = zip(
                 column(batch, "doc_id"),
-                column(batch, "__hash"),
+                column(batch, "hash"),
                 (_signed(fingerprint(t, shingle)) for t in column(batch, "text")),
                 strict=True,
             )
             yield from record_batches(rows, schema)
 
-    narrow = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "__hash", "text")
+    narrow = keyed.select("doc_id", "hash", "text")
     prints = materialise(narrow.mapInArrow(run, "doc_id long, hash long, fp long"), "simhash")
     keepers = (
         prints.join(components(prints.select("doc_id", "fp"), max_bits), "fp")
         .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("nameless"))
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("kept"))
-        .select(F.col("kept.doc_id").alias("__id"), F.col("kept.hash").alias("__kept"))
+        .select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.hash").alias("kept_hash"))
     )
-    same = (F.col("__hash") == F.col("__kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    copy = F.row_number().over(Window.partitionBy("__hash", "__id").orderBy(F.lit(0)))
+    same = (F.col("hash") == F.col("kept_hash")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    copies = Window.partitionBy("kept_hash", "kept_id").orderBy(F.xxhash64("row"))
     return (
-        keyed.join(keepers, same)
-        .withColumn("__copy", copy)
-        .filter("__copy = 1")
-        .select(*docs.columns)
+        keyed.select("row", "doc_id", "hash")
+        .join(keepers, same)
+        .withColumn("copy", F.row_number().over(copies))
+        .filter("copy = 1")
+        .select("row.*")
     )

@@ -1,13 +1,25 @@
 """Toxicity by a linear classifier over character n-grams scaled by log-count ratios.
 
-Features are hashed n-grams of the lower-cased UTF-8 text, counted relative to all n-grams
-of the text. The corpus pass counts, over all labelled training rows, in how many toxic and
-how many other texts each n-gram stands; the naive Bayes log-count ratio of these counts
-scales the feature. Logistic regression over the scaled features is then fitted to a
-bounded sample of the training rows, on the ``MAX_FEATURES`` n-grams that tell most.
+Features are hashed n-grams of the lower-cased UTF-8 text; one that occurs ``n`` times counts
+``1 + log n``, whatever the length of the text, so a toxic passage weighs as much in a long
+text as in a short one. The corpus pass counts, over all labelled training rows, in how many
+toxic and how many other texts each n-gram stands; the naive Bayes log-count ratio of these
+counts scales the feature. Logistic regression over the scaled features is then fitted to a
+bounded sample of the training rows, on the ``MAX_FEATURES`` n-grams that tell most. A
+training row is scaled by the ratios of all other rows, so that rare n-grams of its own do not
+speak for it.
+
+Both labels weigh the same in the fit, however rare one of them is. The score is calibrated on
+training rows alone: the rows are dealt into folds, each fold is scored by a fit to the others,
+and a logistic curve through those scores gives slope and offset.
 
 Bounds: the model has ``MAX_FEATURES`` weights, the sample ``SAMPLE_ROWS`` rows; both are
 parameters and do not depend on the data. Counts and scores cover all rows and whole texts.
+
+Defined cases: a null text counts as an empty one; every row gets a score, also repeated rows
+and rows with a null id; rows with a null label are not learned from; without rows of both
+labels there are no weights. An empty table gives an empty result. ``extra`` columns may have
+any name.
 """
 
 from __future__ import annotations
@@ -24,12 +36,12 @@ from tidemark.llm.common import column, materialise, record_batches, short_batch
 
 ORDERS = (3, 5, 7)
 BITS = 20
-MAX_FEATURES = 1 << 13
+MAX_FEATURES = 1 << 12
 SAMPLE_ROWS = 12_000
 #: Parts of the feature space that are counted apart.
 SLICES = 64
-#: Labels that may be broadcast instead of shuffling the texts to them.
-BROADCAST_LABELS = 2_000_000
+#: Parts of the sample for the calibration.
+FOLDS = 4
 THRESHOLD = 0.7
 #: Bytes that are hashed at once.
 CHUNK = 1 << 20
@@ -63,15 +75,14 @@ def _chunks(text: bytes, order: int):
 
 
 def feature_counts(text: str | None, columns: np.ndarray | None = None) -> tuple:
-    """Distinct features of a text, how often each occurs, and the number of all n-grams.
+    """Distinct features of a text, and how often each occurs.
 
     ``columns`` maps a feature to its column in the model, or -1: others are left out.
     """
-    data, found, counts, total = normal_form(text), [], [], 0
+    data, found, counts = normal_form(text), [], []
     for order in ORDERS:
         for part in _chunks(data, order):
             grams = _grams(part, order)
-            total += len(grams)
             if columns is not None:
                 grams = columns[grams]
                 grams = grams[grams >= 0]
@@ -79,13 +90,19 @@ def feature_counts(text: str | None, columns: np.ndarray | None = None) -> tuple
             found.append(values)
             counts.append(n)
     values, place = np.unique(np.concatenate(found), return_inverse=True)
-    return values, np.bincount(place, np.concatenate(counts), len(values)), max(1, total)
+    return values, np.bincount(place, np.concatenate(counts), len(values))
+
+
+def strength(n: np.ndarray) -> np.ndarray:
+    """Value of a feature that occurs ``n`` times."""
+    return 1 + np.log(n)
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weight of every hashed feature (zero for most), as a part of all n-grams, and bias."""
+    """Column of every hashed feature (-1 for most), weight of every column, and bias."""
 
+    columns: np.ndarray
     weights: np.ndarray
     bias: float
 
@@ -104,25 +121,29 @@ class ToxicityModel:
         return (1 / (1 + np.exp(-np.clip(np.array(logits), -500, 500)))).tolist()
 
     def _logits(self, texts: list[bytes]) -> list[float]:
+        if not len(self.weights):
+            return [self.bias] * len(texts)
         if len(texts) == 1:
-            parts = [
-                self.weights[_grams(p, order)] for order in ORDERS for p in _chunks(texts[0], order)
-            ]
-            total = max(1, sum(map(len, parts)))
-            return [self.bias + float(sum(p.sum(dtype=np.float64) for p in parts)) / total]
+            times = np.zeros(len(self.weights), dtype=np.int64)
+            for order in ORDERS:
+                for part in _chunks(texts[0], order):
+                    found = self.columns[_grams(part, order)]
+                    times += np.bincount(found[found >= 0], minlength=len(times))
+            held = np.flatnonzero(times)
+            return [self.bias + float(np.sum(self.weights[held] * strength(times[held])))]
         lengths = np.array([len(t) for t in texts])
-        ends = np.cumsum(lengths)
+        ends, owner = np.cumsum(lengths), np.repeat(np.arange(len(texts)), lengths)
         joined = b"".join(texts)
-        sums, totals = np.zeros(len(texts)), np.zeros(len(texts))
+        pairs = []
         for order in ORDERS:
-            weights = np.zeros(len(joined) + 1)
-            grams = _grams(joined, order)
-            weights[1 : len(grams) + 1] = np.cumsum(self.weights[grams], dtype=np.float64)
-            weights[len(grams) + 1 :] = weights[len(grams)]
-            inside = np.maximum(0, lengths - order + 1)
-            sums += weights[ends - lengths + inside] - weights[ends - lengths]
-            totals += inside
-        return (self.bias + sums / np.maximum(1, totals)).tolist()
+            found = self.columns[_grams(joined, order)]
+            at = np.flatnonzero(found >= 0)
+            at = at[at + order <= ends[owner[at]]]  # not across two texts
+            pairs.append(owner[at] * len(self.weights) + found[at])
+        pairs, n = np.unique(np.concatenate(pairs), return_counts=True)
+        worth = self.weights[pairs % len(self.weights)] * strength(n)
+        sums = np.bincount(pairs // len(self.weights), worth, len(texts))
+        return (self.bias + sums).tolist()
 
 
 def _document_counts(rows: DataFrame) -> DataFrame:
@@ -177,17 +198,23 @@ def _select_features(counts: DataFrame, n_clean: int, n_toxic: int, limit: int):
     )
     rows = (
         counts.filter("feature >= 0")
-        .select("feature", F.log(toxic / clean).alias("ratio"), told.alias("told"))
+        .select("feature", "clean", "toxic", told.alias("told"))
         .orderBy(F.desc("told"), "feature")
         .limit(limit)  # the size of the model
         .collect()
     )
     return (
         np.array([r["feature"] for r in rows], dtype=np.int64),
-        np.array([r["ratio"] for r in rows], dtype=np.float64),
+        np.array([(r["clean"], r["toxic"]) for r in rows], dtype=np.float64).reshape(-1, 2),
     )
 
 
+def _ratio(held: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log-count ratio of features in ``held`` of ``n`` texts of either label (clean, toxic)."""
+    share = (held + 1) / (n + 2)
+    return np.log(share[..., 1] / share[..., 0])
+
+
 def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Model from ``labelled (doc_id, text, toxic)``; rows with a null label are not used.
 
@@ -203,11 +230,10 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: in
     totals = counts.filter("feature = -1").first()
     n_clean, n_toxic = (totals["clean"], totals["toxic"]) if totals else (0, 0)
     prior = float(np.log((n_toxic + 1) / (n_clean + 1)))
-    weights = np.zeros(1 << BITS, dtype=np.float64)
+    columns = np.full(1 << BITS, -1, dtype=np.int32)
     if not n_clean or not n_toxic:
-        return ToxicityModel(weights, prior)
-    features, ratio = _select_features(counts, n_clean, n_toxic, max_features)
-    columns = np.full(1 << BITS, -1, dtype=np.int64)
+        return ToxicityModel(columns, np.zeros(0), prior)
+    features, held = _select_features(counts, n_clean, n_toxic, max_features)
     columns[features] = np.arange(len(features))
 
     # A hash of the id orders the rows, so the sample is the same at every run.
@@ -215,33 +241,85 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: in
         rows.select("doc_id", F.xxhash64("doc_id").alias("at")).orderBy("at", "doc_id").limit(sample_rows)
     )
     last = chosen.agg(F.max("at")).first()[0]
-    sample = rows.filter(F.xxhash64("doc_id") <= F.lit(last))
-    schema = pa.schema([("toxic", pa.int32()), ("found", pa.binary()), ("part", pa.binary())])
+    sample = (
+        rows.withColumn("at", F.xxhash64("doc_id"))
+        .filter(F.col("at") <= F.lit(last))
+        .limit(2 * sample_rows)  # ids that repeat do not count as one
+    )
+    schema = pa.schema(
+        [("at", pa.int64()), ("toxic", pa.int32()), ("found", pa.binary()), ("times", pa.binary())]
+    )
 
     def featurise(batches):
         for batch in batches:
             out = []
-            for text, toxic in zip(column(batch, "text"), column(batch, "toxic"), strict=True):
-                found, n, total = feature_counts(text, columns)
-                out.append((toxic, found.astype("<i4").tobytes(), (n / total).astype("<f4").tobytes()))
+            for at, text, toxic in zip(*(column(batch, c) for c in ("at", "text", "toxic")), strict=True):
+                found, n = feature_counts(text, columns)
+                out.append((at, toxic, found.astype("<i4").tobytes(), n.astype("<i4").tobytes()))
             yield from record_batches(out, schema)
 
-    data = sample.mapInArrow(featurise, "toxic int, found binary, part binary").toArrow()
-    labels = np.array(data["toxic"], dtype=np.float64)
+    data = sample.mapInArrow(featurise, "at long, toxic int, found binary, times binary").toArrow()
+    data = data.sort_by([("at", "ascending"), ("toxic", "ascending"), ("found", "ascending"), ("times", "ascending")])
+    labels = np.array(data["toxic"], dtype=np.int64)
     found = [np.frombuffer(b.as_py(), "<i4") for b in data["found"]]
-    part = np.concatenate([np.frombuffer(b.as_py(), "<f4") for b in data["part"]])
+    times = np.concatenate([np.frombuffer(b.as_py(), "<i4") for b in data["times"]])
     owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
     place = np.concatenate(found)
-    scaled = part.astype(np.float64) * ratio[place]
-    scale = max(1e-12, float(np.sqrt((scaled**2).sum() / max(1, len(labels)))))
-    w, bias = _fit(owner, place, scaled / scale, labels, len(features), prior)
-    weights[features] = w * ratio / scale
-    return ToxicityModel(weights, bias)
-
-
-def _fit(owner, place, value, labels, n_features, bias, steps: int = 300, ridge: float = 2e-5):
-    """Logistic regression by full-batch Adam steps; values come in the order of their rows."""
-    value = value.astype(np.float32)
+    # Ratios without the row itself: one text less of its label, in the corpus and with the feature.
+    n_texts = np.array([n_clean, n_toxic], dtype=np.float64)
+    own = np.eye(2)[labels[owner]]
+    value = strength(times) * _ratio(held[place] - own, n_texts - own)
+    scale = max(1e-12, float(np.sqrt((value**2).sum() / max(1, len(labels)))))
+    value /= scale
+    slope, offset = _calibration(owner, place, value, labels, len(features))
+    w, bias = _fit(owner, place, value, labels, len(features))
+    return ToxicityModel(columns, slope * w * _ratio(held, n_texts) / scale, slope * bias + offset)
+
+
+def _class_weights(labels: np.ndarray) -> np.ndarray:
+    """Weight of each row; rows of either label together weigh one half."""
+    toxic = max(1, int(labels.sum()))
+    clean = max(1, len(labels) - int(labels.sum()))
+    return np.where(labels > 0, 0.5 / toxic, 0.5 / clean)
+
+
+def _calibration(owner, place, value, labels, n_features, folds: int = FOLDS) -> tuple[float, float]:
+    """Slope and offset of the logistic curve through scores of rows that a fit has not seen."""
+    fold = np.zeros(len(labels), dtype=np.int64)
+    for label in (0, 1):
+        rows = np.flatnonzero(labels == label)
+        if len(rows) < folds:
+            return 1.0, 0.0
+        fold[rows] = np.arange(len(rows)) % folds
+    logits = np.zeros(len(labels))
+    for k in range(folds):
+        rows = np.flatnonzero(fold != k)
+        number = np.full(len(labels), -1)
+        number[rows] = np.arange(len(rows))
+        seen = number[owner] >= 0
+        w, bias = _fit(number[owner][seen], place[seen], value[seen], labels[rows], n_features)
+        scored = np.bincount(owner, w[place] * value, len(labels)) + bias
+        logits[fold == k] = scored[fold == k]
+    weight, (slope, offset) = _class_weights(labels), (1.0, 0.0)
+    for _ in range(50):  # Newton steps; the small term keeps separable scores finite
+        p = 1 / (1 + np.exp(-np.clip(slope * logits + offset, -500, 500)))
+        error, bend = weight * (p - labels), weight * p * (1 - p)
+        gradient = np.array([error @ logits + 1e-4 * (slope - 1), error.sum()])
+        middle = bend @ logits
+        curve = np.array([[bend @ logits**2 + 1e-4, middle], [middle, bend.sum() + 1e-6]])
+        change = np.clip(np.linalg.solve(curve, gradient), -2, 2)
+        slope, offset = slope - change[0], offset - change[1]
+        if np.abs(change).max() < 1e-9:
+            break
+    return (float(slope), float(offset)) if slope > 0 and np.isfinite(offset) else (1.0, 0.0)
+
+
+def _fit(owner, place, value, labels, n_features, steps: int = 300, ridge: float = 1e-4):
+    """Logistic regression by full-batch Adam steps; values come in the order of their rows.
+
+    Rows of both labels weigh the same in sum.
+    """
+    value, weight, bias = value.astype(np.float32), _class_weights(labels), 0.0
     by_feature = np.argsort(place, kind="stable")
     owner_f, value_f = owner[by_feature], value[by_feature]
     rows, row_starts = np.unique(owner, return_index=True)
@@ -253,7 +331,7 @@ def _fit(owner, place, value, labels, n_features, bias, steps: int = 300, ridge:
         z[:] = bias
         if len(rows):
             z[rows] += np.add.reduceat(value * w.astype(np.float32)[place], row_starts)
-        error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) / len(labels)
+        error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) * weight
         if len(held):
             part[held] = np.add.reduceat(value_f * error.astype(np.float32)[owner_f], feature_starts)
         slope = np.empty(n_features + 1)
@@ -316,7 +394,4 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    # Labels are small next to texts: up to a fixed number they go to the texts.
-    if toxic.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
-        toxic = F.broadcast(toxic)
     return docs.select("doc_id", "text").filter(~held_out("doc_id")).join(toxic, "doc_id")

@@ -24,8 +24,11 @@ ODD = "[\x1c-\x1f\u0085\ue001\ue002]"
 #: A line end beside other white space.
 LOOSE_LINE = LINE + r"([\s\pZ]|$)"
 RUNS = re.compile(r"\s+|\S+")
-#: A letter or digit and then only marks: a cut for every tokenizer used here.
+#: A letter or digit and then only marks: a cut for every tokenizer that takes texts as they are.
 MARKS_AFTER_WORD = re.compile(r"(\S*[^\W_])([,.;:!?%&$#*]+)\Z")
+#: The same for vocabularies that compose and lower-case a text first: other letters may come
+#: apart there, and their last part need not be a letter. These stay themselves.
+MARKS_AFTER_PLAIN = re.compile(r"(\S*[A-Za-z0-9])([,.;:!?%&$#*]+)\Z")
 MAX_UNITS = 1_000_000
 
 
@@ -57,9 +60,9 @@ def spaced_units(text: str) -> list[str]:
     return out
 
 
-def word_units(word: str, before: str) -> list[str]:
+def word_units(word: str, before: str, marks: re.Pattern = MARKS_AFTER_WORD) -> list[str]:
     """A word, perhaps with the space before it, and the marks after it."""
-    cut = MARKS_AFTER_WORD.match(word)
+    cut = marks.match(word)
     return [before + cut[1], cut[2]] if cut else [before + word]
 
 
@@ -131,7 +134,7 @@ class UnitEncoder:
 
     def _units_of(self, part: str) -> list[str]:
         if not self.spaced:
-            return word_units(part, "") if part else []
+            return word_units(part, "", MARKS_AFTER_PLAIN) if part else []
         if part[:1] == START:
             return spaced_units(part[1:])
         if part[:1] == LINE:
