@@ -394,4 +394,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+    # Written down, so that Spark knows their size: small ones go to the texts, not the texts
+    # to them.
+    toxic = materialise(toxic, "labels")
     return docs.select("doc_id", "text").filter(~held_out("doc_id")).join(toxic, "doc_id")
