@@ -40,6 +40,9 @@ MAX_FEATURES = 1 << 12
 SAMPLE_ROWS = 12_000
 #: Parts of the feature space that are counted apart.
 SLICES = 64
+#: Labels, of 12 bytes each, that are sent to the texts. A shuffle of the texts costs their size
+#: again on disk.
+BROADCAST_LABELS = 2_000_000
 #: Parts of the sample for the calibration.
 FOLDS = 4
 THRESHOLD = 0.7
@@ -241,11 +244,7 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: in
         rows.select("doc_id", F.xxhash64("doc_id").alias("at")).orderBy("at", "doc_id").limit(sample_rows)
     )
     last = chosen.agg(F.max("at")).first()[0]
-    sample = (
-        rows.withColumn("at", F.xxhash64("doc_id"))
-        .filter(F.col("at") <= F.lit(last))
-        .limit(2 * sample_rows)  # ids that repeat do not count as one
-    )
+    sample = rows.withColumn("at", F.xxhash64("doc_id")).filter(F.col("at") <= F.lit(last))
     schema = pa.schema(
         [("at", pa.int64()), ("toxic", pa.int32()), ("found", pa.binary()), ("times", pa.binary())]
     )
@@ -258,7 +257,8 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: in
                 out.append((at, toxic, found.astype("<i4").tobytes(), n.astype("<i4").tobytes()))
             yield from record_batches(out, schema)
 
-    data = sample.mapInArrow(featurise, "at long, toxic int, found binary, times binary").toArrow()
+    made = sample.mapInArrow(featurise, "at long, toxic int, found binary, times binary")
+    data = made.limit(2 * sample_rows).toArrow()  # an id may repeat beyond the sample's size
     data = data.sort_by([("at", "ascending"), ("toxic", "ascending"), ("found", "ascending"), ("times", "ascending")])
     labels = np.array(data["toxic"], dtype=np.int64)
     found = [np.frombuffer(b.as_py(), "<i4") for b in data["found"]]
@@ -394,7 +394,8 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    # Written down, so that Spark knows their size: small ones go to the texts, not the texts
-    # to them.
-    toxic = materialise(toxic, "labels")
+    # Up to a checked number the labels go to the texts; beyond it Spark decides, and the texts
+    # may be shuffled to them.
+    if toxic.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
+        toxic = F.broadcast(toxic)
     return docs.select("doc_id", "text").filter(~held_out("doc_id")).join(toxic, "doc_id")
