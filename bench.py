@@ -38,7 +38,9 @@ HEADLINE = (
     "upsert_replace",
     "upsert_buckets",
     "cdc_apply",
+    "cdc_out_of_order",
     "replicate_batch",
+    "replicate_by_stamp",
     "ingest_users",
     "partition_prune",
     "stream_replicate",
