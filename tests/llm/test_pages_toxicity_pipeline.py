@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -53,6 +54,70 @@ def test_extraction_cases(page, want):
     assert html_text.main_text(page or "") == want
 
 
+ARTICLE = "<p>A long text, of the article, that goes on, and on.</p><p>More of it, in a row.</p>"
+BOTH = "A long text, of the article, that goes on, and on.\nMore of it, in a row."
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        # A part of a class or id word says nothing, a whole one does, unless it holds the article.
+        (f'<div class="content has-sidebar">{ARTICLE}</div>', BOTH),
+        (f'<div class="page no-ads">{ARTICLE}</div>', BOTH),
+        (f'<div id="social-science">{ARTICLE}</div>', BOTH),
+        (f'<div class="ad">{ARTICLE}</div>', BOTH),
+        (f"<form>{ARTICLE}<p>Send</p></form>", BOTH + "\nSend"),
+        (f'<div>{ARTICLE}<div class="box ad">Buy now, here.</div></div>', BOTH),
+        # Quotes open a value after "=" only; an open one goes to the end.
+        ("<p title='it's'>One text.</p><p>Two, a text.</p><p class='x'>Three.</p>", "One text.\nTwo, a text.\nThree."),
+        ('<p>One text.</p><p title="x>A text.</p><p>More</p>', "One text."),
+        ("<p title=a>b>One text.</p>", "b>One text."),
+        # Elements beside the article, without any name.
+        (f"<article>{ARTICLE}</article><div><h3>Comments</h3><p>Me too.</p></div>", BOTH),
+        (f"<div>{ARTICLE}</div><div><h3>Comments</h3><p>Me too.</p></div>", BOTH),
+        (f"<ul><li>Home</li><li>News</li></ul><div>{ARTICLE}</div>", BOTH),
+        (f"<article><ul><li><a href=a>Home</a></li><li><a>News</a></li></ul>{ARTICLE}</article>", BOTH),
+        # A linked heading stays with its text, an unlinked list stays in its article.
+        (f"<article><h1><a href=a>Head</a></h1>{ARTICLE}<ul><li>one</li></ul></article>", f"Head\n{BOTH}\none"),
+        # Comments of odd form.
+        ("<!--><p>One text.</p><!-- x --!><p>Two.</p></ ><p>Three.</p>", "One text.\nTwo.\nThree."),
+    ],
+)
+def test_ratios_decide_and_names_do_not(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_names_of_classes_do_not_matter(spark):
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        want = html_text.main_text(r["html"])
+        bare = re.sub(r' class="[^"]*"', "", r["html"])
+        assert html_text.main_text(bare) == want
+        assert html_text.main_text(bare.replace("<article>", '<article class="ad">')) == want
+
+
+def test_deep_and_long_pages():
+    """Time grows with the page, not with its square: 40 times the page, far below 1,600 times the time."""
+
+    def seconds(n):
+        page = "<div>a text, of some kind." * n + "</b></section>" * n
+        start = time.perf_counter()
+        assert html_text.main_text(page).count("text") == n
+        return time.perf_counter() - start
+
+    assert seconds(40_000) < 250 * max(seconds(1_000), 0.01)
+    flat = "<article>" + "<p>A text, of some kind.</p>" * 100_000 + "</article>"
+    assert html_text.main_text(flat).count("\n") == 99_999
+
+
+def test_empty_tables_null_pages_repeats_and_other_columns(spark):
+    rows = [(1, "u", None, "x"), (2, None, f"<article>{ARTICLE}</article>", "y")] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html_text.extract_text(pages)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "u", "", 0)] * 2 + [(2, None, BOTH, len(BOTH))] * 2
+    assert html_text.extract_text(pages.filter("1 = 0")).count() == 0
+
+
 PAGES = "page_id long, url string, html string, address string, size int, packed int"
 
 
