@@ -11,6 +11,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.streaming import (
     ORIGIN,
     dedup_stream,
+    dedup_stream_with_late,
     file_stream,
     replicate_stream,
     upsert_stream,
@@ -267,3 +268,70 @@ def test_streams_read_tables_of_part_files(spark, tmp_path, name):
     want = sorted(map(str, QUERIES[name](spark, single).collect()))
     assert sorted(map(str, QUERIES[name](spark, str(tmp_path)).collect())) == want
     assert want
+
+
+def test_late_events_are_kept_apart(spark, tmp_path):
+    """Batch by batch against a plain loop: every different event once, late ones in their folder."""
+    schema = "event_id long, ts timestamp, v string"
+    start = datetime(2024, 1, 1)
+
+    def at(minutes):
+        return None if minutes is None else start + timedelta(minutes=minutes)
+
+    batches = [
+        [(1, 0, "a"), (2, 60, "b"), (2, 60, "b"), (None, 5, "n"), (None, 5, "n")],
+        [(1, 0, "a"), (2, 60, "b"), (3, 50, "c"), (4, 49, "d"), (5, None, "e"), (6, 300, "f")],
+        [(4, 49, "d"), (5, None, "e"), (7, 289, "g"), (8, 290, "h"), (3, 50, "c"), (None, 1, "n")],
+        [(6, 300, "f")],
+        [(9, 10_000, "i"), (10, 295, "j"), (1, 0, "a")],
+    ]
+    seen, want, newest = set(), {"out": [], "late": []}, None
+    folders = {name: str(tmp_path / name) for name in ("in", "out", "late", "checkpoint")}
+    for number, rows in enumerate(batches):
+        rows = [(k, at(m), v) for k, m, v in rows]
+        spark.createDataFrame(rows, schema).write.parquet(f"{folders['in']}/batch={number}")
+        for k, t, v in rows:
+            if k is None or (k, t) not in seen:
+                seen.add((k, t))
+                punctual = t is not None and (newest is None or t >= newest - timedelta(minutes=10))
+                want["out" if punctual else "late"].append((k, t, v))
+        newest = max([t for _, t, _ in rows if t] + ([newest] if newest else []))
+        stream = file_stream(spark, folders["in"], spark.createDataFrame([], schema).schema)
+        dedup_stream_with_late(
+            stream.select("event_id", "ts", "v"), "event_id", "ts", "10 MINUTES",
+            folders["out"], folders["late"], folders["checkpoint"],
+        ).awaitTermination()
+        for name in ("out", "late"):
+            got = spark.read.parquet(folders[name]).select("event_id", "ts", "v").collect()
+            assert sorted(map(str, map(tuple, got))) == sorted(map(str, want[name])), (number, name)
+    assert len(want["late"]) > 3
+
+
+def test_ties_in_a_batch_do_not_follow_the_input_order(spark, tmp_path):
+    schema = T.StructType(
+        [T.StructField("id", T.LongType()), T.StructField("v", T.IntegerType()), T.StructField("s", T.StringType())]
+    )
+    rows = [(i, 1, f"{i}-{twin}") for i in range(50) for twin in range(3)]
+    answers = []
+    for name, order in (("a", rows), ("b", rows[::-1])):
+        path = str(tmp_path / name)
+        tables.append_landing(spark.createDataFrame(order, schema), path, ["id", "v", "s"], 1)
+        landed = tables.read_landing(spark, path, schema)
+        wide = sorted(map(tuple, latest_per_key(landed, "id", "v").select("id", "s").collect()))
+        tables.compact_landing_in_place(spark, path, schema, "id", "v")
+        folded = tables.read_landing(spark, path, schema)
+        assert sorted(map(tuple, folded.select("id", "s").collect())) == wide
+        answers.append(wide)
+    assert answers[0] == answers[1]
+    assert len(answers[0]) == 50
+
+
+def test_landing_without_row_hashes_is_still_read(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.IntegerType())])
+    spark.createDataFrame([(1, 1), (1, 2)], schema).write.parquet(str(tmp_path / "batch_seq=1"))
+    tables.append_landing(spark.createDataFrame([(1, 2), (2, 1)], schema), str(tmp_path), ["id", "v"], 2)
+    landed = tables.read_landing(spark, str(tmp_path), schema)
+    assert sorted(map(tuple, latest_per_key(landed, "id", "v").select("id", "v", "batch_seq").collect())) == [
+        (1, 2, 2),
+        (2, 1, 2),
+    ]

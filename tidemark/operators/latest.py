@@ -16,17 +16,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.schemas import BATCH_SEQ
+from tidemark.schemas import BATCH_SEQ, LANDING_MARKS
 
 
 def default_tiebreak(df: DataFrame, key: str, version: str) -> list[Column]:
-    """Order among equal versions: the later batch wins.
+    """Order among equal versions: the later batch wins, within a batch the stored row hash.
 
     Without a batch number the remaining content decides, through a 64-bit hash, so
-    that every run and every reader picks the same row.
+    that every run and every reader picks the same row. Rows that were landed without
+    a hash come after those with one.
     """
     if BATCH_SEQ in df.columns:
-        return [F.col(BATCH_SEQ).desc()]
+        return [F.col(c).desc_nulls_last() for c in LANDING_MARKS if c in df.columns]
     content = [c for c in df.columns if c not in (key, version)]
     return [F.xxhash64(*content).desc()] if content else []
 
@@ -52,8 +53,8 @@ def latest_per_key(
 
 
 def final(df: DataFrame, key: str, version: str) -> DataFrame:
-    """De-duplicated read of a landing table, without its batch number."""
-    return latest_per_key(df, key, version, drop=[BATCH_SEQ])
+    """De-duplicated read of a landing table, without its batch number and row hash."""
+    return latest_per_key(df, key, version, drop=LANDING_MARKS)
 
 
 def final_count(df: DataFrame, key: str, alias: str = "rows") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.functions import timestamp_literal
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.upsert import BEFORE, CHANGED, SIGN, by_partition, merge_partitioned, upsert
-from tidemark.schemas import BATCH_SEQ, with_batch_seq
+from tidemark.schemas import BATCH_SEQ, LANDING_MARKS, ROW_HASH, with_marks
 from tidemark.session import few_rows
 
 BUCKET = "__bucket"
@@ -62,10 +62,13 @@ def append_landing(df: DataFrame, path: str, columns: Sequence[str], batch_seq:
     """Append one batch of versions in fixed column order.
 
     Each batch has its own partition directory, so writing the same batch again (a
-    retry, a replayed micro-batch) replaces it and never doubles it.
+    retry, a replayed micro-batch) replaces it and never doubles it. Every row is stored
+    with a hash of its content, so that readers of any few columns settle equal versions of
+    a key within the batch alike, in whatever order the rows came.
     """
     target = f"{path}/{BATCH_SEQ}={batch_seq}"
-    df.select(*columns).write.mode("overwrite").parquet(target)
+    hashed = F.xxhash64(*[F.col(c) for c in columns]).alias(ROW_HASH)
+    df.select(*columns, hashed).write.mode("overwrite").parquet(target)
     return target
 
 
@@ -81,12 +84,22 @@ def _live_batches(spark: SparkSession, path: str) -> tuple[int, str, int]:
     return (0, "", 0) if newest is None else tuple(newest)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder of Parquet files, empty if nothing was written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All live versions, with their batch number.
+    """All live versions, with their batch number and the hash of their content.
 
     Those are the rows of the last compaction, if any, and all batches after it.
     """
-    numbered = with_batch_seq(schema)
+    numbered = with_marks(schema)
     _, compacted, upto = _live_batches(spark, path)
     if not compacted:
         return spark.read.schema(numbered).parquet(path)
@@ -125,7 +138,7 @@ def compact_landing_in_place(
     if upto is None or (switch and upto <= folded_upto):
         return folded_upto
     folder = uuid.uuid4().hex
-    kept = latest_per_key(live, key, version).select(*schema.fieldNames(), BATCH_SEQ)
+    kept = latest_per_key(live, key, version).select(*schema.fieldNames(), *LANDING_MARKS)
     sorted_layout(kept, key, files).write.parquet(f"{path}/{COMPACTED}/{folder}")
     row = few_rows(spark, [(switch + 1, folder, upto)], _LIVE)
     row.write.mode("append").parquet(f"{path}/{LIVE_LIST}")

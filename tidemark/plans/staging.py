@@ -17,7 +17,7 @@ from tidemark.functions import byte_length, lower_trim, trim
 from tidemark.functions.numbers import in_uint32
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.upsert import SIGN
-from tidemark.schemas import BATCH_SEQ
+from tidemark.schemas import LANDING_MARKS
 
 
 def require_uint32(df: DataFrame, *columns: str) -> DataFrame:
@@ -34,7 +34,7 @@ def require_uint32(df: DataFrame, *columns: str) -> DataFrame:
 
 def _carried(raw: DataFrame) -> list[str]:
     """The batch number of a version, the sign of an image."""
-    return [c for c in (BATCH_SEQ, SIGN) if c in raw.columns]
+    return [c for c in (*LANDING_MARKS, SIGN) if c in raw.columns]
 
 
 def clean_users(raw: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def clean_users(raw: DataFrame) -> DataFrame:
 
 
 def stg_users(raw: DataFrame) -> DataFrame:
-    return latest_per_key(clean_users(raw), "user_id", "ingested_at", drop=[BATCH_SEQ])
+    return latest_per_key(clean_users(raw), "user_id", "ingested_at", drop=LANDING_MARKS)
 
 
 def clean_posts(raw: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def clean_posts(raw: DataFrame) -> DataFrame:
 
 
 def stg_posts(raw: DataFrame) -> DataFrame:
-    return latest_per_key(clean_posts(raw), "post_id", "ingested_at", drop=[BATCH_SEQ])
+    return latest_per_key(clean_posts(raw), "post_id", "ingested_at", drop=LANDING_MARKS)
 
 
 def clean_comments(raw: DataFrame) -> DataFrame:
@@ -92,4 +92,4 @@ def clean_comments(raw: DataFrame) -> DataFrame:
 
 
 def stg_comments(raw: DataFrame) -> DataFrame:
-    return latest_per_key(clean_comments(raw), "comment_id", "ingested_at", drop=[BATCH_SEQ])
+    return latest_per_key(clean_comments(raw), "comment_id", "ingested_at", drop=LANDING_MARKS)

@@ -65,6 +65,10 @@ LANDING = {"users": _users(DOUBLE), "posts": _POSTS, "comments": _COMMENTS}
 
 # Partition column of a landing table: the sequence number of the appended batch.
 BATCH_SEQ = "batch_seq"
+# Hash of a landing row's content, stored with it: settles equal versions of one batch.
+ROW_HASH = "row_hash"
+#: Columns of a landing table that are not the entity's own.
+LANDING_MARKS = (BATCH_SEQ, ROW_HASH)
 
 WATERMARK = _struct(table_name=STRING, last_ingested_at=TIMESTAMP, updated_at=TIMESTAMP)
 FEED_MARK = _struct(table_name=STRING, version=LONG)
@@ -135,5 +139,5 @@ MARTS = {
 }
 
 
-def with_batch_seq(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField(BATCH_SEQ, LONG, True)])
+def with_marks(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(c, LONG, True) for c in LANDING_MARKS])

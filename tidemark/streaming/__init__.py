@@ -3,6 +3,7 @@
 from tidemark.streaming.jobs import (
     ORIGIN,
     dedup_stream,
+    dedup_stream_with_late,
     file_stream,
     replicate_stream,
     upsert_stream,
@@ -12,6 +13,7 @@ from tidemark.streaming.jobs import (
 __all__ = [
     "ORIGIN",
     "dedup_stream",
+    "dedup_stream_with_late",
     "file_stream",
     "replicate_stream",
     "upsert_stream",

@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.tables import SnapshotTable, append_landing
+from tidemark.operators.latest import latest_per_key
+from tidemark.operators.tables import SnapshotTable, append_landing, read_or_empty
+from tidemark.schemas import BATCH_SEQ
+from tidemark.session import materialise
 
 
 ORIGIN = "__origin"
 _SALT = "__salt"
+_NEWEST = T.StructType([T.StructField("newest", T.TimestampType())])
 
 
 def file_stream(
@@ -80,7 +84,8 @@ def dedup_stream(
     Keeps the first copy, so it fits exact re-sends; for changed rows use
     ``latest_per_key`` on read. The state holds keys seen within ``delay`` only: copies
     further apart both pass, and events later than ``delay`` are dropped by the
-    watermark, so choose it above the lateness the source can show.
+    watermark, so choose it above the lateness the source can show, or keep late events
+    with :func:`dedup_stream_with_late`.
 
     All copies of a key meet in one task. When one event may be re-sent very often, name
     a ``spread`` column that differs between its copies but not between two runs of a
@@ -96,6 +101,75 @@ def dedup_stream(
     return seen.dropDuplicatesWithinWatermark([key])
 
 
+def dedup_stream_with_late(
+    src: DataFrame,
+    key: str,
+    ts: str,
+    delay: str,
+    out: str,
+    late: str,
+    checkpoint: str,
+    base_seq: int = 0,
+) -> StreamingQuery:
+    """Drop re-sent copies and keep what comes too late, in a folder of its own.
+
+    A micro-batch is held against the watermark of the batches before it: the newest event
+    time they showed, less ``delay`` (an interval such as ``10 minutes``). Events at or after
+    it go to ``out``, earlier ones and those without a time to ``late``; the two folders
+    together hold every different event once. Two rows are copies if they agree in ``key``
+    and ``ts``, whichever folder the first went to and however far apart they come; of copies
+    that differ in other columns a hash of the content chooses. Rows without a key are no
+    copies of anything and are all kept.
+
+    There is no state store that grows: each batch is reduced to one row per event, before
+    the shuffle too, and anti-joined with the (key, time) columns of what was written before.
+    Punctual and late events are looked up apart, each in the span of their own times, so
+    that Parquet statistics skip files outside it and one very old event does not widen the
+    search for the others. Folders are per micro-batch and replaced when one is replayed; a
+    new checkpoint needs a ``base_seq`` above the numbers in use.
+    """
+    interval = F.expr(f"INTERVAL {delay}")
+
+    def earlier(spark: SparkSession, path: str, schema: T.StructType, seq: int) -> DataFrame:
+        numbered = T.StructType([*schema.fields, T.StructField(BATCH_SEQ, T.LongType())])
+        return read_or_empty(spark, path, numbered).filter(F.col(BATCH_SEQ) < seq)
+
+    def split(batch: DataFrame, epoch: int) -> None:
+        spark, seq = batch.sparkSession, base_seq + epoch
+        columns, schema = batch.columns, batch.schema
+        content = F.xxhash64(*[F.col(c) for c in columns])
+        copies = latest_per_key(batch.filter(F.col(key).isNotNull()), [key, ts], ts, [content])
+        once = materialise(copies.unionByName(batch.filter(F.col(key).isNull())), "stream-once")
+        marks = earlier(spark, f"{out}/_event_time", _NEWEST, seq)
+        # One row per micro-batch; the newest of them is one value.
+        newest = marks.agg(F.max("newest").alias("newest"))
+        mark = newest.select((F.col("newest") - interval).alias("mark")).first()[0]
+        in_time = F.lit(True) if mark is None else F.col(ts) >= F.lit(mark)
+        in_time = F.coalesce(in_time & F.col(ts).isNotNull(), F.lit(False))
+        times = [T.StructField(c, schema[c].dataType) for c in (key, ts)]
+        for path, rows in ((out, once.filter(in_time)), (late, once.filter(~in_time))):
+            low, high = rows.agg(F.min(ts), F.max(ts)).first()
+            new = rows
+            for folder in (out, late):
+                known = earlier(spark, folder, T.StructType(times), seq).drop(BATCH_SEQ)
+                span = F.col(ts).isNull()
+                if low is not None:
+                    span |= F.col(ts).between(F.lit(low), F.lit(high))
+                known = known.filter(span)
+                same = [new[key] == known[key], new[ts].eqNullSafe(known[ts])]
+                new = new.join(known, same, "left_anti")
+            new.select(*columns).write.mode("overwrite").parquet(f"{path}/{BATCH_SEQ}={seq}")
+        shown = once.agg(F.max(F.col(ts).cast("timestamp")).alias("newest"))
+        shown.write.mode("overwrite").parquet(f"{out}/_event_time/{BATCH_SEQ}={seq}")
+
+    return (
+        src.writeStream.foreachBatch(split)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def write_stream(sdf: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet folder, each row exactly once."""
     return (

@@ -403,6 +403,9 @@ ORACLE: dict[str, str] = {
         "raw_comments",
     ),
     "landing_compact": sql("SELECT *, CAST(2 AS BIGINT) AS batch_seq FROM posts", "posts"),
+    "latest_ties": sql(
+        "SELECT count(DISTINCT id) AS keys, CAST(0 AS BIGINT) AS differing FROM posts", "posts"
+    ),
     "landing_published": sql("SELECT * FROM posts", "posts"),
     # aggregates and joins
     "agg_by_user": sql(post_metrics("rel_posts"), "rel_posts"),
@@ -579,6 +582,8 @@ ORACLE: dict[str, str] = {
     # streams
     "stream_replicate": f"SELECT {COLUMNS} FROM events",
     "stream_dedup": "SELECT * FROM events",
+    "stream_late": """
+        SELECT *, ts < (SELECT max(ts) FROM events) - INTERVAL 10 DAY AS late FROM events""",
     "stream_upsert": """
         SELECT user_id, event_id, event_type, value, ts FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

@@ -31,6 +31,7 @@ from tidemark.sources.tables import newer_than, read_incremental
 from tidemark.streaming import (
     ORIGIN,
     dedup_stream,
+    dedup_stream_with_late,
     file_stream,
     replicate_stream,
     upsert_stream,
@@ -349,7 +350,34 @@ def landing_compact(src):
         batch = fx.raw_posts(src).filter(F.col("batch_seq") == seq)
         tables.append_landing(batch, landing, spec.columns, seq)
         tables.compact_landing_in_place(spark, landing, spec.landing, spec.key, spec.version)
-    return tables.read_landing(spark, landing, spec.landing)
+    return tables.read_landing(spark, landing, spec.landing).drop("row_hash")
+
+
+@query
+def latest_ties(src):
+    """Posts landed in one batch, each twice with the same stamp and other words, in one order
+    and in the other: how many keys there are, and how many of them read differently, or whose
+    narrow columns come from another row than the wide ones."""
+    spark, spec = src.spark, ENTITIES["posts"]
+    posts = fx.posts(src)
+    twin = posts.withColumns({"title": F.reverse("title"), "body": F.concat("body", F.lit("!"))})
+    reads = []
+    for name, rows in (("a", posts.unionByName(twin)), ("b", twin.unionByName(posts))):
+        landing = new_run_dir(spark, f"ties-{name}")
+        tables.append_landing(rows, landing, spec.columns, 1)
+        landed = tables.read_landing(spark, landing, spec.landing)
+        wide = latest.final(landed, spec.key, spec.version)
+        narrow = latest.final(
+            landed.select("id", "ingested_at", "title", "batch_seq", "row_hash"), spec.key, spec.version
+        )
+        read = wide.select("id", F.col("title").alias(f"title_{name}"), F.col("body").alias(f"body_{name}"))
+        reads.append(read.join(narrow.select("id", F.col("title").alias(f"narrow_{name}")), "id", "full"))
+    differs = F.expr(
+        "not (title_a <=> title_b and body_a <=> body_b "
+        "and title_a <=> narrow_a and title_b <=> narrow_b)"
+    )
+    both = reads[0].join(reads[1], "id", "full")
+    return both.agg(F.count(F.lit(1)).alias("keys"), F.count_if(differs).alias("differing"))
 
 
 @query
@@ -735,7 +763,7 @@ def replicate_batch(src):
         replicate_feed(table, f"{root}/landing", stored, marks, spec)
     # Nothing is new now, and nothing is written.
     replicate_feed(table, f"{root}/landing", stored, marks, spec)
-    return tables.read_landing(spark, f"{root}/landing", spec.landing)
+    return tables.read_landing(spark, f"{root}/landing", spec.landing).drop("row_hash")
 
 
 @query
@@ -750,7 +778,7 @@ def replicate_by_stamp(src):
         replicate(source, f"{root}/landing", stored, spec, batch_seq=seq)
     # Nothing is newer than the watermark now.
     replicate(source, f"{root}/landing", stored, spec, batch_seq=3)
-    return tables.read_landing(spark, f"{root}/landing", spec.landing)
+    return tables.read_landing(spark, f"{root}/landing", spec.landing).drop("row_hash")
 
 
 @query
@@ -1062,6 +1090,33 @@ def stream_dedup(src):
     return spark.read.schema(once.schema).parquet(f"{root}/out")
 
 
+@query
+def stream_late(src):
+    """The events of the last ten days arrive first, then all events: what is older than ten
+    days is late, nothing is lost, nothing is there twice."""
+    spark = src.spark
+    root = new_run_dir(spark, "stream-late")
+    events = src("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    last = events.agg(F.max("ts").alias("last"))
+    since = last.first()[0]
+    recent = events.filter(F.col("ts") >= F.lit(since) - F.expr("INTERVAL 10 DAYS"))
+    recent.write.parquet(f"{root}/in/batch=1")
+    for seq in (1, 2):
+        if seq == 2:
+            events.unionByName(events).write.parquet(f"{root}/in/batch=2")
+        arrived = file_stream(spark, f"{root}/in", events.schema)
+        _finish(
+            dedup_stream_with_late(
+                arrived.select(*events.columns), "event_id", "ts", "10 DAYS",
+                f"{root}/out", f"{root}/late", f"{root}/checkpoint",
+            )
+        )
+    out = spark.read.schema(events.schema).parquet(f"{root}/out")
+    late = spark.read.schema(events.schema).parquet(f"{root}/late")
+    parts = [d.select(*events.columns, F.lit(x).alias("late")) for d, x in ((out, False), (late, True))]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def stream_upsert(src):
     spark = src.spark
