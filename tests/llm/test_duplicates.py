@@ -88,6 +88,46 @@ def test_links_in_small_cells_connect_the_same(spark, cell):
                 assert root(x) == root(y)
 
 
+def test_pivots_discard_nearly_all_pairs_and_no_link(spark):
+    rnd = random.Random(5)
+    fps = [rnd.getrandbits(64) for _ in range(300)]
+    fps += [f ^ sum(1 << b for b in rnd.sample(range(64), k % 6)) for k, f in enumerate(fps)]
+    fps = sorted({f - (1 << 64) if f >> 63 else f for f in fps})
+    rows = simhash.distance_table(spark.createDataFrame([(f,) for f in fps], "fp long")).collect()
+    table = {r["fp"]: r["distances"] for r in rows}
+    references = simhash.pivots()
+    assert len(references) >= 32
+    for f in fps[:20]:
+        assert table[f] == [((f ^ p) & (1 << 64) - 1).bit_count() for p in references]
+    order = np.array([table[f] for f in fps], dtype=np.int8)
+    everyone, discarded, linked = np.arange(len(fps)), 0, 0
+    for x in range(len(fps)):
+        left = set(simhash.pivot_survivors(order, x, everyone, 3).tolist())
+        near = {y for y in range(len(fps)) if ((fps[x] ^ fps[y]) & (1 << 64) - 1).bit_count() <= 3}
+        assert near <= left
+        discarded, linked = discarded + len(fps) - len(left), linked + len(near) - 1
+    assert linked == 300
+    assert discarded > 0.99 * len(fps) * (len(fps) - 1)
+
+
+def test_links_are_those_of_brute_force_over_random_fingerprints(spark):
+    rnd = random.Random(6)
+    fps = [rnd.getrandbits(64) for _ in range(400)]
+    fps += [f ^ sum(1 << b for b in rnd.sample(range(64), k % 5)) for k, f in enumerate(fps)]
+    fps = sorted({f - (1 << 64) if f >> 63 else f for f in fps})
+    found = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long")).collect()
+    got = {frozenset((r["a"], r["b"])) for r in found}
+    want = {
+        frozenset((x, y))
+        for x in fps
+        for y in fps
+        if x < y and ((x ^ y) & (1 << 64) - 1).bit_count() <= 3
+    }
+    assert got <= want
+    # Originals and their copies are pairs, so the spanning forest is all links.
+    assert got == want
+
+
 def test_simhash_of_nothing_and_of_null_ids(spark):
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
     assert simhash.keep_one_per_component(docs_of(spark, [])).count() == 0

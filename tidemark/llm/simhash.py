@@ -1,17 +1,17 @@
 """SimHash near-duplicates by pivot distance tables.
 
-Fingerprints are points of a 64-dimensional cube; two of them at Hamming distance ``d``
-have distances to any third one, the pivot, that differ by ``d`` at most. Tables of such
-distances discard pairs without comparing fingerprints.
-
-Pivots come in two sets. Those of the first are the base fingerprint with one slice of its
-bits changed in some way: the differences of their distances to that of the base depend on
-the slice alone, and they agree for all pivots of a slice exactly when two fingerprints
-agree in it. Two fingerprints at distance ``d`` agree in all but ``d`` slices, so with
-``SLICES`` slices some ``SLICES - d`` of them have equal coordinates. That makes the search
-an equi-join: each choice of slices is a table, its key the coordinates (in their compact
-form, the bits of the slices). Pivots of the second set are far from each other; pairs of
-equal key are discarded if any of their distances differ by more than ``d``, and what
+Fingerprints are points of a 64-dimensional cube. The distances of a fingerprint to fixed
+reference fingerprints, the pivots, are its coordinates; they are computed once and written
+down. Two fingerprints at Hamming distance ``d`` have coordinates that differ by ``d`` at most,
+for every pivot.
+
+There are three kinds of pivots: one base, families around it, and pivots far from each other.
+The bits are divided into slices. A pivot of a family is the base changed in some bits of one
+slice, so how much farther or nearer it is than the base depends on that slice alone. Two
+fingerprints at distance ``d`` are equal in all but ``d`` slices, and there all these differences
+of coordinates are equal. With ``max_bits + 2`` slices some two of them are equal for every link:
+each choice of two is a table keyed by the differences of its families, and links are within a
+key. Inside a key pairs are discarded by their largest difference over all pivots, and what
 survives is verified by its own Hamming distance.
 
 The work is on different fingerprints, with the smallest id of each. Fingerprints of one
@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
@@ -41,13 +41,11 @@ from tidemark.llm.common import (
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 3
-SLICES = 6
+SLICES = MAX_BITS + 2
 CELL = 4096
 BITS = 64
-#: Distant pivots: fixed 64-bit numbers from a rule.
-FAR_PIVOTS = np.array(
-    [xxhash.xxh64_intdigest(b"pivot", seed=i) for i in range(8)], dtype=np.uint64
-)
+FAR_PIVOTS = 24
+FAMILY = 8
 
 ROWS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -103,26 +101,69 @@ def slice_masks(slices: int) -> list[int]:
     return [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(bounds, bounds[1:], strict=False)]
 
 
-def _forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
+def pivots(slices: int = SLICES) -> list[int]:
+    """The reference fingerprints: the far ones, the base, and the family of each slice."""
+
+    def number(name: bytes, i: int) -> int:
+        return xxhash.xxh64_intdigest(name, seed=i)
+
+    base = number(b"base", 0)
+    families = [
+        base ^ (number(b"family", s * FAMILY + i) & mask)
+        for s, mask in enumerate(slice_masks(slices))
+        for i in range(FAMILY)
+    ]
+    return [*(number(b"far", i) for i in range(FAR_PIVOTS)), base, *families]
+
+
+def distance_table(fps: DataFrame, slices: int = SLICES) -> DataFrame:
+    """``(fp, distances)``: Hamming distances of each ``fp`` to all pivots, in their order."""
+    distances = [
+        F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(p)))).cast("byte") for p in pivots(slices)
+    ]
+    return fps.select("fp", F.array(*distances).alias("distances"))
+
+
+def _table_keys(slices: int, max_bits: int) -> list[Column]:
+    """Per choice of slices a hash of how far its families lie from the base.
+
+    Equal hashes of different distances only bring pairs that are then discarded.
+    """
+    base = F.col("distances")[FAR_PIVOTS]
+    return [
+        F.xxhash64(
+            *[
+                F.col("distances")[FAR_PIVOTS + 1 + s * FAMILY + i] - base
+                for s in chosen
+                for i in range(FAMILY)
+            ]
+        )
+        for chosen in combinations(range(slices), slices - max_bits)
+    ]
+
+
+def pivot_survivors(table: np.ndarray, x: int, among: np.ndarray, max_bits: int) -> np.ndarray:
+    """Rows of ``among`` whose largest coordinate difference to row ``x`` is ``max_bits`` at most."""
+    for columns in (slice(0, 2), slice(2, 8), slice(8, None)):
+        apart = np.abs(table[among, columns] - table[x, columns]).max(axis=1)
+        among = among[apart <= max_bits]
+    return among
+
+
+def _forest(fps: np.ndarray, table: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Spanning forest of the links among different fingerprints of one cell."""
-    table = np.bitwise_count(fps[:, None] ^ FAR_PIVOTS[None, :]).astype(np.int8)
     left = np.arange(len(fps))
     edges: list[tuple[int, int]] = []
     while len(left) > 1:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             x = queue.pop()
-            near = np.flatnonzero(np.abs(table[left, 0] - table[x, 0]) <= max_bits)
-            for p in range(1, table.shape[1]):
-                if len(near) < 8:
-                    break
-                near = near[np.abs(table[left[near], p] - table[x, p]) <= max_bits]
-            near = near[np.bitwise_count(fps[left[near]] ^ fps[x]) <= max_bits]
-            if len(near):
-                found = left[near]
+            found = pivot_survivors(table, x, left, max_bits)
+            found = found[np.bitwise_count(fps[found] ^ fps[x]) <= max_bits]
+            if len(found):
                 edges += [(int(x), int(y)) for y in found]
                 queue += found.tolist()
-                left = np.delete(left, near)
+                left = np.setdiff1d(left, found, assume_unique=True)
     return edges
 
 
@@ -130,36 +171,34 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, slices: int = SLICES, cell:
     """``(a, b)``: links between different fingerprints ``fp`` that connect all that are linked."""
     if not 0 <= max_bits < slices:
         raise ValueError("there must be more slices than bits that may differ")
-    masks = slice_masks(slices)
-    tables = [sum(masks[i] for i in chosen) for chosen in combinations(range(slices), slices - max_bits)]
-    keyed = fps.select(
-        "fp",
-        F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in tables])).alias(
-            "tab", "key"
-        ),
+    table = materialise(distance_table(fps, slices), "simhash-distances")
+    keyed = table.select(
+        "fp", "distances", F.posexplode(F.array(*_table_keys(slices, max_bits))).alias("tab", "key")
     )
     sizes = keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     parts = F.ceil(F.col("n") / cell).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     others = F.sequence(F.lit(0), F.col("parts") - 1)
+    names = ["tab", "key", "i", "j"]
     celled = (
         keyed.join(sizes, ["tab", "key"])
         .withColumn("parts", parts)
         .withColumn("own", own)
-        .select("tab", "key", "fp", F.explode(others).alias("other"), "own")
-        .select(
-            "tab", "key", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-        )
+        .withColumn("other", F.explode(others))
+        .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+        .select(*names, "fp", "distances")
     )
-    names = ["tab", "key", "i", "j"]
     placed = celled.repartition(*names).sortWithinPartitions(*names)
 
     def search(batches):
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         last = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             keys = np.column_stack([np.asarray(batch.column(k)) for k in range(4)])
             fps = np.asarray(batch.column(4)).view(np.uint64)
+            table = np.asarray(batch.column(5).flatten()).reshape(len(fps), -1)
             starts = np.concatenate(
                 [[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]]
             )
@@ -169,19 +208,20 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, slices: int = SLICES, cell:
                 if key != last:
                     rows += _found(held, max_bits)
                     held, last = [], key
-                held.append(fps[a:b])
+                held.append((fps[a:b], table[a:b]))
             yield from record_batches(rows, EDGES)
         yield from record_batches(_found(held, max_bits), EDGES)
 
-    return placed.select(*names, "fp").mapInArrow(search, "a long, b long")
+    return placed.mapInArrow(search, "a long, b long")
 
 
-def _found(held: list[np.ndarray], max_bits: int) -> list[tuple[int, int]]:
+def _found(held: list[tuple[np.ndarray, np.ndarray]], max_bits: int) -> list[tuple[int, int]]:
     if not held:
         return []
-    fps = np.unique(np.concatenate(held))
+    fps = np.concatenate([part for part, _ in held])
+    table = np.concatenate([part for _, part in held])
     signed = fps.view(np.int64)
-    return [(int(signed[x]), int(signed[y])) for x, y in _forest(fps, max_bits)]
+    return [(int(signed[x]), int(signed[y])) for x, y in _forest(fps, table, max_bits)]
 
 
 def components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
