@@ -45,6 +45,7 @@ HEADLINE = (
     "partition_prune",
     "stream_replicate",
     "stream_upsert",
+    "stream_upsert_merged",
 )
 
 # Tables a query reads, for rows per second.

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,11 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import session
-from tidemark.operators import quality, tables
+from tidemark.operators import deltas, quality, tables
 from tidemark.operators.aggregates import table_counts
 from tidemark.operators.latest import latest_per_key
 from tidemark.streaming import (
     ORIGIN,
+    append_upserts_stream,
     dedup_stream,
     dedup_stream_with_late,
     file_stream,
@@ -253,7 +255,79 @@ def test_upsert_stream_never_goes_back(spark, tmp_path):
         assert got == {1: "new", 2: "y", 3: "z"}
 
 
-@pytest.mark.parametrize("name", ["stream_replicate", "stream_dedup", "stream_upsert"])
+def _merging_table(spark, path):
+    base = tables.SnapshotTable(spark, str(path), SCHEMA, "id", buckets=2)
+    return deltas.MergeOnReadTable(base, "ts", ["body"])
+
+
+def _newest(rows):
+    best = {}
+    for r in rows:
+        order = tuple((x is not None, x) for x in r[1:])
+        if r[0] not in best or order > best[r[0]][0]:
+            best[r[0]] = (order, r)
+    return sorted((r for _, r in best.values()), key=str)
+
+
+def test_merged_reads_are_the_newest_rows_in_any_order_of_batches_and_folds(spark, tmp_path):
+    rnd = random.Random(3)
+    day = datetime(2024, 1, 1)
+    keys = [None, *range(12)]
+    batches = [
+        [
+            (rnd.choice(keys), rnd.choice([None, *(day + timedelta(rnd.randrange(4)) for _ in "ab")]), rnd.choice([None, "a", "b"]))
+            for _ in range(n)
+        ]
+        for n in (25, 0, 8, 8)
+    ]
+    for run, folds in enumerate(([], [0, 2], [1], [3, 3])):
+        table = _merging_table(spark, tmp_path / str(run))
+        assert table.read().count() == 0
+        assert table.fold() == -1
+        seen = []
+        for seq, rows in enumerate(batches):
+            batch = spark.createDataFrame(rows, SCHEMA)
+            table.append(batch, seq)
+            for _ in range(folds.count(seq)):
+                table.fold()
+            table.append(batch, seq)  # a replay
+            seen += rows
+            assert sorted(map(tuple, table.read().collect()), key=str) == _newest(seen)
+
+
+def test_an_appended_batch_writes_itself_and_not_the_table(spark, tmp_path):
+    src, ckpt = str(tmp_path / "src"), str(tmp_path / "ckpt")
+    table = _merging_table(spark, tmp_path / "t")
+
+    def size(folder):
+        return sum(f.stat().st_size for f in (tmp_path / "t" / folder).rglob("*.parquet"))
+
+    def load(**options):
+        stream = file_stream(spark, src, SCHEMA, files_per_batch=1)
+        append_upserts_stream(stream, table, ckpt, **options).awaitTermination()
+
+    add_file(spark, src, *[(i, 1, f"text {i * i}") for i in range(20_000)])
+    load(fold_after=1)
+    stored = size("data")
+    assert stored > 50_000
+    before = size("deltas")
+    add_file(spark, src, (3, 2, "newer"), (4, 0, "older"), (-1, 0, "new"))
+    load()
+    assert size("data") == stored
+    assert size("deltas") - before < 5_000
+    got = {r["id"]: r["body"] for r in table.read().filter("id < 6").collect()}
+    assert got == {-1: "new", 0: "text 0", 1: "text 1", 2: "text 4", 3: "newer", 4: "text 16", 5: "text 25"}
+    assert table.read().count() == 20_001
+    # The stored rows are not shuffled for a small batch.
+    assert "SortMergeJoin" not in plan_of(table.read())
+    assert table.fold() == 1
+    assert table.waiting().count() == 0
+    assert table.read().count() == 20_001
+
+
+@pytest.mark.parametrize(
+    "name", ["stream_replicate", "stream_dedup", "stream_upsert", "stream_upsert_merged"]
+)
 def test_streams_read_tables_of_part_files(spark, tmp_path, name):
     """The same rows from one file and from a folder of part files."""
     from tidemark.workload.fixtures import TABLES

@@ -2,6 +2,7 @@
 
 from tidemark.streaming.jobs import (
     ORIGIN,
+    append_upserts_stream,
     dedup_stream,
     dedup_stream_with_late,
     file_stream,
@@ -12,6 +13,7 @@ from tidemark.streaming.jobs import (
 
 __all__ = [
     "ORIGIN",
+    "append_upserts_stream",
     "dedup_stream",
     "dedup_stream_with_late",
     "file_stream",

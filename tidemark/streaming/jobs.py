@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.deltas import MergeOnReadTable
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.tables import SnapshotTable, append_landing, read_or_empty
 from tidemark.schemas import BATCH_SEQ
@@ -207,3 +208,32 @@ def upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def append_upserts_stream(
+    src: DataFrame,
+    target: MergeOnReadTable,
+    checkpoint: str,
+    base_seq: int = 0,
+    fold_after: int | None = None,
+) -> StreamingQuery:
+    """Micro-batch load of an event log into a keyed table that is merged when read.
+
+    A micro-batch writes its latest row per key and leaves the table alone; readers see it
+    at once. Every ``fold_after`` micro-batches, or when a scheduled job calls
+    ``target.fold()`` between runs, the waiting rows are taken into the table in one rewrite.
+    A replayed micro-batch replaces its own rows. A new checkpoint needs a ``base_seq``
+    above the numbers in use.
+    """
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        target.append(batch, base_seq + epoch)
+        if fold_after and (epoch + 1) % fold_after == 0:
+            target.fold()
+
+    return (
+        src.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -587,4 +587,9 @@ ORACLE: dict[str, str] = {
     "stream_upsert": """
         SELECT user_id, event_id, event_type, value, ts FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_upsert_merged": """
+        SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id,
+               max_by(event_type, (ts, event_id)) AS event_type,
+               max_by(value, (ts, event_id)) AS value, max(ts) AS ts
+        FROM events GROUP BY user_id""",
 }

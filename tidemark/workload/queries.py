@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark import functions as fn
 from tidemark.operators import aggregates as agg
 from tidemark.operators import changes as chg
-from tidemark.operators import joins, latest, quality, state, tables
+from tidemark.operators import deltas, joins, latest, quality, state, tables
 from tidemark.operators.skew import heaviest_keys
 from tidemark.operators.upsert import insert_ignore, upsert
 from tidemark.plans import elt, marts, refresh, staging
@@ -30,6 +30,7 @@ from tidemark.sources.json_entities import is_json_array, parse_json
 from tidemark.sources.tables import newer_than, read_incremental
 from tidemark.streaming import (
     ORIGIN,
+    append_upserts_stream,
     dedup_stream,
     dedup_stream_with_late,
     file_stream,
@@ -1126,3 +1127,22 @@ def stream_upsert(src):
     table = tables.SnapshotTable(spark, f"{root}/table", log.schema, "user_id", n)
     _finish(upsert_stream(log, table, f"{root}/checkpoint", "ts", ["event_id"]))
     return table.read()
+
+
+@query
+def stream_upsert_merged(src):
+    """Every second event is folded into the table, the others wait beside it when it is read."""
+    spark = src.spark
+    root = new_run_dir(spark, "stream-upsert-merged")
+    log = src("events").select(
+        "user_id", "event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts")
+    )
+    base = tables.SnapshotTable(spark, f"{root}/table", log.schema, "user_id", _parallelism(spark))
+    table = deltas.MergeOnReadTable(base, "ts", ["event_id"])
+    for half in (0, 1):
+        log.filter(F.pmod("event_id", F.lit(2)) == half).write.parquet(f"{root}/in/half={half}")
+        arrived = file_stream(spark, f"{root}/in", log.schema).select(*log.columns)
+        _finish(append_upserts_stream(arrived, table, f"{root}/checkpoint"))
+        if half == 0:
+            table.fold()
+    return table.read()
