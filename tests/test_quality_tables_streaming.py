@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import session
-from tidemark.operators import deltas, quality, tables
+from tidemark.operators import deltas, distribution, quality, tables
 from tidemark.operators.aggregates import table_counts
 from tidemark.operators.latest import latest_per_key
 from tidemark.streaming import (
@@ -167,6 +167,34 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_keys_are_stored_in_several_buckets_and_join_without_a_shuffle(spark, tmp_path):
+    keys = [7] * 3_000 + [None] * 1_500 + list(range(100, 4_600))
+    large = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, row long")
+    names = [(None, "null"), (7, "hot"), (7, "hot too"), *[(k, f"n{k}") for k in range(100, 3_000)]]
+    small = spark.createDataFrame(names, "k long, name string")
+    pair = distribution.DistributedPair(spark, "hot_test", str(tmp_path), "k", 12)
+    pair.write(large, small, ["row"], min_rows=60)
+    assert sorted(map(str, pair.read_large().collect())) == sorted(map(str, large.collect()))
+    assert sorted(map(str, pair.read_small().collect())) == sorted(map(str, small.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            joined = pair.join(how)
+            assert "Exchange" not in plan_of(joined)
+            got = sorted(map(str, joined.collect()))
+            assert got == sorted(map(str, large.join(small, "k", how).collect()))
+        tasks = spark.table(pair.large).join(spark.table(pair.small), ["k", "__salt"], "left_semi")
+        rows = [r["n"] for r in tasks.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(rows) == 3_000 + 2_900
+        assert max(rows) < 1_200
+        with pytest.raises(ValueError, match="join type"):
+            pair.join("full")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for table in (pair.large, pair.small):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def test_typed_fills_defaults_and_enforces_not_null(spark):
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
     df = spark.createDataFrame([(1,), (None,)], "a int")

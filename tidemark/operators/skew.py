@@ -62,6 +62,26 @@ def _with_hot(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     return df.join(hot.frame, F.col(key).eqNullSafe(F.col(HOT_KEY)), "left")
 
 
+def salted(df: DataFrame, key: str, hot: HotKeys, spread: Sequence[str] | None = None) -> DataFrame:
+    """``df`` with a ``__salt`` per row: one of its key's salts, 0 for keys that are not hot."""
+    if hot.empty:
+        return df.withColumn(SALT, F.lit(0))
+    salts = F.coalesce(F.col(SALTS), F.lit(1))
+    own = F.when(
+        F.col(SALTS).isNotNull(), F.pmod(F.xxhash64(*(spread or df.columns)), salts).cast("int")
+    ).otherwise(F.lit(0))
+    return _with_hot(df, key, hot).select(*df.columns, own.alias(SALT))
+
+
+def repeated(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    """``df`` with every row once per ``__salt`` of its key."""
+    if hot.empty:
+        return df.withColumn(SALT, F.lit(0))
+    salts = F.coalesce(F.col(SALTS), F.lit(1))
+    every = F.explode(F.sequence(F.lit(0), salts - 1))
+    return _with_hot(df, key, hot).select(*df.columns, every.alias(SALT))
+
+
 def skew_join(
     large: DataFrame,
     small: DataFrame,
@@ -84,11 +104,5 @@ def skew_join(
         hot = heaviest_keys(large, on, min_rows)
     if hot.empty:
         return large.join(small, on, how)
-    salts = F.coalesce(F.col(SALTS), F.lit(1))
-    own_salt = F.when(
-        F.col(SALTS).isNotNull(), F.pmod(F.xxhash64(*(spread or large.columns)), salts).cast("int")
-    ).otherwise(F.lit(0))
-    every_salt = F.explode(F.sequence(F.lit(0), salts - 1))
-    left = _with_hot(large, on, hot).select(*large.columns, own_salt.alias(SALT))
-    right = _with_hot(small, on, hot).select(*small.columns, every_salt.alias(SALT))
+    left, right = salted(large, on, hot, spread), repeated(small, on, hot)
     return left.join(right, [on, SALT], how).drop(SALT)

@@ -579,6 +579,14 @@ ORACLE: dict[str, str] = {
     "distributed_join": """
         SELECT o_orderkey, o_custkey, count(*) AS lines, sum(l_quantity) AS quantity
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL""",
+    "distributed_join_hot": """
+        WITH lines AS (
+            SELECT CAST(CASE l_linenumber WHEN 3 THEN 1 WHEN 6 THEN 1 ELSE l_orderkey END AS BIGINT)
+                       AS order_of_line, l_orderkey AS line_order, l_linenumber, l_quantity
+            FROM lineitem)
+        SELECT order_of_line AS o_orderkey, line_order, l_linenumber, l_quantity,
+               (SELECT o_custkey FROM orders WHERE o_orderkey = order_of_line) AS o_custkey
+        FROM lines""",
     # streams
     "stream_replicate": f"SELECT {COLUMNS} FROM events",
     "stream_dedup": "SELECT * FROM events",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark import functions as fn
 from tidemark.operators import aggregates as agg
 from tidemark.operators import changes as chg
-from tidemark.operators import deltas, joins, latest, quality, state, tables
+from tidemark.operators import deltas, distribution, joins, latest, quality, state, tables
 from tidemark.operators.skew import heaviest_keys
 from tidemark.operators.upsert import insert_ignore, upsert
 from tidemark.plans import elt, marts, refresh, staging
@@ -1047,6 +1047,25 @@ def distributed_join(src):
     )
 
 
+@query
+def distributed_join_hot(src):
+    """Lines stored with a third of them moved to order 1, joined with stored orders."""
+    spark = src.spark
+    root = new_run_dir(spark, "distributed-hot")
+    moved = F.when(F.col("l_linenumber") % 3 == 0, F.lit(1)).otherwise(F.col("l_orderkey"))
+    lines = src("lineitem").select(
+        moved.cast("long").alias("o_orderkey"),
+        F.col("l_orderkey").alias("line_order"),
+        "l_linenumber",
+        "l_quantity",
+    )
+    orders = src("orders").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_custkey")
+    name = "hot_" + root.rsplit("/", 1)[-1].replace("-", "_")
+    pair = distribution.DistributedPair(spark, name, root, "o_orderkey", _parallelism(spark))
+    pair.write(lines, orders, ["line_order", "l_linenumber"], min_rows=HOT_ROWS)
+    return pair.join("left")
+
+
 # ---- streams ----------------------------------------------------------------------
 
 
