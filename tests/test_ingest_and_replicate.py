@@ -33,6 +33,7 @@ from tidemark.plans.validate import register_views, validation
 from tidemark.schemas import OLTP
 from tidemark.sources.json_entities import PayloadError, read_json_entities
 from tidemark.sources.tables import Sources, newer_than, read_incremental
+from tidemark.workload.queries import RECORDS_PER_FILE, _write_arrays
 
 UTC = timezone.utc
 T0 = datetime(2024, 1, 1, tzinfo=UTC)
@@ -367,3 +368,18 @@ def test_run_elt_stops_on_bad_input(spark, tmp_path):
     with pytest.raises(PayloadError):
         run_elt(spark, paths, str(root), T0)
     assert not SnapshotTable(spark, f"{root}/marts/mart_user_post_summary", OLTP["users"]).exists()
+
+
+def test_response_files_follow_the_records_not_their_keys(spark, tmp_path):
+    """A thousand records whose keys lie a thousand apart are two files, not a thousand folders."""
+    records = spark.range(1000).select((F.col("id") * 1000).alias("id"), F.lit("t").alias("body"))
+    path = str(tmp_path / "arrays")
+    _write_arrays(records, path)
+    files = [p for p in (tmp_path / "arrays").rglob("*") if p.is_file() and p.name.startswith("part-")]
+    assert len([p for p in files if p.stat().st_size]) == 1000 // RECORDS_PER_FILE
+    assert not [p for p in (tmp_path / "arrays").iterdir() if p.is_dir()]
+    read = read_json_entities(spark, path, records.schema)
+    assert sorted(r["id"] for r in read.collect()) == [i * 1000 for i in range(1000)]
+    # No record, no array; reading finds nothing either.
+    _write_arrays(records.limit(0), f"{path}-none")
+    assert read_json_entities(spark, f"{path}-none", records.schema).count() == 0

@@ -928,15 +928,20 @@ def mart_incremental_rename(src):
 RECORDS_PER_FILE = 500
 
 
-def _write_arrays(records: DataFrame, key: str, path: str) -> None:
-    """Response files that each hold one JSON array."""
-    page = F.expr(f"{key} div {RECORDS_PER_FILE}").cast("string").alias("page")
+def _write_arrays(records: DataFrame, path: str) -> None:
+    """Response files that each hold one JSON array, of ``RECORDS_PER_FILE`` records on average.
+
+    Records are dealt out by their content and every array is a file of one folder: the number
+    of files follows the number of records, however wide the keys lie apart.
+    """
+    pages = max(1, -(-records.count() // RECORDS_PER_FILE))
+    page = F.pmod(F.xxhash64(*records.columns), F.lit(pages)).alias("page")
     arrays = records.groupBy(page).agg(
         F.concat(
             F.lit("["), F.concat_ws(", ", F.collect_list(F.to_json(F.struct(*records.columns)))), F.lit("]")
         ).alias("value")
     )
-    arrays.write.partitionBy("page").text(path)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
 @query
@@ -953,7 +958,7 @@ def run_elt(src):
             if hour == 0:
                 records = records.withColumn(column, F.lit("STALE"))
             paths[name] = f"{root}/payload-{hour}/{name}"
-            _write_arrays(records, "cast(id as bigint)", paths[name])
+            _write_arrays(records, paths[name])
         report = elt.run_elt(
             spark,
             paths,
