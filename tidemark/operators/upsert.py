@@ -114,6 +114,7 @@ def merge_partitioned(
     stamp: str = "ingested_at",
     newest_wins: bool = False,
     feed: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """:func:`upsert` for tables stored by partition number, in one shuffle.
 
@@ -124,11 +125,15 @@ def merge_partitioned(
     afterwards.
 
     ``feed`` adds two columns: whether the row differs from the stored one, and that row.
+    ``unique`` says that no key of the batch occurs twice, so that its rows need no shuffle
+    by key before the one by partition.
     """
     columns = [c for c in target.columns if c != partition]
     if tiebreak is None:
         tiebreak = default_tiebreak(batch.drop(partition), key, version or key)
-    rows = one_row_per_key(batch, key, version, tiebreak, on_duplicate).select(target.columns)
+    if not unique:
+        batch = one_row_per_key(batch, key, version, tiebreak, on_duplicate)
+    rows = batch.select(target.columns)
     both = rows.withColumn(_INCOMING, F.lit(True)).unionByName(
         target.withColumn(_INCOMING, F.lit(False))
     )
