@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import ChangeTable, apply_changes
+from tidemark.operators.skew import HotKeys
 from tidemark.operators.tables import (
     Release,
     SnapshotTable,
@@ -15,9 +16,10 @@ from tidemark.operators.tables import (
     compact_landing_in_place,
     read_landing,
 )
-from tidemark.operators.upsert import SIGN
-from tidemark.plans.mart_state import MartState, signed
+from tidemark.operators.upsert import SIGN, merge_partitioned
+from tidemark.plans.mart_state import MartState, comment_metrics_from, signed
 from tidemark.plans.marts import mart_comment_statistics, mart_user_post_summary
+from tidemark.session import at_once, materialise
 
 NOW = datetime(2024, 1, 1)
 
@@ -109,6 +111,63 @@ def test_apply_changes_treats_a_null_key_as_one_key(spark):
 # ---- feeds and releases -----------------------------------------------------------
 
 
+def test_an_upsert_of_distinct_keys_is_shuffled_once(spark, tmp_path, monkeypatch):
+    """Rows go to their bucket only; a batch that repeats a key is settled first, as before."""
+    told = []
+
+    def noted(*args, unique, **options):
+        merged = merge_partitioned(*args, unique=unique, **options)
+        plan = merged._jdf.queryExecution().optimizedPlan().toString()
+        told.append((unique, plan.count("row_number()")))
+        return merged
+
+    monkeypatch.setattr("tidemark.operators.tables.merge_partitioned", noted)
+    table = SnapshotTable(spark, str(tmp_path), PAIR, "id", 3)
+    table.upsert(spark.createDataFrame([(i, "a") for i in range(9)] + [(None, "n")], PAIR), feed=True)
+    table.upsert(spark.createDataFrame([(1, "b"), (1, "b"), (20, "c")], PAIR), feed=True)
+    table.upsert(spark.createDataFrame([(None, "x"), (None, "x")], PAIR), feed=True)
+    assert [unique for unique, _ in told] == [True, False, False]
+    assert told[0][1] < told[1][1]
+    assert table.read().count() == 11 and rows(table.read().filter("id is null")) == [(None, "x")]
+    assert rows(table.changes(after=1).filter("id = 1")) == [(1, "a", -1, 2), (1, "b", 1, 2)]
+
+
+def test_a_text_that_stays_is_stored_once(spark, tmp_path):
+    """The feed holds whole images, whatever the stored rows leave out of theirs."""
+    schema = "id long, title string, body string, n long"
+    kind = spark.createDataFrame([], schema).schema
+    table = SnapshotTable(spark, str(tmp_path), kind, "id", 2)
+    old = [(1, "t", "long", 1), (2, None, "long", 2), (3, "t", None, 3), (4, "t", "long", 4)]
+    new = [(1, "u", "long", 1), (2, "t", "long", None), (3, None, None, 3), (4, "t", "long", 4)]
+    table.upsert(spark.createDataFrame(old, schema), feed=True)
+    table.upsert(spark.createDataFrame(new, schema), feed=True)
+    changed = [(*r, sign, 2) for r, sign in [(o, -1) for o in old[:3]] + [(n, 1) for n in new[:3]]]
+    assert rows(table.changes(after=1)) == sorted(changed, key=repr)
+    live = list(table._live()[1].values())
+    stored = spark.read.parquet(*live).filter("__before is not null").select("id", "__before.body")
+    assert rows(stored) == [(1, None), (2, None), (3, None)]
+
+
+def test_stored_rows_are_written_small(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), PAIR, "id", 2)
+    table.upsert(spark.createDataFrame([(1, "a"), (2, "b")], PAIR), feed=True)
+    for part in ("data", "incoming", "feed"):
+        files = [f.name for f in (tmp_path / "t" / part).rglob("*.parquet")]
+        assert files and all(".zstd." in f for f in files)
+
+
+def test_adding_a_net_delta_takes_it_as_it_is(spark, tmp_path):
+    schema = "id long, v string, n long"
+    typed = spark.createDataFrame([], schema).schema
+    table = SnapshotTable(spark, str(tmp_path), typed, "id", 3)
+    table.publish(spark.createDataFrame([(1, "a", 2), (2, "a", 1)], schema))
+    net = materialise(spark.createDataFrame([(1, "a", 1), (2, "a", -1), (3, "c", 4)], schema), "net")
+    assert table.add(net, ["id", "v"], "n", net=True) == 3
+    assert rows(table.read()) == [(1, "a", 3), (3, "c", 4)]
+    assert not (tmp_path / "incoming").exists()
+    assert rows(table.read_buckets_of(net.filter("id = 3")).filter("id = 3")) == [(3, "c", 4)]
+
+
 @pytest.mark.parametrize("buckets", [None, 4])
 def test_feed_holds_changed_rows_only(spark, tmp_path, buckets):
     table = SnapshotTable(spark, str(tmp_path), PAIR, "id", buckets)
@@ -281,6 +340,37 @@ class World:
         ]
 
 
+def test_authors_to_split_are_counted_on_the_posts(spark, monkeypatch):
+    """Not on the posts joined with all their comments, which would be computed twice."""
+    counted = []
+
+    def noted(frame, key, min_rows):
+        counted.append((frame.columns, key))
+        return HotKeys(None)
+
+    for module in ("tidemark.plans.marts", "tidemark.operators.skew"):
+        monkeypatch.setattr(f"{module}.heaviest_keys", noted, raising=False)
+    world = World(5)
+    world.change(40)
+    users, posts, comments = world.frames(spark)
+    mart_comment_statistics(posts, comments, users, NOW)
+    assert counted == [(posts.columns, "user_id")]
+
+
+def test_measures_of_posts_are_aggregated_before_they_are_joined(spark):
+    emails = spark.createDataFrame([(1, "a@x", 2), (1, None, 1), (2, None, 1)], "post_id long, commenter_email string, n long")
+    lengths = spark.createDataFrame([(1, 5, 2), (1, None, 1), (2, None, 1)], "post_id long, body_length long, n long")
+    metrics = comment_metrics_from(emails, lengths)
+    assert rows(metrics) == [(1, 3, 1, 5.0, 5, 5), (2, 1, 0, None, None, None)]
+    assert "Join" not in metrics._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_steps_at_once_give_results_in_order_and_raise():
+    assert at_once(lambda: 1, lambda: 2) == [1, 2]
+    with pytest.raises(ZeroDivisionError):
+        at_once(lambda: 1, lambda: 1 // 0)
+
+
 def signed_frames(spark, images):
     schemas = {"users": USER, "posts": POST, "comments": COMMENT}
     return {

@@ -35,7 +35,7 @@ from tidemark.operators.tables import Release, SnapshotTable
 from tidemark.operators.upsert import SIGN
 from tidemark.plans.marts import comment_statistics_of, user_summary_of
 from tidemark.schemas import FEED_MARK, MARTS, STAGING
-from tidemark.session import few_rows, materialise
+from tidemark.session import at_once, few_rows, materialise
 
 USERS = ("user_id", "username", "full_name", "email", "company_name", "city")
 POSTS = ("post_id", "user_id", "title", "title_length", "body_length")
@@ -122,17 +122,22 @@ def received_from(emails: DataFrame) -> DataFrame:
 
 def comment_metrics_from(emails: DataFrame, lengths: DataFrame) -> DataFrame:
     """Measures of ``comment_metrics`` from counted e-mails and lengths."""
-    people = emails.groupBy("post_id").agg(
-        F.sum("n").alias("total_comments"),
-        F.count("commenter_email").alias("unique_commenter_emails"),
+    # One aggregation for both: a row of either table leaves the other's columns empty, and
+    # only sums of one row per post are shuffled, sorted and joined from here on.
+    people = emails.select(
+        "post_id", "n", F.col("commenter_email").isNotNull().cast("long").alias("person")
     )
     known = F.when(F.col("body_length").isNotNull(), F.col("n"))
-    sizes = lengths.groupBy("post_id").agg(
-        _mean(F.sum(F.col("body_length") * F.col("n")), F.sum(known)).alias("avg_comment_length"),
+    total = (F.col("body_length") * F.col("n")).alias("bytes")
+    sizes = lengths.select("post_id", "body_length", known.alias("sized"), total)
+    both = people.unionByName(sizes, allowMissingColumns=True).groupBy("post_id")
+    return both.agg(
+        F.sum("n").alias("total_comments"),
+        F.sum("person").alias("unique_commenter_emails"),
+        _mean(F.sum("bytes"), F.sum("sized")).alias("avg_comment_length"),
         F.min("body_length").alias("min_comment_length"),
         F.max("body_length").alias("max_comment_length"),
     )
-    return people.join(sizes, "post_id")
 
 
 class MartState:
@@ -186,19 +191,22 @@ class MartState:
         self.release.pin()
         t = self.tables
         self._note(feeds)
-        t["users"].publish(users.select(*USERS))
-        t["posts"].publish(posts.select(*POSTS))
         now = signed(comments.select(*COMMENTS))
-        t["post_emails"].publish(_counts(now, "post_id", "commenter_email"))
-        t["post_lengths"].publish(_counts(now, "post_id", "body_length"))
+        at_once(
+            lambda: t["users"].publish(users.select(*USERS)),
+            lambda: t["posts"].publish(posts.select(*POSTS)),
+            lambda: t["post_emails"].publish(_counts(now, "post_id", "commenter_email")),
+            lambda: t["post_lengths"].publish(_counts(now, "post_id", "body_length")),
+        )
         authors = t["posts"].read().select("post_id", "user_id")
         by_author = t["post_emails"].read().join(authors, "post_id")
-        t["user_emails"].publish(
-            by_author.groupBy("user_id", "commenter_email").agg(F.sum("n").alias("n"))
+        received = by_author.groupBy("user_id", "commenter_email").agg(F.sum("n").alias("n"))
+        at_once(
+            lambda: t["user_emails"].publish(received),
+            lambda: t["user_posts"].publish(_post_sums(signed(t["posts"].read()))),
+            lambda: t["mart_comment_statistics"].publish(self._posts(self.read, built_at)),
         )
-        t["user_posts"].publish(_post_sums(signed(t["posts"].read())))
         t["mart_user_post_summary"].publish(self._users(self.read, built_at))
-        t["mart_comment_statistics"].publish(self._posts(self.read, built_at))
         return self._commit(check, visible)
 
     def refresh(
@@ -220,23 +228,29 @@ class MartState:
         self.release.pin()
         t = self.tables
         self._note(feeds)
-        du = self._change("users", USERS, users)
-        dp = self._change("posts", POSTS, posts)
-        dc = self._change("comments", COMMENTS, comments)
+        du, dp, dc = at_once(
+            lambda: self._change("users", USERS, users),
+            lambda: self._change("posts", POSTS, posts),
+            lambda: self._change("comments", COMMENTS, comments),
+        )
 
         # Authors before and after; equal ones cancel, so what is left changed hands.
-        moved = materialise(
-            dp.groupBy("post_id", "user_id").agg(F.sum(SIGN).alias(SIGN)).filter(F.col(SIGN) != 0),
-            "moved-posts",
+        authored = dp.groupBy("post_id", "user_id").agg(F.sum(SIGN).alias(SIGN))
+        counted = _counts(dc, "post_id", "commenter_email").filter("n <> 0")
+        moved, emails = at_once(
+            lambda: materialise(authored.filter(F.col(SIGN) != 0), "moved-posts"),
+            lambda: materialise(counted, "emails"),
         )
-        emails = materialise(_counts(dc, "post_id", "commenter_email").filter("n <> 0"), "emails")
-        authors = t["posts"].read_keys(emails).select("post_id", "user_id")
+        authors = t["posts"].read_buckets_of(emails).select("post_id", "user_id")
         by_author = emails.join(authors, "post_id").select("user_id", "commenter_email", "n")
-        t["post_emails"].add(emails, ["post_id", "commenter_email"], "n")
-        t["post_lengths"].add(_counts(dc, "post_id", "body_length"), ["post_id", "body_length"], "n")
+        sizes = _counts(dc, "post_id", "body_length")
+        at_once(
+            lambda: t["post_emails"].add(emails, ["post_id", "commenter_email"], "n", net=True),
+            lambda: t["post_lengths"].add(sizes, ["post_id", "body_length"], "n"),
+        )
         taken_along = (
             t["post_emails"]
-            .read_keys(moved)
+            .read_buckets_of(moved)
             .join(moved, "post_id")
             .select("user_id", "commenter_email", (F.col("n") * F.col(SIGN)).alias("n"))
         )
@@ -247,8 +261,6 @@ class MartState:
             .filter("n <> 0"),
             "received",
         )
-        t["user_emails"].add(received, ["user_id", "commenter_email"], "n")
-        t["user_posts"].add(_post_sums(dp), ["user_id"], "n")
         renamed = (
             du.groupBy("user_id", "username")
             .agg(F.sum(SIGN).alias(SIGN))
@@ -256,28 +268,39 @@ class MartState:
             .select("user_id")
             .distinct()
         )
-        self._replace("users", du)
-        self._replace("posts", dp)
+        at_once(
+            lambda: t["user_emails"].add(received, ["user_id", "commenter_email"], "n", net=True),
+            lambda: t["user_posts"].add(_post_sums(dp), ["user_id"], "n"),
+            lambda: self._replace("users", du),
+            lambda: self._replace("posts", dp),
+        )
 
         # Posts of renamed users: the narrow posts table is the only one searched by author.
         named = t["posts"].read().join(renamed, "user_id", "left_semi")
-        touched_posts = materialise(affected_keys("post_id", dc, dp, named), "touched-posts")
-        touched_users = materialise(affected_keys("user_id", du, dp, received), "touched-users")
+        touched_posts, touched_users = at_once(
+            lambda: materialise(affected_keys("post_id", dc, dp, named), "touched-posts"),
+            lambda: materialise(affected_keys("user_id", du, dp, received), "touched-users"),
+        )
 
-        def of(keys: DataFrame, by: str) -> Callable[[str], DataFrame]:
+        # Only the narrow rows are cut to the touched keys. Partial results are added up first
+        # and meet those in the left joins of the marts: one row per key is sorted, not all.
+        def of(keys: DataFrame, rows: str) -> Callable[[str], DataFrame]:
             def read(name: str) -> DataFrame:
-                return t[name].read_keys(keys) if t[name].key == by else t[name].read()
+                return t[name].read_keys(keys) if name == rows else t[name].read_buckets_of(keys)
 
             return read
 
-        t["mart_user_post_summary"].replace_keys(
-            touched_users, self._users(of(touched_users, "user_id"), built_at)
-        )
-        of_posts = of(touched_posts, "post_id")
-        authors = t["users"].read_keys(of_posts("posts").select("user_id"))
-        t["mart_comment_statistics"].replace_keys(
-            touched_posts, self._posts(of_posts, built_at, authors)
-        )
+        def users_mart() -> None:
+            rows = self._users(of(touched_users, "users"), built_at)
+            t["mart_user_post_summary"].replace_keys(touched_users, rows)
+
+        def posts_mart() -> None:
+            of_posts = of(touched_posts, "posts")
+            authors = t["users"].read_keys(of_posts("posts").select("user_id"))
+            rows = self._posts(of_posts, built_at, authors)
+            t["mart_comment_statistics"].replace_keys(touched_posts, rows)
+
+        at_once(users_mart, posts_mart)
         return self._commit(check, visible)
 
     def _change(self, name: str, columns: tuple[str, ...], rows: DataFrame | None) -> DataFrame:

@@ -18,7 +18,7 @@ from tidemark.functions import built_at as with_built_at
 from tidemark.functions import or_default, round2
 from tidemark.operators.aggregates import comment_metrics, comments_received, post_metrics
 from tidemark.operators.joins import left_metrics, lookup
-from tidemark.operators.skew import ROWS_PER_SALT, HotKeys
+from tidemark.operators.skew import ROWS_PER_SALT, HotKeys, heaviest_keys
 from tidemark.schemas import MARTS
 
 
@@ -98,7 +98,12 @@ def comment_statistics_of(
     hot_users: HotKeys | None = None,
     min_rows: int = ROWS_PER_SALT,
 ) -> DataFrame:
-    """The post mart from measures of one row per post."""
+    """The post mart from measures of one row per post.
+
+    Authors to split are counted on the posts alone: as many rows, and nothing is joined for it.
+    """
+    if hot_users is None:
+        hot_users = heaviest_keys(posts, "user_id", min_rows)
     subject = posts.select("post_id", "user_id", F.col("title").alias("post_title"))
     measured = left_metrics(subject, metrics, "post_id")
     authors = users.select("user_id", F.col("username").alias("author_username"))
