@@ -70,6 +70,27 @@ def test_units_give_the_ids_of_random_texts(path, spaced):
         assert np.frombuffer(mine, "<u4").tolist() == ids, repr(text)
 
 
+@pytest.mark.parametrize(("path", "spaced"), [(BYTE_LEVEL, True), (WORDS, False)])
+def test_words_are_not_cut_one_by_one(path, spaced, monkeypatch):
+    """Words, with marks or first in a line, are prepared together; only odd parts one by one."""
+    from tokenizers import Tokenizer
+
+    from tidemark.llm.units import UnitEncoder
+
+    asked = []
+    one_by_one = UnitEncoder._units_of
+    monkeypatch.setattr(UnitEncoder, "_units_of", lambda self, part: asked.append(part) or one_by_one(self, part))
+    texts = ["Qwzuüxa qwzöba, 12qwz7.\nQwzéd qwz½. &&& qwz", "qwzuüxa, qwzöba.", "q\twz\x0bq q\u2003wz"]
+    library = Tokenizer.from_file(path)
+    encoder = UnitEncoder(library_encoder(path, spaced).encode_units, spaced)
+    got = encoder.encode(pa.array(texts[:2]))
+    assert asked == []
+    got += encoder.encode(pa.array(texts[2:]))
+    assert len(asked) <= 2
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 59, 4095, 4096, 4097, 20_000):

@@ -13,10 +13,13 @@ from tidemark.llm.units import UnitEncoder
 #: Between units that are encoded in one call: a line end where white space is coded, else
 #: a private-use character, which is a word of its own.
 SEPARATORS = {True: "\n", False: "  "}
-JOINED = 100
-#: Units that are encoded by themselves: they hold a separator, end in white space or
-#: start with more of it than one space.
-APART = re.compile("\\s\\Z|^\\s\\s|^[^\\S ]|[\n\ue000]")
+#: Few enough that the library does not slow down with the length of what it gets.
+JOINED = 30
+#: Units that are encoded by themselves: they are empty, hold a separator, end in white space
+#: or start with more of it than one space.
+APART = re.compile("^\\Z|\\s\\Z|^\\s\\s|^[^\\S ]|[\n\ue000]")
+#: What any such unit shows in many that are joined by line ends.
+SOME_APART = re.compile("\\s\n|\n\\s\\s|\n[^\\S ]|\ue000")
 
 
 @lru_cache(maxsize=4)
@@ -42,8 +45,15 @@ def library_encoder(path: str, spaced: bool) -> UnitEncoder:
 
     def encode_units(units: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}
-        together = [u for u in units if not APART.search(u)]
-        alone = [u for u in units if APART.search(u)]
+        together, alone = [], []
+        for k in range(0, len(units), 1000):
+            group = units[k : k + 1000]
+            lines = "\n".join(["", *group, ""])
+            if SOME_APART.search(lines) or lines.count("\n") != len(group) + 1:
+                alone += [u for u in group if APART.search(u)]
+                together += [u for u in group if not APART.search(u)]
+            else:
+                together += group
         out.update(zip(alone, (ids.tobytes() for ids in ids_of(alone)), strict=True))
         groups = [together[k : k + JOINED] for k in range(0, len(together), JOINED)]
         for group, ids in zip(groups, ids_of([mark.join(g) for g in groups]), strict=True):

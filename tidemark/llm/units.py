@@ -2,8 +2,9 @@
 
 A text is cut only where its tokenizer certainly cuts as well, so joining the ids of the
 units gives the ids of the whole text. Every unit itself is encoded by the given encoder.
-Cutting, finding the distinct parts of a batch and joining are done by Arrow; Python sees
-each distinct part of a batch once.
+Cutting, finding the distinct parts of a batch and joining are done by Arrow; Python looks up
+each distinct part of a batch once, and handles by itself only new parts with white space in
+them or at the start of a text or line.
 """
 
 from __future__ import annotations
@@ -24,6 +25,12 @@ ODD = "[\x1c-\x1f\u0085\ue001\ue002]"
 #: A line end beside other white space.
 LOOSE_LINE = LINE + r"([\s\pZ]|$)"
 RUNS = re.compile(r"\s+|\S+")
+MARKS = ",.;:!?%&$#*"
+#: Parts that are a word, perhaps with marks after it, and nothing else. White space is named in
+#: full, as the patterns of Python and Arrow differ in it.
+WHOLE_WORD = r"^[^\s\pZ\x0b\x1c-\x1f\x{85}\x{e001}\x{e002}]+$"
+#: The last character of a word whose marks may be cut off, by ``spaced``.
+PLAIN_END = {True: r"[\pL\p{Nd}]$", False: r"[A-Za-z0-9]$"}
 #: A letter or digit and then only marks: a cut for every tokenizer that takes texts as they are.
 MARKS_AFTER_WORD = re.compile(r"(\S*[^\W_])([,.;:!?%&$#*]+)\Z")
 #: The same for vocabularies that compose and lower-case a text first: other letters may come
@@ -32,6 +39,11 @@ MARKS_AFTER_PLAIN = re.compile(r"(\S*[A-Za-z0-9])([,.;:!?%&$#*]+)\Z")
 MAX_UNITS = 1_000_000
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """The texts as Python strings, by numpy: ``to_pylist`` makes a scalar of each first."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def _large(text: str) -> pa.Scalar:
     return pa.scalar(text, pa.large_string())
 
@@ -97,15 +109,14 @@ class UnitEncoder:
         else:
             lists = pc.utf8_split_whitespace(regular)
         coded = lists.flatten().dictionary_encode()
-        distinct, codes = coded.dictionary.to_pylist(), coded.indices
+        distinct, codes = _strings(coded.dictionary), coded.indices
         begins = np.asarray(lists.offsets) - lists.offsets[0].as_py()
         apart = odd.to_numpy(zero_copy_only=False).copy()
         if self.spaced:
             loose = _loose(coded.dictionary)
             if loose.any():
                 apart |= np.add.reduceat(loose[np.asarray(codes)], begins[:-1]) > 0
-        self._learn(distinct)
-        ids = pa.array(map(self.parts.__getitem__, distinct), type=pa.large_binary())
+        ids = self._ids(coded.dictionary, distinct)
         joined = ids.take(codes)
         ends = np.frombuffer(joined.buffers()[1], "<i8")[: len(joined) + 1]
         data = joined.buffers()[2].to_pybytes() if joined.buffers()[2] else b""
@@ -118,14 +129,50 @@ class UnitEncoder:
             out[i] = b"".join(map(self.units.__getitem__, units))
         return out
 
-    def _learn(self, distinct: list[str]) -> None:
+    def _ids(self, parts: pa.Array, names: list[str]) -> pa.Array:
+        """The encoded bytes of each of the different ``parts``, whose texts are ``names``."""
         if len(self.units) + len(self.parts) > self.max_units:
             self.units.clear()
             self.parts.clear()
-        new = {p: self._units_of(p) for p in distinct if p not in self.parts}
-        self._learn_units([u for units in new.values() for u in units])
-        for p, units in new.items():
-            self.parts[p] = b"".join(map(self.units.__getitem__, units))
+        found = list(map(self.parts.get, names))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            learned = self._encode_parts(parts.take(pa.array(new)))
+            for i, ids in zip(new, learned, strict=True):
+                found[i] = ids
+            self.parts.update(zip(map(names.__getitem__, new), learned, strict=True))
+        return pa.array(found, type=pa.large_binary())
+
+    def _encode_parts(self, parts: pa.Array) -> list[bytes]:
+        """The encoded bytes of parts: words in one go, others unit by unit."""
+        words, heads = parts, [" " if self.spaced else ""] * len(parts)
+        lines: list[int] = []
+        if self.spaced:  # no space before the first word of a text or line
+            words = pc.replace_substring_regex(parts, f"^[{START}{LINE}]", "")
+            for i in np.flatnonzero(np.asarray(pc.starts_with(parts, START))).tolist():
+                heads[i] = ""
+            lines = np.flatnonzero(np.asarray(pc.starts_with(parts, LINE))).tolist()
+            for i in lines:
+                heads[i] = ""
+        whole = pc.match_substring_regex(words, WHOLE_WORD)
+        bare = pc.utf8_rtrim(words, characters=MARKS)
+        # A word that is nothing but marks, or ends otherwise before them, is not cut.
+        cut = pc.and_(whole, pc.match_substring_regex(bare, PLAIN_END[self.spaced]))
+        bare = _strings(pc.if_else(cut, bare, words))
+        names = _strings(words)
+        tails = [name[len(word) :] for name, word in zip(names, bare, strict=True)]
+        units = [head + word for head, word in zip(heads, bare, strict=True)]
+        others = {i: self._units_of(parts[i].as_py()) for i in np.flatnonzero(~np.asarray(whole)).tolist()}
+        for i in others:
+            units[i] = tails[i] = ""
+        self._learn_units([*units, *set(tails), "\n", *(u for part in others.values() for u in part)])
+        known = self.units
+        out = [known[u] + known[t] if t else known[u] for u, t in zip(units, tails, strict=True)]
+        for i in lines:
+            out[i] = known["\n"] + out[i]
+        for i, part in others.items():
+            out[i] = b"".join(map(known.__getitem__, part))
+        return out
 
     def _learn_units(self, units: list[str]) -> None:
         missing = list(dict.fromkeys(u for u in units if u not in self.units))
