@@ -276,3 +276,24 @@ def test_nearest_of_few_vectors_and_many_copies(spark):
     assert nn_descent.nearest(spark.createDataFrame([], VECTORS)).count() == 0
     one = spark.createDataFrame([(0, [1.0, 2.0], 1, "n")], VECTORS)
     assert nn_descent.nearest(one).count() == 0
+
+
+def test_hops_in_one_job_find_what_single_hops_find(spark, monkeypatch):
+    rows = vector_rows(vectors(np.random.default_rng(8), 700, 16))
+    found, written = {}, {}
+    for chain in (1, 3):
+        labels = []
+
+        def count(df, label, labels=labels, write=nn_descent.materialise):
+            labels.append(label)
+            return write(df, label)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(nn_descent, "CHAIN", chain)
+            patch.setattr(nn_descent, "materialise", count)
+            monkeypatch.setattr(nn_descent.search, "__defaults__", (60, 15, 16))
+            got = nn_descent.nearest(spark.createDataFrame(rows, VECTORS), k=8, rounds=1, beam=60)
+            found[chain] = sorted(map(tuple, got.collect()))
+        written[chain] = labels.count("nn-beams") - 1
+    assert found[1] == found[3]
+    assert written[1] > 3 and written[3] == -(-written[1] // 3)

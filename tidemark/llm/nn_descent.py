@@ -9,8 +9,10 @@ the graph are of 8-bit copies of the vectors.
 
 **Search.** A query keeps a beam of its best nodes. A hop expands the best ones not yet
 expanded: their neighbours are looked up and scored where they are stored, in partitions
-of the node table, and only those that enter the beam travel back. It ends when every
-beam is expanded; the beam is then scored on the original vectors in double precision.
+of the node table, and only those that enter the beam travel back. The beams travel with the
+questions, so that hops follow each other without being written down, ``CHAIN`` at a time. It
+ends when every beam is expanded; the beam is then scored on the original vectors in double
+precision.
 
 Equal vectors are one node. Lists have a fixed length, as in any such graph; the members of
 a node that stands in very many lists are dealt to several tasks, none is left out. Working sets are bounded: a task merges some nodes at a time and joins ``CENTER``
@@ -37,6 +39,8 @@ CENTER = 128
 SEARCH_LINKS = 64
 BEAM = 400
 EXPANDED = 100
+#: Hops in one job; the beams are written down after them.
+CHAIN = 4
 TOP = 20
 SHARD_NODES = 16_384
 #: Candidate pairs held by a task before they are merged.
@@ -168,8 +172,8 @@ def _dots(q: list[bytes], scale: list[float]) -> np.ndarray:
     return m @ m.T
 
 
-def _block_lists(nodes: DataFrame, number: int, k: int, block: int) -> DataFrame:
-    """Lists within blocks of the order of the ``number``-th random projection."""
+def _block_lists(nodes: DataFrame, passes: int, k: int, block: int) -> DataFrame:
+    """Lists within blocks of the orders of random projections, all ``passes`` in one shuffle."""
 
     def project(batches):
         lines: dict[int, np.ndarray] = {}
@@ -177,26 +181,37 @@ def _block_lists(nodes: DataFrame, number: int, k: int, block: int) -> DataFrame
             at = []
             for q, scale in zip(column(batch, "q"), column(batch, "scale"), strict=True):
                 if len(q) not in lines:
-                    lines[len(q)] = np.random.default_rng([number, len(q)]).standard_normal(len(q))
-                at.append(float(np.frombuffer(q, np.int8) @ lines[len(q)]) * scale)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(at, pa.float64())],
-                names=["u", "q", "scale", "at"],
-            )
+                    lines[len(q)] = np.array(
+                        [np.random.default_rng([i, len(q)]).standard_normal(len(q)) for i in range(passes)]
+                    )
+                at.append(lines[len(q)] @ np.frombuffer(q, np.int8) * scale)
+            places = np.array(at, np.float64).reshape(-1, passes)
+            for i in range(passes):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), batch.column(2),
+                     pa.array(np.full(len(at), i, np.int32)), pa.array(places[:, i])],
+                    names=["u", "q", "scale", "number", "at"],
+                )
 
     def join_blocks(batches):
         held: list[tuple] = []
+        last = None
         for batch in batches:
-            for row in zip(*(column(batch, c) for c in ("u", "q", "scale")), strict=True):
+            for *row, number in zip(*(column(batch, c) for c in ("u", "q", "scale", "number")), strict=True):
+                if number != last or len(held) == 2 * block:
+                    end = block if number == last else len(held)
+                    yield from record_batches(_joined_block(held[:end], k), _LIST_SCHEMA)
+                    held, last = held[end:], number
                 held.append(row)
-                if len(held) == 2 * block:
-                    yield from record_batches(_joined_block(held[:block], k), _LIST_SCHEMA)
-                    held = held[block:]
-        # The rest of a partition is one block, so that none is very small.
+        # The rest of an order in a partition is one block, so that few are very small.
         yield from record_batches(_joined_block(held, k), _LIST_SCHEMA)
 
-    ordered = nodes.select("u", "q", "scale").mapInArrow(project, "u long, q binary, scale float, at double")
-    return ordered.repartitionByRange("at").sortWithinPartitions("at").mapInArrow(join_blocks, LISTS)
+    ordered = nodes.select("u", "q", "scale").mapInArrow(
+        project, "u long, q binary, scale float, number int, at double"
+    )
+    return (
+        ordered.repartitionByRange("number", "at").sortWithinPartitions("number", "at").mapInArrow(join_blocks, LISTS)
+    )
 
 
 def _joined_block(held: list[tuple], k: int) -> list[tuple]:
@@ -286,9 +301,7 @@ def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) ->
         "u", "q", "scale", F.lit(b"").alias("ids"), F.lit(b"").alias("scores"),
         F.lit(float("-inf")).cast("float").alias("worst"),
     )
-    start = own
-    for number in range(PASSES):
-        start = start.unionByName(_block_lists(nodes, number, k, BLOCK))
+    start = own.unionByName(_block_lists(nodes, PASSES, k, BLOCK))
     graph = materialise(_merged(start, k), "nn-graph")
     for _ in range(rounds):
         graph = materialise(_round(graph, k), "nn-graph")
@@ -320,104 +333,81 @@ _BEAM_SCHEMA = pa.schema(
 )
 
 
-def _hop(beams: DataFrame, table: DataFrame, shards: int, beam: int, expanded: int) -> DataFrame:
-    """Beams after the best nodes not yet expanded were expanded."""
-    ask = pa.schema([("shard", pa.int64()), ("qid", pa.int64()), ("nodes", pa.binary())])
+#: Rows between the steps of a hop. A row with ``done`` is a beam on its way, others ask for
+#: ``ids`` or bring them.
+_STEP = (
+    "shard long, qid long, u long, q binary, scale float, least float, ids binary, scores binary, done binary"
+)
+_STEP_SCHEMA = pa.schema(
+    [("shard", pa.int64()), ("qid", pa.int64()), ("u", pa.int64()), ("q", pa.binary()), ("scale", pa.float32()),
+     ("least", pa.float32()), ("ids", pa.binary()), ("scores", pa.binary()), ("done", pa.binary())]
+)
+
+
+def _hops(beams: DataFrame, table: DataFrame, shards: int, beam: int, expanded: int, hops: int) -> DataFrame:
+    """Beams after ``hops`` times the best nodes not yet expanded were expanded."""
 
     def choose(batches):
         for batch in batches:
             rows = []
-            for qid, ids, done in zip(*(column(batch, c) for c in ("qid", "ids", "done")), strict=True):
+            for own in zip(*(column(batch, c) for c in _BEAM_SCHEMA.names), strict=True):
+                qid, u, q, scale, ids, scores, done = own
+                rows.append((qid % shards, qid, u, q, scale, None, ids, scores, done))
+                least = float(np.frombuffer(scores, "<f4").min()) if len(scores) >= 4 * beam else -np.inf
                 nodes = np.frombuffer(ids, "<i8")[np.frombuffer(done, np.int8) == 0][:expanded]
-                shard = np.mod(nodes, shards)
-                rows += [(int(s), qid, nodes[shard == s].tobytes()) for s in np.unique(shard)]
-            yield from record_batches(rows, ask)
-
-    near = pa.schema([("qid", pa.int64()), ("nodes", pa.binary())])
+                for s, part in _by_shard(nodes, shards):
+                    rows.append((s, qid, None, q, scale, least, part, None, None))
+            yield from record_batches(rows, _STEP_SCHEMA)
 
     def follow(key, asked: pa.Table, stored: pa.Table) -> pa.Table:
-        if not asked.num_rows or not stored.num_rows:
-            return near.empty_table()
-        u = stored["u"].to_numpy()
-        order = np.argsort(u)
-        links = stored["ids"].to_pylist()
-        rows = []
-        for qid, nodes in zip(asked["qid"].to_pylist(), asked["nodes"].to_pylist(), strict=True):
-            at = order[np.searchsorted(u[order], np.frombuffer(nodes, "<i8"))]
-            rows.append((qid, b"".join([links[i] for i in at.tolist()])))
-        return pa.Table.from_batches([to_batch(rows, near)])
-
-    asked = beams.select("qid", "ids", "done").mapInArrow(choose, "shard long, qid long, nodes binary")
-    followed = (
-        asked.groupBy("shard")
-        .cogroup(table.select("shard", "u", "ids").groupBy("shard"))
-        .applyInArrow(follow, "qid long, nodes binary")
-    )
-    wanted = beams.select("qid", "q", "scale", "ids", "scores", F.lit(None).cast("binary").alias("nodes")).unionByName(
-        followed, allowMissingColumns=True
-    )
-    score_ask = pa.schema(
-        [("shard", pa.int64()), ("qid", pa.int64()), ("q", pa.binary()), ("scale", pa.float32()),
-         ("least", pa.float32()), ("nodes", pa.binary())]
-    )
-
-    def gather(batches):
-        for group in _by_query(batches, ("qid", "q", "scale", "ids", "scores", "nodes")):
-            own = next(r for r in group if r[1] is not None)
-            found = [np.frombuffer(r[5], "<i8") for r in group if r[5] is not None]
-            if not found:
-                continue
-            known = np.append(np.frombuffer(own[3], "<i8"), own[0])
-            nodes = np.setdiff1d(np.concatenate(found), known)
-            scores = np.frombuffer(own[4], "<f4")
-            least = float(scores.min()) if len(scores) >= beam else -np.inf
-            shard = np.mod(nodes, shards)
-            rows = [(int(s), own[0], own[1], own[2], least, nodes[shard == s].tobytes()) for s in np.unique(shard)]
-            yield from record_batches(rows, score_ask)
-
-    scored_schema = pa.schema([("qid", pa.int64()), ("new", pa.binary()), ("new_scores", pa.binary())])
+        rows, asks = _parted(asked)
+        if asks:
+            u = stored["u"].to_numpy()
+            order = np.argsort(u)
+            links = stored["ids"].to_pylist()
+            for _, qid, _, q, scale, least, nodes, *_ in asks:
+                at = order[np.searchsorted(u[order], np.frombuffer(nodes, "<i8"))]
+                near = np.unique(np.frombuffer(b"".join([links[i] for i in at.tolist()]), "<i8"))
+                for s, part in _by_shard(near, shards):
+                    rows.append((s, qid, None, q, scale, least, part, None, None))
+        return pa.Table.from_batches(record_batches(rows, _STEP_SCHEMA), _STEP_SCHEMA)
 
     def score(key, asked: pa.Table, stored: pa.Table) -> pa.Table:
-        if not asked.num_rows or not stored.num_rows:
-            return scored_schema.empty_table()
-        u = stored["u"].to_numpy()
-        order = np.argsort(u)
-        q, scale = stored["q"].to_pylist(), stored["scale"].to_numpy()
-        size = max(map(len, q))
-        codes = np.frombuffer(b"".join(x.ljust(size, b"\0") for x in q), np.int8).reshape(len(q), size)
-        rows = []
-        names = ("qid", "q", "scale", "least", "nodes")
-        for qid, mine, s, least, nodes in zip(*(asked[c].to_pylist() for c in names), strict=True):
-            ids = np.frombuffer(nodes, "<i8")
-            at = order[np.searchsorted(u[order], ids)]
-            query = np.frombuffer(mine.ljust(size, b"\0"), np.int8)[:size].astype(np.float32)
-            value = (codes[at].astype(np.float32) @ query) * scale[at] * np.float32(s)
-            keep = value > least
-            rows.append((qid, ids[keep].tobytes(), value[keep].astype("<f4").tobytes()))
-        return pa.Table.from_batches([to_batch(rows, scored_schema)])
-
-    asked = (
-        wanted.repartition("qid")
-        .sortWithinPartitions("qid")
-        .mapInArrow(gather, "shard long, qid long, q binary, scale float, least float, nodes binary")
-    )
-    scored = (
-        asked.groupBy("shard")
-        .cogroup(table.select("shard", "u", "q", "scale").groupBy("shard"))
-        .applyInArrow(score, "qid long, new binary, new_scores binary")
-    )
+        rows, asks = _parted(asked)
+        if asks:
+            u = stored["u"].to_numpy()
+            order = np.argsort(u)
+            q, scales = stored["q"].to_pylist(), stored["scale"].to_numpy()
+            size = max(map(len, q))
+            codes = np.frombuffer(b"".join(x.ljust(size, b"\0") for x in q), np.int8).reshape(len(q), size)
+            by_query: dict[int, list[tuple]] = {}
+            for ask in asks:
+                by_query.setdefault(ask[1], []).append(ask)
+            for qid, mine in by_query.items():
+                _, _, _, q, scale, least, *_ = mine[0]
+                ids = np.unique(np.frombuffer(b"".join([r[6] for r in mine]), "<i8"))
+                at = order[np.searchsorted(u[order], ids)]
+                query = np.frombuffer(q.ljust(size, b"\0"), np.int8)[:size].astype(np.float32)
+                value = (codes[at].astype(np.float32) @ query) * scales[at] * np.float32(scale)
+                keep = value > least
+                if keep.any():
+                    found = (ids[keep].tobytes(), value[keep].astype("<f4").tobytes())
+                    rows.append((None, qid, None, None, None, None, *found, None))
+        return pa.Table.from_batches(record_batches(rows, _STEP_SCHEMA), _STEP_SCHEMA)
 
     def update(batches):
         rows = []
-        names = ("qid", "u", "q", "scale", "ids", "scores", "done", "new", "new_scores")
-        for group in _by_query(batches, names):
-            own = next(r for r in group if r[2] is not None)
+        for group in _by_query(batches, ("qid", "u", "q", "scale", "ids", "scores", "done")):
+            own = next(r for r in group if r[6] is not None)
             ids, scores = np.frombuffer(own[4], "<i8"), np.frombuffer(own[5], "<f4")
             done = np.frombuffer(own[6], np.int8).copy()
             done[np.flatnonzero(done == 0)[:expanded]] = 1
-            new = [r for r in group if r[7] is not None]
-            ids = np.concatenate([ids, *(np.frombuffer(r[7], "<i8") for r in new)])
-            scores = np.concatenate([scores, *(np.frombuffer(r[8], "<f4") for r in new)])
+            new = [r for r in group if r[6] is None]
+            found = np.frombuffer(b"".join([r[4] for r in new]), "<i8")
+            # A node is stored in one shard, so it comes once; those of the beam come again.
+            fresh = ~np.isin(found, np.append(ids, own[0]))
+            ids = np.concatenate([ids, found[fresh]])
+            scores = np.concatenate([scores, np.frombuffer(b"".join([r[5] for r in new]), "<f4")[fresh]])
             done = np.concatenate([done, np.zeros(len(ids) - len(done), np.int8)])
             best = np.lexsort((ids, -scores))[:beam]
             rows.append((*own[:4], ids[best].astype("<i8").tobytes(), scores[best].astype("<f4").tobytes(), done[best].tobytes()))
@@ -427,12 +417,34 @@ def _hop(beams: DataFrame, table: DataFrame, shards: int, beam: int, expanded: i
         if rows:
             yield to_batch(rows, _BEAM_SCHEMA)
 
-    return (
-        beams.unionByName(scored, allowMissingColumns=True)
-        .repartition("qid")
-        .sortWithinPartitions("qid")
-        .mapInArrow(update, _BEAM)
-    )
+    links = table.select("shard", "u", "ids").groupBy("shard")
+    codes = table.select("shard", "u", "q", "scale").groupBy("shard")
+    asked = beams.mapInArrow(choose, _STEP)
+    for hop in range(hops):
+        followed = asked.groupBy("shard").cogroup(links).applyInArrow(follow, _STEP)
+        scored = followed.groupBy("shard").cogroup(codes).applyInArrow(score, _STEP)
+        placed = scored.repartition("qid").sortWithinPartitions("qid")
+        if hop + 1 == hops:
+            return placed.mapInArrow(update, _BEAM)
+        asked = placed.mapInArrow(lambda batches: choose(update(batches)), _STEP)
+    return beams
+
+
+def _by_shard(nodes: np.ndarray, shards: int):
+    """``(shard, its nodes)`` of every shard that has some."""
+    shard = np.mod(nodes, shards)
+    order = np.argsort(shard, kind="stable")
+    nodes, shard = nodes[order], shard[order]
+    cuts = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
+    for a, b in zip(cuts, [*cuts[1:], len(nodes)][: len(cuts)], strict=True):
+        yield int(shard[a]), nodes[a:b].tobytes()
+
+
+def _parted(step: pa.Table) -> tuple[list[tuple], list[tuple]]:
+    """Rows of beams on their way, and rows that ask."""
+    columns = [step[name].to_pylist() for name in _STEP_SCHEMA.names]
+    rows = list(zip(*columns, strict=True))
+    return [r for r in rows if r[8] is not None], [r for r in rows if r[8] is None]
 
 
 def _by_query(batches, names):
@@ -480,7 +492,7 @@ def search(
         finished = ended if finished is None else finished.unionByName(ended)
         if going.isEmpty():
             break
-        beams = materialise(_hop(going, table, shards, beam, expanded), "nn-beams")
+        beams = materialise(_hops(going, table, shards, beam, expanded, CHAIN), "nn-beams")
 
     def explode(batches):
         for batch in batches:
