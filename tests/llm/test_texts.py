@@ -91,6 +91,30 @@ def test_words_are_not_cut_one_by_one(path, spaced, monkeypatch):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
 
 
+@pytest.mark.parametrize(("path", "spaced"), [(BYTE_LEVEL, True), (WORDS, False)])
+def test_ids_of_many_units_are_cut_in_one_pass(path, spaced, monkeypatch):
+    from tidemark.llm import tokenizing
+
+    encoder = library_encoder(path, spaced)
+    random_ = random.Random(11)
+    units = ["".join(random_.choices("abcdeé1", k=random_.randint(1, 9))) for _ in range(500)]
+    want = [encoder.encode_units([u])[0] for u in units]
+    passes = []
+
+    class Counting:
+        def __getattr__(self, name):
+            if name == "flatnonzero":
+                passes.append(name)
+            return getattr(np, name)
+
+    monkeypatch.setattr(tokenizing, "np", Counting())
+    assert encoder.encode_units(units) == want
+    assert len(passes) == 1
+    mixed = [*units[:40], "", "  x", *units[40:80], "a\nb"]
+    assert encoder.encode_units(mixed) == [encoder.encode_units([u])[0] for u in mixed]
+    assert encoder.encode_units([]) == []
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 59, 4095, 4096, 4097, 20_000):

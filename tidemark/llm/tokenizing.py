@@ -41,10 +41,9 @@ def library_encoder(path: str, spaced: bool) -> UnitEncoder:
         return [np.array(e.ids, dtype="<u4") for e in found]
 
     mark = SEPARATORS[spaced]
-    mark_ids = ids_of([mark])[0]
+    mark_list = ids_of([mark])[0].tolist()
 
     def encode_units(units: list[str]) -> list[bytes]:
-        out: dict[str, bytes] = {}
         together, alone = [], []
         for k in range(0, len(units), 1000):
             group = units[k : k + 1000]
@@ -54,19 +53,30 @@ def library_encoder(path: str, spaced: bool) -> UnitEncoder:
                 together += [u for u in group if not APART.search(u)]
             else:
                 together += group
-        out.update(zip(alone, (ids.tobytes() for ids in ids_of(alone)), strict=True))
         groups = [together[k : k + JOINED] for k in range(0, len(together), JOINED)]
-        for group, ids in zip(groups, ids_of([mark.join(g) for g in groups]), strict=True):
-            hits = ids[: len(ids) - len(mark_ids) + 1] == mark_ids[0]
-            for j in range(1, len(mark_ids)):
-                hits = hits & (ids[j : len(ids) - len(mark_ids) + 1 + j] == mark_ids[j])
-            cuts = np.flatnonzero(hits).tolist()
-            if len(cuts) != len(group) - 1:
-                raise ValueError("the separator of units was found a wrong number of times")
-            data, begin = ids.tobytes(), 0
-            for unit, cut in zip(group, [*cuts, len(ids)], strict=True):
-                out[unit] = data[4 * begin : 4 * cut]
-                begin = cut + len(mark_ids)
+        found = tokenizer.encode_batch_fast([mark.join(g) for g in groups], add_special_tokens=False)
+        # All groups in one array, each with the separator after it, so that one pass cuts them.
+        flat: list[int] = []
+        group_ends = []
+        for encoding in found:
+            flat += encoding.ids
+            flat += mark_list
+            group_ends.append(len(flat))
+        ids = np.array(flat, dtype="<u4")
+        hits = ids[: len(ids) - len(mark_list) + 1] == mark_list[0]
+        for j in range(1, len(mark_list)):
+            hits = hits & (ids[j : len(ids) - len(mark_list) + 1 + j] == mark_list[j])
+        cuts = np.flatnonzero(hits)
+        counts = np.cumsum([len(g) for g in groups])
+        if not np.array_equal(np.searchsorted(cuts, group_ends), counts):
+            raise ValueError("the separator of units was found a wrong number of times")
+        data, step = ids.tobytes(), 4 * len(mark_list)
+        ends = (4 * cuts).tolist()
+        coded = [data[a:b] for a, b in zip([0, *(e + step for e in ends[:-1])], ends, strict=False)]
+        if not alone:
+            return coded
+        out = dict(zip(together, coded, strict=True))
+        out.update(zip(alone, (ids.tobytes() for ids in ids_of(alone)), strict=True))
         return [out[u] for u in units]
 
     return UnitEncoder(encode_units, spaced)
