@@ -297,3 +297,43 @@ def test_hops_in_one_job_find_what_single_hops_find(spark, monkeypatch):
         written[chain] = labels.count("nn-beams") - 1
     assert found[1] == found[3]
     assert written[1] > 3 and written[3] == -(-written[1] // 3)
+
+
+def test_members_of_a_node_meet_in_as_many_tasks_as_partitions(spark, monkeypatch):
+    """Whatever size Spark aims at for partitions; all pairs of a node's members still meet."""
+    generator = np.random.default_rng(12)
+    rows = [(i, generator.standard_normal(8).tolist(), 1, "n") for i in range(120)]
+    monkeypatch.setattr(nn_descent, "BLOCK", 12)
+    given = spark.createDataFrame(rows, VECTORS)
+    packed = nn_descent.packed_vectors(given)
+    nodes = nn_descent.materialise(nn_descent._nodes(packed, nn_descent.stored_type(given), 5), "nodes")
+    graph = nn_descent.build_graph(nodes, 6, 0)
+    want = {r["u"]: dict(zip(np.frombuffer(r["ids"], "<i8").tolist(), np.frombuffer(r["scores"], "<f4").tolist(), strict=True)) for r in graph.collect()}
+    near = {u: set(have) for u, have in want.items()}
+    coded = {r["u"]: np.frombuffer(r["q"], np.int8) * np.float32(r["scale"]) for r in nodes.collect()}
+    for c in coded:
+        members = near[c] | {c} | {u for u in near if c in near[u]}
+        for u in members:
+            want[u] |= {v: float(coded[u] @ coded[v]) for v in members - {u}}
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    context, before = spark.sparkContext, {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    context.setJobGroup("one-round", "")
+    try:
+        got = nn_descent._round(graph, 6).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("one-round") for s in tracker.getJobInfo(job).stageIds]
+    tasks = [found.numTasks for s in stages if (found := tracker.getStageInfo(s))]
+    assert 0 < max(tasks) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for r in got:
+        found = np.frombuffer(r["scores"], "<f4")
+        assert np.allclose(found, sorted(want[r["u"]].values(), reverse=True)[:6], rtol=1e-4, atol=1e-4)

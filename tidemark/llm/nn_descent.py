@@ -250,8 +250,10 @@ def _edges(graph: DataFrame) -> DataFrame:
 def _round(graph: DataFrame, k: int) -> DataFrame:
     """One round: members of each list, and of the lists' owners, meet each other."""
     members = _edges(graph).join(graph.select(F.col("u").alias("m"), "q", "scale", "worst"), "m")
-    # Spark splits the members of a node that stands in very many lists over several tasks.
-    placed = members.select("c", "m", "q", "scale", "worst").hint("rebalance", "c")
+    # A node's members meet where its row is. The join is a merge join, so that they come sorted by
+    # node and Spark splits those of a node that stands in very many lists over several tasks.
+    owners = graph.select(F.col("u").alias("c")).hint("merge")
+    placed = members.join(owners, "c").select("c", "m", "q", "scale", "worst")
 
     def meet(batches):
         held: list[tuple] = []
