@@ -304,3 +304,23 @@ def test_queries_against_sql(spark, name):
     columns = [d[0] for d in want.description]
     rows = sorted(map(repr, want.fetchall()))
     assert sorted(map(repr, map(tuple, queries.QUERIES[name](spark, SF).select(*columns).collect()))) == rows
+
+
+def test_training_makes_values_of_its_sample_some_at_a_time(spark, monkeypatch):
+    generator = np.random.default_rng(4)
+    words = ["".join(generator.choice(list("abcdefghij"), 3)) for _ in range(60)]
+    rows = [(i, " ".join(generator.choice(words, 40)) + " bad" * (i % 2), i % 2) for i in range(60)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    models, made, strength = [], [], toxicity.strength
+
+    def counted(n):
+        made.append(len(n))
+        return strength(n)
+
+    monkeypatch.setattr(toxicity, "strength", counted)
+    for entries in (1 << 20, 1 << 10):
+        made.clear()
+        monkeypatch.setattr(toxicity, "ENTRIES", entries, raising=False)
+        models.append(toxicity.train(labelled, max_features=512))
+    assert sum(made) > 1 << 11 and max(made) <= 1 << 10
+    assert (models[0].weights == models[1].weights).all() and models[0].bias == models[1].bias

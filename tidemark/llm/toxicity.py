@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,8 @@ FOLDS = 4
 THRESHOLD = 0.7
 #: Bytes that are hashed at once.
 CHUNK = 1 << 20
+#: Entries of the sample, a feature of a text each, whose values are made at once.
+ENTRIES = 1 << 16
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xBF58476D1CE4E5B9)
@@ -261,14 +264,18 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: in
     data = made.limit(2 * sample_rows).toArrow()  # an id may repeat beyond the sample's size
     data = data.sort_by([("at", "ascending"), ("toxic", "ascending"), ("found", "ascending"), ("times", "ascending")])
     labels = np.array(data["toxic"], dtype=np.int64)
-    found = [np.frombuffer(b.as_py(), "<i4") for b in data["found"]]
-    times = np.concatenate([np.frombuffer(b.as_py(), "<i4") for b in data["times"]])
-    owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    place = np.concatenate(found)
+    sizes = np.array(pc.binary_length(data["found"]), dtype=np.int64) // 4
+    place, times = _numbers(data["found"]), _numbers(data["times"])
+    del data
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     # Ratios without the row itself: one text less of its label, in the corpus and with the feature.
     n_texts = np.array([n_clean, n_toxic], dtype=np.float64)
-    own = np.eye(2)[labels[owner]]
-    value = strength(times) * _ratio(held[place] - own, n_texts - own)
+    value = np.empty(len(place))
+    for k in range(0, len(place), ENTRIES):
+        part = slice(k, k + ENTRIES)
+        own = np.eye(2)[labels[owner[part]]]
+        value[part] = strength(times[part]) * _ratio(held[place[part]] - own, n_texts - own)
+    del times
     scale = max(1e-12, float(np.sqrt((value**2).sum() / max(1, len(labels)))))
     value /= scale
     slope, offset = _calibration(owner, place, value, labels, len(features))
@@ -276,6 +283,22 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES, sample_rows: in
     return ToxicityModel(columns, slope * w * _ratio(held, n_texts) / scale, slope * bias + offset)
 
 
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """The 32-bit numbers of all values of a column, one after the other."""
+    out = np.empty(pc.sum(pc.binary_length(column)).as_py() // 4, "<i4")
+    at = 0
+    for value in column:
+        part = np.frombuffer(value.as_buffer(), "<i4")
+        out[at : at + len(part)] = part
+        at += len(part)
+    return out
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal ``values`` starts."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, int)
+
+
 def _class_weights(labels: np.ndarray) -> np.ndarray:
     """Weight of each row; rows of either label together weigh one half."""
     toxic = max(1, int(labels.sum()))
@@ -294,11 +317,12 @@ def _calibration(owner, place, value, labels, n_features, folds: int = FOLDS) ->
     logits = np.zeros(len(labels))
     for k in range(folds):
         rows = np.flatnonzero(fold != k)
-        number = np.full(len(labels), -1)
+        number = np.full(len(labels), -1, dtype=np.int32)
         number[rows] = np.arange(len(rows))
         seen = number[owner] >= 0
-        w, bias = _fit(number[owner][seen], place[seen], value[seen], labels[rows], n_features)
-        scored = np.bincount(owner, w[place] * value, len(labels)) + bias
+        w, bias = _fit(number[owner[seen]], place[seen], value[seen].astype(np.float32), labels[rows], n_features)
+        rest = ~seen
+        scored = np.bincount(owner[rest], w[place[rest]] * value[rest], len(labels)) + bias
         logits[fold == k] = scored[fold == k]
     weight, (slope, offset) = _class_weights(labels), (1.0, 0.0)
     for _ in range(50):  # Newton steps; the small term keeps separable scores finite
@@ -319,11 +343,13 @@ def _fit(owner, place, value, labels, n_features, steps: int = 300, ridge: float
 
     Rows of both labels weigh the same in sum.
     """
-    value, weight, bias = value.astype(np.float32), _class_weights(labels), 0.0
+    value, weight, bias = value.astype(np.float32, copy=False), _class_weights(labels), 0.0
     by_feature = np.argsort(place, kind="stable")
-    owner_f, value_f = owner[by_feature], value[by_feature]
-    rows, row_starts = np.unique(owner, return_index=True)
-    held, feature_starts = np.unique(place[by_feature], return_index=True)
+    owner_f, value_f, place_f = owner[by_feature], value[by_feature], place[by_feature]
+    del by_feature
+    row_starts, feature_starts = _starts(owner), _starts(place_f)
+    rows, held = owner[row_starts], place_f[feature_starts]
+    del place_f
     z, part = np.zeros(len(labels)), np.zeros(n_features)
     w = np.zeros(n_features)
     moment, square = np.zeros(n_features + 1), np.zeros(n_features + 1)
