@@ -1,12 +1,15 @@
 """Late changes, change feeds, releases, landing compaction, and marts kept by signed sums."""
 
 import random
+import time
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import tables as tables_module
 from tidemark.operators.changes import ChangeTable, apply_changes
 from tidemark.operators.skew import HotKeys
 from tidemark.operators.tables import (
@@ -15,11 +18,12 @@ from tidemark.operators.tables import (
     append_landing,
     compact_landing_in_place,
     read_landing,
+    sweep_landing,
 )
 from tidemark.operators.upsert import SIGN, merge_partitioned
 from tidemark.plans.mart_state import MartState, comment_metrics_from, signed
 from tidemark.plans.marts import mart_comment_statistics, mart_user_post_summary
-from tidemark.session import at_once, materialise
+from tidemark.session import SHUFFLE_CLEANUP_CONF, at_once, materialise, short_lived_shuffles
 
 NOW = datetime(2024, 1, 1)
 
@@ -156,6 +160,115 @@ def test_stored_rows_are_written_small(spark, tmp_path):
         assert files and all(".zstd." in f for f in files)
 
 
+def test_a_feed_stores_a_row_once_with_both_images(spark, tmp_path):
+    schema = "id long, title string, body string"
+    table = SnapshotTable(spark, str(tmp_path), spark.createDataFrame([], schema).schema, "id", 2)
+    for title in ("t", "u"):
+        table.upsert(spark.createDataFrame([(i, title, "long") for i in range(5)], schema), feed=True)
+    stored = spark.read.parquet(str(tmp_path / "feed" / "__version=2"))
+    assert rows(stored.select("title", "body", "__before.title", "__before.body")) == [("u", "long", "t", None)] * 5
+    assert rows(table.changes(after=1).filter("id = 3")) == [(3, "t", "long", -1, 2), (3, "u", "long", 1, 2)]
+    positive = table.changes(after=1).filter(F.col(SIGN) > 0)
+    plan = positive._jdf.queryExecution().executedPlan().toString()
+    assert "__before" not in plan.replace("isnotnull(__before", "")  # images before are not read
+
+
+def test_feeds_of_one_image_a_row_are_still_read(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path), PAIR, "id", 2)
+    for v in ("a", "b"):
+        table.upsert(spark.createDataFrame([(1, v), (2, "same")], PAIR), feed=True)
+    want = rows(table.changes())
+    earlier = spark.createDataFrame([(1, "b", 1), (1, "a", -1)], "id long, v string, __sign int")
+    earlier.write.mode("overwrite").parquet(str(tmp_path / "feed" / "__version=2"))
+    assert rows(table.changes()) == want and len(want) == 4
+
+
+@pytest.mark.parametrize("most", [1, 8])
+def test_large_rewrites_in_passes_give_the_same_table(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(tables_module, "PASS_BYTES", 1)
+    monkeypatch.setattr(tables_module, "MOST_PASSES", most)
+    table = SnapshotTable(spark, str(tmp_path / "t"), PAIR, "id", 16)
+    written, real = [], table._write_buckets
+    monkeypatch.setattr(table, "_write_buckets", lambda *a: (written.append(a), real(*a)))
+    table.upsert(spark.createDataFrame([(None, "n"), *((i, "a") for i in range(200))], PAIR), feed=True)
+    assert len(written) == (1 if most == 1 else 4)  # four cores, sixteen buckets
+    batch = [(None, "m"), *((i, "b") for i in range(100, 300)), (250, "b"), (150, "b")]
+    assert table.upsert(spark.createDataFrame(batch, PAIR), feed=True, keep_staged=False) == 203
+    now = {None: "m"} | {i: "a" if i < 100 else "b" for i in range(300)}
+    assert rows(table.read()) == sorted(now.items(), key=repr)
+    changed = rows(table.changes(after=1).select("id", "v", SIGN))
+    before = [(None, "n", -1), *((i, "a", -1) for i in range(100, 200))]
+    assert changed == sorted(before + [(i, v, 1) for i, v in now.items() if v != "a"], key=repr)
+    with pytest.raises(ValueError, match="2 keys occur more than once in the batch, first 150"):
+        table.upsert(spark.createDataFrame(batch, PAIR), feed=True, on_duplicate="error")
+    assert table.version() == 2
+    # One row of one bucket is one pass over that bucket.
+    written.clear()
+    table.upsert(spark.createDataFrame([(7, "z")], PAIR))
+    assert len(written) == 1 and rows(table.read().filter("id in (7, 8)")) == [(7, "z"), (8, "a")]
+
+
+@pytest.mark.parametrize("key", ["long", "string"])
+def test_compaction_in_passes(spark, tmp_path, monkeypatch, key):
+    monkeypatch.setattr(tables_module, "PASS_BYTES", 1)
+    schema = spark.createDataFrame([], f"id {key}, v string, at timestamp").schema
+    path, kind = str(tmp_path), (int if key == "long" else str)
+    for seq in (1, 2):
+        some = [(kind(i), f"v{seq}", NOW) for i in range(100 * seq)] + [(None, f"n{seq}", NOW)] * 2
+        append_landing(spark.createDataFrame(some, schema), path, ["id", "v", "at"], seq)
+    assert compact_landing_in_place(spark, path, schema, "id", "at") == 2
+    sweep_landing(spark, path)
+    assert not list(tmp_path.glob("batch_seq=*"))
+    want = sorted([(kind(i), "v2") for i in range(200)] + [(None, "n2")], key=repr)
+    assert rows(read_landing(spark, path, schema).select("id", "v")) == want
+    if key == "long":  # files cover ranges of the key that do not meet
+        per_file = read_landing(spark, path, schema).groupBy(F.input_file_name()).agg(F.min("id"), F.max("id"))
+        ranges = sorted(r[1:] for r in per_file.collect())
+        assert len(ranges) > 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    # Later batches are appended, folded and swept as before.
+    append_landing(spark.createDataFrame([(kind(5), "v3", NOW)], schema), path, ["id", "v", "at"], 3)
+    assert compact_landing_in_place(spark, path, schema, "id", "at") == 3
+    sweep_landing(spark, path)
+    assert len(list((tmp_path / "_compacted").iterdir())) == 1
+    assert rows(read_landing(spark, path, schema).filter("id = '5'").select("v")) == [("v3",)]
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_sweep_keeps_the_current_version(spark, tmp_path, buckets):
+    table = SnapshotTable(spark, str(tmp_path), PAIR, "id", buckets)
+    table.upsert(spark.createDataFrame([(i, "a") for i in range(20)], PAIR), feed=True)
+    table.upsert(spark.createDataFrame([(3, "b")], PAIR), feed=True)
+    table.read().write.parquet(str(tmp_path / "data" / "lost"))
+    want = rows(table.read())
+    table.sweep()
+    table.sweep_feeds(1)
+    again = SnapshotTable(spark, str(tmp_path), PAIR, "id")
+    assert rows(again.read()) == want and not list((tmp_path / "incoming").iterdir())
+    assert not (tmp_path / "data" / "lost").exists()
+    assert sum(f.suffix == ".parquet" for f in (tmp_path / "data").rglob("*")) == (buckets or 1)
+    assert rows(again.changes(after=1)) == [(3, "a", -1, 2), (3, "b", 1, 2)]
+    again.upsert(spark.createDataFrame([(4, "c")], PAIR), feed=True)
+    assert rows(again.read()) == sorted({**dict(want), 4: "c"}.items(), key=repr)
+    SnapshotTable(spark, str(tmp_path / "none"), PAIR, "id").sweep()
+
+
+def test_short_lived_shuffles_leave_no_files(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for d in disk.localDirs() for f in Path(d.getPath()).rglob("shuffle_*.data")}
+
+    before = files()
+    with short_lived_shuffles(spark):
+        spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP_CONF, "false") == "false"
+
+
 def test_adding_a_net_delta_takes_it_as_it_is(spark, tmp_path):
     schema = "id long, v string, n long"
     typed = spark.createDataFrame([], schema).schema

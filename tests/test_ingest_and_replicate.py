@@ -1,3 +1,4 @@
+import gzip
 import json
 from datetime import datetime, timedelta, timezone
 from decimal import Decimal
@@ -346,6 +347,32 @@ def test_validation_views_and_command_line(spark, tmp_path):
         main(["ingest", "--root", root])
 
 
+@pytest.mark.parametrize("incremental", [False, True])
+def test_run_elt_sweeps_up(spark, tmp_path, incremental):
+    """One copy of the rows per layer stays behind, and runs go on from there."""
+    paths, marts = payloads(tmp_path), {}
+    for sweep in (False, True):
+        root = tmp_path / f"root-{sweep}"
+        for hour in (0, 1, 2):
+            report = run_elt(
+                spark, paths, str(root), T0 + timedelta(hours=hour), buckets=2,
+                incremental=incremental, compact_after=2, sweep=sweep,
+            )
+        names = [n for n in report.models if n.startswith("mart")]
+        marts[sweep] = [sorted(map(tuple, report.models[n].collect()), key=repr) for n in names]
+        assert all(r["status"] == "PASS" for r in report.reconciliation.collect())
+    assert marts[True] == marts[False]
+    for entity, n in {"users": 10, "posts": 100, "comments": 500}.items():
+        table = oltp_table(spark, str(root), ENTITIES[entity])
+        assert table.read().count() == n and table.version() == 3
+        assert not [f for part in ("incoming", "feed") for f in (root / "raw" / entity / part).iterdir()]
+        stored = list((root / "raw" / entity / "data").rglob("*.parquet"))
+        assert spark.read.parquet(*map(str, stored)).count() == n
+        # The fold after the second run, and the batch of the third.
+        landed = [f for f in (root / "landing" / entity).rglob("*.parquet") if "_live" not in str(f)]
+        assert spark.read.parquet(*map(str, landed)).count() == 2 * n
+
+
 def test_run_elt_skips_unchanged_rows(spark, tmp_path):
     paths, root = payloads(tmp_path, 2, 4, 8), str(tmp_path / "root")
     run_elt(spark, paths, root, T0)
@@ -383,3 +410,18 @@ def test_response_files_follow_the_records_not_their_keys(spark, tmp_path):
     # No record, no array; reading finds nothing either.
     _write_arrays(records.limit(0), f"{path}-none")
     assert read_json_entities(spark, f"{path}-none", records.schema).count() == 0
+
+
+def test_compressed_response_files(spark, tmp_path):
+    """They take a fraction of the text; one that holds nothing is like an empty file."""
+    records = spark.range(1000).select("id", F.repeat(F.lit("text "), 200).alias("body"))
+    _write_arrays(records, str(tmp_path / "arrays"))
+    files = list((tmp_path / "arrays").glob("part-*"))
+    assert files and all(f.suffix == ".gz" for f in files)
+    assert sum(f.stat().st_size for f in files) < 100_000
+    assert read_json_entities(spark, str(tmp_path / "arrays"), records.schema).count() == 1000
+    (tmp_path / "arrays" / "none.txt.gz").write_bytes(gzip.compress(b""))
+    assert read_json_entities(spark, str(tmp_path / "arrays"), records.schema).count() == 1000
+    (tmp_path / "arrays" / "bad.txt.gz").write_bytes(gzip.compress(b'{"error": 1}'))
+    with pytest.raises(PayloadError, match="1 payloads"):
+        read_json_entities(spark, str(tmp_path / "arrays"), records.schema)

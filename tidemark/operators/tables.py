@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
@@ -13,9 +14,17 @@ from pyspark.sql import types as T
 
 from tidemark.functions import timestamp_literal
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.upsert import BEFORE, CHANGED, SIGN, by_partition, merge_partitioned, upsert
+from tidemark.operators.upsert import (
+    BEFORE,
+    CHANGED,
+    SIGN,
+    by_partition,
+    merge_partitioned,
+    one_row_per_key,
+    upsert,
+)
 from tidemark.schemas import BATCH_SEQ, LANDING_MARKS, ROW_HASH, with_marks
-from tidemark.session import few_rows
+from tidemark.session import few_rows, planned_bytes, remove, subfolders
 
 #: Codec of stored rows. The test documents take 30 MB where the default codec leaves 47.
 COMPRESSION = "zstd"
@@ -24,6 +33,10 @@ BUCKET = "__bucket"
 VERSION = "__version"
 SAME = "__same_texts"
 
+#: Rows above this size are rewritten in passes, which bounds what is shuffled at a time. A pass
+#: reads the whole batch again, so there are no more than a few.
+PASS_BYTES, MOST_PASSES = 64 << 20, 8
+
 # Inside a landing table; Spark does not list folders with such names as data.
 LIVE_LIST, COMPACTED = "_live", "_compacted"
 _LIVE = T.StructType(
@@ -59,6 +72,12 @@ def typed(
     return df.select(*[value(f) for f in schema.fields])
 
 
+def _passes(size: int, parts: int | None = None, cores: int = 1) -> int:
+    """Passes for rows of ``size`` bytes; every core gets one of the ``parts`` in each."""
+    wanted = min(MOST_PASSES, -(-size // PASS_BYTES))
+    return max(1, wanted if parts is None else min(wanted, parts // cores))
+
+
 # ---- landing ----------------------------------------------------------------------
 
 
@@ -142,14 +161,43 @@ def compact_landing_in_place(
     if upto is None or (switch and upto <= folded_upto):
         return folded_upto
     folder = uuid.uuid4().hex
-    kept = latest_per_key(live, key, version).select(*schema.fieldNames(), *LANDING_MARKS)
-    folded = sorted_layout(kept, key, files)
-    folded.write.parquet(f"{path}/{COMPACTED}/{folder}", compression=COMPRESSION)
+    passes = 1 if files else _passes(planned_bytes(live))
+    for inside in _key_ranges(live, key, passes):
+        kept = latest_per_key(live.filter(inside), key, version)
+        folded = sorted_layout(kept.select(*schema.fieldNames(), *LANDING_MARKS), key, files)
+        folded.write.mode("append").parquet(f"{path}/{COMPACTED}/{folder}", compression=COMPRESSION)
     row = few_rows(spark, [(switch + 1, folder, upto)], _LIVE)
     row.write.mode("append").parquet(f"{path}/{LIVE_LIST}")
     return upto
 
 
+def _key_ranges(df: DataFrame, key: str, n: int) -> list[Column]:
+    """Conditions that deal rows out to about ``n`` equal ranges of an integer key."""
+    if n == 1 or not isinstance(df.schema[key].dataType, T.IntegralType):
+        return [F.lit(True)]
+    cuts = df.agg(F.percentile_approx(key, [i / n for i in range(1, n)])).first()[0]
+    cuts = sorted(set(cuts or []))
+    if not cuts:
+        return [F.lit(True)]
+    k = F.col(key)
+    between = [(k > low) & (k <= high) for low, high in zip(cuts, cuts[1:], strict=False)]
+    return [k.isNull() | (k <= cuts[0]), *between, k > cuts[-1]]
+
+
+def sweep_landing(spark: SparkSession, path: str) -> None:
+    """Delete the batches that the last compaction holds, and earlier compactions.
+
+    For the writer, once no reader that began before the compaction is left.
+    """
+    _, compacted, upto = _live_batches(spark, path)
+    if not compacted:
+        return
+    batches = [f for f in subfolders(spark, path) if f.startswith(f"{BATCH_SEQ}=")]
+    held = [f"{path}/{f}" for f in batches if int(f.partition("=")[2]) <= upto]
+    folded = [f for f in subfolders(spark, f"{path}/{COMPACTED}") if f != compacted]
+    remove(spark, held + [f"{path}/{COMPACTED}/{f}" for f in folded])
+
+
 def sorted_layout(df: DataFrame, key: str, files: int | None = None) -> DataFrame:
     """Range-partition and sort by ``key``: written files cover disjoint key ranges,
     so a key filter skips all files and row groups but the matching ones.
@@ -284,7 +332,8 @@ class SnapshotTable:
         if self.buckets == 1:
             placed.drop(BUCKET).write.parquet(data, compression=COMPRESSION)
         else:
-            placed.write.partitionBy(BUCKET).parquet(data, compression=COMPRESSION)
+            to = placed.write.mode("append").partitionBy(BUCKET)
+            to.parquet(data, compression=COMPRESSION)
 
     def _paths(self, data: str) -> dict[int, str]:
         """Paths of the buckets that have rows in a written directory."""
@@ -349,10 +398,13 @@ class SnapshotTable:
 
     # -- changes of some buckets
 
-    def _staged(self, rows: DataFrame) -> DataFrame:
+    def _incoming(self) -> str:
+        return f"{self.path}/incoming/{uuid.uuid4().hex}"
+
+    def _staged(self, rows: DataFrame, path: str | None = None) -> DataFrame:
         """Rows written down: they are read several times, their stamps must not change in
         between, and their true file size is what lets Spark broadcast a small batch."""
-        path = f"{self.path}/incoming/{uuid.uuid4().hex}"
+        path = path or self._incoming()
         rows.write.parquet(path, compression=COMPRESSION)
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -372,20 +424,32 @@ class SnapshotTable:
         staged: DataFrame,
         merge: Callable[[DataFrame, DataFrame], DataFrame],
         feed: bool = False,
+        spent: Sequence[str] = (),
     ) -> int:
         """Replace the buckets of ``staged`` by ``merge(stored, staged)``; rows of ``staged``.
 
-        Both frames carry their bucket, and the merged rows are left dealt out by it.
+        Both frames carry their bucket, and the merged rows are left dealt out by it. Large
+        ones are merged in passes, each over some of the buckets. Folders in ``spent`` are
+        deleted when the rows are written.
         """
         version, live = base
         touched = self._touched(staged)
         if not touched:
+            remove(self.spark, spent)
             return 0
-        stored = self._read_paths([live[b] for b in sorted(touched) if b in live])
+        paths = {b: live[b] for b in sorted(touched) if b in live}
+        size = planned_bytes(staged)
+        if paths:
+            size += planned_bytes(self._read_paths(list(paths.values())))
+        passes = _passes(size, len(touched), self.spark.sparkContext.defaultParallelism)
         data = f"{self.path}/data/{uuid.uuid4().hex}"
-        numbered = (df.withColumn(BUCKET, self._bucket()) for df in (stored, staged))
-        merged = merge(*numbered)
-        self._write_buckets(self._without_equal_texts(merged), data)
+        for i in sorted({b % passes for b in touched}):
+            stored = self._read_paths([path for b, path in paths.items() if b % passes == i])
+            old, new = (df.withColumn(BUCKET, self._bucket()) for df in (stored, staged))
+            if passes > 1:
+                new = new.filter(F.pmod(BUCKET, F.lit(passes)) == i)
+            self._write_buckets(self._without_equal_texts(merge(old, new)), data)
+        remove(self.spark, spent)
         last = self._last_written(version)
         if feed:
             self._write_feed(data, last + 1)
@@ -393,17 +457,25 @@ class SnapshotTable:
         self._commit(last, untouched | self._paths(data), feed)
         return sum(touched.values())
 
-    def upsert(self, batch: DataFrame, feed: bool = False, **options) -> int:
+    def upsert(
+        self, batch: DataFrame, feed: bool = False, keep_staged: bool = True, **options
+    ) -> int:
         """Insert or replace by key; returns the number of rows of the batch.
 
-        ``options`` are those of :func:`tidemark.operators.upsert.upsert`.
+        ``options`` are those of :func:`tidemark.operators.upsert.upsert`. Without
+        ``keep_staged`` the copy of the batch goes as soon as its rows are merged.
         """
         base = self._live()
-        staged = self._staged(batch.select(*self.schema.fieldNames()))
+        incoming = self._incoming()
+        staged = self._staged(batch.select(*self.schema.fieldNames()), incoming)
         partitioned = self.buckets > 1 or feed
         # Most batches hold a key once: a look at the keys saves them a shuffle of whole rows.
-        settles = options.get("on_duplicate", "latest") == "latest"
-        unique = partitioned and settles and self._unique(staged)
+        on_duplicate = options.get("on_duplicate", "latest")
+        unique = partitioned and on_duplicate == "latest" and self._unique(staged)
+        if partitioned and on_duplicate == "error":
+            # Once for the whole batch, whatever the number of passes.
+            one_row_per_key(staged, self.key, None, None, on_duplicate)
+            unique = True
 
         def merge(stored: DataFrame, incoming: DataFrame) -> DataFrame:
             if not partitioned:
@@ -412,7 +484,7 @@ class SnapshotTable:
                 stored, incoming, self.key, BUCKET, self.buckets, feed=feed, unique=unique, **options
             )
 
-        return self._rewrite(base, staged, merge, feed)
+        return self._rewrite(base, staged, merge, feed, () if keep_staged else (incoming,))
 
     def replace_keys(self, keys: DataFrame, rows: DataFrame, quiet: bool = False) -> int:
         """Replace all rows of ``keys`` by ``rows``; a key without a row leaves the table.
@@ -505,7 +577,7 @@ class SnapshotTable:
         return F.struct(*whole)
 
     def _write_feed(self, data: str, version: int) -> None:
-        """The changed rows of freshly written data, as images before (-1) and after (1)."""
+        """The changed rows of freshly written data, with what was different before."""
         image = T.StructType(self.schema.fields)
         names = T.ArrayType(T.StringType())
         fields = [
@@ -516,15 +588,7 @@ class SnapshotTable:
         wide = T.StructType([*self.schema.fields, *fields])
         # Data written without images, quietly, has no such column: nothing changed.
         changed = self.spark.read.schema(wide).parquet(data).filter(F.col(CHANGED))
-        names = self.schema.fieldNames()
-        images = F.array(
-            F.struct(F.lit(1).alias(SIGN), F.struct(*names).alias("row")),
-            F.when(
-                F.col(BEFORE).isNotNull(),
-                F.struct(F.lit(-1).alias(SIGN), self._image_before().alias("row")),
-            ),
-        )
-        rows = changed.select(F.explode(F.array_compact(images)).alias("i")).select("i.row.*", f"i.{SIGN}")
+        rows = changed.select(*self.schema.fieldNames(), BEFORE, SAME)
         # A dead attempt at this version left at most this folder, which no commit names.
         rows.write.mode("overwrite").parquet(
             f"{self.path}/feed/{VERSION}={version}", compression=COMPRESSION
@@ -534,7 +598,8 @@ class SnapshotTable:
         """Images of the versions after ``after``: rows with ``__sign`` and ``__version``.
 
         Summed over versions the signs of equal rows cancel out: what remains is the change
-        from the one version to the other.
+        from the one version to the other. A stored row holds both images (1 and -1), a text
+        that is in both once; feeds written earlier hold an image a row, with its sign.
         """
         upto = self.version() if upto is None else upto
         schema = T.StructType(
@@ -547,8 +612,20 @@ class SnapshotTable:
         if missing is not None:
             raise ValueError(f"{self.path}: version {missing} was written without a feed")
         paths = [f"{self.path}/feed/{VERSION}={v}" for v in range(after + 1, upto + 1)]
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/feed")
-        return reader.parquet(*paths)
+        image, names = T.StructType(self.schema.fields), self.schema.fieldNames()
+        both = [
+            T.StructField(BEFORE, image),
+            T.StructField(SAME, T.ArrayType(T.StringType())),
+        ]
+        reader = self.spark.read.schema(T.StructType([*schema.fields, *both]))
+        stored = reader.option("basePath", f"{self.path}/feed").parquet(*paths)
+        pairs = stored.filter(F.col(SIGN).isNull())
+        after = pairs.select(*names, F.lit(1).alias(SIGN), VERSION)
+        before = pairs.filter(F.col(BEFORE).isNotNull()).select(
+            self._image_before().alias("i"), F.lit(-1).alias(SIGN), VERSION
+        )
+        single = stored.filter(F.col(SIGN).isNotNull()).select(*names, SIGN, VERSION)
+        return after.unionByName(before.select("i.*", SIGN, VERSION)).unionByName(single)
 
     def obsolete_paths(self, keep: int = 2) -> DataFrame:
         """Folders that no current reader needs: ``(path)``.
@@ -583,6 +660,29 @@ class SnapshotTable:
         return old.select("path").unionByName(unnamed.select("path")).distinct()
 
 
+    def sweep(self) -> None:
+        """Delete what :meth:`obsolete_paths` lists, all versions but the current one included.
+
+        For the only writer, once no reader of an earlier version is left.
+        """
+        live = {re.search("/data/([^/]+)/?([^/]*)$", p).groups() for p in self._live()[1].values()}
+        spent = [f"incoming/{f}" for f in subfolders(self.spark, f"{self.path}/incoming")]
+        for folder in subfolders(self.spark, f"{self.path}/data"):
+            kept = {bucket for f, bucket in live if f == folder}
+            if not kept:
+                spent.append(f"data/{folder}")
+            elif "" not in kept:
+                inside = subfolders(self.spark, f"{self.path}/data/{folder}")
+                spent += [f"data/{folder}/{b}" for b in inside if b not in kept]
+        remove(self.spark, [f"{self.path}/{path}" for path in spent])
+
+    def sweep_feeds(self, upto: int) -> None:
+        """Delete the feeds of versions up to one that all their consumers have taken in."""
+        fed = subfolders(self.spark, f"{self.path}/feed")
+        taken = [f for f in fed if int(f.partition("=")[2]) <= upto]
+        remove(self.spark, [f"{self.path}/feed/{f}" for f in taken])
+
+
 class Release:
     """Several tables that become visible together.
 

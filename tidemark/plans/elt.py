@@ -16,7 +16,12 @@ from pyspark.sql import types as T
 from tidemark.operators.quality import fail_if_any, run_suite
 from tidemark.operators.skew import heaviest_keys
 from tidemark.operators.state import Marks, open_state
-from tidemark.operators.tables import SnapshotTable, compact_landing_in_place, read_landing
+from tidemark.operators.tables import (
+    SnapshotTable,
+    compact_landing_in_place,
+    read_landing,
+    sweep_landing,
+)
 from tidemark.operators.upsert import SIGN
 from tidemark.plans.ingest import ingest, oltp_table
 from tidemark.plans.mart_state import MartState
@@ -32,7 +37,7 @@ from tidemark.plans.staging import (
 )
 from tidemark.plans.transforms import ENTITIES, select_entities, to_landing
 from tidemark.schemas import STAGING
-from tidemark.session import materialise
+from tidemark.session import materialise, short_lived_shuffles
 
 # Fixed: model, entity and builder.
 STAGING_MODELS = {
@@ -73,28 +78,53 @@ def replicate_all(
     which: str = "all",
     buckets: int | None = None,
     strict: bool = True,
-    compact_after: int = COMPACT_AFTER,
+    compact_after: int | None = COMPACT_AFTER,
 ) -> tuple[dict[str, int], DataFrame]:
     """Replicate every table, then fail if any count check failed.
 
-    A landing table with ``compact_after`` batches since it was last folded is folded.
+    A landing table with ``compact_after`` batches since it was last folded is folded; with
+    None none is, until :func:`fold_landing`.
     """
     state = open_state(spark, f"{root}/raw/sync_watermark", list(ENTITIES))
     marks = Marks(spark, f"{root}/raw/feed_marks")
-    folded = Marks(spark, f"{root}/raw/folded_batches")
     done = []
     for spec in select_entities(which):
-        path = landing_path(root, spec.name)
         table = oltp_table(spark, root, spec, buckets)
-        done.append(replicate_feed(table, path, state, marks, spec, now))
+        done.append(replicate_feed(table, landing_path(root, spec.name), state, marks, spec, now))
+        if compact_after is not None:
+            fold_landing(spark, root, spec.name, compact_after)
+    checks = materialise(reduce(DataFrame.unionByName, [r.check for r in done]), "reconciliation")
+    if strict:
+        fail_if_any(checks, "reconciliation")
+    return {r.table: r.rows for r in done}, checks
+
+
+def fold_landing(
+    spark: SparkSession, root: str, which: str, compact_after: int, sweep: bool = False
+) -> None:
+    """Fold landing tables with that many batches; ``sweep`` deletes what a fold then holds."""
+    marks = Marks(spark, f"{root}/raw/feed_marks")
+    folded = Marks(spark, f"{root}/raw/folded_batches")
+    for spec in select_entities(which):
+        path = landing_path(root, spec.name)
         # Batches are numbered by feed version: the difference bounds their number.
         if marks.get(spec.name) - folded.get(spec.name) >= compact_after:
             upto = compact_landing_in_place(spark, path, spec.landing, spec.key, spec.version)
             folded.set(spec.name, upto)
-    checks = reduce(DataFrame.unionByName, [r.check for r in done])
-    if strict:
-        fail_if_any(checks, "reconciliation")
-    return {r.table: r.rows for r in done}, checks
+        if sweep:
+            sweep_landing(spark, path)
+
+
+def sweep_taken(spark: SparkSession, root: str) -> None:
+    """Delete feeds that replication and marts have taken in, and earlier mart versions."""
+    marks = Marks(spark, f"{root}/raw/feed_marks")
+    state = open_marts(spark, root)
+    taken = state.feeds()
+    for name, spec in ENTITIES.items():
+        mark = marks.get(name)
+        oltp_table(spark, root, spec).sweep_feeds(min(mark, taken.get(name, mark)))
+    for table in state.tables.values():
+        table.sweep()
 
 
 def raw_versions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -249,25 +279,39 @@ def run_elt(
     on_duplicate: str = "latest",
     incremental: bool = False,
     compact_after: int = COMPACT_AFTER,
+    sweep: bool = False,
 ) -> RunReport:
     """Ingest -> replicate -> models -> tests -> publish. Safe to repeat with the same input.
 
     ``paths`` maps entity to payload folder; ``root`` is a folder all executors share.
     As a plain function it can be called by any scheduler, which also does the retries.
+
+    ``sweep`` deletes what no step still needs as soon as that is so: staged batches, earlier
+    versions of the tables, feeds that were taken in, folded batches. Landing tables are folded
+    last then, when the feeds are gone. For runs that nobody reads earlier versions of; the
+    frames of an earlier report cannot be read afterwards.
     """
     now = batch_ts or datetime.now(tz=timezone.utc)
-    ingested = ingest(
-        spark,
-        paths,
-        root,
-        now,
-        buckets=buckets,
-        lines=lines,
-        touch_unchanged=touch_unchanged,
-        on_duplicate=on_duplicate,
-    )
-    replicated, reconciliation = replicate_all(
-        spark, root, now, buckets=buckets, compact_after=compact_after
-    )
-    suite = build_models(spark, root, now, materialise_staging, incremental, buckets)
+    with short_lived_shuffles(spark):
+        ingested = ingest(
+            spark,
+            paths,
+            root,
+            now,
+            buckets=buckets,
+            lines=lines,
+            touch_unchanged=touch_unchanged,
+            on_duplicate=on_duplicate,
+            keep_staged=not sweep,
+        )
+        if sweep:
+            for spec in ENTITIES.values():
+                oltp_table(spark, root, spec).sweep()
+        replicated, reconciliation = replicate_all(
+            spark, root, now, buckets=buckets, compact_after=None if sweep else compact_after
+        )
+        suite = build_models(spark, root, now, materialise_staging, incremental, buckets)
+        if sweep:
+            sweep_taken(spark, root)
+            fold_landing(spark, root, "all", compact_after, sweep=True)
     return RunReport(ingested, replicated, reconciliation, read_models(spark, root), suite)

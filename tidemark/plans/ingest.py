@@ -28,6 +28,7 @@ def ingest_entity(
     touch_unchanged: bool = True,
     on_duplicate: str = "latest",
     feed: bool = True,
+    keep_staged: bool = True,
 ) -> int:
     """Read, check, flatten and upsert one entity; returns the rows read.
 
@@ -35,7 +36,11 @@ def ingest_entity(
     """
     rows = spec.transform(read_json_entities(spark, path, spec.payload, lines), batch_ts)
     return table.upsert(
-        rows, feed=feed, touch_unchanged=touch_unchanged, on_duplicate=on_duplicate
+        rows,
+        feed=feed,
+        keep_staged=keep_staged,
+        touch_unchanged=touch_unchanged,
+        on_duplicate=on_duplicate,
     )
 
 

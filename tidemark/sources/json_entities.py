@@ -21,11 +21,12 @@ def is_json_array(payload: Column) -> Column:
 def check_payload_shape(spark: SparkSession, path: str) -> None:
     """Fail unless every landed file holds a JSON array.
 
-    The JSON reader would take a bare object, such as an error message, for one row.
+    The JSON reader would take a bare object, such as an error message, for one row. A file
+    that holds nothing has no records; Spark leaves it out itself unless it is compressed.
     """
     payloads = spark.read.text(path, wholetext=True)
     wrong = (
-        payloads.filter(~is_json_array(F.col("value")))
+        payloads.filter((F.col("value") != "") & ~is_json_array(F.col("value")))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(F.col("_metadata.file_path")).alias("first"),

@@ -25,7 +25,7 @@ from tidemark.plans.replicate import replicate, replicate_feed
 from tidemark.plans.transforms import ENTITIES
 from tidemark.plans.validate import layer_counts, top_posts, top_users
 from tidemark.schemas import MARTS, PAYLOAD, WATERMARK
-from tidemark.session import materialise, new_run_dir
+from tidemark.session import materialise, new_run_dir, remove, short_lived_shuffles
 from tidemark.sources.json_entities import is_json_array, parse_json
 from tidemark.sources.tables import newer_than, read_incremental
 from tidemark.streaming import (
@@ -932,7 +932,8 @@ def _write_arrays(records: DataFrame, path: str) -> None:
     """Response files that each hold one JSON array, of ``RECORDS_PER_FILE`` records on average.
 
     Records are dealt out by their content and every array is a file of one folder: the number
-    of files follows the number of records, however wide the keys lie apart.
+    of files follows the number of records, however wide the keys lie apart. Files are
+    compressed, as responses travel.
     """
     pages = max(1, -(-records.count() // RECORDS_PER_FILE))
     page = F.pmod(F.xxhash64(*records.columns), F.lit(pages)).alias("page")
@@ -941,14 +942,16 @@ def _write_arrays(records: DataFrame, path: str) -> None:
             F.lit("["), F.concat_ws(", ", F.collect_list(F.to_json(F.struct(*records.columns)))), F.lit("]")
         ).alias("value")
     )
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    to = arrays.select("value").write.option("maxRecordsPerFile", 1)
+    to.option("compression", "gzip").text(path)
 
 
 @query
 def run_elt(src):
     """Two whole runs over array files of all entities: all rows with stale names, then the
     current ones. The second one brings the marts up to date from the change feeds and folds
-    the landing tables."""
+    the landing tables. Nobody else reads the files: each run sweeps up, and the responses go
+    when they are taken in."""
     spark, root = src.spark, new_run_dir(src.spark, "elt")
     renamed = {"users": "name", "posts": "title", "comments": "name"}
     for hour in (0, 1):
@@ -958,7 +961,8 @@ def run_elt(src):
             if hour == 0:
                 records = records.withColumn(column, F.lit("STALE"))
             paths[name] = f"{root}/payload-{hour}/{name}"
-            _write_arrays(records, paths[name])
+            with short_lived_shuffles(spark):
+                _write_arrays(records, paths[name])
         report = elt.run_elt(
             spark,
             paths,
@@ -967,7 +971,9 @@ def run_elt(src):
             buckets=_parallelism(spark),
             incremental=True,
             compact_after=2,
+            sweep=True,
         )
+        remove(spark, list(paths.values()))
     user_mart, post_mart = (report.models[m] for m in ("mart_user_post_summary", "mart_comment_statistics"))
     return user_mart.select(
         F.lit("users").alias("mart"),
